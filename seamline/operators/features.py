@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .scan import Prefix, Shift, Suffix, Total, last_where, next_where, scan
+from .scan import Prefix, Shift, Suffix, Total, last_where, line_bound, next_where, scan
 
 
 def L():
@@ -122,9 +122,10 @@ def with_features(lines: DataFrame, names: Iterable[str]) -> DataFrame:
     wanted = _closure(names)
     df = lines
     had_chunk = "_chunk" in lines.columns
+    bound = line_bound(lines)
     for p in sorted({FEATURES[n][0] for n in wanted}):
         specs = {n: FEATURES[n][1]() for n in sorted(wanted) if FEATURES[n][0] == p}
-        df = scan(df, specs, keep_chunk=True)
+        df = scan(df, specs, keep_chunk=True, max_lines=bound)
     return df if had_chunk or "_chunk" not in df.columns else df.drop("_chunk")
 
 

@@ -20,6 +20,8 @@ from .rules_window import WINDOW_RULES
 RULES: dict[str, Rule] = {r.rule_id: r for r in LINE_RULES + WINDOW_RULES}
 DEFAULT_RULES = tuple(r.rule_id for r in LINE_RULES + WINDOW_RULES if r.default)
 DEFAULT_EXTRA = ("L10b", "L11", "L19", "L20")
+# rules that make sense on prose as well as on SQL
+TEXT_RULES = ("L01", "L01b", "L17", "L18")
 
 
 def rules_features(rule_ids: Iterable[str]) -> set[str]:
@@ -37,12 +39,16 @@ def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None) -> DataFr
     return explode_findings(feat, arr)
 
 
-def lint(lines: DataFrame, rule_ids: Iterable[str] | None = None, nesting: bool = True,
+def lint(lines: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Iterable[str] = ("L10b", "L11"),
          documents: bool = True) -> DataFrame:
-    """All findings: line rules, bracket rules (L10b, L11) and document rules."""
+    """All findings: line rules, bracket rules (``nesting``: L10b, L11) and document rules."""
     frames = [run_rules(lines, rule_ids)]
+    nesting = tuple(nesting)
     if nesting:
-        frames.append(nesting_findings(lines))
+        nf = nesting_findings(lines)
+        if set(nesting) != {"L10b", "L11"}:
+            nf = nf.filter(nf.rule_id.isin(*nesting))
+        frames.append(nf)
     if documents:
         frames.append(doc_findings(lines))
     return union_findings(frames)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .findings import FINDINGS_COLUMNS
-from .scan import KEY, Prefix, chunk_lines_of, scan
+from .scan import KEY, Prefix, chunk_lines_of, line_bound, scan
 
 EVENT_ORDER = ("line_no", "k")
 
@@ -54,9 +54,10 @@ def bracket_events(lines: DataFrame) -> DataFrame:
 def bracket_depths(lines: DataFrame) -> DataFrame:
     """Events with ``level`` (null for a surplus close) and ``surplus``."""
     ev = bracket_events(lines)
+    bound = line_bound(lines)
     delta = F.when(F.col("is_open"), F.lit(1)).otherwise(F.lit(-1))
-    ev = scan(ev, {"s": Prefix(delta, "sum", True)}, order=EVENT_ORDER, keep_chunk=True)
-    ev = scan(ev, {"m_prev": Prefix(F.col("s"), "min", False)}, order=EVENT_ORDER, keep_chunk=True)
+    ev = scan(ev, {"s": Prefix(delta, "sum", True)}, order=EVENT_ORDER, keep_chunk=True, max_lines=bound)
+    ev = scan(ev, {"m_prev": Prefix(F.col("s"), "min", False)}, order=EVENT_ORDER, keep_chunk=True, max_lines=bound)
     low_prev = F.least(F.lit(0), F.coalesce(F.col("m_prev"), F.lit(0)))
     depth_after = F.col("s") - F.least(low_prev, F.col("s"))
     surplus = ~F.col("is_open") & (F.col("s") < low_prev)
@@ -68,22 +69,26 @@ def bracket_pairs_events(lines: DataFrame) -> DataFrame:
     """Events with ``partner`` = struct of the matching close for every open (null if unmatched)."""
     ev = bracket_depths(lines)
     c = chunk_lines_of(ev)
+    bound = line_bound(lines)
     info = F.struct(
         F.col("line_no").alias("line_no"), F.col("k").alias("k"), F.col("is_open").alias("is_open"),
         F.col("col0").alias("col0"),
     )
     w_lvl = Window.partitionBy(*KEY, "level").orderBy(*EVENT_ORDER)
     ev = ev.withColumn("_next", F.lead(info, 1).over(w_lvl))
-
-    # carry: the first event of the same level in a later chunk (documents over one chunk only)
-    firsts = (
-        ev.filter((F.col("n_lines") > F.lit(c)) & F.col("level").isNotNull())
-        .groupBy(*KEY, "level").agg(F.min(info).alias("_first"))
-    )
-    w_chunks = Window.partitionBy("doc_id", "n_lines", "level").orderBy("_chunk")
-    later = firsts.select(*KEY, "level", F.lead("_first", 1).over(w_chunks).alias("_later"))
-    ev = ev.join(later, on=[*KEY, "level"], how="left")
-    partner = F.when(F.col("is_open"), F.coalesce(F.col("_next"), F.col("_later")))
+    if bound is not None and bound <= c:
+        later = F.lit(None)
+    else:
+        # carry: the first event of the same level in a later chunk (documents over one chunk only)
+        firsts = (
+            ev.filter((F.col("n_lines") > F.lit(c)) & F.col("level").isNotNull())
+            .groupBy(*KEY, "level").agg(F.min(info).alias("_first"))
+        )
+        w_chunks = Window.partitionBy("doc_id", "n_lines", "level").orderBy("_chunk")
+        nxt = firsts.select(*KEY, "level", F.lead("_first", 1).over(w_chunks).alias("_later"))
+        ev = ev.join(nxt, on=[*KEY, "level"], how="left")
+        later = F.col("_later")
+    partner = F.when(F.col("is_open"), F.coalesce(F.col("_next"), later))
     return ev.select("*", partner.alias("partner")).drop("_next", "_later")
 
 

@@ -82,6 +82,24 @@ def next_where(cond: Column, *payload: Column, inclusive: bool = True) -> Suffix
     return Suffix(anchor(cond, *payload), "min", inclusive)
 
 
+_BOUND_ATTR = "_seamline_max_lines"
+
+
+def with_line_bound(df: DataFrame, max_lines: int | None) -> DataFrame:
+    """Record a known upper bound on ``n_lines`` for the documents of ``df``.
+
+    When every document fits in one chunk the scans need neither halo nor carry, so the plan is
+    one exchange and one window pass; without a bound the carry branches stay in the plan.
+    """
+    if max_lines is not None:
+        setattr(df, _BOUND_ATTR, int(max_lines))
+    return df
+
+
+def line_bound(df: DataFrame) -> int | None:
+    return getattr(df, _BOUND_ATTR, None)
+
+
 def chunk_lines_of(df: DataFrame) -> int:
     value = df.sparkSession.conf.get(CHUNK_CONF, None)
     return int(value) if value else DEFAULT_CHUNK_LINES
@@ -106,7 +124,7 @@ class _Plan:
 
 
 def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: tuple[str, ...] = ("line_no",),
-         keep_chunk: bool = False) -> DataFrame:
+         keep_chunk: bool = False, max_lines: int | None = None) -> DataFrame:
     """Add one column per entry of ``specs`` (name -> Shift/Prefix/Suffix/Total) to ``lines``.
 
     ``order`` may add columns after ``line_no`` for frames with several rows per line (bracket
@@ -117,6 +135,9 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
     if not specs:
         return lines
     c = chunk_lines or chunk_lines_of(lines)
+    if max_lines is None:
+        max_lines = line_bound(lines)
+    one_chunk = max_lines is not None and max_lines <= c
     plan = _Plan()
     for name, spec in specs.items():
         if isinstance(spec, Shift):
@@ -138,7 +159,7 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
     base = lines.select("*", *([] if "_chunk" in out_cols else [chunk.alias("_chunk")]), *inputs)
 
     df = base
-    if plan.shifts:
+    if plan.shifts and not one_chunk:
         h = max(abs(s.offset) for s in plan.shifts.values())
         pos = (F.col("line_no") - 1) % F.lit(c)
         copies = F.array(
@@ -169,11 +190,14 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
             x = F.when(core, x)
         frame = w.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
         window_cols.append(_AGG[s.agg](x).over(frame).alias(n))
+    # A frame "current row to unbounded following" is re-aggregated for every row (quadratic in
+    # the chunk); the same values come from a running frame over the reversed order.
+    w_rev = Window.partitionBy(*KEY).orderBy(*[F.col(o).desc() for o in order])
     for n, s in plan.suffixes.items():
         x = F.col(f"_in_{n}")
         if s.agg == "sum" and core is not None:
             x = F.when(core, x)
-        frame = w.rowsBetween(0 if s.inclusive else 1, Window.unboundedFollowing)
+        frame = w_rev.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
         window_cols.append(_AGG[s.agg](x).over(frame).alias(n))
 
     df = df.select("*", *window_cols)
@@ -181,7 +205,7 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
         df = df.filter(core)
 
     running = {**plan.prefixes, **plan.suffixes}
-    if running:
+    if running and not one_chunk:
         df = _apply_carry(df, base, plan, c)
 
     result_cols = [n for n in specs]
@@ -208,11 +232,13 @@ def _apply_carry(df: DataFrame, base: DataFrame, plan: _Plan, c: int) -> DataFra
     summary = multi.groupBy(*KEY).agg(*summary_aggs)
 
     wd = Window.partitionBy("doc_id", "n_lines").orderBy("_chunk")
+    wd_rev = Window.partitionBy("doc_id", "n_lines").orderBy(F.col("_chunk").desc())
     carry_cols = []
     for n, s in plan.prefixes.items():
         carry_cols.append(_AGG[s.agg](F.col(f"_s_{n}")).over(wd.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_c_{n}"))
     for n, s in plan.suffixes.items():
-        carry_cols.append(_AGG[s.agg](F.col(f"_s_{n}")).over(wd.rowsBetween(1, Window.unboundedFollowing)).alias(f"_c_{n}"))
+        carry_cols.append(_AGG[s.agg](F.col(f"_s_{n}")).over(wd_rev.rowsBetween(Window.unboundedPreceding, -1))
+                          .alias(f"_c_{n}"))
     carry = summary.select(*KEY, *carry_cols)
 
     joined = df.join(carry, on=KEY, how="left")

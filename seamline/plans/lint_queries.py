@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rules_doc, rules_nesting
 from ..operators.findings import summary as findings_summary  # noqa: F401  (re-exported)
-from ..operators.lint import DEFAULT_RULES, lint, run_rules
+from ..operators.lint import DEFAULT_RULES, TEXT_RULES, lint, run_rules
 from ..sources.corpus import document_lines, read_table, sql_lines
 from . import oracle_lint as o
 
@@ -103,17 +103,23 @@ def l32_findings_summary(spark, sf_dir):
                                     F.countDistinct("doc_id").alias("n_docs"))
 
 
+def text_findings(spark, sf_dir):
+    """The rules that apply to prose (line length, bracket spacing, long lists, unbalanced
+    brackets) over the whole ``documents`` texts."""
+    return lint(document_lines(spark, sf_dir), TEXT_RULES, nesting=("L10b",), documents=False)
+
+
 def l32_clean_documents(spark, sf_dir):
-    """Documents of ``documents`` without any finding of the default rules."""
+    """Documents of ``documents`` without any finding of the text rules."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    f = lint(document_lines(spark, sf_dir))
+    f = text_findings(spark, sf_dir)
     bad = f.select("doc_id").distinct()
     return docs.join(bad, on="doc_id", how="left_anti")
 
 
 def l32_quality_by_rule(spark, sf_dir):
     """Per rule: documents with the finding, and how many of them are labelled good / toxic."""
-    f = lint(document_lines(spark, sf_dir)).select("doc_id", "rule_id").distinct()
+    f = text_findings(spark, sf_dir).select("doc_id", "rule_id").distinct()
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = f.join(labels, on="doc_id", how="left")
     return j.groupBy("rule_id").agg(
@@ -164,7 +170,9 @@ def oracle_sql() -> dict:
     ctes, allf = o.all_findings_sql(sql, DEFAULT_RULES)
     out["l32_findings_summary"] = (f"WITH RECURSIVE {ctes}, allf AS ({allf}) SELECT rule_id, count(*) AS n_findings, "
                                    f"count(DISTINCT doc_id) AS n_docs FROM allf GROUP BY rule_id")
-    dctes, dallf = o.all_findings_sql(o.doc_lines_cte(), DEFAULT_RULES)
+    dctes = f"{o.doc_lines_cte()}, {o.bracket_ctes()}"
+    dallf = " UNION ALL ".join(f"({o.LINE_SQL[r]('src')})" for r in TEXT_RULES)
+    dallf += f" UNION ALL (SELECT * FROM ({o.r_L10b_sql()}))"
     out["l32_clean_documents"] = (f"WITH RECURSIVE {dctes}, allf AS ({dallf}) SELECT d.doc_id, d.lang, d.source "
                                   f"FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM allf)")
     out["l32_quality_by_rule"] = (

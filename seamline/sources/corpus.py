@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.scan import with_line_bound
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -23,9 +25,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def ensure_parallelism(df: DataFrame, key: str) -> DataFrame:
+    """Spread a source over the cluster when it arrives in fewer splits than there are cores.
+
+    A large table is read in many splits and is returned as it is (no shuffle); a small input --
+    one parquet row group, say, from which a large corpus is generated -- is hash-partitioned on
+    ``key`` so that the work before the first exchange is not a single task.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table as ``(doc_id, text)``; only the two columns reach the scan."""
-    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ensure_parallelism(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
@@ -60,7 +76,21 @@ def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from_text(read_documents(spark, sf_dir))
+    """Lines of ``documents``. ``n_chars`` (the text length) bounds the lines of a document by
+    ``n_chars + 1``; its maximum comes from parquet statistics (aggregate push-down reads only the
+    file footers), so the scans know when no document spans two chunks."""
+    bound = max_chars_bound(spark, table_path(sf_dir, "documents"))
+    return with_line_bound(lines_from_text(read_documents(spark, sf_dir)), bound)
+
+
+def max_chars_bound(spark: SparkSession, path: str) -> int | None:
+    prev = spark.conf.get("spark.sql.parquet.aggregatePushdown", "false")
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        row = spark.read.parquet(path).agg(F.max("n_chars").alias("m")).first()
+    finally:
+        spark.conf.set("spark.sql.parquet.aggregatePushdown", prev)
+    return None if row is None or row["m"] is None else int(row["m"]) + 1
 
 
 # The derived SQL corpus template (one document per customer, 35 lines).
@@ -120,7 +150,8 @@ def sql_documents(customer: DataFrame) -> DataFrame:
 
 
 def sql_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from_text(sql_documents(read_table(spark, sf_dir, "customer").select("c_custkey")))
+    keys = ensure_parallelism(read_table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+    return with_line_bound(lines_from_text(sql_documents(keys)), len(SQL_TEMPLATE))
 
 
 def sql_template_values_sql() -> str:
