@@ -62,7 +62,9 @@ class Rule:
 
 
 def explode_findings(df: DataFrame, arr: Column) -> DataFrame:
-    return df.select("doc_id", F.explode(arr).alias("f")).select(
+    """One row per finding. ``explode_outer`` + a null filter keeps Spark from inferring a
+    ``size(arr) > 0`` filter, which would evaluate every rule twice."""
+    return df.select("doc_id", F.explode_outer(arr).alias("f")).filter(F.col("f").isNotNull()).select(
         "doc_id", "f.rule_id", "f.line_no", "f.anchor_no", "f.detail"
     )
 

@@ -40,8 +40,8 @@ def bracket_events(lines: DataFrame) -> DataFrame:
     tagged = F.transform(brackets, lambda b, i: F.struct(b.alias("b"), F.element_at(pieces, i + 1).alias("pre")))
     ev = lines.filter(line.rlike("[()]")).select(
         "doc_id", "n_lines", "line_no", line.startswith(" ").alias("line_sp"),
-        F.posexplode(tagged).alias("k", "e"),
-    )
+        F.posexplode_outer(tagged).alias("k", "e"),
+    ).filter(F.col("k").isNotNull())
     return ev.select(
         "doc_id", "n_lines", "line_no", F.col("k").cast("int").alias("k"),
         (F.col("e.b") == "(").alias("is_open"),
@@ -125,7 +125,7 @@ def cte_alignment(ev: DataFrame) -> DataFrame:
         F.when(~F.col("partner.col0"), F.struct(F.col("partner.line_no").alias("ln"),
                                                 F.col("line_no").alias("an"), F.lit("close").alias("d"))),
     )
-    out = cte.select("doc_id", F.explode(arr).alias("f")).filter(F.col("f").isNotNull())
+    out = cte.select("doc_id", F.explode_outer(arr).alias("f")).filter(F.col("f").isNotNull())
     return _findings(out, "L11", F.col("f.ln"), F.col("f.an"), F.col("f.d"))
 
 
@@ -143,7 +143,7 @@ def nesting_findings(lines: DataFrame) -> DataFrame:
         F.when(cte & ~F.col("partner.col0"), F.struct(F.lit("L11").alias("r"), F.col("partner.line_no").alias("ln"),
                                                       F.col("line_no").alias("an"), F.lit("close").alias("d"))),
     )
-    out = ev.filter(bad | cte).select("doc_id", F.explode(arr).alias("f")).filter(F.col("f").isNotNull())
+    out = ev.filter(bad | cte).select("doc_id", F.explode_outer(arr).alias("f")).filter(F.col("f").isNotNull())
     return out.select(
         "doc_id", F.col("f.r").alias("rule_id"), F.col("f.ln").cast("int").alias("line_no"),
         F.col("f.an").cast("int").alias("anchor_no"), F.col("f.d").alias("detail"))
@@ -164,7 +164,7 @@ def bracket_offsets(lines: DataFrame) -> DataFrame:
     tagged = F.transform(brackets, lambda b, i: F.struct(b.alias("b"), F.element_at(pieces, i + 1).alias("pre")))
     ev = starts.filter(line.rlike("[()]")).select(
         "doc_id", "n_lines", "_chunk", "line_no", F.coalesce(F.col("line_start"), F.lit(0)).alias("line_start"),
-        F.posexplode(tagged).alias("k", "e"))
+        F.posexplode_outer(tagged).alias("k", "e")).filter(F.col("k").isNotNull())
     w_line = Window.partitionBy(*KEY, "line_no").orderBy("k")
     col_no = F.sum(F.length("e.pre")).over(w_line.rowsBetween(Window.unboundedPreceding, 0)) + F.col("k")
     return ev.select(

@@ -168,7 +168,7 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
             F.when((pos >= c - h) & (F.col("line_no") < F.col("n_lines")), F.lit(1)),
         )
         df = (
-            df.select("*", F.explode(copies).alias("_copy"))
+            df.select("*", F.explode_outer(copies).alias("_copy"))
             .filter(F.col("_copy").isNotNull())
             .withColumn("_chunk", F.col("_chunk") + F.col("_copy"))
         )

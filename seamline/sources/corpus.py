@@ -20,23 +20,43 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_TABLES: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Model reference: a named table of the warehouse, read as parquet."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Model reference: a named table of the warehouse, read as parquet.
+
+    The DataFrame is kept per session and path (tables are treated as immutable while a session
+    builds plans; ``clear_table_cache`` forgets them). Reusing one relation also lets Spark reuse
+    exchanges between branches that read the same table.
+    """
+    key = (id(spark._jsparkSession), table_path(sf_dir, name))
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(key[1])
+    return df
+
+
+def clear_table_cache() -> None:
+    _TABLES.clear()
+    _BOUNDS.clear()
 
 
-def ensure_parallelism(df: DataFrame, key: str) -> DataFrame:
-    """Spread a source over the cluster when it arrives in fewer splits than there are cores.
+SMALL_SOURCE_BYTES = 1 << 30
 
-    A large table is read in many splits and is returned as it is (no shuffle); a small input --
-    one parquet row group, say, from which a large corpus is generated -- is hash-partitioned on
-    ``key`` so that the work before the first exchange is not a single task.
+
+def ensure_parallelism(df: DataFrame, key: str, small_bytes: int = SMALL_SOURCE_BYTES) -> DataFrame:
+    """Spread a small source over all cores before the work on it starts.
+
+    A source whose estimated size (Spark's plan statistics, from file sizes) is below
+    ``small_bytes`` may sit in one parquet row group, i.e. one task however many splits the scan
+    reports; it is hash-partitioned on ``key`` (a shuffle of at most ``small_bytes``). A larger
+    source is read in many splits already and is returned unchanged, with no shuffle.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) >= small_bytes:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +85,10 @@ def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("_t").endswith("\n").alias("_final_nl"),
         parts.alias("_parts"),
     ).select("doc_id", "_final_nl", "_parts", F.size("_parts").alias("n_lines"))
-    exploded = staged.select("doc_id", "_final_nl", "n_lines", F.posexplode("_parts").alias("_pos", "line"))
+    # posexplode_outer + a null filter: a plain posexplode makes Spark infer a "size > 0" filter that
+    # repeats the whole split below the scan
+    exploded = (staged.select("doc_id", "_final_nl", "n_lines", F.posexplode_outer("_parts").alias("_pos", "line"))
+                .filter(F.col("_pos").isNotNull()))
     return exploded.select(
         "doc_id",
         (F.col("_pos") + 1).cast("int").alias("line_no"),
@@ -83,7 +106,17 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_line_bound(lines_from_text(read_documents(spark, sf_dir)), bound)
 
 
+_BOUNDS: dict = {}
+
+
 def max_chars_bound(spark: SparkSession, path: str) -> int | None:
+    key = (id(spark._jsparkSession), path)
+    if key not in _BOUNDS:
+        _BOUNDS[key] = _max_chars_bound(spark, path)
+    return _BOUNDS[key]
+
+
+def _max_chars_bound(spark: SparkSession, path: str) -> int | None:
     prev = spark.conf.get("spark.sql.parquet.aggregatePushdown", "false")
     spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     try:
