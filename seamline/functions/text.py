@@ -16,6 +16,9 @@ PY_WHITESPACE = (
     r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 WS = f"[{PY_WHITESPACE}]"
+# The same characters listed one by one, for trim(): no regex per character.
+PY_WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                       + "\u2028\u2029\u202f\u205f\u3000")
 
 # Classes that mark the start of the text of a line.
 LETTER = "[A-Za-z]"
@@ -28,17 +31,17 @@ def c(x) -> Column:
 
 def strip(x) -> Column:
     """Python ``str.strip()``."""
-    return F.regexp_replace(c(x), rf"\A{WS}+|{WS}+\z", "")
+    return F.trim(c(x), F.lit(PY_WHITESPACE_CHARS))
 
 
 def lstrip(x) -> Column:
     """Python ``str.lstrip()``."""
-    return F.regexp_replace(c(x), rf"\A{WS}+", "")
+    return F.ltrim(c(x), F.lit(PY_WHITESPACE_CHARS))
 
 
 def is_blank(x) -> Column:
     """``line.strip() == ''``."""
-    return ~c(x).rlike(rf"[^{PY_WHITESPACE}]")
+    return strip(x) == ""
 
 
 def first_pos(x, cls: str = LETTER) -> Column:

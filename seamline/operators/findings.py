@@ -32,7 +32,7 @@ FINDINGS_COLUMNS = ["doc_id", "rule_id", "line_no", "anchor_no", "detail"]
 
 def hit(rule_id: str, cond: Column, line_no: Column | None = None, anchor_no: Column | None = None,
         detail: Column | str | None = None) -> Column:
-    """``array(finding)`` when ``cond`` is true on the line, else an empty array."""
+    """The finding (a struct) when ``cond`` is true on the line, else null."""
     if isinstance(detail, str):
         detail = F.lit(detail)
     rec = F.struct(
@@ -41,15 +41,32 @@ def hit(rule_id: str, cond: Column, line_no: Column | None = None, anchor_no: Co
         (anchor_no if anchor_no is not None else F.lit(None)).cast("int").alias("anchor_no"),
         (detail if detail is not None else F.lit(None)).cast("string").alias("detail"),
     )
-    return F.when(F.coalesce(cond, F.lit(False)), F.array(rec)).otherwise(empty())
+    return F.when(F.coalesce(cond, F.lit(False)), rec)
 
 
-def empty() -> Column:
-    return F.array().cast(T.ArrayType(FINDING_TYPE))
+class Many:
+    """A rule output with any number of findings per line (an array of finding structs)."""
 
+    def __init__(self, arr: Column):
+        self.arr = arr
 
-def concat_hits(*arrays: Column) -> Column:
-    return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+
+def concat_hits(*hits) -> list:
+    """Collect the outputs of a rule: single hits (struct or null) and ``Many`` arrays."""
+    out: list = []
+    for h in hits:
+        out.extend(h if isinstance(h, list) else [h])
+    return out
+
+
+def findings_array(outputs) -> Column:
+    """One array per line: the single hits side by side (nulls included) plus the ``Many`` arrays.
+    Building one array per line (instead of concatenating a small array per rule) keeps the
+    per-line work to one allocation; the nulls are dropped after the explode."""
+    singles = [o for o in outputs if not isinstance(o, Many)]
+    many = [o.arr for o in outputs if isinstance(o, Many)]
+    parts = ([F.array(*singles)] if singles else []) + many
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
 @dataclass(frozen=True)
@@ -64,7 +81,10 @@ class Rule:
 def explode_findings(df: DataFrame, arr: Column) -> DataFrame:
     """One row per finding. ``explode_outer`` + a null filter keeps Spark from inferring a
     ``size(arr) > 0`` filter, which would evaluate every rule twice."""
-    return df.select("doc_id", F.explode_outer(arr).alias("f")).filter(F.col("f").isNotNull()).select(
+    # the array is projected first, so it is computed inside whole-stage codegen; the generator
+    # then only walks an existing array
+    staged = df.select("doc_id", arr.alias("_f"))
+    return staged.select("doc_id", F.explode_outer("_f").alias("f")).filter(F.col("f").isNotNull()).select(
         "doc_id", "f.rule_id", "f.line_no", "f.anchor_no", "f.detail"
     )
 

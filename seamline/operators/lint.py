@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from .features import with_features
-from .findings import Rule, concat_hits, explode_findings, union_findings
+from .findings import Rule, concat_hits, explode_findings, findings_array, union_findings
 from .rules_doc import doc_findings
 from .rules_line import LINE_RULES
 from .rules_nesting import nesting_findings
@@ -35,7 +35,7 @@ def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None) -> DataFr
     """Findings of the given line rules (default set when None), from one wide scan."""
     ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
     feat = with_features(lines, rules_features(ids))
-    arr = concat_hits(*[RULES[i].findings() for i in ids])
+    arr = findings_array(concat_hits(*[RULES[i].findings() for i in ids]))
     return explode_findings(feat, arr)
 
 

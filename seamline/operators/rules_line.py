@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .findings import Rule, concat_hits, hit
+from .findings import Many, Rule, concat_hits, hit
 
 
 def L():
@@ -33,7 +33,7 @@ def _l01b():
 
 
 def _l02():
-    return hit("L02", L().rlike(rf"\A{tx.WS}*,"))
+    return hit("L02", tx.lstrip(L()).startswith(","))
 
 
 def join_without_kind():
@@ -69,7 +69,7 @@ def _l07():
         tagged,
         lambda x: (x["i"] % 2 == 0) & x["p"].rlike(r"[A-Za-z][^\n]") & (x["p"] != F.lower(x["p"])),
     )
-    return F.transform(
+    return Many(F.transform(
         bad,
         lambda x: F.struct(
             F.lit("L07").alias("rule_id"),
@@ -77,7 +77,7 @@ def _l07():
             F.lit(None).cast("int").alias("anchor_no"),
             x["i"].cast("string").alias("detail"),
         ),
-    )
+    ))
 
 
 def _l17():
