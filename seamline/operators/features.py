@@ -83,6 +83,9 @@ FEATURES: dict[str, tuple[int, Callable[[], object]]] = {
     "cs": (1, lambda: Prefix(_i(select_eol()), "sum", True)),
     "as_total": (1, lambda: Total(_i(tx.has(L(), "as (")))),
     "p31": (1, lambda: Prefix(_i(end_word()) - _i(tx.has(L(), "case")), "sum", False)),
+    "n_ref": (1, lambda: Total(_i(tx.has(L(), "ref(")))),
+    "n_with": (1, lambda: Total(_i(tx.has(L(), "with")))),
+    "n_final": (1, lambda: Total(_i(tx.has(L(), "final as (")))),
     # pass 2: anchors whose payload is a running count of pass 1
     "fromsp_at": (2, lambda: last_where(tx.has(L(), " from "), F.col("cs").alias("cs"))),
     "agg_before": (2, lambda: last_where(is_agg(), (F.col("cs") - _i(select_eol())).alias("cs"),

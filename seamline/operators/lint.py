@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame
 
 from .features import with_features
 from .findings import Rule, concat_hits, explode_findings, findings_array, union_findings
-from .rules_doc import doc_findings
+from .rules_doc import DOC_RULES
 from .rules_line import LINE_RULES
 from .rules_nesting import nesting_findings
 from .rules_window import WINDOW_RULES
 
-RULES: dict[str, Rule] = {r.rule_id: r for r in LINE_RULES + WINDOW_RULES}
+RULES: dict[str, Rule] = {r.rule_id: r for r in LINE_RULES + WINDOW_RULES + DOC_RULES}
 DEFAULT_RULES = tuple(r.rule_id for r in LINE_RULES + WINDOW_RULES if r.default)
-DEFAULT_EXTRA = ("L10b", "L11", "L19", "L20")
+DOCUMENT_RULES = tuple(r.rule_id for r in DOC_RULES)
+DEFAULT_EXTRA = ("L10b", "L11") + DOCUMENT_RULES
 # rules that make sense on prose as well as on SQL
 TEXT_RULES = ("L01", "L01b", "L17", "L18")
 
@@ -41,14 +42,19 @@ def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None) -> DataFr
 
 def lint(lines: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Iterable[str] = ("L10b", "L11"),
          documents: bool = True) -> DataFrame:
-    """All findings: line rules, bracket rules (``nesting``: L10b, L11) and document rules."""
-    frames = [run_rules(lines, rule_ids)]
+    """All findings: line rules, document rules (L19, L20) and bracket rules (``nesting``: L10b, L11).
+
+    Line and document rules come from one wide scan (the document counts are whole-document sums
+    of that scan); the bracket rules are a second pass over the lines.
+    """
+    ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
+    if documents:
+        ids += [r for r in DOCUMENT_RULES if r not in ids]
+    frames = [run_rules(lines, ids)]
     nesting = tuple(nesting)
     if nesting:
         nf = nesting_findings(lines)
         if set(nesting) != {"L10b", "L11"}:
             nf = nf.filter(nf.rule_id.isin(*nesting))
         frames.append(nf)
-    if documents:
-        frames.append(doc_findings(lines))
     return union_findings(frames)

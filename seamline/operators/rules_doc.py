@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .findings import FINDINGS_COLUMNS
+from .findings import FINDINGS_COLUMNS, Rule, hit
 
 
 def L():
@@ -55,3 +55,23 @@ def doc_findings(lines: DataFrame) -> DataFrame:
         "doc_id", "rule_id", F.lit(None).cast("int").alias("line_no"),
         F.lit(None).cast("int").alias("anchor_no"), F.lit(None).cast("string").alias("detail"),
     )
+
+
+def _first_line():
+    return F.col("line_no") == 1
+
+
+def _l19():
+    return hit("L19", _first_line() & (F.col("n_ref") == 1) & (F.col("n_with") == 1), line_no=F.lit(None))
+
+
+def _l20():
+    return hit("L20", _first_line() & (F.col("n_ref") > 1) & (F.col("n_final") == 0), line_no=F.lit(None))
+
+
+# The same rules inside the wide scan: the counts are whole-document sums (scan ``Total``) and the
+# finding is emitted once, on line 1 of the document.
+DOC_RULES = [
+    Rule("L19", "one model referenced and a CTE used", ("n_ref", "n_with"), _l19),
+    Rule("L20", "several models referenced and no final CTE", ("n_ref", "n_final"), _l20),
+]

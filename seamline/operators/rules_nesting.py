@@ -38,12 +38,15 @@ def bracket_events(lines: DataFrame) -> DataFrame:
     pieces = F.split(line, "[()]", -1)
     brackets = F.regexp_extract_all(line, F.lit("([()])"), 1)
     tagged = F.transform(brackets, lambda b, i: F.struct(b.alias("b"), F.element_at(pieces, i + 1).alias("pre")))
+    # an existing _chunk column (lines partitioned for the scans) is kept, so the event windows
+    # reuse that partitioning
+    chunk = ["_chunk"] if "_chunk" in lines.columns else []
     ev = lines.filter(line.rlike("[()]")).select(
-        "doc_id", "n_lines", "line_no", line.startswith(" ").alias("line_sp"),
+        "doc_id", "n_lines", *chunk, "line_no", line.startswith(" ").alias("line_sp"),
         F.posexplode_outer(tagged).alias("k", "e"),
     ).filter(F.col("k").isNotNull())
     return ev.select(
-        "doc_id", "n_lines", "line_no", F.col("k").cast("int").alias("k"),
+        "doc_id", "n_lines", *chunk, "line_no", F.col("k").cast("int").alias("k"),
         (F.col("e.b") == "(").alias("is_open"),
         F.col("e.pre").endswith(" as ").alias("as_before"),
         ((F.col("k") == 0) & (F.col("e.pre") == "")).alias("col0"),

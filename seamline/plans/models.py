@@ -109,7 +109,8 @@ def id_map(spark, sf) -> DataFrame:
 
 def legacy(spark, sf) -> DataFrame:
     """Accounts without any core subscription."""
-    core = subscription(spark, sf).filter(col("is_core_software")).select("salesforce_account_id")
+    # distinct keys: a key with millions of core rows is one row per map task before the shuffle
+    core = subscription(spark, sf).filter(col("is_core_software")).select("salesforce_account_id").distinct()
     return rel.anti_join(account(spark, sf), core, "salesforce_account_id")
 
 
