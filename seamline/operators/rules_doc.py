@@ -45,18 +45,6 @@ def missing_final(lines: DataFrame) -> DataFrame:
     return _doc_finding(c.filter((F.col("n_ref") > 1) & (F.col("n_final") == 0)), "L20")
 
 
-def doc_findings(lines: DataFrame) -> DataFrame:
-    """L19 and L20 from one aggregation."""
-    c = doc_counts(lines)
-    r = (F.when((F.col("n_ref") == 1) & (F.col("n_with") == 1), F.lit("L19"))
-         .when((F.col("n_ref") > 1) & (F.col("n_final") == 0), F.lit("L20")))
-    hits = c.select("doc_id", r.alias("rule_id")).filter(F.col("rule_id").isNotNull())
-    return hits.select(
-        "doc_id", "rule_id", F.lit(None).cast("int").alias("line_no"),
-        F.lit(None).cast("int").alias("anchor_no"), F.lit(None).cast("string").alias("detail"),
-    )
-
-
 def _first_line():
     return F.col("line_no") == 1
 

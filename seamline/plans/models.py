@@ -242,7 +242,10 @@ def subscriptions_monthly(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
     li = read_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
     p = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # the month range restated on the raw order date (same rows) so parquet can skip row groups
+    end = dt.datetime.combine(as_of.replace(day=1), dt.time())
+    o = (read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+         .filter((col("o_orderdate") >= _ts(REVENUE_SINCE)) & (col("o_orderdate") < _ts(end.date().isoformat()))))
     month = fm.month_start("o_orderdate")
     category = (F.when(col("p_type").isin("ECONOMY", "STANDARD"), F.lit("Core Software"))
                 .when(col("p_type") == "PROMO", F.lit("Add-On")).otherwise(col("p_type")))
