@@ -26,3 +26,22 @@ def test_sql_corpus_shape(spark):
     assert line_bound(lines) == len(SQL_TEMPLATE)
     counts = {r["n"] for r in lines.groupBy("doc_id").count().withColumnRenamed("count", "n").collect()}
     assert counts == {35}
+
+
+def test_text_files_source(spark):
+    import os
+    import tempfile
+
+    from seamline.operators.lint import run_rules
+    from seamline.sources.corpus import lines_from_text, read_text_files
+
+    root = tempfile.mkdtemp(prefix="seamline-files-")
+    texts = {"a.sql": "select\n    a\n  , b\nfrom t\n", "b.sql": "with\r\n\r\nx as (\r\n"}
+    for name, text in texts.items():
+        with open(os.path.join(root, name), "w", newline="") as f:
+            f.write(text)
+    docs = read_text_files(spark, root)
+    lines = lines_from_text(docs.select("doc_id", "text"))
+    per_doc = {r.doc_id: r.n for r in lines.groupBy("doc_id").count().withColumnRenamed("count", "n").collect()}
+    assert sorted(per_doc.values()) == [3, 4]
+    assert [r.line_no for r in run_rules(lines, ["L02"]).collect()] == [3]
