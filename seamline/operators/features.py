@@ -35,6 +35,11 @@ def is_agg(tokens: Iterable[str] = AGGREGATE_TOKENS) -> Column:
     return tx.has_any(L(), *tokens)
 
 
+def agg_tokens(opts: dict | None) -> tuple[str, ...]:
+    """The aggregate tokens of L16 (option ``agg_tokens``; the default is sum/min/max)."""
+    return tuple((opts or {}).get("agg_tokens", AGGREGATE_TOKENS))
+
+
 def end_word() -> Column:
     """``(line.strip() + ' ')`` contains ``'end '``."""
     return F.concat(tx.strip(L()), F.lit(" ")).contains("end ")
@@ -88,8 +93,8 @@ FEATURES: dict[str, tuple[int, Callable[[], object]]] = {
     "n_final": (1, lambda: Total(_i(tx.has(L(), "final as (")))),
     # pass 2: anchors whose payload is a running count of pass 1
     "fromsp_at": (2, lambda: last_where(tx.has(L(), " from "), F.col("cs").alias("cs"))),
-    "agg_before": (2, lambda: last_where(is_agg(), (F.col("cs") - _i(select_eol())).alias("cs"),
-                                         inclusive=False)),
+    "agg_before": (2, lambda o=None: last_where(is_agg(agg_tokens(o)), (F.col("cs") - _i(select_eol())).alias("cs"),
+                                                inclusive=False)),
     "lc31": (2, lambda: last_where(tx.has(L(), "case"), F.col("p31").alias("p"), tx.indent(L()).alias("ind"),
                                    inclusive=False)),
     # pass 3
@@ -120,14 +125,19 @@ def _closure(names: Iterable[str]) -> set[str]:
     return out
 
 
-def with_features(lines: DataFrame, names: Iterable[str]) -> DataFrame:
+# features whose definition depends on rule options
+PARAMETRISED = {"agg_before"}
+
+
+def with_features(lines: DataFrame, names: Iterable[str], opts: dict | None = None) -> DataFrame:
     """``lines`` plus the requested feature columns (and the ones they depend on)."""
     wanted = _closure(names)
     df = lines
     had_chunk = "_chunk" in lines.columns
     bound = line_bound(lines)
     for p in sorted({FEATURES[n][0] for n in wanted}):
-        specs = {n: FEATURES[n][1]() for n in sorted(wanted) if FEATURES[n][0] == p}
+        specs = {n: (FEATURES[n][1](opts) if n in PARAMETRISED else FEATURES[n][1]())
+                 for n in sorted(wanted) if FEATURES[n][0] == p}
         df = scan(df, specs, keep_chunk=True, max_lines=bound)
     return df if had_chunk or "_chunk" not in df.columns else df.drop("_chunk")
 

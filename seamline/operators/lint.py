@@ -32,16 +32,20 @@ def rules_features(rule_ids: Iterable[str]) -> set[str]:
     return needs
 
 
-def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None) -> DataFrame:
-    """Findings of the given line rules (default set when None), from one wide scan."""
+def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None, options: dict | None = None) -> DataFrame:
+    """Findings of the given line rules (default set when None), from one wide scan.
+
+    ``options``: ``agg_tokens`` (L16, default sum(/min(/max(), ``join_rewrite`` (L05, default
+    'inner join').
+    """
     ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
-    feat = with_features(lines, rules_features(ids))
-    arr = findings_array(concat_hits(*[RULES[i].findings() for i in ids]))
+    feat = with_features(lines, rules_features(ids), options)
+    arr = findings_array(concat_hits(*[RULES[i].findings(options) for i in ids]))
     return explode_findings(feat, arr)
 
 
 def lint(lines: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Iterable[str] = ("L10b", "L11"),
-         documents: bool = True) -> DataFrame:
+         documents: bool = True, options: dict | None = None) -> DataFrame:
     """All findings: line rules, document rules (L19, L20) and bracket rules (``nesting``: L10b, L11).
 
     Line and document rules come from one wide scan (the document counts are whole-document sums
@@ -50,7 +54,7 @@ def lint(lines: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Itera
     ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
     if documents:
         ids += [r for r in DOCUMENT_RULES if r not in ids]
-    frames = [run_rules(lines, ids)]
+    frames = [run_rules(lines, ids, options)]
     nesting = tuple(nesting)
     if nesting:
         nf = nesting_findings(lines)

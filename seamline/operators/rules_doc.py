@@ -49,11 +49,11 @@ def _first_line():
     return F.col("line_no") == 1
 
 
-def _l19():
+def _l19(opts=None):
     return hit("L19", _first_line() & (F.col("n_ref") == 1) & (F.col("n_with") == 1), line_no=F.lit(None))
 
 
-def _l20():
+def _l20(opts=None):
     return hit("L20", _first_line() & (F.col("n_ref") > 1) & (F.col("n_final") == 0), line_no=F.lit(None))
 
 

@@ -22,17 +22,17 @@ IN_MARKERS = (" in (", " in(")
 JOIN_REWRITE = "inner join"
 
 
-def _l01():
+def _l01(opts=None):
     # characters other than ' ', the newline counted
     n = F.length(F.replace(L(), F.lit(" "), F.lit(""))) + F.col("eol").cast("int")
     return hit("L01", n > MAX_CHARS)
 
 
-def _l01b():
+def _l01b(opts=None):
     return hit("L01b", F.length(tx.strip(L())) > MAX_CHARS)
 
 
-def _l02():
+def _l02(opts=None):
     return hit("L02", tx.lstrip(L()).startswith(","))
 
 
@@ -40,7 +40,7 @@ def join_without_kind():
     return tx.has(L(), "join") & ~tx.has_any(L(), *JOIN_KINDS)
 
 
-def _l03():
+def _l03(opts=None):
     return hit("L03", join_without_kind())
 
 
@@ -49,19 +49,20 @@ def suggestion(rewrite: str = JOIN_REWRITE):
     return F.replace(L(), F.lit("join"), F.lit(rewrite))
 
 
-def _l05():
-    return hit("L05", join_without_kind(), detail=suggestion())
+def _l05(opts=None):
+    rewrite = (opts or {}).get("join_rewrite", JOIN_REWRITE)
+    return hit("L05", join_without_kind(), detail=suggestion(rewrite))
 
 
-def _l06():
+def _l06(opts=None):
     return hit("L06", tx.has(L(), "<>"))
 
 
-def _l06b():
+def _l06b(opts=None):
     return hit("L06b", tx.has_any(L(), "with", "select"))
 
 
-def _l07():
+def _l07(opts=None):
     """One finding per even piece between single quotes that holds upper-case letters."""
     pieces = F.split(L(), "'", -1)
     tagged = F.transform(pieces, lambda p, i: F.struct(i.alias("i"), p.alias("p")))
@@ -80,12 +81,12 @@ def _l07():
     ))
 
 
-def _l17():
+def _l17(opts=None):
     s = tx.strip(L())
     return concat_hits(hit("L17", s.contains("( "), detail="a"), hit("L17", s.contains(" )"), detail="b"))
 
 
-def _l18():
+def _l18(opts=None):
     total = F.length(L()) + F.col("eol").cast("int")
     out = []
     for m in IN_MARKERS:
@@ -96,7 +97,7 @@ def _l18():
     return concat_hits(*out)
 
 
-def _l21():
+def _l21(opts=None):
     ind = tx.indent(L())
     return concat_hits(
         hit("L21", tx.has(L(), "join") & (ind != 4), detail="join"),
@@ -104,11 +105,11 @@ def _l21():
     )
 
 
-def _l25():
+def _l25(opts=None):
     return hit("L25", tx.has(L(), "case") & ~((tx.lstrip(L()) == "case") & F.col("eol")))
 
 
-def _l11b():
+def _l11b(opts=None):
     return hit("L11b", tx.has(L(), "as (") & (tx.name_indent(L()) != 0))
 
 

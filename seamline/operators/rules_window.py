@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .features import is_agg, select_eol
+from .features import agg_tokens, is_agg, select_eol
 from .findings import Rule, concat_hits, hit
 
 
@@ -21,7 +21,7 @@ def IND():
 col = F.col
 
 
-def _l04():
+def _l04(opts=None):
     return hit("L04", col("prev_join") & tx.has(L(), " using"))
 
 
@@ -29,7 +29,7 @@ def _cte_candidate():
     return (tx.strip(L()) == "with") | tx.has(L(), "as (")
 
 
-def _l08():
+def _l08(opts=None):
     cand = _cte_candidate()
     return concat_hits(
         hit("L08", cand & ~col("next_blank"), detail="a"),
@@ -39,7 +39,7 @@ def _l08():
     )
 
 
-def _l09():
+def _l09(opts=None):
     cand = tx.has(L(), "select") & ~tx.has(L(), "select * from")
     return concat_hits(
         hit("L09", cand & col("next_blank"), detail="a"),
@@ -47,39 +47,39 @@ def _l09():
     )
 
 
-def _l12():
+def _l12(opts=None):
     cand = (tx.has(L(), "select") & ~tx.has(L(), "select * from final")
             & (col("prev2_as") | col("prev_union")))
     return hit("L12", cand & (IND() != 4))
 
 
-def _l13():
+def _l13(opts=None):
     return hit("L13", col("prev_select_eol") & (tx.name_indent(L()) != 8), anchor_no=NO() - 1)
 
 
-def _l26():
+def _l26(opts=None):
     return hit("L26", tx.has(L(), "case") & ~col("next_when"), line_no=NO() + 1, anchor_no=NO())
 
 
-def _l27():
+def _l27(opts=None):
     pos = F.instr(L(), "case") - 1
     return hit("L27", tx.has(L(), "case") & (pos + 4 != col("next_when_pos")), line_no=NO() + 1, anchor_no=NO())
 
 
-def _l22():
+def _l22(opts=None):
     return hit("L22", tx.has(L(), "join") & (col("from_at.ind") != IND()), anchor_no=col("from_at.no"))
 
 
-def _l23():
+def _l23(opts=None):
     return hit("L23", tx.has(L(), " on ") & (col("join_at.ind") + 4 != IND()), anchor_no=col("join_at.no"))
 
 
-def _l24():
+def _l24(opts=None):
     cond = tx.has(L(), " and ") & col("clause_at.is_on") & (col("join_at.ind") + 8 != IND())
     return hit("L24", cond, anchor_no=col("join_at.no"))
 
 
-def _l28():
+def _l28(opts=None):
     off = col("case_at.ind") + 4 != IND()
     return concat_hits(
         hit("L28", tx.has(L(), " when ") & off, anchor_no=col("case_at.no"), detail="when"),
@@ -87,11 +87,11 @@ def _l28():
     )
 
 
-def _l29():
+def _l29(opts=None):
     return hit("L29", tx.has(L(), "case") & (col("swc_above.ind") + 4 != IND()), anchor_no=col("swc_above.no"))
 
 
-def _l30():
+def _l30(opts=None):
     case = tx.has(L(), "case")
     kw = col("kw_above")
     return concat_hits(
@@ -111,18 +111,18 @@ def blocks_containing():
     return col("cs") - select_eol().cast("int") - F.coalesce(col("fromsp_at.cs"), F.lit(0))
 
 
-def _l14():
+def _l14(opts=None):
     return hit("L14", in_block() & (tx.name_indent(L()) != 8), anchor_no=col("sel_above.no"),
                detail=blocks_containing().cast("string"))
 
 
-def _l16():
+def _l16(opts=None):
     errs = col("agg_before.cs") - F.coalesce(col("fromsp_at.cs"), F.lit(0))
-    cond = ~is_agg() & col("agg_before").isNotNull() & (errs > 0)
+    cond = ~is_agg(agg_tokens(opts)) & col("agg_before").isNotNull() & (errs > 0)
     return hit("L16", cond, anchor_no=col("agg_before.no"), detail=errs.cast("string"))
 
 
-def _l11c():
+def _l11c(opts=None):
     single = col("as_total") == 1
     has_as = tx.has(L(), "as (")
     # one CTE: close on the next line ending in ')'; several: '),' (the final CTE: ')')
@@ -136,7 +136,7 @@ def _l11c():
     )
 
 
-def _l31():
+def _l31(opts=None):
     """``end`` aligned with its ``case``: the partner is found by counting end/case lines upwards."""
     cand = tx.has_any(L(), "select", "case", " when ", " end") & F.concat(tx.strip(L()), F.lit(" ")).contains("end ")
     j1 = col("lc31")

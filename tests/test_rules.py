@@ -83,3 +83,13 @@ def test_case_end_partner(spark, chunk):
     for c in (2, 1000):
         chunk(c)
         assert hits(spark, t, "L31") == sorted(want)
+
+
+def test_rule_options(spark):
+    t = "select\n  a,\n  avg(b) as m,\n  c\n  x from y\n\n    join z\n"
+    lines = make_lines(spark, {1: t})
+    assert run_rules(lines, ["L16"]).count() == 0
+    got = run_rules(lines, ["L16"], {"agg_tokens": ("sum(", "min(", "max(", "avg(")}).collect()
+    assert [(r.line_no, r.anchor_no) for r in got] == [(4, 3)]
+    sug = run_rules(lines, ["L05"], {"join_rewrite": "left join"}).collect()
+    assert [r.detail for r in sug] == ["    left join z"]
