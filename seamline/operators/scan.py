@@ -121,6 +121,7 @@ class _Plan:
     shifts: dict = field(default_factory=dict)
     prefixes: dict = field(default_factory=dict)
     suffixes: dict = field(default_factory=dict)
+    totals: dict = field(default_factory=dict)
 
 
 def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: tuple[str, ...] = ("line_no",),
@@ -147,14 +148,14 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
         elif isinstance(spec, Suffix):
             plan.suffixes[name] = spec
         elif isinstance(spec, Total):
-            plan.prefixes[f"_tp_{name}"] = Prefix(spec.expr, "sum", True)
-            plan.suffixes[f"_ts_{name}"] = Suffix(spec.expr, "sum", False)
+            plan.totals[name] = spec
         else:
             raise TypeError(f"unknown scan spec for {name}: {spec!r}")
 
     out_cols = list(lines.columns)
     chunk = F.floor((F.col("line_no") - 1) / F.lit(c)).cast("int")
-    inputs = [spec.expr.alias(f"_in_{n}") for n, spec in {**plan.shifts, **plan.prefixes, **plan.suffixes}.items()]
+    inputs = [spec.expr.alias(f"_in_{n}")
+              for n, spec in {**plan.shifts, **plan.prefixes, **plan.suffixes, **plan.totals}.items()]
     # an existing _chunk column (from an earlier pass) is reused, so the partitioning carries over
     base = lines.select("*", *([] if "_chunk" in out_cols else [chunk.alias("_chunk")]), *inputs)
 
@@ -190,6 +191,12 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
             x = F.when(core, x)
         frame = w.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
         window_cols.append(_AGG[s.agg](x).over(frame).alias(n))
+    # a whole-chunk sum is one aggregate per group, in the same window as the prefixes
+    for n in plan.totals:
+        x = F.col(f"_in_{n}")
+        if core is not None:
+            x = F.when(core, x)
+        window_cols.append(F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(n))
     # A frame "current row to unbounded following" is re-aggregated for every row (quadratic in
     # the chunk); the same values come from a running frame over the reversed order.
     w_rev = Window.partitionBy(*KEY).orderBy(*[F.col(o).desc() for o in order])
@@ -204,7 +211,7 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
     if core is not None:
         df = df.filter(core)
 
-    running = {**plan.prefixes, **plan.suffixes}
+    running = {**plan.prefixes, **plan.suffixes, **plan.totals}
     if running and not one_chunk:
         df = _apply_carry(df, base, plan, c)
 
@@ -214,7 +221,7 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
     finals = []
     for n, spec in specs.items():
         if isinstance(spec, Total):
-            finals.append((F.coalesce(F.col(f"_tp_{n}"), F.lit(0)) + F.coalesce(F.col(f"_ts_{n}"), F.lit(0))).alias(n))
+            finals.append(F.coalesce(F.col(n), F.lit(0)).alias(n))
         else:
             finals.append(F.col(n))
     keep = [F.col(x) for x in out_cols if x not in result_cols]
@@ -229,6 +236,8 @@ def _apply_carry(df: DataFrame, base: DataFrame, plan: _Plan, c: int) -> DataFra
         summary_aggs.append(_AGG[s.agg](F.col(f"_in_{n}")).alias(f"_s_{n}"))
     for n, s in plan.suffixes.items():
         summary_aggs.append(_AGG[s.agg](F.col(f"_in_{n}")).alias(f"_s_{n}"))
+    for n in plan.totals:
+        summary_aggs.append(F.sum(F.col(f"_in_{n}")).alias(f"_s_{n}"))
     summary = multi.groupBy(*KEY).agg(*summary_aggs)
 
     wd = Window.partitionBy("doc_id", "n_lines").orderBy("_chunk")
@@ -239,12 +248,19 @@ def _apply_carry(df: DataFrame, base: DataFrame, plan: _Plan, c: int) -> DataFra
     for n, s in plan.suffixes.items():
         carry_cols.append(_AGG[s.agg](F.col(f"_s_{n}")).over(wd_rev.rowsBetween(Window.unboundedPreceding, -1))
                           .alias(f"_c_{n}"))
+    wd_all = Window.partitionBy("doc_id", "n_lines")
+    for n in plan.totals:
+        other = F.sum(F.col(f"_s_{n}")).over(wd_all) - F.coalesce(F.col(f"_s_{n}"), F.lit(0))
+        carry_cols.append(other.alias(f"_c_{n}"))
     carry = summary.select(*KEY, *carry_cols)
 
     joined = df.join(carry, on=KEY, how="left")
     combined = []
     for n, s in {**plan.prefixes, **plan.suffixes}.items():
         combined.append(_combine(s.agg, F.col(n), F.col(f"_c_{n}")).alias(n))
-    drop = set(plan.prefixes) | set(plan.suffixes) | {f"_c_{n}" for n in list(plan.prefixes) + list(plan.suffixes)}
+    for n in plan.totals:
+        combined.append(_combine("sum", F.col(n), F.col(f"_c_{n}")).alias(n))
+    names = list(plan.prefixes) + list(plan.suffixes) + list(plan.totals)
+    drop = set(names) | {f"_c_{n}" for n in names}
     keep = [F.col(x) for x in joined.columns if x not in drop]
     return joined.select(*keep, *combined)
