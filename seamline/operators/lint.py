@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .features import with_features
 from .findings import Rule, concat_hits, explode_findings, findings_array, union_findings
@@ -62,3 +63,32 @@ def lint(lines: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Itera
             nf = nf.filter(nf.rule_id.isin(*nesting))
         frames.append(nf)
     return union_findings(frames)
+
+
+# Titles of the rules computed outside the line-rule registry.
+EXTRA_TITLES = {
+    "L10b": "bracket without a partner",
+    "L11": "CTE header or close not aligned (bracket form)",
+}
+
+
+def rule_catalog(spark: SparkSession) -> DataFrame:
+    """``rule_id, title, is_default``: one row per rule (a fixed, small table)."""
+    rows = [(r.rule_id, r.title, r.default or r.rule_id in DOCUMENT_RULES) for r in RULES.values()]
+    rows += [(k, v, True) for k, v in EXTRA_TITLES.items()]
+    return spark.createDataFrame(rows, "rule_id string, title string, is_default boolean")
+
+
+def report(findings: DataFrame) -> DataFrame:
+    """Findings with a readable message (S5). The catalog has one row per rule, so it is broadcast."""
+    cat = F.broadcast(rule_catalog(findings.sparkSession).select("rule_id", "title"))
+    line = F.when(F.col("line_no").isNotNull(), F.concat(F.lit(" at line "), F.col("line_no").cast("string"))) \
+        .otherwise(F.lit(""))
+    anchor = F.when(F.col("anchor_no").isNotNull(),
+                    F.concat(F.lit(" (against line "), F.col("anchor_no").cast("string"), F.lit(")"))).otherwise(F.lit(""))
+    detail = F.when(F.col("detail").isNotNull(), F.concat(F.lit(" ["), F.col("detail"), F.lit("]"))).otherwise(F.lit(""))
+    return findings.join(cat, "rule_id", "left").select(
+        *findings.columns,
+        F.concat(F.col("rule_id"), F.lit(": "), F.coalesce(F.col("title"), F.lit("")), line, anchor, detail)
+        .alias("message"),
+    )

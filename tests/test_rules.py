@@ -93,3 +93,14 @@ def test_rule_options(spark):
     assert [(r.line_no, r.anchor_no) for r in got] == [(4, 3)]
     sug = run_rules(lines, ["L05"], {"join_rewrite": "left join"}).collect()
     assert [r.detail for r in sug] == ["    left join z"]
+
+
+def test_report_messages(spark):
+    from seamline.operators.lint import lint, report, rule_catalog
+
+    cat = {r.rule_id for r in rule_catalog(spark).collect()}
+    f = lint(make_lines(spark, {1: "select a\n    join b\n(x"}))
+    assert {r.rule_id for r in f.collect()} <= cat
+    msgs = [r.message for r in report(f).collect()]
+    assert any(m.startswith("L03: join without its kind at line 2") for m in msgs)
+    assert any(m.startswith("L10b:") for m in msgs)
