@@ -104,3 +104,80 @@ def test_report_messages(spark):
     msgs = [r.message for r in report(f).collect()]
     assert any(m.startswith("L03: join without its kind at line 2") for m in msgs)
     assert any(m.startswith("L10b:") for m in msgs)
+
+
+def test_case_end_partner_random(spark, chunk):
+    import random
+    import re
+
+    rnd = random.Random(7)
+    words = ["    case", "  case when x", "        when a then b", "    end as y", "  end", "select", "  x, end z",
+             "", "    else 1", "end case", "  from t"]
+    docs = {d: "\n".join(rnd.choice(words) for _ in range(rnd.randint(1, 25))) for d in range(40)}
+
+    def ind(s):
+        m = re.search("[A-Za-z]", s)
+        return m.start() if m else None
+
+    want = []
+    for d, text in docs.items():
+        ls = text.split("\n")
+        if text.endswith("\n"):
+            ls = ls[:-1]
+        for i, line in enumerate(ls):
+            kw = any(k in line for k in ("select", "case", " when ", " end"))
+            if kw and "end " in line.strip() + " ":
+                j = case_end_partner(ls, i)
+                if ind(ls[j]) is not None and ind(ls[j]) != ind(line):
+                    want.append((d, i + 1, j + 1))
+    lines = make_lines(spark, docs)
+    for c in (2, 3, 1000):
+        chunk(c)
+        got = sorted((r.doc_id, r.line_no, r.anchor_no) for r in run_rules(lines, ["L31"]).collect())
+        assert got == sorted(want), c
+
+
+def test_select_blocks_random(spark, chunk):
+    import random
+    import re
+
+    rnd = random.Random(11)
+    words = ["    select", "select", "        a,", "  sum(b),", "    max(c) as m", "      x from t", "from y",
+             "  'q'", "", "        {{ c }}"]
+    docs = {d: "\n".join(rnd.choice(words) for _ in range(rnd.randint(1, 30))) for d in range(40)}
+
+    def nind(s):
+        m = re.search(r"\"|'|\{|[a-zA-Z]", s)
+        return m.start() if m else None
+
+    want14, want16 = [], []
+    for d, text in docs.items():
+        ls = text.split("\n")
+        final_nl = text.endswith("\n")
+        if final_nl:  # readlines(): a final newline does not start another line
+            ls = ls[:-1]
+        n = len(ls)
+        blocks = []
+        for s_i, line in enumerate(ls):
+            if line.endswith("select") and (s_i < n - 1 or final_nl):   # "select\n"
+                e_i = next((k for k in range(s_i + 1, n) if " from " in ls[k]), n)
+                blocks.append((s_i, e_i))
+        for l_i in range(n):
+            inside = [(s, e) for s, e in blocks if s < l_i < e]
+            if not inside:
+                continue
+            if nind(ls[l_i]) is not None and nind(ls[l_i]) != 8:
+                want14.append((d, l_i + 1, max(s for s, _ in inside) + 1, str(len(inside))))
+            is_agg = any(t in ls[l_i] for t in ("sum(", "min(", "max("))
+            aggs = [a for a in range(l_i) if any(t in ls[a] for t in ("sum(", "min(", "max("))]
+            if not is_agg and aggs:
+                g = max(aggs)
+                errs = [s for s, _ in inside if s < g]
+                if errs:
+                    want16.append((d, l_i + 1, g + 1, str(len(errs))))
+    lines = make_lines(spark, docs)
+    for c in (2, 5, 1000):
+        chunk(c)
+        for rule, want in (("L14", want14), ("L16", want16)):
+            got = sorted((r.doc_id, r.line_no, r.anchor_no, r.detail) for r in run_rules(lines, [rule]).collect())
+            assert got == sorted(want), (rule, c)
