@@ -70,7 +70,8 @@ def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     ``doc_id`` is a 64-bit hash of the file path, so it is stable across runs and needs no
     driver-side numbering.
     """
-    df = spark.read.text(path, wholetext=True).select(F.col("value").alias("text"), F.input_file_name().alias("path"))
+    df = spark.read.text(path, wholetext=True).select(F.col("value").alias("text"),
+                                                      F.col("_metadata.file_path").alias("path"))
     return df.select(F.xxhash64("path").alias("doc_id"), "path", "text")
 
 

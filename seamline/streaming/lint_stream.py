@@ -23,7 +23,7 @@ def file_documents(spark: SparkSession, src_dir: str, max_files_per_trigger: int
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(src_dir)
-    path = F.input_file_name()
+    path = F.col("_metadata.file_path")
     return raw.select(F.xxhash64(path).alias("doc_id"), path.alias("path"), F.col("value").alias("text"))
 
 
