@@ -89,11 +89,6 @@ def explode_findings(df: DataFrame, arr: Column) -> DataFrame:
     )
 
 
-def empty_findings(spark) -> DataFrame:
-    schema = T.StructType([T.StructField("doc_id", T.LongType())] + list(FINDING_TYPE.fields))
-    return spark.createDataFrame([], schema)
-
-
 def union_findings(frames: Iterable[DataFrame]) -> DataFrame:
     frames = list(frames)
     out = frames[0].select(*FINDINGS_COLUMNS)

@@ -21,7 +21,6 @@ from .rules_window import WINDOW_RULES
 RULES: dict[str, Rule] = {r.rule_id: r for r in LINE_RULES + WINDOW_RULES + DOC_RULES}
 DEFAULT_RULES = tuple(r.rule_id for r in LINE_RULES + WINDOW_RULES if r.default)
 DOCUMENT_RULES = tuple(r.rule_id for r in DOC_RULES)
-DEFAULT_EXTRA = ("L10b", "L11") + DOCUMENT_RULES
 # rules that make sense on prose as well as on SQL
 TEXT_RULES = ("L01", "L01b", "L17", "L18")
 

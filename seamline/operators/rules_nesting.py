@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .findings import FINDINGS_COLUMNS
 from .scan import KEY, Prefix, chunk_lines_of, line_bound, scan
 
 EVENT_ORDER = ("line_no", "k")
@@ -105,33 +104,6 @@ def bracket_pairs(lines: DataFrame) -> DataFrame:
     )
 
 
-def _findings(df: DataFrame, rule_id: str, line_no, anchor_no, detail) -> DataFrame:
-    return df.select(
-        "doc_id", F.lit(rule_id).alias("rule_id"), line_no.cast("int").alias("line_no"),
-        anchor_no.cast("int").alias("anchor_no"), detail.cast("string").alias("detail"),
-    ).select(*FINDINGS_COLUMNS)
-
-
-def unbalanced(ev: DataFrame) -> DataFrame:
-    """A ``)`` without an open partner, an ``(`` that is never closed."""
-    bad = ev.filter(F.col("surplus") | (F.col("is_open") & F.col("partner").isNull()))
-    return _findings(bad, "L10b", F.col("line_no"), F.lit(None), F.when(F.col("is_open"), "(").otherwise(")"))
-
-
-def cte_alignment(ev: DataFrame) -> DataFrame:
-    """For every ``(`` right after ``' as '`` that has a partner: the header line must not start
-    with a space, and the matching ``)`` must be the first character of its line."""
-    cte = ev.filter(F.col("is_open") & F.col("as_before") & F.col("partner").isNotNull())
-    arr = F.array(
-        F.when(F.col("line_sp"), F.struct(F.col("line_no").alias("ln"), F.lit(None).cast("int").alias("an"),
-                                          F.lit("open").alias("d"))),
-        F.when(~F.col("partner.col0"), F.struct(F.col("partner.line_no").alias("ln"),
-                                                F.col("line_no").alias("an"), F.lit("close").alias("d"))),
-    )
-    out = cte.select("doc_id", F.explode_outer(arr).alias("f")).filter(F.col("f").isNotNull())
-    return _findings(out, "L11", F.col("f.ln"), F.col("f.an"), F.col("f.d"))
-
-
 def nesting_findings(lines: DataFrame) -> DataFrame:
     """L10b and L11 from one bracket pass."""
     ev = bracket_pairs_events(lines)

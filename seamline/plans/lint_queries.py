@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rules_doc, rules_nesting
-from ..operators.findings import summary as findings_summary  # noqa: F401  (re-exported)
+from ..operators.findings import clean_documents
 from ..operators.lint import DEFAULT_RULES, TEXT_RULES, lint, run_rules
 from ..sources.corpus import document_lines, read_table, sql_lines
 from . import oracle_lint as o
@@ -112,9 +112,7 @@ def text_findings(spark, sf_dir):
 def l32_clean_documents(spark, sf_dir):
     """Documents of ``documents`` without any finding of the text rules."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    f = text_findings(spark, sf_dir)
-    bad = f.select("doc_id").distinct()
-    return docs.join(bad, on="doc_id", how="left_anti")
+    return clean_documents(docs, text_findings(spark, sf_dir))
 
 
 def l32_quality_by_rule(spark, sf_dir):
