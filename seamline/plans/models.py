@@ -183,51 +183,39 @@ def migrated_branch(spark, sf) -> DataFrame:
     )
 
 
-def legacy_mindbody_branch(spark, sf) -> DataFrame:
-    lg = legacy(spark, sf).filter(col("platform") == "Mindbody")
-    j = lg.join(id_map(spark, sf), "nationkey", "inner")
+def legacy_branches(spark, sf) -> DataFrame:
+    """Both legacy branches from one anti join: the legacy accounts are computed once, looked up in
+    the id map once (left join with a match marker), and each row takes its platform's columns.
+    A Mindbody row needs a map match (the inner join of its branch); a Booker row does not."""
+    m = id_map(spark, sf).withColumn("_mapped", F.lit(True))
+    j = legacy(spark, sf).join(m, "nationkey", "left")
+    mb = col("platform") == "Mindbody"
+    j = j.filter(~mb | col("_mapped").isNotNull())
     return j.select(
-        fm.surrogate_key("platform", "studio_id", "location_id").alias("customer_id"),
+        F.when(mb, fm.surrogate_key("platform", "studio_id", "location_id"))
+        .otherwise(fm.surrogate_key("platform", "legacy_booker_id")).alias("customer_id"),
         "salesforce_account_id",
-        col("legacy_mindbody_id").alias("product_instance_id"),
-        F.lit("Mindbody").alias("platform"),
+        F.when(mb, col("legacy_mindbody_id")).otherwise(col("legacy_booker_id")).alias("product_instance_id"),
+        F.when(mb, F.lit("Mindbody")).otherwise(F.lit("Booker")).alias("platform"),
         F.lit(False).alias("is_eos_migrated"),
-        F.coalesce(fm.to_varchar("legacy_mindbody_id"), col("zuora_id")).alias("mindbody_id"),
-        col("studio_id").alias("mindbody_studio_id"),
-        col("location_id").alias("mindbody_location_id"),
+        F.when(mb, F.coalesce(fm.to_varchar("legacy_mindbody_id"), col("zuora_id"))).alias("mindbody_id"),
+        F.when(mb, col("studio_id")).alias("mindbody_studio_id"),
+        F.when(mb, col("location_id")).alias("mindbody_location_id"),
+        F.when(~mb, col("legacy_booker_id")).alias("booker_location_id"),
         col("salesforce_account_name").alias("customer_name"),
         fm.vertical("vertical").alias("customer_vertical"),
         fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
         col("country").alias("customer_country"),
         fm.legacy_region("region").alias("customer_region"),
         fm.legacy_region_rollup("region").alias("customer_region_rollup"),
-        col("legacy_mindbody_id").alias("legacy_mindbody_sfdc_account_id"),
-    )
-
-
-def legacy_booker_branch(spark, sf) -> DataFrame:
-    lg = legacy(spark, sf).filter(col("platform") == "Booker")
-    return lg.select(
-        fm.surrogate_key("platform", "legacy_booker_id").alias("customer_id"),
-        "salesforce_account_id",
-        col("legacy_booker_id").alias("product_instance_id"),
-        F.lit("Booker").alias("platform"),
-        F.lit(False).alias("is_eos_migrated"),
-        col("legacy_booker_id").alias("booker_location_id"),
-        col("salesforce_account_name").alias("customer_name"),
-        fm.vertical("vertical").alias("customer_vertical"),
-        fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
-        col("country").alias("customer_country"),
-        fm.legacy_region("region").alias("customer_region"),
-        fm.legacy_region_rollup("region").alias("customer_region_rollup"),
-        col("legacy_booker_id").alias("legacy_booker_sfdc_account_id"),
+        F.when(mb, col("legacy_mindbody_id")).alias("legacy_mindbody_sfdc_account_id"),
+        F.when(~mb, col("legacy_booker_id")).alias("legacy_booker_sfdc_account_id"),
     )
 
 
 def q1_customer_dim(spark, sf) -> DataFrame:
     """Q1: migrated customers ∪ legacy customers of both platforms, one schema (typed nulls)."""
-    return rel.union_branches(
-        [migrated_branch(spark, sf), legacy_mindbody_branch(spark, sf), legacy_booker_branch(spark, sf)], DIM_SCHEMA)
+    return rel.union_branches([migrated_branch(spark, sf), legacy_branches(spark, sf)], DIM_SCHEMA)
 
 
 # ---------------------------------------------------------------- Q2 monthly recurring revenue
