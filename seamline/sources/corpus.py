@@ -23,6 +23,10 @@ def table_path(sf_dir: str, name: str) -> str:
 _TABLES: dict = {}
 
 
+def _session_key(spark: SparkSession) -> int:
+    return id(getattr(spark, "_jsparkSession", spark))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Model reference: a named table of the warehouse, read as parquet.
 
@@ -30,7 +34,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     builds plans; ``clear_table_cache`` forgets them). Reusing one relation also lets Spark reuse
     exchanges between branches that read the same table.
     """
-    key = (id(spark._jsparkSession), table_path(sf_dir, name))
+    key = (_session_key(spark), table_path(sf_dir, name))
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(key[1])
@@ -53,10 +57,14 @@ def ensure_parallelism(df: DataFrame, key: str, small_bytes: int = SMALL_SOURCE_
     reports; it is hash-partitioned on ``key`` (a shuffle of at most ``small_bytes``). A larger
     source is read in many splits already and is returned unchanged, with no shuffle.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) >= small_bytes:
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no JVM handle (Spark Connect): keep the source's own splits
+        return df
+    if size >= small_bytes:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df.repartition(cores, key)
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +119,7 @@ _BOUNDS: dict = {}
 
 
 def max_chars_bound(spark: SparkSession, path: str) -> int | None:
-    key = (id(spark._jsparkSession), path)
+    key = (_session_key(spark), path)
     if key not in _BOUNDS:
         _BOUNDS[key] = _max_chars_bound(spark, path)
     return _BOUNDS[key]
