@@ -45,3 +45,28 @@ def test_text_files_source(spark):
     per_doc = {r.doc_id: r.n for r in lines.groupBy("doc_id").count().withColumnRenamed("count", "n").collect()}
     assert sorted(per_doc.values()) == [3, 4]
     assert [r.line_no for r in run_rules(lines, ["L02"]).collect()] == [3]
+
+
+def test_split_and_strip_match_python_on_random_text(spark):
+    import io
+    import random
+
+    from pyspark.sql import functions as F
+
+    from seamline.functions import text as tx
+
+    rnd = random.Random(3)
+    alphabet = ["a", "B", " ", "\t", "\n", "\r", "\r\n", " ", "\x0b", "\x1c", "\xa0", "　", "é", "("]
+    texts = {i: "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for i in range(300)}
+    lines = make_lines(spark, texts).select("doc_id", "line_no", "line", "eol").collect()
+    got = {}
+    for r in sorted(lines, key=lambda r: (r.doc_id, r.line_no)):
+        got.setdefault(r.doc_id, []).append(r.line + ("\n" if r.eol else ""))
+    for i, t in texts.items():
+        assert got.get(i, []) == io.StringIO(t, newline=None).readlines(), repr(t)
+
+    pieces = [t.replace("\n", "").replace("\r", "") for t in texts.values()]
+    df = spark.createDataFrame([(p,) for p in pieces], "s string")
+    rows = df.select("s", tx.strip("s").alias("st"), tx.lstrip("s").alias("ls"), tx.is_blank("s").alias("b")).collect()
+    for r in rows:
+        assert r.st == r.s.strip() and r.ls == r.s.lstrip() and r.b == (r.s.strip() == ""), repr(r.s)
