@@ -78,11 +78,11 @@ FEATURES: dict[str, tuple[int, Callable[[], object]]] = {
         tx.has(L(), "when").alias("wh"), tx.has(L(), "end").alias("en"), inclusive=False)),
     "sel_above": (1, lambda: last_where(select_eol(), inclusive=False)),
     "line1": (1, lambda: last_where(F.col("line_no") == 1, tx.indent(L()).alias("ind"))),
-    # nearest lines below (strictly)
-    "fromsp_after": (1, lambda: next_where(tx.has(L(), " from "), inclusive=False)),
-    "close_comma_after": (1, lambda: next_where(L().endswith("),") & F.col("eol"), L().startswith(" ").alias("sp"),
+    # nearest lines below (strictly); a last pass, so the reversed sort comes after the ascending ones
+    "fromsp_after": (4, lambda: next_where(tx.has(L(), " from "), inclusive=False)),
+    "close_comma_after": (4, lambda: next_where(L().endswith("),") & F.col("eol"), L().startswith(" ").alias("sp"),
                                                     inclusive=False)),
-    "close_paren_after": (1, lambda: next_where(L().endswith(")") & F.col("eol"), L().startswith(" ").alias("sp"),
+    "close_paren_after": (4, lambda: next_where(L().endswith(")") & F.col("eol"), L().startswith(" ").alias("sp"),
                                                     inclusive=False)),
     # running counts
     "cs": (1, lambda: Prefix(_i(select_eol()), "sum", True)),
