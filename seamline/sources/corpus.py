@@ -109,8 +109,8 @@ def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of ``documents``. ``n_chars`` (the text length) bounds the lines of a document by
-    ``n_chars + 1``; its maximum comes from parquet statistics (aggregate push-down reads only the
-    file footers), so the scans know when no document spans two chunks."""
+    ``n_chars + 1``; its maximum is read from that one column (the texts are not touched), so the
+    scans know when no document spans two chunks."""
     bound = max_chars_bound(spark, table_path(sf_dir, "documents"))
     return with_line_bound(lines_from_text(read_documents(spark, sf_dir)), bound)
 
@@ -126,12 +126,8 @@ def max_chars_bound(spark: SparkSession, path: str) -> int | None:
 
 
 def _max_chars_bound(spark: SparkSession, path: str) -> int | None:
-    prev = spark.conf.get("spark.sql.parquet.aggregatePushdown", "false")
-    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    try:
-        row = spark.read.parquet(path).agg(F.max("n_chars").alias("m")).first()
-    finally:
-        spark.conf.set("spark.sql.parquet.aggregatePushdown", prev)
+    # only the n_chars column is read (parquet column pruning); the texts are not touched
+    row = spark.read.parquet(path).agg(F.max("n_chars").alias("m")).first()
     return None if row is None or row["m"] is None else int(row["m"]) + 1
 
 
