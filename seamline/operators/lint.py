@@ -36,7 +36,8 @@ def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None, options:
     """Findings of the given line rules (default set when None), from one wide scan.
 
     ``options``: ``agg_tokens`` (L16, default sum(/min(/max(), ``join_rewrite`` (L05, default
-    'inner join').
+    'inner join'), ``with_match`` (L08: "line" = the stripped line is ``with``, the default;
+    "contains" = the line contains ``with``).
     """
     ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
     feat = with_features(lines, rules_features(ids), options)

@@ -25,12 +25,15 @@ def _l04(opts=None):
     return hit("L04", col("prev_join") & tx.has(L(), " using"))
 
 
-def _cte_candidate():
-    return (tx.strip(L()) == "with") | tx.has(L(), "as (")
+def _cte_candidate(opts=None):
+    """A ``with`` line (the whole stripped line; option ``with_match="contains"``: any line that
+    contains ``with``) or a CTE header (contains ``as (``)."""
+    with_line = tx.has(L(), "with") if (opts or {}).get("with_match") == "contains" else (tx.strip(L()) == "with")
+    return with_line | tx.has(L(), "as (")
 
 
 def _l08(opts=None):
-    cand = _cte_candidate()
+    cand = _cte_candidate(opts)
     return concat_hits(
         hit("L08", cand & ~col("next_blank"), detail="a"),
         hit("L08", cand & ~col("prev_blank"), detail="b"),

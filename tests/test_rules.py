@@ -181,3 +181,16 @@ def test_select_blocks_random(spark, chunk):
         for rule, want in (("L14", want14), ("L16", want16)):
             got = sorted((r.doc_id, r.line_no, r.anchor_no, r.detail) for r in run_rules(lines, [rule]).collect())
             assert got == sorted(want), (rule, c)
+
+
+def test_padding_with_variant(spark):
+    t = "x\nwith t as (\n\ny"
+    lines = make_lines(spark, {1: t})
+    # line 2 is a CTE header either way; "with" alone never matches here, "contains" adds nothing new
+    base = sorted((r.line_no, r.detail) for r in run_rules(lines, ["L08"]).collect())
+    t2 = "x\n  with_totals\n\ny"
+    lines2 = make_lines(spark, {1: t2})
+    assert run_rules(lines2, ["L08"]).count() == 0
+    got = sorted((r.line_no, r.detail) for r in run_rules(lines2, ["L08"], {"with_match": "contains"}).collect())
+    assert got == [(2, "b")]
+    assert base == [(2, "b")]
