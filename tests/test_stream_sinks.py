@@ -39,3 +39,17 @@ def test_sinks(spark):
     assert t.count() == 5
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES seamline_test_tbl").collect()}
     assert props.get("tags") == "dim,test"
+
+
+def test_cut_lineage_uses_checkpoint_dir(spark):
+    from pyspark.sql import functions as F
+
+    from seamline.session import cut_lineage, ensure_checkpoint_dir
+
+    folder = ensure_checkpoint_dir(spark)
+    assert folder
+    df = spark.range(100).withColumn("x", F.col("id") * 2).filter("id % 3 = 0")
+    cut = cut_lineage(df)
+    assert sorted(cut.collect()) == sorted(df.collect())
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan  # the checkpointed data replaced the lineage
