@@ -51,7 +51,7 @@ def account(spark: SparkSession, sf: str) -> DataFrame:
     n = read_table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf, "region").select("r_regionkey", "r_name")
     a = c.join(n, col("c_nationkey") == col("n_nationkey")).join(r, col("n_regionkey") == col("r_regionkey"))
-    platform = F.when(col("c_custkey") % 2 == 0, F.lit("Mindbody")).otherwise(F.lit("Booker"))
+    platform = F.when(col("c_custkey") % 2 == 0, F.lit("Studio")).otherwise(F.lit("Desk"))
     return a.select(
         col("c_custkey").alias("salesforce_account_id"),
         col("c_name").alias("salesforce_account_name"),
@@ -61,8 +61,8 @@ def account(spark: SparkSession, sf: str) -> DataFrame:
         col("n_name").alias("country"),
         col("r_name").alias("region"),
         platform.alias("platform"),
-        F.when(platform == "Mindbody", col("c_custkey")).alias("legacy_mindbody_id"),
-        F.when(platform == "Booker", col("c_custkey")).alias("legacy_booker_id"),
+        F.when(platform == "Studio", col("c_custkey")).alias("legacy_studio_id"),
+        F.when(platform == "Desk", col("c_custkey")).alias("legacy_desk_id"),
     )
 
 
@@ -71,8 +71,8 @@ def subscription(spark: SparkSession, sf: str) -> DataFrame:
     return o.select(
         col("o_orderkey").alias("subscription_id"),
         col("o_custkey").alias("salesforce_account_id"),
-        F.when(col("o_custkey") % 2 == 0, col("o_custkey")).alias("legacy_mindbody_id"),
-        F.when(col("o_custkey") % 2 == 1, col("o_custkey")).alias("legacy_booker_id"),
+        F.when(col("o_custkey") % 2 == 0, col("o_custkey")).alias("legacy_studio_id"),
+        F.when(col("o_custkey") % 2 == 1, col("o_custkey")).alias("legacy_desk_id"),
         col("o_orderkey").alias("product_instance_id"),
         col("o_orderpriority").alias("product_name"),
         col("o_orderstatus").alias("status"),
@@ -85,7 +85,7 @@ def subscription(spark: SparkSession, sf: str) -> DataFrame:
 def core_subscription(spark, sf) -> DataFrame:
     """Core subscriptions, all rows tied for the latest per account."""
     core = subscription(spark, sf).filter(col("is_core_software"))
-    key = F.coalesce(col("salesforce_account_id"), col("legacy_mindbody_id"), col("legacy_booker_id"))
+    key = F.coalesce(col("salesforce_account_id"), col("legacy_studio_id"), col("legacy_desk_id"))
     return rel.latest_ties(core, key, [col("effective_end_date").desc_nulls_last(),
                                        col("effective_start_date").desc_nulls_last()])
 
@@ -135,11 +135,11 @@ DIM_SCHEMA = T.StructType([
     T.StructField("product_instance_id", T.LongType()),
     T.StructField("platform", T.StringType()),
     T.StructField("is_eos_migrated", T.BooleanType()),
-    T.StructField("mindbody_id", T.StringType()),
+    T.StructField("studio_ref_id", T.StringType()),
     T.StructField("aria_id", T.LongType()),
-    T.StructField("mindbody_studio_id", T.LongType()),
-    T.StructField("mindbody_location_id", T.LongType()),
-    T.StructField("booker_location_id", T.LongType()),
+    T.StructField("studio_site_id", T.LongType()),
+    T.StructField("studio_location_id", T.LongType()),
+    T.StructField("desk_location_id", T.LongType()),
     T.StructField("subscription_id", T.LongType()),
     T.StructField("customer_name", T.StringType()),
     T.StructField("customer_vertical", T.StringType()),
@@ -150,24 +150,24 @@ DIM_SCHEMA = T.StructType([
     T.StructField("most_recent_account_classification", T.StringType()),
     T.StructField("most_recent_core_product_name", T.StringType()),
     T.StructField("most_recent_core_start_date", T.DateType()),
-    T.StructField("legacy_mindbody_sfdc_account_id", T.LongType()),
-    T.StructField("legacy_booker_sfdc_account_id", T.LongType()),
+    T.StructField("legacy_studio_sfdc_account_id", T.LongType()),
+    T.StructField("legacy_desk_sfdc_account_id", T.LongType()),
 ])
 
 
 def migrated_branch(spark, sf) -> DataFrame:
     c = customers(spark, sf)
-    is_mb = col("platform") == "Mindbody"
+    is_mb = col("platform") == "Studio"
     return c.select(
         fm.surrogate_key("platform", F.coalesce(fm.to_varchar("studio_id"), fm.to_varchar("product_instance_id")),
                          "location_id").alias("customer_id"),
         "salesforce_account_id", "product_instance_id", "platform",
         F.lit(True).alias("is_eos_migrated"),
-        fm.iff(is_mb, F.coalesce(fm.to_varchar("aria_id"), col("zuora_id")), F.lit(None)).alias("mindbody_id"),
+        fm.iff(is_mb, F.coalesce(fm.to_varchar("aria_id"), col("zuora_id")), F.lit(None)).alias("studio_ref_id"),
         "aria_id",
-        col("studio_id").alias("mindbody_studio_id"),
-        col("location_id").alias("mindbody_location_id"),
-        fm.iff(col("platform") == "Booker", col("product_instance_id"), F.lit(None)).alias("booker_location_id"),
+        col("studio_id").alias("studio_site_id"),
+        col("location_id").alias("studio_location_id"),
+        fm.iff(col("platform") == "Desk", col("product_instance_id"), F.lit(None)).alias("desk_location_id"),
         "subscription_id",
         col("salesforce_account_name").alias("customer_name"),
         fm.vertical("vertical").alias("customer_vertical"),
@@ -178,38 +178,38 @@ def migrated_branch(spark, sf) -> DataFrame:
         col("account_classification").alias("most_recent_account_classification"),
         col("product_name").alias("most_recent_core_product_name"),
         col("effective_start_date").alias("most_recent_core_start_date"),
-        col("legacy_mindbody_id").alias("legacy_mindbody_sfdc_account_id"),
-        col("legacy_booker_id").alias("legacy_booker_sfdc_account_id"),
+        col("legacy_studio_id").alias("legacy_studio_sfdc_account_id"),
+        col("legacy_desk_id").alias("legacy_desk_sfdc_account_id"),
     )
 
 
 def legacy_branches(spark, sf) -> DataFrame:
     """Both legacy branches from one anti join: the legacy accounts are computed once, looked up in
     the id map once (left join with a match marker), and each row takes its platform's columns.
-    A Mindbody row needs a map match (the inner join of its branch); a Booker row does not."""
+    A Studio row needs a map match (the inner join of its branch); a Desk row does not."""
     m = id_map(spark, sf).withColumn("_mapped", F.lit(True))
     j = legacy(spark, sf).join(m, "nationkey", "left")
-    mb = col("platform") == "Mindbody"
+    mb = col("platform") == "Studio"
     j = j.filter(~mb | col("_mapped").isNotNull())
     return j.select(
         F.when(mb, fm.surrogate_key("platform", "studio_id", "location_id"))
-        .otherwise(fm.surrogate_key("platform", "legacy_booker_id")).alias("customer_id"),
+        .otherwise(fm.surrogate_key("platform", "legacy_desk_id")).alias("customer_id"),
         "salesforce_account_id",
-        F.when(mb, col("legacy_mindbody_id")).otherwise(col("legacy_booker_id")).alias("product_instance_id"),
-        F.when(mb, F.lit("Mindbody")).otherwise(F.lit("Booker")).alias("platform"),
+        F.when(mb, col("legacy_studio_id")).otherwise(col("legacy_desk_id")).alias("product_instance_id"),
+        F.when(mb, F.lit("Studio")).otherwise(F.lit("Desk")).alias("platform"),
         F.lit(False).alias("is_eos_migrated"),
-        F.when(mb, F.coalesce(fm.to_varchar("legacy_mindbody_id"), col("zuora_id"))).alias("mindbody_id"),
-        F.when(mb, col("studio_id")).alias("mindbody_studio_id"),
-        F.when(mb, col("location_id")).alias("mindbody_location_id"),
-        F.when(~mb, col("legacy_booker_id")).alias("booker_location_id"),
+        F.when(mb, F.coalesce(fm.to_varchar("legacy_studio_id"), col("zuora_id"))).alias("studio_ref_id"),
+        F.when(mb, col("studio_id")).alias("studio_site_id"),
+        F.when(mb, col("location_id")).alias("studio_location_id"),
+        F.when(~mb, col("legacy_desk_id")).alias("desk_location_id"),
         col("salesforce_account_name").alias("customer_name"),
         fm.vertical("vertical").alias("customer_vertical"),
         fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
         col("country").alias("customer_country"),
         fm.legacy_region("region").alias("customer_region"),
         fm.legacy_region_rollup("region").alias("customer_region_rollup"),
-        F.when(mb, col("legacy_mindbody_id")).alias("legacy_mindbody_sfdc_account_id"),
-        F.when(~mb, col("legacy_booker_id")).alias("legacy_booker_sfdc_account_id"),
+        F.when(mb, col("legacy_studio_id")).alias("legacy_studio_sfdc_account_id"),
+        F.when(~mb, col("legacy_desk_id")).alias("legacy_desk_sfdc_account_id"),
     )
 
 
@@ -257,32 +257,32 @@ def subscriptions_monthly(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
     )
 
 
-def booker_accounts(spark, sf) -> DataFrame:
+def desk_accounts(spark, sf) -> DataFrame:
     c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf, "region").select("r_regionkey", "r_name")
-    platform = F.when(col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"), F.lit("Booker")).otherwise("Mindbody")
-    return (c.filter(platform == "Booker")
+    platform = F.when(col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"), F.lit("Desk")).otherwise("Studio")
+    return (c.filter(platform == "Desk")
             .join(n, col("c_nationkey") == col("n_nationkey")).join(r, col("n_regionkey") == col("r_regionkey"))
             .select(col("c_custkey").alias("salesforce_account_id"), col("n_name").alias("top_hierarchy_account_name"),
                     col("n_nationkey").alias("top_hierarchy_account_id"), col("r_name").alias("top_hierarchy_type")))
 
 
-def booker_rev_consolidated(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
+def desk_rev_consolidated(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
     """Sum by the first five columns. The lines are summed per (account, month) first, so the
     join to the account hierarchy sees one row per account and month instead of one per line."""
     lines = subscriptions_monthly(spark, sf, as_of)
     per_month = lines.groupBy("salesforce_account_id", "accounting_month").agg(
         F.sum("monthly_recurring_bookings_usd").alias("amount"))
-    j = per_month.join(booker_accounts(spark, sf), "salesforce_account_id")
+    j = per_month.join(desk_accounts(spark, sf), "salesforce_account_id")
     shaped = j.select("salesforce_account_id", "accounting_month", "top_hierarchy_account_name",
                       "top_hierarchy_account_id", "top_hierarchy_type", "amount")
-    return rel.group_sum_first(shaped, 5, {"booker_mrr": col("amount")})
+    return rel.group_sum_first(shaped, 5, {"desk_mrr": col("amount")})
 
 
 def q2_monthly_revenue(spark, sf) -> DataFrame:
     """Q2: monthly recurring revenue per account and month, since REVENUE_SINCE (M20 filter)."""
-    return booker_rev_consolidated(spark, sf).filter(col("accounting_month") >= F.lit(REVENUE_SINCE).cast("date"))
+    return desk_rev_consolidated(spark, sf).filter(col("accounting_month") >= F.lit(REVENUE_SINCE).cast("date"))
 
 
 # ---------------------------------------------------------------- Q3 API activity
@@ -388,7 +388,7 @@ def m17_star(spark, sf):
 
 
 def m19_group_sum(spark, sf):
-    return booker_rev_consolidated(spark, sf)
+    return desk_rev_consolidated(spark, sf)
 
 
 def m22_latest_row(spark, sf):
@@ -402,7 +402,7 @@ def m23_latest_ties(spark, sf):
 
 def m24_union_branches(spark, sf):
     return q1_customer_dim(spark, sf).select("customer_id", "platform", "is_eos_migrated", "salesforce_account_id",
-                                             "aria_id", "booker_location_id")
+                                             "aria_id", "desk_location_id")
 
 
 def _pages(spark, sf):
@@ -449,7 +449,7 @@ def m36_months(spark, sf):
 def m37_surrogate_key(spark, sf):
     a = account(spark, sf)
     return a.select("salesforce_account_id",
-                    fm.surrogate_key("platform", "salesforce_account_id", "nationkey", "legacy_mindbody_id")
+                    fm.surrogate_key("platform", "salesforce_account_id", "nationkey", "legacy_studio_id")
                     .alias("customer_id"))
 
 
