@@ -1,3 +1,61 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+EXACT_DEDUP = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+# Fixed values: (kind, pattern, group of the value, least length)
+_KINDS = [
+    ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+    ("generic", r"[A-Za-z0-9+/_-]{20,}", 0, 20),
+]
+
+
+def _kind_sql(k: int) -> str:
+    kind, pattern, group, least = _KINDS[k]
+    rx = "'" + pattern.replace("'", "''") + "'"
+    return (
+        f"SELECT uid, doc_id, owner, {k} AS kind, f.a AS a, f.b AS b, f.v AS v FROM ("
+        f" SELECT uid, doc_id, owner, unnest(list_transform(range(len(m)), lambda i: {{"
+        f"'a': list_sum(list_transform(g[1:i + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i], lambda x: length(x))), 0),"
+        f"'b': list_sum(list_transform(g[1:i + 1], lambda x: length(x))) + list_sum(list_transform(m[1:i + 1], lambda x: length(x))),"
+        f"'v': v[i + 1]}})) AS f FROM (SELECT uid, doc_id, owner, regexp_extract_all(t, {rx}, 0) AS m,"
+        f" regexp_extract_all(t, {rx}, {group}) AS v, string_split_regex(t, {rx}) AS g FROM d)) WHERE length(f.v) >= {least}")
+
+
+def _joined(test: str) -> str:
+    names = "list_value(" + ", ".join(f"'{k[0]}'" for k in _KINDS) + ")"
+    return (f"coalesce(string_agg({names}[kind + 1] || ':' || CAST(a AS BIGINT) || ':' || CAST(b AS BIGINT), ',' "
+            f"ORDER BY a, kind) FILTER (WHERE {test}), '')")
+
+
+SECRET_SCAN = f"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+every_span AS ({' UNION ALL '.join(_kind_sql(k) for k in range(4))}),
+placed AS (SELECT *, len(list_distinct(string_split(v, ''))) >= 8 AND regexp_matches(v, '[0-9]') AS random,
+           coalesce(max(CASE WHEN kind < 3 THEN b END) OVER (PARTITION BY uid ORDER BY a, kind ROWS UNBOUNDED PRECEDING), 0) AS covered
+           FROM every_span),
+spans AS (SELECT * FROM placed WHERE kind < 3 OR (covered < b AND random)),
+uses AS (SELECT v, count(DISTINCT owner) AS owners FROM spans GROUP BY v),
+shown AS (SELECT s.*, CASE WHEN owners >= 3 THEN 'example' WHEN owners = 1 AND random THEN 'live' ELSE 'unclear' END AS use
+          FROM spans s JOIN uses u ON u.v = s.v),
+per_doc AS (SELECT uid, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+            count(*) FILTER (WHERE kind = 2) AS n_hex, {_joined('kind < 3')} AS base, {_joined('TRUE')} AS spans,
+            count(*) FILTER (WHERE use = 'live') AS n_live, count(*) FILTER (WHERE use = 'example') AS n_example
+            FROM shown WHERE kind < 3 OR use = 'live' GROUP BY uid)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(p.spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN per_doc p ON p.uid = d.uid
+"""
+
+SQL: dict[str, str] = {
+    "op1_secret_scan": SECRET_SCAN,
+    "op10_exact_dedup": EXACT_DEDUP,
+}

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from . import oracles
+from .block_names import op10_exact_dedup
 from .orc_tokens import op5_orc_tokens
+from .secret_scan import op1_secret_scan
 from .swap_pack import op8_best_fit_pack
 
+QUERIES = [op1_secret_scan, op5_orc_tokens, op8_best_fit_pack, op10_exact_dedup]
+
 
 def queries() -> dict:
-    return {
-        "op5_orc_tokens": op5_orc_tokens,
-        "op8_best_fit_pack": op8_best_fit_pack,
-    }
+    return {q.__name__: q for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
