@@ -11,8 +11,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 # Fixed values: (kind, pattern, group of the value, least length)
 _KINDS = [
     ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
-    ("access", r"AKIA[A-Z0-9]+", 0, 18),
-    ("hex", r"[0-9a-f]+", 0, 16),
+    ("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    ("hex", r"[0-9a-f]{16,}", 0, 16),
     ("generic", r"[A-Za-z0-9+/_-]{20,}", 0, 20),
 ]
 
