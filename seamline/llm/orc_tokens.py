@@ -1,8 +1,8 @@
 """Token-id tables as ORC files: integer run-length encoding, row indexes, Bloom filters on ids.
 
 ``write_tokens`` puts one row per document, in ascending ``doc_id`` order across the files:
-``doc_id, part, at, ids`` where ``part`` numbers the file and ``at`` counts the ids of the rows
-before it in that file. ORC encodes the integer columns by run length, keeps minimum and maximum
+``doc_id, part, at, n, ids`` where ``part`` numbers the file, ``at`` counts the ids of the rows
+before it in that file and ``n`` its own. ORC encodes the integer columns by run length, keeps minimum and maximum
 per row group (``ROW_STRIDE`` rows) and stripe, and a Bloom filter on ``doc_id``; a filter on
 ``doc_id`` therefore skips stripes and row groups, and stripes are read in parallel by Spark's splits.
 
@@ -28,28 +28,21 @@ STRIPE_BYTES = 64 << 20
 ROW_STRIDE = 1000
 BLOOM_FPP = 0.01
 BATCH_TEXTS = 256
-
-
-def _id_lists(blobs: list[bytes]) -> pa.ListArray:
-    ends = np.zeros(len(blobs) + 1, np.int32)
-    np.cumsum([len(b) // 4 for b in blobs], out=ends[1:])
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(blobs), "<i4")))
+SCHEMA = "doc_id long, part int, at long, n long, ids array<int>"
 
 
 def _encode(vocab: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = ChunkEncoder.get(vocab, True), np.uint32(end_id).astype("<u4").tobytes()
-        part, at = TaskContext.get().partitionId(), 0
+        encoder, part, at = ChunkEncoder.get(vocab, True), TaskContext.get().partitionId(), 0
         for whole in batches:
             for first in range(0, whole.num_rows, BATCH_TEXTS):
                 batch = whole.slice(first, BATCH_TEXTS)
-                blobs = [b + end for b in encoder.ids_bytes(batch.column(1).to_pylist())]
-                sizes = np.array([len(b) // 4 for b in blobs], np.int64)
-                starts = at + np.cumsum(sizes) - sizes
-                at += int(sizes.sum())
+                flat, ends = encoder.encode(batch.column(1), end_id)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.full(len(blobs), part, np.int32)), pa.array(starts), _id_lists(blobs)],
-                    ["doc_id", "part", "at", "ids"])
+                    [batch.column(0), pa.array(np.full(batch.num_rows, part, np.int32)), pa.array(at + ends[:-1]),
+                     pa.array(np.diff(ends)), lists], ["doc_id", "part", "at", "n", "ids"])
+                at += int(ends[-1])
 
     return run
 
@@ -60,7 +53,7 @@ def write_tokens(docs: DataFrame, path: str, vocab: str, end_id: int) -> None:
     order = [F.col("doc_id"), F.xxhash64("text")]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order, F.col("text"))
-    (placed.mapInArrow(_encode(vocab, end_id), "doc_id long, part int, at long, ids array<int>")
+    (placed.mapInArrow(_encode(vocab, end_id), SCHEMA)
      .write.option("compression", "zstd")
      .option("orc.stripe.size", STRIPE_BYTES).option("orc.row.index.stride", ROW_STRIDE)
      .option("orc.create.index", "true")
@@ -70,7 +63,7 @@ def write_tokens(docs: DataFrame, path: str, vocab: str, end_id: int) -> None:
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
     """Rows of the files; ``doc_ids`` is pushed down to stripe statistics, row index and Bloom filter."""
-    rows = spark.read.schema("doc_id long, part int, at long, ids array<int>").orc(path)
+    rows = spark.read.schema(SCHEMA).orc(path)
     return rows if doc_ids is None else rows.filter(F.col("doc_id").isin([int(d) for d in doc_ids]))
 
 
@@ -87,10 +80,11 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """From the files: ``doc_id, start, n_tokens, ids_crc32`` (start: ids of all documents before it)."""
-    rows = read_tokens(spark, path).mapInArrow(
+    tokens = read_tokens(spark, path)
+    rows = tokens.select("doc_id", "part", "at", "ids").mapInArrow(
         _digest, "doc_id long, part int, at long, n_tokens long, ids_crc32 long")
     # one row per file: as many as the writing job had tasks, however long the texts are
-    files = read_tokens(spark, path).groupBy("part").agg(F.max(F.col("at") + F.size("ids")).alias("ids_in_file"))
+    files = tokens.groupBy("part").agg(F.sum("n").alias("ids_in_file"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = files.select("part", F.coalesce(F.sum("ids_in_file").over(before), F.lit(0)).alias("base"))
     return rows.join(F.broadcast(bases), "part").select(

@@ -33,19 +33,22 @@ FULL_SEQUENCE = 1 << 62  # sequences of one whole piece are numbered from here
 
 def _pieces(vocab: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = ChunkEncoder.get(vocab, False), np.uint32(end_id).astype("<u4").tobytes()
-        step = 4 * capacity
+        encoder = ChunkEncoder.get(vocab, False)
         for whole in batches:
-            for first in range(0, whole.num_rows, 512):
-                batch = whole.slice(first, 512)
-                rows = []
-                for doc_id, blob in zip(batch.column(0).to_pylist(), encoder.ids_bytes(batch.column(1).to_pylist())):
-                    blob += end
-                    rows += [(doc_id, k // step, k // 4, len(cut) // 4, zlib.crc32(cut))
-                             for k in range(0, len(blob), step) for cut in (blob[k:k + step],)]
+            for first in range(0, whole.num_rows, 256):
+                batch = whole.slice(first, 256)
+                flat, ends = encoder.encode(batch.column(1), end_id)
+                sizes = np.diff(ends)
+                pieces = -(-sizes // capacity)
+                doc = np.repeat(np.arange(len(sizes)), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(sizes[doc] - start, capacity)
+                begin = ends[doc] + start
+                crc = [zlib.crc32(flat[a:a + n]) for a, n in zip(begin.tolist(), length.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+                    [batch.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start),
+                     pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run
 
