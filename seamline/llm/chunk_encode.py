@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from .word_table import Lists, WordTable, spaced_chunks, text_bytes
 
-MOST_CHUNKS = 1_500_000  # a worker forgets its chunks beyond this number
+MOST_CHUNKS = 1_000_000  # a worker forgets its chunks beyond this number
 LATIN = "ɐ"  # letters below this one have the same class and lower case in every Unicode version
 LETTER = np.zeros(256, bool)  # bytes that end an ASCII letter
 LETTER[65:91] = LETTER[97:123] = True

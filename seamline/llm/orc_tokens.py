@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .chunk_encode import ChunkEncoder
 from .common import Scratch, documents, ship, text_of
 
-STRIPE_BYTES = 64 << 20
+STRIPE_BYTES = 32 << 20
 ROW_STRIDE = 1000
 BLOOM_FPP = 0.01
 BATCH_TEXTS = 256
