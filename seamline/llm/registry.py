@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from . import oracles
+from .bbit_minhash import op7_bbit_minhash
 from .block_names import op10_exact_dedup
+from .fst_pieces import op4_fst_pieces
 from .orc_tokens import op5_orc_tokens
 from .secret_scan import op1_secret_scan
+from .segment_langid import op9_segment_langid
 from .swap_pack import op8_best_fit_pack
 
-QUERIES = [op1_secret_scan, op5_orc_tokens, op8_best_fit_pack, op10_exact_dedup]
+QUERIES = [op1_secret_scan, op4_fst_pieces, op5_orc_tokens, op7_bbit_minhash, op8_best_fit_pack, op9_segment_langid,
+           op10_exact_dedup]
 
 
 def queries() -> dict:
