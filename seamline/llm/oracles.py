@@ -55,7 +55,30 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN per_doc p ON p.uid = d.uid
 """
 
+PERSPECTIVES = """
+WITH r AS (
+  SELECT conv_id, turn, CASE WHEN trim(role) IS NULL OR trim(role) = '' THEN 'unknown' ELSE trim(role) END AS speaker,
+         replace(coalesce(text, ''), '<|im_', '<| im_') AS content FROM conversations),
+people AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM r WHERE speaker <> 'system'),
+seen AS (
+  SELECT conv_id, perspective, turn, speaker, content,
+         CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role
+  FROM r JOIN people ON r.conv_id IS NOT DISTINCT FROM people.c),
+made AS (
+  SELECT *, CASE WHEN role = 'user' THEN speaker END AS name,
+         '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10) || content || '<|im_end|>' || chr(10) AS segment
+  FROM seen),
+placed AS (
+  SELECT *, row_number() OVER w AS position, CAST(coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM made WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn, speaker, content))
+SELECT conv_id, perspective, position, turn, role, name, segment, start,
+       CASE WHEN role = 'assistant' THEN start + length(segment) - 11 - length(content) END AS mask_start,
+       CASE WHEN role = 'assistant' THEN start + length(segment) - 1 END AS mask_end
+FROM placed
+"""
+
 SQL: dict[str, str] = {
+    "op3_perspectives": PERSPECTIVES,
     "op1_secret_scan": SECRET_SCAN,
     "op10_exact_dedup": EXACT_DEDUP,
 }
