@@ -79,10 +79,10 @@ class Shingler:
         whole = np.arange(len(word)) + n <= first[1:][doc]
         for d in np.flatnonzero((count > 0) & (count < n)).tolist():
             a, b = first[d], first[d + 1]
-            value = np.uint64(0)
+            value = np.zeros(1, np.uint64)  # arrays wrap around without a warning
             for k in range(a, b):
-                value = _mix(np.array([value * np.uint64(31)]) + word[k] + np.uint64(k - a))[0]
-            shingle[a], whole[a] = _mix(np.array([value]) + np.uint64(b - a))[0], True
+                value = _mix(value * np.uint64(31) + word[k] + np.uint64(k - a))
+            shingle[a], whole[a] = _mix(value + np.uint64(b - a))[0], True
         doc, shingle = doc[whole], shingle[whole]
         order = np.lexsort((shingle, doc))
         doc, shingle = doc[order], shingle[order]
