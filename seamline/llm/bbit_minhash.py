@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, ship, text_of
+from .common import Scratch, documents, row_id, ship, text_of
 from .word_table import LOWER_ASCII, SHORT, WordTable, blank_words, text_bytes
 
 ROWS, BANDS, BITS = 4, 32, 4
@@ -296,7 +296,7 @@ def near_groups(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> Data
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "near")
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    rows = docs.select(row_id(docs).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     described = scratch.keep(rows.mapInArrow(
         _describe(words), "uid long, doc_id long, n_shingles long, bands array<long>, signature array<long>, set_key array<long>"), "described")
     nodes = scratch.keep(  # one node for each set
@@ -366,7 +366,7 @@ def near_groups(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> Data
 def drop_near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row of every group of near duplicates, the one with the smallest ``doc_id``, with all its columns."""
     kept = near_groups(docs, words, threshold).filter("first").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(kept, "__uid", "left_semi").select(*docs.columns)
+    return docs.withColumn("__uid", row_id(docs)).join(kept, "__uid", "left_semi").select(*docs.columns)
 
 
 def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

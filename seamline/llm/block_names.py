@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, text_of
+from .common import Scratch, documents, row_id, text_of
 
 BLOCK_CHARS = 16384
 
@@ -69,7 +69,7 @@ def text_identities(docs: DataFrame, scratch: Scratch, block_chars: int = BLOCK_
     ``uid`` is ``monotonically_increasing_id()`` of the rows of ``docs``.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
-                       F.monotonically_increasing_id().alias("uid"))
+                       row_id(docs).alias("uid"))
     rows = rows.withColumn("blocks", _blocks("text", block_chars))
     cut = scratch.keep(
         rows.select("uid", "doc_id", F.sha2("text", 256).alias("text_sha256"), F.size("blocks").alias("n_blocks"),
@@ -118,7 +118,7 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS, digest=F.xxhas
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     kept = exact_groups(docs).filter("kept").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(kept, "__uid", "left_semi").select(
+    return docs.withColumn("__uid", row_id(docs)).join(kept, "__uid", "left_semi").select(
         *[docs[c] for c in docs.columns])
 
 

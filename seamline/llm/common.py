@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,6 +50,19 @@ class Scratch:
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def row_id(docs: DataFrame) -> Column:
+    """A number for each row of a stored table, the same in every plan that reads it.
+
+    Rows are numbered by their place in the table's files, so a frame whose rows an operation has moved
+    has to be written first; it is refused here.
+    """
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    moved = re.search(r"^[\s:+-]*(Repartition\w*|Rebalance\w*|Join|Aggregate|Sort|\w*Limit|Window|Sample|Union)\b", plan, re.M)
+    if moved:
+        raise ValueError(f"write the documents to a table first: their plan has {moved[1]}, and rows are numbered by place")
+    return F.monotonically_increasing_id()
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 

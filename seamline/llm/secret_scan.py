@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, text_of
+from .common import Scratch, documents, row_id, text_of
 
 # The patterns of the base kinds, in their order, and the least lengths.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -60,7 +60,7 @@ def candidate_spans(docs: DataFrame, scratch: Scratch, owner: str, repo: str | N
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
         F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
-        F.monotonically_increasing_id().alias("uid"),
+        row_id(docs).alias("uid"),
         (F.col(repo).cast("string") if repo else F.lit(None).cast("string")).alias("repo"))
     frame = scratch.keep(
         rows.select("uid", "doc_id", "owner", F.coalesce("repo", F.col("uid").cast("string")).alias("repo"),
@@ -121,7 +121,7 @@ def redact_live(docs: DataFrame, owner: str = "source", repo: str | None = None)
         F.concat_ws("|", F.reverse(F.sort_array(F.collect_set(F.concat(
             F.format_string("%09d", F.length("value")), F.lit("\\Q"), "value", F.lit("\\E")))))).alias("__live"))
     longest_first = F.regexp_replace("__live", r"(^|\|)[0-9]{9}\\Q", r"$1\\Q")
-    marked = docs.withColumn("__uid", F.monotonically_increasing_id()).join(live, "__uid", "left")
+    marked = docs.withColumn("__uid", row_id(docs)).join(live, "__uid", "left")
     text = F.when(F.col("__live").isNull(), F.col("text")).otherwise(
         F.regexp_replace(F.col("text"), longest_first, F.lit(REDACTED)))
     return marked.select(*[(text if c == "text" else F.col(c)).alias(c) for c in docs.columns])

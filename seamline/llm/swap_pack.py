@@ -126,10 +126,10 @@ def local_search(lengths: list[int], bins: list[list[int]], capacity: int = CAPA
         changed = False
         while fill[b] and improve(b):
             changed = True
-        if fill[b]:
-            stuck.add(b)
-        elif changed:
+        if changed:  # every change raises the sum of squared fills, so this ends
             stuck.clear()
+        else:
+            stuck.add(b)
     return [[i for _, i in b] for b in items if b]
 
 
