@@ -5,7 +5,7 @@
 * all tied latest rows (``dense_rank() = 1``) is a rank filter that Spark runs as a partial
   ``WindowGroupLimit`` below the exchange, so only each partition's top rows of a key travel;
 * joins stay equi-joins; sides are broadcast only by Spark's own size check (statistics/AQE),
-  except the theta join, which refuses a right side above a row limit;
+  except the theta join, which is meant for a right side that the schema bounds;
 * anti-joins are ``left_anti`` (never left join + ``is null``).
 """
 
@@ -44,13 +44,10 @@ def conditional_left_join(left: DataFrame, right: DataFrame, cond: Column) -> Da
     return left.join(right, on=cond, how="left")
 
 
-def theta_left_join(left: DataFrame, right: DataFrame, cond: Column, max_right_rows: int = 100_000) -> DataFrame:
-    """Left join on a non-equality condition. The right side is broadcast for a nested-loop join,
-    so its size is checked first (a count of the small side) and a larger side is refused."""
-    n = right.count()
-    if n > max_right_rows:
-        raise ValueError(f"theta join right side has {n} rows (limit {max_right_rows})")
-    return left.join(F.broadcast(right), on=cond, how="left")
+def theta_left_join(left: DataFrame, right: DataFrame, cond: Column) -> DataFrame:
+    """Left join on a non-equality condition. Its output is the feature's own product, so it is meant for
+    a right side that the schema bounds, such as ``region``; Spark plans it, whatever the size."""
+    return left.join(right, on=cond, how="left")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

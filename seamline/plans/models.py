@@ -53,8 +53,8 @@ def account(spark: SparkSession, sf: str) -> DataFrame:
     a = c.join(n, col("c_nationkey") == col("n_nationkey")).join(r, col("n_regionkey") == col("r_regionkey"))
     platform = F.when(col("c_custkey") % 2 == 0, F.lit("Studio")).otherwise(F.lit("Desk"))
     return a.select(
-        col("c_custkey").alias("salesforce_account_id"),
-        col("c_name").alias("salesforce_account_name"),
+        col("c_custkey").alias("account_key"),
+        col("c_name").alias("account_name"),
         col("c_nationkey").alias("nationkey"),
         col("n_regionkey").alias("regionkey"),
         col("c_mktsegment").alias("vertical"),
@@ -70,7 +70,7 @@ def subscription(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     return o.select(
         col("o_orderkey").alias("subscription_id"),
-        col("o_custkey").alias("salesforce_account_id"),
+        col("o_custkey").alias("account_key"),
         F.when(col("o_custkey") % 2 == 0, col("o_custkey")).alias("legacy_studio_id"),
         F.when(col("o_custkey") % 2 == 1, col("o_custkey")).alias("legacy_desk_id"),
         col("o_orderkey").alias("product_instance_id"),
@@ -85,16 +85,16 @@ def subscription(spark: SparkSession, sf: str) -> DataFrame:
 def core_subscription(spark, sf) -> DataFrame:
     """Core subscriptions, all rows tied for the latest per account."""
     core = subscription(spark, sf).filter(col("is_core_software"))
-    key = F.coalesce(col("salesforce_account_id"), col("legacy_studio_id"), col("legacy_desk_id"))
+    key = F.coalesce(col("account_key"), col("legacy_studio_id"), col("legacy_desk_id"))
     return rel.latest_ties(core, key, [col("effective_end_date").desc_nulls_last(),
                                        col("effective_start_date").desc_nulls_last()])
 
 
 def classification(spark, sf) -> DataFrame:
     """The latest order (by date, then key) per account."""
-    s = subscription(spark, sf).select("salesforce_account_id", col("product_name").alias("account_classification"),
+    s = subscription(spark, sf).select("account_key", col("product_name").alias("account_classification"),
                                        "effective_end_date", "subscription_id")
-    return rel.latest_row(s, ["salesforce_account_id"], [col("effective_end_date"), col("subscription_id")])
+    return rel.latest_row(s, ["account_key"], [col("effective_end_date"), col("subscription_id")])
 
 
 def id_map(spark, sf) -> DataFrame:
@@ -102,41 +102,41 @@ def id_map(spark, sf) -> DataFrame:
     return s.groupBy(col("s_nationkey").alias("nationkey")).agg(
         F.min("s_suppkey").alias("studio_id"),
         F.max("s_suppkey").alias("location_id"),
-        F.min("s_name").alias("zuora_id"),
-        F.min(F.when(col("s_acctbal") > 0, col("s_suppkey"))).alias("aria_id"),
+        F.min("s_name").alias("billing_ref"),
+        F.min(F.when(col("s_acctbal") > 0, col("s_suppkey"))).alias("legacy_billing_ref"),
     )
 
 
 def legacy(spark, sf) -> DataFrame:
     """Accounts without any core subscription."""
     # distinct keys: a key with millions of core rows is one row per map task before the shuffle
-    core = subscription(spark, sf).filter(col("is_core_software")).select("salesforce_account_id").distinct()
-    return rel.anti_join(account(spark, sf), core, "salesforce_account_id")
+    core = subscription(spark, sf).filter(col("is_core_software")).select("account_key").distinct()
+    return rel.anti_join(account(spark, sf), core, "account_key")
 
 
 def customers(spark, sf) -> DataFrame:
     """Account ⋈ latest core subscription ⟕ id map ⟕ classification, for the listed countries."""
     a = account(spark, sf)
     core = core_subscription(spark, sf).select(
-        "salesforce_account_id", "subscription_id", "product_instance_id", "product_name", "effective_start_date")
+        "account_key", "subscription_id", "product_instance_id", "product_name", "effective_start_date")
     m = id_map(spark, sf)
-    cl = classification(spark, sf).select("salesforce_account_id", "account_classification")
+    cl = classification(spark, sf).select("account_key", "account_classification")
     return (a.filter(col("country").isin(*COUNTRIES))
-            .join(core, "salesforce_account_id", "inner")
+            .join(core, "account_key", "inner")
             .join(m, "nationkey", "left")
-            .join(cl, "salesforce_account_id", "left"))
+            .join(cl, "account_key", "left"))
 
 
 # ---------------------------------------------------------------- Q1 customer dimension
 
 DIM_SCHEMA = T.StructType([
     T.StructField("customer_id", T.StringType()),
-    T.StructField("salesforce_account_id", T.LongType()),
+    T.StructField("account_key", T.LongType()),
     T.StructField("product_instance_id", T.LongType()),
     T.StructField("platform", T.StringType()),
-    T.StructField("is_eos_migrated", T.BooleanType()),
+    T.StructField("is_migrated", T.BooleanType()),
     T.StructField("studio_ref_id", T.StringType()),
-    T.StructField("aria_id", T.LongType()),
+    T.StructField("legacy_billing_ref", T.LongType()),
     T.StructField("studio_site_id", T.LongType()),
     T.StructField("studio_location_id", T.LongType()),
     T.StructField("desk_location_id", T.LongType()),
@@ -150,26 +150,26 @@ DIM_SCHEMA = T.StructType([
     T.StructField("most_recent_account_classification", T.StringType()),
     T.StructField("most_recent_core_product_name", T.StringType()),
     T.StructField("most_recent_core_start_date", T.DateType()),
-    T.StructField("legacy_studio_sfdc_account_id", T.LongType()),
-    T.StructField("legacy_desk_sfdc_account_id", T.LongType()),
+    T.StructField("legacy_studio_account", T.LongType()),
+    T.StructField("legacy_desk_account", T.LongType()),
 ])
 
 
 def migrated_branch(spark, sf) -> DataFrame:
     c = customers(spark, sf)
-    is_mb = col("platform") == "Studio"
+    on_studio = col("platform") == "Studio"
     return c.select(
         fm.surrogate_key("platform", F.coalesce(fm.to_varchar("studio_id"), fm.to_varchar("product_instance_id")),
                          "location_id").alias("customer_id"),
-        "salesforce_account_id", "product_instance_id", "platform",
-        F.lit(True).alias("is_eos_migrated"),
-        fm.iff(is_mb, F.coalesce(fm.to_varchar("aria_id"), col("zuora_id")), F.lit(None)).alias("studio_ref_id"),
-        "aria_id",
+        "account_key", "product_instance_id", "platform",
+        F.lit(True).alias("is_migrated"),
+        fm.iff(on_studio, F.coalesce(fm.to_varchar("legacy_billing_ref"), col("billing_ref")), F.lit(None)).alias("studio_ref_id"),
+        "legacy_billing_ref",
         col("studio_id").alias("studio_site_id"),
         col("location_id").alias("studio_location_id"),
         fm.iff(col("platform") == "Desk", col("product_instance_id"), F.lit(None)).alias("desk_location_id"),
         "subscription_id",
-        col("salesforce_account_name").alias("customer_name"),
+        col("account_name").alias("customer_name"),
         fm.vertical("vertical").alias("customer_vertical"),
         fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
         col("country").alias("customer_country"),
@@ -178,8 +178,8 @@ def migrated_branch(spark, sf) -> DataFrame:
         col("account_classification").alias("most_recent_account_classification"),
         col("product_name").alias("most_recent_core_product_name"),
         col("effective_start_date").alias("most_recent_core_start_date"),
-        col("legacy_studio_id").alias("legacy_studio_sfdc_account_id"),
-        col("legacy_desk_id").alias("legacy_desk_sfdc_account_id"),
+        col("legacy_studio_id").alias("legacy_studio_account"),
+        col("legacy_desk_id").alias("legacy_desk_account"),
     )
 
 
@@ -189,27 +189,27 @@ def legacy_branches(spark, sf) -> DataFrame:
     A Studio row needs a map match (the inner join of its branch); a Desk row does not."""
     m = id_map(spark, sf).withColumn("_mapped", F.lit(True))
     j = legacy(spark, sf).join(m, "nationkey", "left")
-    mb = col("platform") == "Studio"
-    j = j.filter(~mb | col("_mapped").isNotNull())
+    on_studio = col("platform") == "Studio"
+    j = j.filter(~on_studio | col("_mapped").isNotNull())
     return j.select(
-        F.when(mb, fm.surrogate_key("platform", "studio_id", "location_id"))
+        F.when(on_studio, fm.surrogate_key("platform", "studio_id", "location_id"))
         .otherwise(fm.surrogate_key("platform", "legacy_desk_id")).alias("customer_id"),
-        "salesforce_account_id",
-        F.when(mb, col("legacy_studio_id")).otherwise(col("legacy_desk_id")).alias("product_instance_id"),
-        F.when(mb, F.lit("Studio")).otherwise(F.lit("Desk")).alias("platform"),
-        F.lit(False).alias("is_eos_migrated"),
-        F.when(mb, F.coalesce(fm.to_varchar("legacy_studio_id"), col("zuora_id"))).alias("studio_ref_id"),
-        F.when(mb, col("studio_id")).alias("studio_site_id"),
-        F.when(mb, col("location_id")).alias("studio_location_id"),
-        F.when(~mb, col("legacy_desk_id")).alias("desk_location_id"),
-        col("salesforce_account_name").alias("customer_name"),
+        "account_key",
+        F.when(on_studio, col("legacy_studio_id")).otherwise(col("legacy_desk_id")).alias("product_instance_id"),
+        F.when(on_studio, F.lit("Studio")).otherwise(F.lit("Desk")).alias("platform"),
+        F.lit(False).alias("is_migrated"),
+        F.when(on_studio, F.coalesce(fm.to_varchar("legacy_studio_id"), col("billing_ref"))).alias("studio_ref_id"),
+        F.when(on_studio, col("studio_id")).alias("studio_site_id"),
+        F.when(on_studio, col("location_id")).alias("studio_location_id"),
+        F.when(~on_studio, col("legacy_desk_id")).alias("desk_location_id"),
+        col("account_name").alias("customer_name"),
         fm.vertical("vertical").alias("customer_vertical"),
         fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
         col("country").alias("customer_country"),
         fm.legacy_region("region").alias("customer_region"),
         fm.legacy_region_rollup("region").alias("customer_region_rollup"),
-        F.when(mb, col("legacy_studio_id")).alias("legacy_studio_sfdc_account_id"),
-        F.when(~mb, col("legacy_desk_id")).alias("legacy_desk_sfdc_account_id"),
+        F.when(on_studio, col("legacy_studio_id")).alias("legacy_studio_account"),
+        F.when(~on_studio, col("legacy_desk_id")).alias("legacy_desk_account"),
     )
 
 
@@ -241,7 +241,7 @@ def subscriptions_monthly(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
     amount = col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - col("l_discount").cast("decimal(4,2)"))
     lines = (li.join(p, col("l_partkey") == col("p_partkey"))
              .join(o, col("l_orderkey") == col("o_orderkey"))
-             .select("l_orderkey", "l_linenumber", col("o_custkey").alias("salesforce_account_id"),
+             .select("l_orderkey", "l_linenumber", col("o_custkey").alias("account_key"),
                      month.alias("accounting_month"), amount.alias("monthly_recurring_bookings_usd"),
                      group.alias("product_group"), category.alias("product_category"),
                      (col("l_linestatus") == "O").alias("is_active_subscriber"),
@@ -264,7 +264,7 @@ def desk_accounts(spark, sf) -> DataFrame:
     platform = F.when(col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"), F.lit("Desk")).otherwise("Studio")
     return (c.filter(platform == "Desk")
             .join(n, col("c_nationkey") == col("n_nationkey")).join(r, col("n_regionkey") == col("r_regionkey"))
-            .select(col("c_custkey").alias("salesforce_account_id"), col("n_name").alias("top_hierarchy_account_name"),
+            .select(col("c_custkey").alias("account_key"), col("n_name").alias("top_hierarchy_account_name"),
                     col("n_nationkey").alias("top_hierarchy_account_id"), col("r_name").alias("top_hierarchy_type")))
 
 
@@ -272,10 +272,10 @@ def desk_rev_consolidated(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
     """Sum by the first five columns. The lines are summed per (account, month) first, so the
     join to the account hierarchy sees one row per account and month instead of one per line."""
     lines = subscriptions_monthly(spark, sf, as_of)
-    per_month = lines.groupBy("salesforce_account_id", "accounting_month").agg(
+    per_month = lines.groupBy("account_key", "accounting_month").agg(
         F.sum("monthly_recurring_bookings_usd").alias("amount"))
-    j = per_month.join(desk_accounts(spark, sf), "salesforce_account_id")
-    shaped = j.select("salesforce_account_id", "accounting_month", "top_hierarchy_account_name",
+    j = per_month.join(desk_accounts(spark, sf), "account_key")
+    shaped = j.select("account_key", "accounting_month", "top_hierarchy_account_name",
                       "top_hierarchy_account_id", "top_hierarchy_type", "amount")
     return rel.group_sum_first(shaped, 5, {"desk_mrr": col("amount")})
 
@@ -343,47 +343,47 @@ def q3_activity(spark, sf) -> DataFrame:
 
 
 def m05_filters(spark, sf):
-    return subscriptions_monthly(spark, sf).select("l_orderkey", "l_linenumber", "salesforce_account_id",
+    return subscriptions_monthly(spark, sf).select("l_orderkey", "l_linenumber", "account_key",
                                                    "accounting_month")
 
 
 def m08_in_lists(spark, sf):
     a = account(spark, sf)
     return a.filter(col("vertical").isin("BUILDING", "MACHINERY") & ~col("country").isin("NATION_0", "NATION_1")) \
-        .select("salesforce_account_id", "vertical", "country")
+        .select("account_key", "vertical", "country")
 
 
 def m11_inner(spark, sf):
-    core = subscription(spark, sf).filter(col("is_core_software")).select("salesforce_account_id", "subscription_id",
+    core = subscription(spark, sf).filter(col("is_core_software")).select("account_key", "subscription_id",
                                                                           "effective_end_date")
-    return account(spark, sf).select("salesforce_account_id", "platform").join(core, "salesforce_account_id", "inner")
+    return account(spark, sf).select("account_key", "platform").join(core, "account_key", "inner")
 
 
 def m12_left_lookup(spark, sf):
-    a = account(spark, sf).select("salesforce_account_id", "nationkey")
-    return a.join(id_map(spark, sf), "nationkey", "left").select("salesforce_account_id", "studio_id", "location_id")
+    a = account(spark, sf).select("account_key", "nationkey")
+    return a.join(id_map(spark, sf), "nationkey", "left").select("account_key", "studio_id", "location_id")
 
 
 def m13_conditional_left(spark, sf):
-    a = account(spark, sf).select("salesforce_account_id", "nationkey", "region")
+    a = account(spark, sf).select("account_key", "nationkey", "region")
     m = id_map(spark, sf).withColumnRenamed("nationkey", "m_nationkey")
     j = rel.conditional_left_join(a, m, (col("nationkey") == col("m_nationkey")) & (col("region") == "ASIA"))
-    return j.select("salesforce_account_id", "region", "studio_id")
+    return j.select("account_key", "region", "studio_id")
 
 
 def m14_anti(spark, sf):
-    return legacy(spark, sf).select("salesforce_account_id", "platform")
+    return legacy(spark, sf).select("account_key", "platform")
 
 
 def m16_theta(spark, sf):
-    a = account(spark, sf).select("salesforce_account_id", "regionkey")
+    a = account(spark, sf).select("account_key", "regionkey")
     r = read_table(spark, sf, "region").select("r_regionkey", col("r_name").alias("other_region"))
-    j = rel.theta_left_join(a, r, col("regionkey") != col("r_regionkey"), max_right_rows=1000)
-    return j.select("salesforce_account_id", "other_region")
+    j = rel.theta_left_join(a, r, col("regionkey") != col("r_regionkey"))
+    return j.select("account_key", "other_region")
 
 
 def m17_star(spark, sf):
-    return customers(spark, sf).select("salesforce_account_id", "subscription_id", "studio_id",
+    return customers(spark, sf).select("account_key", "subscription_id", "studio_id",
                                        "account_classification", "country")
 
 
@@ -396,13 +396,13 @@ def m22_latest_row(spark, sf):
 
 
 def m23_latest_ties(spark, sf):
-    return core_subscription(spark, sf).select("salesforce_account_id", "subscription_id", "effective_end_date",
+    return core_subscription(spark, sf).select("account_key", "subscription_id", "effective_end_date",
                                                "effective_start_date")
 
 
 def m24_union_branches(spark, sf):
-    return q1_customer_dim(spark, sf).select("customer_id", "platform", "is_eos_migrated", "salesforce_account_id",
-                                             "aria_id", "desk_location_id")
+    return q1_customer_dim(spark, sf).select("customer_id", "platform", "is_migrated", "account_key",
+                                             "legacy_billing_ref", "desk_location_id")
 
 
 def _pages(spark, sf):
@@ -448,15 +448,15 @@ def m36_months(spark, sf):
 
 def m37_surrogate_key(spark, sf):
     a = account(spark, sf)
-    return a.select("salesforce_account_id",
-                    fm.surrogate_key("platform", "salesforce_account_id", "nationkey", "legacy_studio_id")
+    return a.select("account_key",
+                    fm.surrogate_key("platform", "account_key", "nationkey", "legacy_studio_id")
                     .alias("customer_id"))
 
 
 def m38_value_maps(spark, sf):
     a = account(spark, sf)
     return a.select(
-        "salesforce_account_id",
+        "account_key",
         fm.vertical("vertical").alias("customer_vertical"),
         fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
         fm.region("region").alias("customer_region"),

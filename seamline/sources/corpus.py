@@ -20,56 +20,14 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_TABLES: dict = {}
-
-
-def _session_key(spark: SparkSession) -> int:
-    return id(getattr(spark, "_jsparkSession", spark))
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Model reference: a named table of the warehouse, read as parquet.
-
-    The DataFrame is kept per session and path (tables are treated as immutable while a session
-    builds plans; ``clear_table_cache`` forgets them). Reusing one relation also lets Spark reuse
-    exchanges between branches that read the same table.
-    """
-    key = (_session_key(spark), table_path(sf_dir, name))
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(key[1])
-    return df
-
-
-def clear_table_cache() -> None:
-    _TABLES.clear()
-    _BOUNDS.clear()
-
-
-SMALL_SOURCE_BYTES = 1 << 30
-
-
-def ensure_parallelism(df: DataFrame, key: str, small_bytes: int = SMALL_SOURCE_BYTES) -> DataFrame:
-    """Spread a small source over all cores before the work on it starts.
-
-    A source whose estimated size (Spark's plan statistics, from file sizes) is below
-    ``small_bytes`` may sit in one parquet row group, i.e. one task however many splits the scan
-    reports; it is hash-partitioned on ``key`` (a shuffle of at most ``small_bytes``). A larger
-    source is read in many splits already and is returned unchanged, with no shuffle.
-    """
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no JVM handle (Spark Connect): keep the source's own splits
-        return df
-    if size >= small_bytes:
-        return df
-    return df.repartition(cores, key)
+    """Model reference: a named table of the warehouse, read as parquet."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table as ``(doc_id, text)``; only the two columns reach the scan."""
-    return ensure_parallelism(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
@@ -107,28 +65,18 @@ def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of ``documents``. ``n_chars`` (the text length) bounds the lines of a document by
-    ``n_chars + 1``; its maximum is read from that one column (the texts are not touched), so the
-    scans know when no document spans two chunks."""
-    bound = max_chars_bound(spark, table_path(sf_dir, "documents"))
-    return with_line_bound(lines_from_text(read_documents(spark, sf_dir)), bound)
-
-
-_BOUNDS: dict = {}
-
+def most_lines(docs: DataFrame, text_col: str = "text") -> int:
+    """An upper bound on the lines of any document, from the texts themselves: one more than their
+    line breaks. A column such as ``n_chars`` may be null or stale and is never consulted."""
+    t = F.col(text_col)
+    row = docs.agg(F.max(F.length(t) - F.length(F.translate(t, "\r\n", ""))).alias("m")).first()
+    return (row["m"] or 0) + 1
 
-def max_chars_bound(spark: SparkSession, path: str) -> int | None:
-    key = (_session_key(spark), path)
-    if key not in _BOUNDS:
-        _BOUNDS[key] = _max_chars_bound(spark, path)
-    return _BOUNDS[key]
 
-
-def _max_chars_bound(spark: SparkSession, path: str) -> int | None:
-    # only the n_chars column is read (parquet column pruning); the texts are not touched
-    row = spark.read.parquet(path).agg(F.max("n_chars").alias("m")).first()
-    return None if row is None or row["m"] is None else int(row["m"]) + 1
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of ``documents``, with the bound that one pass over the texts gives."""
+    docs = read_documents(spark, sf_dir)
+    return with_line_bound(lines_from_text(docs), most_lines(docs))
 
 
 # The derived SQL corpus template (one document per customer, 35 lines).
@@ -188,8 +136,8 @@ def sql_documents(customer: DataFrame) -> DataFrame:
 
 
 def sql_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = ensure_parallelism(read_table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
-    return with_line_bound(lines_from_text(sql_documents(keys)), len(SQL_TEMPLATE))
+    docs = sql_documents(read_table(spark, sf_dir, "customer").select("c_custkey"))
+    return with_line_bound(lines_from_text(docs), most_lines(docs))
 
 
 def sql_template_values_sql() -> str:

@@ -70,3 +70,23 @@ def test_split_and_strip_match_python_on_random_text(spark):
     rows = df.select("s", tx.strip("s").alias("st"), tx.lstrip("s").alias("ls"), tx.is_blank("s").alias("b")).collect()
     for r in rows:
         assert r.st == r.s.strip() and r.ls == r.s.lstrip() and r.b == (r.s.strip() == ""), repr(r.s)
+
+
+def test_line_bound_ignores_the_n_chars_column(spark, tmp_path):
+    from seamline.operators.lint import run_rules
+    from seamline.operators.scan import line_bound
+    from seamline.sources.corpus import document_lines
+
+    text = "\n".join(["from a", "join b", "x"] * 8)
+    rows = [(1, text, None), (2, text, 1), (3, None, None)]
+    path = tmp_path / "documents.parquet"
+    spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(str(path))
+    lines = document_lines(spark, str(tmp_path))
+    assert line_bound(lines) == 24
+    whole = sorted(map(tuple, run_rules(lines, ["L04", "L22"]).collect()), key=str)
+    spark.conf.set("seamline.scan.chunkLines", "5")
+    try:
+        cut = sorted(map(tuple, run_rules(document_lines(spark, str(tmp_path)), ["L04", "L22"]).collect()), key=str)
+    finally:
+        spark.conf.unset("seamline.scan.chunkLines")
+    assert whole == cut

@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 
@@ -17,7 +19,9 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle():
     import __spark_entry__ as e
 
-    assert set(e.queries()) == set(e.oracle_sql())
+    own = {n for n in e.queries() if not re.match(r"op\d+_|pipeline$", n)}
+    assert own == {n for n in e.oracle_sql() if not re.match(r"op\d+_", n)}
+    assert set(e.oracle_sql()) <= set(e.queries())
 
 
 @pytest.mark.parametrize("name", ["l01_long_line", "l14_all_cols", "l31_case_end", "l10_bracket_pairs",
