@@ -67,7 +67,7 @@ BEFORE = "OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PREC
 
 def sql_lines_cte(name: str = "src") -> str:
     return (
-        f"{name} AS (SELECT c.c_custkey AS doc_id, CAST(tpl.line_no AS INTEGER) AS line_no, "
+        f"{name} AS MATERIALIZED (SELECT c.c_custkey AS doc_id, CAST(tpl.line_no AS INTEGER) AS line_no, "
         f"CASE WHEN tpl.r >= 0 AND c.c_custkey % tpl.k = tpl.r THEN tpl.variant ELSE tpl.base END AS line, "
         f"tpl.line_no < 35 AS eol, 35 AS n_lines FROM customer c, {sql_template_values_sql()})"
     )
@@ -79,7 +79,7 @@ def doc_lines_cte(name: str = "src", table: str = "documents", id_col: str = "do
         f"{name}_t AS (SELECT {id_col} AS doc_id, regexp_replace({text_col}, '\\r\\n?', {nl}, 'g') AS t FROM {table}), "
         f"{name}_p AS (SELECT doc_id, t, CASE WHEN t = '' THEN []::VARCHAR[] ELSE string_split("
         f"CASE WHEN ends_with(t, {nl}) THEN substr(t, 1, length(t) - 1) ELSE t END, {nl}) END AS parts FROM {name}_t), "
-        f"{name} AS (SELECT doc_id, CAST(u.i AS INTEGER) AS line_no, u.line AS line, "
+        f"{name} AS MATERIALIZED (SELECT doc_id, CAST(u.i AS INTEGER) AS line_no, u.line AS line, "
         f"(u.i < len(parts)) OR ends_with(t, {nl}) AS eol, CAST(len(parts) AS INTEGER) AS n_lines "
         f"FROM {name}_p, unnest(parts) WITH ORDINALITY AS u(line, i))"
     )
