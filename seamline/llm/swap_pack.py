@@ -83,7 +83,6 @@ def local_search(lengths: list[int], bins: list[list[int]], capacity: int = CAPA
     """Empty underfull bins by moves and exchanges that raise the sum of squared fills."""
     fill = [sum(lengths[i] for i in b) for b in bins]
     items = [sorted((lengths[i], i) for i in b) for b in bins]
-    stuck: set[int] = set()
 
     def give(b: int, a: int, out: list[tuple[int, int]], back: tuple[int, int] | None) -> None:
         for x in out:
@@ -96,40 +95,38 @@ def local_search(lengths: list[int], bins: list[list[int]], capacity: int = CAPA
         fill[b] -= moved
         fill[a] += moved
 
-    def improve(b: int) -> bool:
-        """One change that takes tokens from bin b to a bin at least as full."""
-        others = sorted((a for a in range(len(bins)) if a != b and fill[b] <= fill[a] < capacity), key=lambda a: -fill[a])
-        singles = [[x] for x in dict((x[0], x) for x in reversed(items[b])).values()]
+    def improve(b: int, others: list[int]) -> bool:
+        """One change that takes tokens from bin b to one of the others that is at least as full."""
         own = items[b]
+        singles = [[x] for x in dict((x[0], x) for x in reversed(own)).values()]
         pairs = [[own[i], own[j]] for i in range(len(own)) for j in range(i + 1, len(own))] if len(own) <= 24 else []
         for out in singles:  # move a document
             for a in others:
-                if fill[a] + out[0][0] <= capacity:
+                if fill[b] <= fill[a] and fill[a] + out[0][0] <= capacity:
                     give(b, a, out, None)
                     return True
         for out in singles + pairs:  # exchange one or two documents for one
             size = sum(x[0] for x in out)
             for a in others:
-                at = bisect_left(items[a], (size - (capacity - fill[a]), -1))
-                if at < len(items[a]) and items[a][at][0] < size:
-                    give(b, a, out, items[a][at])
-                    return True
+                if fill[b] <= fill[a] < capacity:
+                    at = bisect_left(items[a], (size - (capacity - fill[a]), -1))
+                    if at < len(items[a]) and items[a][at][0] < size:
+                        give(b, a, out, items[a][at])
+                        return True
         return False
 
-    total = sum(fill)
-    least = -(-total // capacity)
-    while sum(f > 0 for f in fill) > least:
-        open_bins = [b for b in range(len(bins)) if 0 < fill[b] < capacity and b not in stuck]
-        if not open_bins:
-            break
-        b = min(open_bins, key=lambda k: (fill[k], k))
-        changed = False
-        while fill[b] and improve(b):
-            changed = True
-        if changed:  # every change raises the sum of squared fills, so this ends
-            stuck.clear()
-        else:
-            stuck.add(b)
+    least = -(-sum(fill) // capacity)
+    changed = True
+    while changed and sum(f > 0 for f in fill) > least:
+        changed = False  # every change raises the sum of squared fills, so this ends
+        for b in sorted(range(len(bins)), key=lambda k: (fill[k], k)):
+            if not 0 < fill[b] < capacity:
+                continue
+            others = sorted((a for a in range(len(bins)) if a != b and fill[b] <= fill[a] < capacity), key=lambda a: -fill[a])
+            while fill[b] and improve(b, others):
+                changed = True
+            if not fill[b] and sum(f > 0 for f in fill) <= least:
+                break
     return [[i for _, i in b] for b in items if b]
 
 
