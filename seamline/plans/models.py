@@ -375,6 +375,16 @@ def m14_anti(spark, sf):
     return legacy(spark, sf).select("account_key", "platform")
 
 
+def m28_nested_case(spark, sf):
+    """An outer case on the segment whose branches are cases of their own; no inner match gives null."""
+    owing, near = col("c_acctbal") < 0, col("c_nationkey") < 5
+    inner = F.when(owing, "building owing").when(near, "building near").otherwise("building")
+    large = F.when(col("c_acctbal") >= 5000, "industry large")
+    segment = (F.when(col("c_mktsegment") == "BUILDING", inner)
+               .when(col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"), large).otherwise("other"))
+    return read_table(spark, sf, "customer").select("c_custkey", segment.alias("customer_group"))
+
+
 def m16_theta(spark, sf):
     a = account(spark, sf).select("account_key", "regionkey")
     r = read_table(spark, sf, "region").select("r_regionkey", col("r_name").alias("other_region"))
@@ -470,7 +480,7 @@ def queries() -> dict:
     return {
         "m05_filters": m05_filters, "m08_in_lists": m08_in_lists, "m11_inner": m11_inner,
         "m12_left_lookup": m12_left_lookup, "m13_conditional_left": m13_conditional_left, "m14_anti": m14_anti,
-        "m16_theta": m16_theta, "m17_star": m17_star, "m19_group_sum": m19_group_sum,
+        "m16_theta": m16_theta, "m28_nested_case": m28_nested_case, "m17_star": m17_star, "m19_group_sum": m19_group_sum,
         "m22_latest_row": m22_latest_row, "m23_latest_ties": m23_latest_ties, "m24_union_branches": m24_union_branches,
         "m29_patterns": m29_patterns, "m32_split_part": m32_split_part, "m35_numeric_filter": m35_numeric_filter,
         "m36_months": m36_months, "m37_surrogate_key": m37_surrogate_key, "m38_value_maps": m38_value_maps,
