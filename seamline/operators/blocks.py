@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import select_eol, with_features
+from ..session import cut_lineage
+from .features import line_events, with_features
 
 
 def select_blocks(lines: DataFrame) -> DataFrame:
     """``doc_id, select_line, first_line, last_line`` per ``select`` line. A block without a later
     ``' from '`` runs to the last line of the document. Blocks may overlap."""
-    feat = with_features(lines, ["fromsp_after"])
-    return feat.filter(select_eol()).select(
+    needs = ["fromsp_after", "t_select_eol"]
+    feat = with_features(cut_lineage(line_events(lines, needs)), needs)
+    return feat.filter(F.col("t_select_eol")).select(
         "doc_id",
         F.col("line_no").alias("select_line"),
         (F.col("line_no") + 1).alias("first_line"),

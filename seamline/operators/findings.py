@@ -4,10 +4,9 @@
 per violation; ``anchor_no`` is the line the rule compared against (null when none) and ``detail``
 says which sub-check fired when a rule has several.
 
-A line rule is declared as a :class:`Rule`: the scan features it needs (see ``features.py``) and a
-column that gives the array of findings on a line. Running one rule or all of them is then the
-same plan: build the requested features in one scan, turn each line into its findings with
-``explode``. All line rules therefore share one exchange on ``(doc_id, chunk)``.
+A line rule is declared as a :class:`Rule`: the values it needs (neighbours, line tests, scan
+features; see ``features.py``) and a column that gives the array of findings on a line. Rules of
+one line and its neighbours share a narrow pass; anchor and document rules share one scan.
 """
 
 from __future__ import annotations
@@ -76,6 +75,7 @@ class Rule:
     needs: tuple[str, ...]
     findings: Callable[[], Column]
     default: bool = True
+    every_line: bool = False  # may fire on a line on which none of the tests in ``needs`` holds
 
 
 def explode_findings(df: DataFrame, arr: Column) -> DataFrame:

@@ -1,7 +1,7 @@
 """Run style rules over a corpus of line-structured texts.
 
-``run_rules`` evaluates any set of line rules in one pass (one exchange); ``lint`` adds the bracket
-rules and the document rules and returns the whole ``findings`` table.
+``run_rules`` evaluates any set of rules; ``lint`` adds the bracket rules and the document rules and
+returns the whole ``findings`` table; ``lint_texts`` starts from whole texts.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .features import with_features
+from ..session import cut_lineage
+from ..sources.corpus import lines_from_text
+from .features import NEIGHBOURS, line_events, with_features, with_neighbours
 from .findings import Rule, concat_hits, explode_findings, findings_array, union_findings
 from .rules_doc import DOC_RULES
 from .rules_line import LINE_RULES
-from .rules_nesting import nesting_findings
+from .rules_nesting import BRACKET_COLUMNS, bracket_columns, bracket_events_of, nesting_findings_of
 from .rules_window import WINDOW_RULES
 
 RULES: dict[str, Rule] = {r.rule_id: r for r in LINE_RULES + WINDOW_RULES + DOC_RULES}
@@ -32,37 +34,74 @@ def rules_features(rule_ids: Iterable[str]) -> set[str]:
     return needs
 
 
-def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None, options: dict | None = None) -> DataFrame:
-    """Findings of the given line rules (default set when None), from one wide scan.
+def neighbours_of(rule_ids: Iterable[str] | None = None) -> list[str]:
+    """The neighbour values that the rules (default set when None) read; give them to
+    ``lines_from_text`` so that they cost no shuffle."""
+    ids = DEFAULT_RULES if rule_ids is None else rule_ids
+    return sorted(n for n in rules_features(ids) if n in NEIGHBOURS)
+
+
+def _is_local(rule_id: str) -> bool:
+    return all(n in NEIGHBOURS for n in RULES[rule_id].needs)
+
+
+def _evaluate(df: DataFrame, ids: list[str], options: dict | None) -> DataFrame:
+    return explode_findings(df, findings_array(concat_hits(*[RULES[i].findings(options) for i in ids])))
+
+
+def _local_rules(lines: DataFrame, ids: list[str], options: dict | None) -> DataFrame:
+    """Rules of one line and its neighbours: narrow when ``lines`` holds the neighbour values."""
+    plain = [i for i in ids if not RULES[i].needs]
+    near = [i for i in ids if RULES[i].needs]
+    needs = neighbours_of(near)
+    if all(n in lines.columns for n in needs):
+        return _evaluate(lines, ids, options)
+    frames = [_evaluate(lines, plain, options)] if plain else []
+    return union_findings([*frames, _evaluate(with_neighbours(lines, needs), near, options)])
+
+
+def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None, options: dict | None = None,
+              nesting: Iterable[str] = ()) -> DataFrame:
+    """Findings of the given line and document rules (default set when None).
+
+    Rules of one line and its neighbours run in a narrow pass over ``lines``. The others, and the
+    bracket rules named in ``nesting``, read one narrow frame of line events, which is stored
+    in the shared checkpoint folder before any scan. ``lines`` is therefore read at most twice.
 
     ``options``: ``agg_tokens`` (L16, default sum(/min(/max(), ``join_rewrite`` (L05, default
     'inner join'), ``with_match`` (L08: "line" = the stripped line is ``with``, the default;
     "contains" = the line contains ``with``).
     """
     ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
-    feat = with_features(lines, rules_features(ids), options)
-    arr = findings_array(concat_hits(*[RULES[i].findings(options) for i in ids]))
-    return explode_findings(feat, arr)
+    nesting = tuple(nesting)
+    local = [i for i in ids if _is_local(i)]
+    anchored = [i for i in ids if not _is_local(i)]
+    frames = [_local_rules(lines, local, options)] if local else []
+    if anchored or nesting:
+        needs = rules_features(anchored)
+        events = cut_lineage(line_events(lines, needs, options, any(RULES[i].every_line for i in anchored),
+                                         bracket_columns() if nesting else None))
+        if anchored:
+            frames.append(_evaluate(with_features(events.drop(*BRACKET_COLUMNS), needs), anchored, options))
+        if nesting:
+            found = nesting_findings_of(bracket_events_of(events))
+            frames.append(found.filter(found.rule_id.isin(*nesting)))
+    return union_findings(frames)
 
 
 def lint(lines: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Iterable[str] = ("L10b", "L11"),
          documents: bool = True, options: dict | None = None) -> DataFrame:
-    """All findings: line rules, document rules (L19, L20) and bracket rules (``nesting``: L10b, L11).
-
-    Line and document rules come from one wide scan (the document counts are whole-document sums
-    of that scan); the bracket rules are a second pass over the lines.
-    """
+    """All findings: line rules, document rules (L19, L20) and bracket rules (``nesting``: L10b, L11)."""
     ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
     if documents:
         ids += [r for r in DOCUMENT_RULES if r not in ids]
-    frames = [run_rules(lines, ids, options)]
-    nesting = tuple(nesting)
-    if nesting:
-        nf = nesting_findings(lines)
-        if set(nesting) != {"L10b", "L11"}:
-            nf = nf.filter(nf.rule_id.isin(*nesting))
-        frames.append(nf)
-    return union_findings(frames)
+    return run_rules(lines, ids, options, nesting)
+
+
+def lint_texts(docs: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Iterable[str] = ("L10b", "L11"),
+               documents: bool = True, options: dict | None = None) -> DataFrame:
+    """``lint`` over ``(doc_id, text)``; neighbour rules read the split text and need no shuffle."""
+    return lint(lines_from_text(docs, neighbours=neighbours_of(rule_ids)), rule_ids, nesting, documents, options)
 
 
 # Titles of the rules computed outside the line-rule registry.

@@ -46,7 +46,7 @@ def missing_final(lines: DataFrame) -> DataFrame:
 
 
 def _first_line():
-    return F.col("line_no") == 1
+    return F.col("t_first")
 
 
 def _l19(opts=None):
@@ -60,6 +60,6 @@ def _l20(opts=None):
 # The same rules inside the wide scan: the counts are whole-document sums (scan ``Total``) and the
 # finding is emitted once, on line 1 of the document.
 DOC_RULES = [
-    Rule("L19", "one model referenced and a CTE used", ("n_ref", "n_with"), _l19),
-    Rule("L20", "several models referenced and no final CTE", ("n_ref", "n_final"), _l20),
+    Rule("L19", "one model referenced and a CTE used", ("n_ref", "n_with", "t_first"), _l19),
+    Rule("L20", "several models referenced and no final CTE", ("n_ref", "n_final", "t_first"), _l20),
 ]

@@ -11,55 +11,58 @@ needs no per-document loop:
   event of its level: ``lead`` over ``(doc_id, chunk, level)``, and for the last event of a level
   in a chunk, the first event of that level in a later chunk (a small carry table).
 
-Every window is partitioned by ``(doc_id, n_lines, chunk, ...)``, the partitioning of the first
-scan, so the whole plan has one exchange on the events (plus the carry branch for documents that
-span several chunks).
+Every window is partitioned by ``(doc_id, n_lines, chunk, ...)``. Each step with a carry reads its input
+twice, so events and depths are stored in the shared checkpoint folder; the texts are read once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scan import KEY, Prefix, chunk_lines_of, line_bound, scan
+from ..session import cut_lineage
+from .features import line_events
+from .scan import KEY, Prefix, chunk_lines_of, scan
 
 EVENT_ORDER = ("line_no", "k")
 
 
-def bracket_events(lines: DataFrame) -> DataFrame:
-    """One row per bracket: ``doc_id, n_lines, line_no, k, is_open, as_before, col0, line_sp, pre``.
+BRACKET_COLUMNS = ("brackets", "line_sp")
 
-    ``pre`` is the text between the previous bracket of the line (or the line start) and this one,
-    ``as_before`` says the four characters before the bracket are ``' as '``, ``col0`` that the
-    bracket is the first character of its line, ``line_sp`` that its line starts with a space.
-    """
+
+def bracket_columns() -> dict[str, Column]:
+    """``brackets``: per bracket of the line ``is_open``, ``as_before`` (the four characters before it are
+    ``' as '``) and ``col0`` (it is the first character); ``line_sp``: the line starts with a space. Both
+    are null on a line without brackets."""
     line = F.col("line")
-    pieces = F.split(line, "[()]", -1)
-    brackets = F.regexp_extract_all(line, F.lit("([()])"), 1)
-    tagged = F.transform(brackets, lambda b, i: F.struct(b.alias("b"), F.element_at(pieces, i + 1).alias("pre")))
-    # an existing _chunk column (lines partitioned for the scans) is kept, so the event windows
-    # reuse that partitioning
-    chunk = ["_chunk"] if "_chunk" in lines.columns else []
-    ev = lines.filter(line.rlike("[()]")).select(
-        "doc_id", "n_lines", *chunk, "line_no", line.startswith(" ").alias("line_sp"),
-        F.posexplode_outer(tagged).alias("k", "e"),
-    ).filter(F.col("k").isNotNull())
-    return ev.select(
-        "doc_id", "n_lines", *chunk, "line_no", F.col("k").cast("int").alias("k"),
-        (F.col("e.b") == "(").alias("is_open"),
-        F.col("e.pre").endswith(" as ").alias("as_before"),
-        ((F.col("k") == 0) & (F.col("e.pre") == "")).alias("col0"),
-        "line_sp", F.col("e.pre").alias("pre"),
-    )
+    found = line.rlike("[()]")
+    # zipped, so that the split is evaluated once a line and not once a bracket
+    pairs = F.arrays_zip(F.regexp_extract_all(line, F.lit("([()])"), 1).alias("b"),
+                         F.split(line, "[()]", -1).alias("pre"))
+    tagged = F.transform(F.filter(pairs, lambda z: z["b"].isNotNull()), lambda z, i: F.struct(
+        (z["b"] == "(").alias("is_open"), z["pre"].endswith(" as ").alias("as_before"),
+        ((i == 0) & (z["pre"] == "")).alias("col0")))
+    return {"brackets": F.when(found, tagged), "line_sp": F.when(found, line.startswith(" "))}
+
+
+def bracket_events_of(events: DataFrame) -> DataFrame:
+    """One row per bracket of stored line events that hold ``bracket_columns``."""
+    ev = events.select("doc_id", "n_lines", "line_no", "line_sp", F.posexplode_outer("brackets").alias("k", "e"))
+    return ev.filter(F.col("k").isNotNull()).select(
+        "doc_id", "n_lines", "line_no", F.col("k").cast("int").alias("k"), "e.is_open", "e.as_before", "e.col0", "line_sp")
 
 
-def bracket_depths(lines: DataFrame) -> DataFrame:
+def bracket_events(lines: DataFrame) -> DataFrame:
+    """One row per bracket, ``doc_id, n_lines, line_no, k, is_open, as_before, col0, line_sp``, from a stored
+    frame of the lines that hold brackets (without their text)."""
+    return bracket_events_of(cut_lineage(line_events(lines, (), extra=bracket_columns())))
+
+
+def bracket_depths(ev: DataFrame) -> DataFrame:
     """Events with ``level`` (null for a surplus close) and ``surplus``."""
-    ev = bracket_events(lines)
-    bound = line_bound(lines)
     delta = F.when(F.col("is_open"), F.lit(1)).otherwise(F.lit(-1))
-    ev = scan(ev, {"s": Prefix(delta, "sum", True)}, order=EVENT_ORDER, keep_chunk=True, max_lines=bound)
-    ev = scan(ev, {"m_prev": Prefix(F.col("s"), "min", False)}, order=EVENT_ORDER, keep_chunk=True, max_lines=bound)
+    ev = cut_lineage(scan(ev, {"s": Prefix(delta, "sum", True)}, order=EVENT_ORDER, keep_chunk=True))
+    ev = cut_lineage(scan(ev, {"m_prev": Prefix(F.col("s"), "min", False)}, order=EVENT_ORDER, keep_chunk=True))
     low_prev = F.least(F.lit(0), F.coalesce(F.col("m_prev"), F.lit(0)))
     depth_after = F.col("s") - F.least(low_prev, F.col("s"))
     surplus = ~F.col("is_open") & (F.col("s") < low_prev)
@@ -67,36 +70,30 @@ def bracket_depths(lines: DataFrame) -> DataFrame:
     return ev.select("*", level.cast("int").alias("level"), surplus.alias("surplus"))
 
 
-def bracket_pairs_events(lines: DataFrame) -> DataFrame:
+def bracket_pairs_events(ev: DataFrame) -> DataFrame:
     """Events with ``partner`` = struct of the matching close for every open (null if unmatched)."""
-    ev = bracket_depths(lines)
+    ev = bracket_depths(ev)
     c = chunk_lines_of(ev)
-    bound = line_bound(lines)
     info = F.struct(
         F.col("line_no").alias("line_no"), F.col("k").alias("k"), F.col("is_open").alias("is_open"),
         F.col("col0").alias("col0"),
     )
     w_lvl = Window.partitionBy(*KEY, "level").orderBy(*EVENT_ORDER)
-    ev = ev.withColumn("_next", F.lead(info, 1).over(w_lvl))
-    if bound is not None and bound <= c:
-        later = F.lit(None)
-    else:
-        # carry: the first event of the same level in a later chunk (documents over one chunk only)
-        firsts = (
-            ev.filter((F.col("n_lines") > F.lit(c)) & F.col("level").isNotNull())
-            .groupBy(*KEY, "level").agg(F.min(info).alias("_first"))
-        )
-        w_chunks = Window.partitionBy("doc_id", "n_lines", "level").orderBy("_chunk")
-        nxt = firsts.select(*KEY, "level", F.lead("_first", 1).over(w_chunks).alias("_later"))
-        ev = ev.join(nxt, on=[*KEY, "level"], how="left")
-        later = F.col("_later")
-    partner = F.when(F.col("is_open"), F.coalesce(F.col("_next"), later))
+    # carry: the first event of the same level in a later chunk (documents over one chunk only)
+    firsts = (
+        ev.filter((F.col("n_lines") > F.lit(c)) & F.col("level").isNotNull())
+        .groupBy(*KEY, "level").agg(F.min(info).alias("_first"))
+    )
+    w_chunks = Window.partitionBy("doc_id", "n_lines", "level").orderBy("_chunk")
+    nxt = firsts.select(*KEY, "level", F.lead("_first", 1).over(w_chunks).alias("_later"))
+    ev = ev.withColumn("_next", F.lead(info, 1).over(w_lvl)).join(nxt, on=[*KEY, "level"], how="left")
+    partner = F.when(F.col("is_open"), F.coalesce(F.col("_next"), F.col("_later")))
     return ev.select("*", partner.alias("partner")).drop("_next", "_later")
 
 
 def bracket_pairs(lines: DataFrame) -> DataFrame:
     """``doc_id, level, open_line, open_k, close_line, close_k`` for every matched pair."""
-    ev = bracket_pairs_events(lines)
+    ev = bracket_pairs_events(bracket_events(lines))
     return ev.filter(F.col("partner").isNotNull()).select(
         "doc_id", "level",
         F.col("line_no").alias("open_line"), F.col("k").alias("open_k"),
@@ -106,7 +103,12 @@ def bracket_pairs(lines: DataFrame) -> DataFrame:
 
 def nesting_findings(lines: DataFrame) -> DataFrame:
     """L10b and L11 from one bracket pass."""
-    ev = bracket_pairs_events(lines)
+    return nesting_findings_of(bracket_events(lines))
+
+
+def nesting_findings_of(ev: DataFrame) -> DataFrame:
+    """L10b and L11 of bracket events."""
+    ev = bracket_pairs_events(ev)
     bad = F.col("surplus") | (F.col("is_open") & F.col("partner").isNull())
     cte = F.col("is_open") & F.col("as_before") & F.col("partner").isNotNull()
     none = F.lit(None).cast("int")
@@ -127,23 +129,19 @@ def nesting_findings(lines: DataFrame) -> DataFrame:
 def bracket_offsets(lines: DataFrame) -> DataFrame:
     """Every bracket with its character offset in the document text, its line and column.
 
-    A line starts at the running sum of ``length(line) + 1`` over the earlier lines; a bracket's
-    column is the running sum of the text lengths between the brackets of its line (a window per
-    line that reuses the scan's partitioning).
+    A line starts at the running sum of ``length(line) + 1`` over the earlier lines. The brackets of a
+    line and their columns are taken from the line before the scan, so no text passes through it.
     """
-    starts = scan(lines, {"line_start": Prefix(F.length("line") + F.col("eol").cast("int"), "sum", False)},
-                  keep_chunk=True)
     line = F.col("line")
-    pieces = F.split(line, "[()]", -1)
-    brackets = F.regexp_extract_all(line, F.lit("([()])"), 1)
-    tagged = F.transform(brackets, lambda b, i: F.struct(b.alias("b"), F.element_at(pieces, i + 1).alias("pre")))
-    ev = starts.filter(line.rlike("[()]")).select(
-        "doc_id", "n_lines", "_chunk", "line_no", F.coalesce(F.col("line_start"), F.lit(0)).alias("line_start"),
-        F.posexplode_outer(tagged).alias("k", "e")).filter(F.col("k").isNotNull())
-    w_line = Window.partitionBy(*KEY, "line_no").orderBy("k")
-    col_no = F.sum(F.length("e.pre")).over(w_line.rowsBetween(Window.unboundedPreceding, 0)) + F.col("k")
+    chars = F.transform(F.split(line, ""), lambda ch, i: F.struct(ch.alias("b"), i.alias("col")))
+    found = F.filter(chars, lambda x: x["b"].isin("(", ")"))
+    sizes = cut_lineage(lines.select("doc_id", "n_lines", "line_no", (F.length(line) + F.col("eol").cast("int")).alias("size"),
+                                     F.when(line.rlike("[()]"), found).alias("brackets")))
+    starts = scan(sizes, {"line_start": Prefix(F.col("size"), "sum", False)})
+    ev = starts.select("doc_id", "line_no", F.coalesce(F.col("line_start"), F.lit(0)).alias("line_start"),
+                       F.posexplode_outer("brackets").alias("k", "e")).filter(F.col("k").isNotNull())
     return ev.select(
         "doc_id", "line_no", F.col("k").cast("int").alias("k"), F.col("e.b").alias("bracket"),
-        col_no.cast("int").alias("col"),
-        (F.col("line_start") + col_no).cast("long").alias("offset"),
+        F.col("e.col").cast("int").alias("col"),
+        (F.col("line_start") + F.col("e.col")).cast("long").alias("offset"),
     )

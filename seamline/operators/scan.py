@@ -16,6 +16,10 @@ one task. Instead:
   measured size allows and shuffles it otherwise. Documents with fewer lines than a chunk never
   enter the carry branch.
 
+The carry reads the scan's input a second time, so callers hand in a narrow stored frame (see
+``features.py``) and never the texts. A frame may leave out lines on which every input is null or 0:
+chunks are cut by ``line_no``, not by row.
+
 Anchors ("the nearest line above that contains ``from``") are running maxima of
 ``struct(line_no, payload...)`` restricted to the anchor lines; "the next line below" is a running
 minimum. ``n_lines`` sits in the window key only so that filters on it move below the window.
@@ -82,24 +86,6 @@ def next_where(cond: Column, *payload: Column, inclusive: bool = True) -> Suffix
     return Suffix(anchor(cond, *payload), "min", inclusive)
 
 
-_BOUND_ATTR = "_seamline_max_lines"
-
-
-def with_line_bound(df: DataFrame, max_lines: int | None) -> DataFrame:
-    """Record a known upper bound on ``n_lines`` for the documents of ``df``.
-
-    When every document fits in one chunk the scans need neither halo nor carry, so the plan is
-    one exchange and one window pass; without a bound the carry branches stay in the plan.
-    """
-    if max_lines is not None:
-        setattr(df, _BOUND_ATTR, int(max_lines))
-    return df
-
-
-def line_bound(df: DataFrame) -> int | None:
-    return getattr(df, _BOUND_ATTR, None)
-
-
 def chunk_lines_of(df: DataFrame) -> int:
     value = df.sparkSession.conf.get(CHUNK_CONF, None)
     return int(value) if value else DEFAULT_CHUNK_LINES
@@ -125,7 +111,7 @@ class _Plan:
 
 
 def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: tuple[str, ...] = ("line_no",),
-         keep_chunk: bool = False, max_lines: int | None = None) -> DataFrame:
+         keep_chunk: bool = False) -> DataFrame:
     """Add one column per entry of ``specs`` (name -> Shift/Prefix/Suffix/Total) to ``lines``.
 
     ``order`` may add columns after ``line_no`` for frames with several rows per line (bracket
@@ -136,9 +122,6 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
     if not specs:
         return lines
     c = chunk_lines or chunk_lines_of(lines)
-    if max_lines is None:
-        max_lines = line_bound(lines)
-    one_chunk = max_lines is not None and max_lines <= c
     plan = _Plan()
     for name, spec in specs.items():
         if isinstance(spec, Shift):
@@ -160,7 +143,7 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
     base = lines.select("*", *([] if "_chunk" in out_cols else [chunk.alias("_chunk")]), *inputs)
 
     df = base
-    if plan.shifts and not one_chunk:
+    if plan.shifts:
         h = max(abs(s.offset) for s in plan.shifts.values())
         pos = (F.col("line_no") - 1) % F.lit(c)
         copies = F.array(
@@ -212,7 +195,7 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
         df = df.filter(core)
 
     running = {**plan.prefixes, **plan.suffixes, **plan.totals}
-    if running and not one_chunk:
+    if running:
         df = _apply_carry(df, base, plan, c)
 
     result_cols = [n for n in specs]

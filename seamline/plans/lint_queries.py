@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rules_doc, rules_nesting
 from ..operators.findings import clean_documents
-from ..operators.lint import DEFAULT_RULES, TEXT_RULES, lint, run_rules
+from ..operators.lint import DEFAULT_RULES, TEXT_RULES, lint, neighbours_of, run_rules
 from ..sources.corpus import document_lines, read_table, sql_lines
 from . import oracle_lint as o
 
@@ -50,8 +50,9 @@ RULE_QUERIES = {
 }
 
 
-def corpus_lines(spark: SparkSession, sf_dir: str, corpus: str) -> DataFrame:
-    return document_lines(spark, sf_dir) if corpus == "documents" else sql_lines(spark, sf_dir)
+def corpus_lines(spark: SparkSession, sf_dir: str, corpus: str, rule_ids=()) -> DataFrame:
+    near = neighbours_of(rule_ids)
+    return document_lines(spark, sf_dir, near) if corpus == "documents" else sql_lines(spark, sf_dir, near)
 
 
 def corpus_cte(corpus: str) -> str:
@@ -60,7 +61,7 @@ def corpus_cte(corpus: str) -> str:
 
 def _rule_query(rule_id: str, corpus: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run_rules(corpus_lines(spark, sf_dir, corpus), [rule_id])
+        return run_rules(corpus_lines(spark, sf_dir, corpus, [rule_id]), [rule_id])
 
     run.__name__ = f"rule_{rule_id}"
     return run
@@ -98,7 +99,7 @@ def l33_offset_line(spark, sf_dir):
 
 def l32_findings_summary(spark, sf_dir):
     """All default rules over the SQL corpus, summarised per rule."""
-    f = lint(sql_lines(spark, sf_dir))
+    f = lint(corpus_lines(spark, sf_dir, "sql", None))
     return f.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n_findings"),
                                     F.countDistinct("doc_id").alias("n_docs"))
 

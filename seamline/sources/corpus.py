@@ -1,6 +1,6 @@
 """Corpus sources: documents as rows of text, and their lines.
 
-``lines`` schema: ``doc_id bigint, line_no int (1-based), line string (no newline), eol boolean
+``lines`` schema: ``doc_id (any type), line_no int (1-based), line string (no newline), eol boolean
 (the line ended with a newline), n_lines int (lines in the document)``.
 
 Line splitting follows text-mode ``readlines()``: ``\\r\\n`` and lone ``\\r`` become ``\\n``; each line
@@ -10,10 +10,12 @@ no lines.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.scan import with_line_bound
+from ..operators.features import NEIGHBOURS
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -31,20 +33,22 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
-    """Text files (one document per file) as ``(doc_id, path, text)``.
+    """Text files (one document per file) as ``(doc_id, path, text)``; ``doc_id`` is the path itself, which
+    cannot collide."""
+    file_path = F.col("_metadata.file_path")
+    return spark.read.text(path, wholetext=True).select(file_path.alias("doc_id"), file_path.alias("path"),
+                                                        F.col("value").alias("text"))
 
-    ``doc_id`` is a 64-bit hash of the file path, so it is stable across runs and needs no
-    driver-side numbering.
-    """
-    df = spark.read.text(path, wholetext=True).select(F.col("value").alias("text"),
-                                                      F.col("_metadata.file_path").alias("path"))
-    return df.select(F.xxhash64("path").alias("doc_id"), "path", "text")
 
+def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    neighbours: Sequence[str] = ()) -> DataFrame:
+    """Split document texts into ``lines`` (narrow: no shuffle). ``doc_id`` keeps its type.
 
-def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Split document texts into ``lines`` (narrow: no shuffle)."""
+    ``neighbours`` names values of nearby lines (``features.NEIGHBOURS``) to put beside each line; they
+    are read from the split text, where the neighbours still are at hand.
+    """
     t = F.regexp_replace(F.col(text_col), "\r\n?", "\n")
-    staged = docs.select(F.col(id_col).cast("long").alias("doc_id"), t.alias("_t"))
+    staged = docs.select(F.col(id_col).alias("doc_id"), t.alias("_t"))
     body = F.when(F.col("_t").endswith("\n"), F.expr("substr(_t, 1, length(_t) - 1)")).otherwise(F.col("_t"))
     parts = F.when(F.col("_t") == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
     staged = staged.select(
@@ -52,31 +56,33 @@ def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("_t").endswith("\n").alias("_final_nl"),
         parts.alias("_parts"),
     ).select("doc_id", "_final_nl", "_parts", F.size("_parts").alias("n_lines"))
+
+    def with_near(line: Column, i: Column) -> Column:
+        values = []
+        for name in neighbours:
+            offset, value = NEIGHBOURS[name]
+            eol = F.lit(True) if offset < 0 else (i + 1 + offset < F.col("n_lines")) | F.col("_final_nl")
+            values.append(value(F.get("_parts", i + offset), eol).alias(name))
+        return F.struct(line.alias("line"), *values)
+
+    items = F.transform("_parts", with_near) if neighbours else F.col("_parts")
     # posexplode_outer + a null filter: a plain posexplode makes Spark infer a "size > 0" filter that
     # repeats the whole split below the scan
-    exploded = (staged.select("doc_id", "_final_nl", "n_lines", F.posexplode_outer("_parts").alias("_pos", "line"))
+    exploded = (staged.select("doc_id", "_final_nl", "n_lines", F.posexplode_outer(items).alias("_pos", "_item"))
                 .filter(F.col("_pos").isNotNull()))
     return exploded.select(
         "doc_id",
         (F.col("_pos") + 1).cast("int").alias("line_no"),
-        "line",
+        F.col("_item.line" if neighbours else "_item").alias("line"),
         ((F.col("_pos") + 1 < F.col("n_lines")) | F.col("_final_nl")).alias("eol"),
         F.col("n_lines").cast("int").alias("n_lines"),
+        *[F.col(f"_item.{n}").alias(n) for n in neighbours],
     )
 
 
-def most_lines(docs: DataFrame, text_col: str = "text") -> int:
-    """An upper bound on the lines of any document, from the texts themselves: one more than their
-    line breaks. A column such as ``n_chars`` may be null or stale and is never consulted."""
-    t = F.col(text_col)
-    row = docs.agg(F.max(F.length(t) - F.length(F.translate(t, "\r\n", ""))).alias("m")).first()
-    return (row["m"] or 0) + 1
-
-
-def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of ``documents``, with the bound that one pass over the texts gives."""
-    docs = read_documents(spark, sf_dir)
-    return with_line_bound(lines_from_text(docs), most_lines(docs))
+def document_lines(spark: SparkSession, sf_dir: str, neighbours: Sequence[str] = ()) -> DataFrame:
+    """Lines of ``documents``."""
+    return lines_from_text(read_documents(spark, sf_dir), neighbours=neighbours)
 
 
 # The derived SQL corpus template (one document per customer, 35 lines).
@@ -135,9 +141,9 @@ def sql_documents(customer: DataFrame) -> DataFrame:
     return customer.select(key.alias("doc_id"), F.concat_ws("\n", *lines).alias("text"))
 
 
-def sql_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sql_lines(spark: SparkSession, sf_dir: str, neighbours: Sequence[str] = ()) -> DataFrame:
     docs = sql_documents(read_table(spark, sf_dir, "customer").select("c_custkey"))
-    return with_line_bound(lines_from_text(docs), most_lines(docs))
+    return lines_from_text(docs, neighbours=neighbours)
 
 
 def sql_template_values_sql() -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame
 
@@ -10,10 +11,10 @@ from pyspark.sql import DataFrame
 def write_findings(findings: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the findings table as parquet partitioned by ``rule_id``.
 
-    Rows are only sorted within their task (no shuffle), so each task writes one file per rule it
-    holds, one at a time; a rule with a huge share of the findings is spread over all tasks.
+    Rows are rebalanced by rule first: files get a useful size, and a rule with a huge share of the
+    findings is split over several tasks.
     """
-    (findings.sortWithinPartitions("rule_id", "doc_id", "line_no")
+    (findings.hint("rebalance", "rule_id").sortWithinPartitions("rule_id", "doc_id", "line_no")
      .write.mode(mode).partitionBy("rule_id").parquet(path))
 
 
@@ -23,14 +24,18 @@ def materialize(df: DataFrame, path: str, table: str | None = None, tags: Iterab
 
     The data goes to ``path`` (a shared folder on a cluster); with ``table`` it is also registered
     in the catalog as an external table whose ``tags`` become a table property. Reading the
-    written files back cuts the lineage: later steps do not recompute the model.
+    written files back cuts the lineage: later steps do not recompute the model. A frame that reads
+    from ``path`` itself is refused, since overwriting would delete its input.
     """
     spark = df.sparkSession
+    target = urlparse(path).path.rstrip("/") + "/"
+    if any(urlparse(f).path.startswith(target) for f in df.inputFiles()):
+        raise ValueError(f"{path} is an input of the table to be written there")
     df.write.mode(mode).parquet(path)
     if table:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.catalog.createTable(table, path=path, source="parquet")
-        tag_text = ",".join(tags)
+        tag_text = ",".join(tags).replace("\\", "\\\\").replace("'", "\\'")
         if tag_text:
             spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('tags' = '{tag_text}')")
         return spark.table(table)

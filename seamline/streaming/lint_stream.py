@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.lint import lint
-from ..sources.corpus import lines_from_text
+from ..operators.lint import lint_texts
 
 
 def file_documents(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -24,14 +23,13 @@ def file_documents(spark: SparkSession, src_dir: str, max_files_per_trigger: int
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(src_dir)
     path = F.col("_metadata.file_path")
-    return raw.select(F.xxhash64(path).alias("doc_id"), path.alias("path"), F.col("value").alias("text"))
+    return raw.select(path.alias("doc_id"), F.col("value").alias("text"))
 
 
 def lint_batch(batch: DataFrame, rule_ids: Iterable[str] | None = None) -> DataFrame:
-    """Findings of one micro-batch, with the file path of each document."""
-    docs = batch.select("doc_id", "path", "text")
-    findings = lint(lines_from_text(docs.select("doc_id", "text")), rule_ids)
-    return findings.join(docs.select("doc_id", "path"), "doc_id")
+    """Findings of one micro-batch; a document is named by its file path."""
+    findings = lint_texts(batch.select("doc_id", "text"), rule_ids)
+    return findings.withColumn("path", F.col("doc_id"))
 
 
 def start_lint_stream(spark: SparkSession, src_dir: str, out_dir: str, checkpoint_dir: str,

@@ -19,11 +19,9 @@ def test_line_split_matches_readlines(spark):
 
 
 def test_sql_corpus_shape(spark):
-    from seamline.sources.corpus import SQL_TEMPLATE, sql_lines
-    from seamline.operators.scan import line_bound
+    from seamline.sources.corpus import sql_lines
 
     lines = sql_lines(spark, "/root/testdata/sf0.001")
-    assert line_bound(lines) == len(SQL_TEMPLATE)
     counts = {r["n"] for r in lines.groupBy("doc_id").count().withColumnRenamed("count", "n").collect()}
     assert counts == {35}
 
@@ -72,17 +70,15 @@ def test_split_and_strip_match_python_on_random_text(spark):
         assert r.st == r.s.strip() and r.ls == r.s.lstrip() and r.b == (r.s.strip() == ""), repr(r.s)
 
 
-def test_line_bound_ignores_the_n_chars_column(spark, tmp_path):
+def test_findings_do_not_depend_on_the_n_chars_column(spark, tmp_path):
     from seamline.operators.lint import run_rules
-    from seamline.operators.scan import line_bound
     from seamline.sources.corpus import document_lines
 
-    text = "\n".join(["from a", "join b", "x"] * 8)
+    text = "\n".join(["from a", " join b", "x"] * 8)
     rows = [(1, text, None), (2, text, 1), (3, None, None)]
     path = tmp_path / "documents.parquet"
     spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(str(path))
     lines = document_lines(spark, str(tmp_path))
-    assert line_bound(lines) == 24
     whole = sorted(map(tuple, run_rules(lines, ["L04", "L22"]).collect()), key=str)
     spark.conf.set("seamline.scan.chunkLines", "5")
     try:
@@ -90,3 +86,18 @@ def test_line_bound_ignores_the_n_chars_column(spark, tmp_path):
     finally:
         spark.conf.unset("seamline.scan.chunkLines")
     assert whole == cut
+    assert len(whole) == 2 * 8  # every join is one column right of its from
+
+
+def test_neighbours_from_text_match_the_scan(spark, chunk):
+    from seamline.operators.lint import neighbours_of, run_rules
+    from seamline.sources.corpus import lines_from_text
+
+    ids = ["L01", "L04", "L08", "L09", "L12", "L13", "L26", "L27"]
+    text = "\n".join(["with", "", "", "a as (", "x", "select", "b", "join t", "  using (x)", "case", "when", "union", "select"] * 3)
+    rows = [(1, text), (2, text + "\n"), (3, "case"), (4, ""), (5, None), (6, "\ncase\n\nselect\n"), (7, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chunk(3)
+    scanned = sorted(map(tuple, run_rules(lines_from_text(docs), ids).collect()), key=str)
+    near = sorted(map(tuple, run_rules(lines_from_text(docs, neighbours=neighbours_of(ids)), ids).collect()), key=str)
+    assert near == scanned and {r[1] for r in near} > {"L04", "L08", "L12", "L13", "L26"}

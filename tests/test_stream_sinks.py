@@ -41,6 +41,19 @@ def test_sinks(spark):
     assert props.get("tags") == "dim,test"
 
 
+def test_materialize_keeps_its_input(spark, tmp_path):
+    import pytest
+
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    with pytest.raises(ValueError):
+        materialize(spark.read.parquet(path).filter("id > 2"), path)
+    assert spark.read.parquet(path).count() == 5
+    t = materialize(spark.range(3), str(tmp_path / "u"), table="seamline_quoted_tbl", tags=["a'b"])
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES seamline_quoted_tbl").collect()}
+    assert t.count() == 3 and props.get("tags") == "a'b"
+
+
 def test_cut_lineage_uses_checkpoint_dir(spark):
     from pyspark.sql import functions as F
 
