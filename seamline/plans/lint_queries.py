@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rules_doc, rules_nesting
 from ..operators.findings import clean_documents
-from ..operators.lint import DEFAULT_RULES, TEXT_RULES, lint, neighbours_of, run_rules
+from ..operators.lint import DEFAULT_RULES, EXTRA_TITLES, RULES, TEXT_RULES, lint, neighbours_of, report, run_rules
 from ..sources.corpus import document_lines, read_table, sql_lines
 from . import oracle_lint as o
 
@@ -50,6 +50,14 @@ RULE_QUERIES = {
 }
 
 
+# query name -> (rule id, options): variants of a rule over the SQL corpus
+VARIANT_QUERIES = {
+    "l05_left_join": ("L05", {"join_rewrite": "left join"}),
+    "l08_with_contains": ("L08", {"with_match": "contains"}),
+    "l16_more_aggregates": ("L16", {"agg_tokens": ("sum(", "min(", "max(", "avg(", "rank(", "dense_rank(", "select *")}),
+}
+
+
 def corpus_lines(spark: SparkSession, sf_dir: str, corpus: str, rule_ids=()) -> DataFrame:
     near = neighbours_of(rule_ids)
     return document_lines(spark, sf_dir, near) if corpus == "documents" else sql_lines(spark, sf_dir, near)
@@ -59,9 +67,9 @@ def corpus_cte(corpus: str) -> str:
     return o.doc_lines_cte() if corpus == "documents" else o.sql_lines_cte()
 
 
-def _rule_query(rule_id: str, corpus: str):
+def _rule_query(rule_id: str, corpus: str, options: dict | None = None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run_rules(corpus_lines(spark, sf_dir, corpus, [rule_id]), [rule_id])
+        return run_rules(corpus_lines(spark, sf_dir, corpus, [rule_id]), [rule_id], options)
 
     run.__name__ = f"rule_{rule_id}"
     return run
@@ -129,9 +137,25 @@ def l32_quality_by_rule(spark, sf_dir):
     )
 
 
+def l32_doc_flags(spark, sf_dir):
+    """Every document of ``documents`` with its number of findings of the text rules and an error flag."""
+    found = text_findings(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    n = F.coalesce(F.col("n"), F.lit(0)).cast("long")
+    return docs.join(found, "doc_id", "left").select("doc_id", n.alias("n_findings"), (n > 0).alias("has_error"))
+
+
+def s05_report(spark, sf_dir):
+    """The findings of the text rules over ``documents`` with their messages."""
+    return report(text_findings(spark, sf_dir))
+
+
 def queries() -> dict:
     out = {name: _rule_query(rid, corpus) for name, (rid, corpus) in RULE_QUERIES.items()}
+    out.update({name: _rule_query(rid, "sql", opts) for name, (rid, opts) in VARIANT_QUERIES.items()})
     out.update({
+        "l32_doc_flags": l32_doc_flags,
+        "s05_report": s05_report,
         "l10_bracket_pairs": l10_bracket_pairs,
         "l10b_unbalanced": l10b_unbalanced,
         "l11_cte_align": l11_cte_align,
@@ -155,6 +179,9 @@ def oracle_sql() -> dict:
     for name, (rid, corpus) in RULE_QUERIES.items():
         out[name] = _with(corpus_cte(corpus), o.LINE_SQL[rid]("src"))
     sql = o.sql_lines_cte()
+    out["l05_left_join"] = _with(sql, o.r_L05("src", "left join"))
+    out["l08_with_contains"] = _with(sql, o.r_L08("src", o.has("line", "with")))
+    out["l16_more_aggregates"] = _with(sql, o.r_L16("src", VARIANT_QUERIES["l16_more_aggregates"][1]["agg_tokens"]))
     br = f"{sql}, {o.bracket_ctes()}"
     out["l10_bracket_pairs"] = _with("RECURSIVE " + br, o.bracket_pairs_sql())
     out["l10b_unbalanced"] = _with("RECURSIVE " + br, o.r_L10b_sql())
@@ -179,4 +206,14 @@ def oracle_sql() -> dict:
         f"SELECT fd.rule_id, count(*) AS n_docs, count(l.quality) AS n_labeled, "
         f"CAST(sum(l.quality) AS BIGINT) AS n_quality, CAST(sum(l.toxic) AS BIGINT) AS n_toxic "
         f"FROM fd LEFT JOIN labels l ON l.doc_id = fd.doc_id GROUP BY fd.rule_id")
+    out["l32_doc_flags"] = (
+        f"WITH RECURSIVE {dctes}, allf AS ({dallf}), n AS (SELECT doc_id, count(*) AS n FROM allf GROUP BY doc_id) "
+        f"SELECT d.doc_id, coalesce(n.n, 0) AS n_findings, coalesce(n.n, 0) > 0 AS has_error "
+        f"FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id")
+    titles = {**{r: RULES[r].title for r in TEXT_RULES}, "L10b": EXTRA_TITLES["L10b"]}
+    title = "CASE rule_id " + " ".join(f"WHEN {o.q(r)} THEN {o.q(t)}" for r, t in titles.items()) + " END"
+    out["s05_report"] = (
+        f"WITH RECURSIVE {dctes}, allf AS ({dallf}) SELECT *, rule_id || ': ' || {title} "
+        f"|| coalesce(' at line ' || line_no, '') || coalesce(' (against line ' || anchor_no || ')', '') "
+        f"|| coalesce(' [' || detail || ']', '') AS message FROM allf")
     return out

@@ -108,8 +108,8 @@ def r_L03(src="src"):
     return f"SELECT {F('L03')} FROM {src} WHERE {_join_no_kind()}"
 
 
-def r_L05(src="src"):
-    detail = "replace(line, 'join', 'inner join')"
+def r_L05(src="src", rewrite="inner join"):
+    detail = f"replace(line, 'join', {q(rewrite)})"
     return f"SELECT {F('L05', detail=detail)} FROM {src} WHERE {_join_no_kind()}"
 
 
@@ -176,8 +176,9 @@ def r_L04(src="src"):
     return f"SELECT {F('L04')} FROM {_nb(src)} WHERE prev_join AND {has('line', ' using')}"
 
 
-def r_L08(src="src"):
-    cand = f"({strip('line')} = 'with' OR {has('line', 'as (')})"
+def r_L08(src="src", with_line=None):
+    with_line = with_line or f"{strip('line')} = 'with'"
+    cand = f"({with_line} OR {has('line', 'as (')})"
     conds = {"a": "NOT nb", "b": "NOT pb", "c": "nb AND nb2", "d": "pb AND pb2"}
     return " UNION ALL ".join(f"SELECT {F('L08', detail=q(k))} FROM {_nb(src)} WHERE {cand} AND ({v})"
                               for k, v in conds.items())
@@ -274,9 +275,9 @@ def r_L14(src="src"):
             f"WHERE {nind('line')} <> 8 GROUP BY doc_id, ln")
 
 
-def r_L16(src="src"):
-    agg = has_any("line", "sum(", "min(", "max(")
-    agg_a = agg.replace("line", "a.line")
+def r_L16(src="src", tokens=("sum(", "min(", "max(")):
+    agg = has_any("line", *tokens)
+    agg_a = has_any("a.line", *tokens)
     return (f"SELECT {F('L16', line_no='ln', anchor='g', detail='count(*)')} FROM ("
             f"SELECT p.*, (SELECT max(a.line_no) FROM {src} a WHERE a.doc_id = p.doc_id AND a.line_no < p.ln AND {agg_a}) AS g "
             f"FROM {_block_pairs(src)} p WHERE NOT {agg}) e WHERE g > sn GROUP BY doc_id, ln, g")
