@@ -40,54 +40,23 @@ def surrogate_key(*cols) -> Column:
     return F.md5(F.concat_ws("-", *[F.coalesce(c(x).cast("string"), F.lit("")) for x in cols]))
 
 
-# The value maps of the customer dimension, in the test data's domain
-# (vertical = market segment, region = region name).
-VERTICAL_RENAMED = ("HOUSEHOLD", "Integrative Health")
-VERTICAL_UNKNOWN = "Other"
-VERTICAL_ROLLUP_DEFAULT = "Fitness"
-REGION_UNKNOWN = "Other"
-REGION_AMERICAS = ("AMERICA",)
-REGION_EMEA = "MIDDLE EAST"
-
-
-def vertical(x) -> Column:
-    v = c(x)
-    return (F.when(v == VERTICAL_RENAMED[0], F.lit(VERTICAL_RENAMED[1]))
-            .when(v.isNull(), F.lit(VERTICAL_UNKNOWN))
-            .otherwise(v))
-
-
-def vertical_rollup(x) -> Column:
-    v = c(x)
-    return (F.when(v == VERTICAL_RENAMED[0], F.lit(VERTICAL_RENAMED[1]))
-            .when(v.isNull() | (v == VERTICAL_UNKNOWN), F.lit(VERTICAL_ROLLUP_DEFAULT))
-            .otherwise(v))
-
-
-def region(x) -> Column:
-    v = c(x)
-    return F.when(v.isNull(), F.lit(REGION_UNKNOWN)).otherwise(v)
-
-
-def region_rollup(x) -> Column:
-    v = c(x)
-    return (F.when(v.isin(*REGION_AMERICAS) | v.isNull(), F.lit("Americas"))
-            .when(v == REGION_EMEA, F.lit("EMEA"))
-            .otherwise(v))
-
-
-def legacy_region(x) -> Column:
-    v = c(x)
-    return (F.when(v == "ASIA", F.lit("APAC"))
-            .when(v.ilike("america%"), F.lit("NA"))
-            .when(v.isNull(), F.lit(REGION_UNKNOWN))
-            .when(v.ilike("middle%"), F.lit("EMEA"))
-            .otherwise(v))
-
-
-def legacy_region_rollup(x) -> Column:
+# The value maps of the customer model as rules (test, argument, result) in the test data's
+# domain; the first rule that holds decides, and a value without one stays as it is.
+# "is": equal; "prefix"/"part": starts with/contains, in either case; "null": no value.
+SEGMENT_LABEL = (("is", "HOUSEHOLD", "Home"), ("null", None, "Unknown"))
+SEGMENT_GROUP = (("is", "HOUSEHOLD", "Consumer"), ("is", "FURNITURE", "Consumer"), ("is", "BUILDING", "Construction"),
+                 ("null", None, "Unsorted"))
+MARKET = (("prefix", "america", "Americas"), ("part", "east", "Middle East"), ("null", None, "Unknown"))
+MARKET_GROUP = (("is", "ASIA", "APAC"), ("part", "america", "Americas"), ("is", "EUROPE", "EMEA"), ("is", "AFRICA", "EMEA"),
+                ("prefix", "middle", "EMEA"), ("null", None, "Unknown"))
+
+
+def value_map(x, rules) -> Column:
+    """``x`` mapped by the first rule that holds, else ``x`` itself."""
     v = c(x)
-    return (F.when(v == "ASIA", F.lit("APAC"))
-            .when(v.ilike("%america%"), F.lit("Americas"))
-            .when(v.isNull(), F.lit("Americas"))
-            .otherwise(v))
+    tests = {"is": lambda a: v == a, "prefix": lambda a: v.ilike(f"{a}%"), "part": lambda a: v.ilike(f"%{a}%"),
+             "null": lambda a: v.isNull()}
+    out = F
+    for test, argument, result in rules:
+        out = out.when(tests[test](argument), F.lit(result))
+    return out.otherwise(v)

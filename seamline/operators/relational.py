@@ -2,8 +2,8 @@
 
 * latest row per key is an aggregate (``max`` of a struct that leads with the sort keys), so it
   combines map-side before the shuffle;
-* all tied latest rows (``dense_rank() = 1``) is a rank filter that Spark runs as a partial
-  ``WindowGroupLimit`` below the exchange, so only each partition's top rows of a key travel;
+* all tied latest rows is that aggregate joined back on key and place, so a hot key's ties can be split;
+* branches over one input are routed row by row in one pass; branches of different inputs are a union;
 * joins stay equi-joins; sides are broadcast only by Spark's own size check (statistics/AQE),
   except the theta join, which is meant for a right side that the schema bounds;
 * anti-joins are ``left_anti`` (never left join + ``is null``).
@@ -27,10 +27,17 @@ def latest_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{x}").alias(x) for x in payload])
 
 
-def latest_ties(df: DataFrame, partition: Column, order: Sequence[Column]) -> DataFrame:
-    """All rows tied for the first place by ``order`` (given as descending-nulls-last columns)."""
-    w = Window.partitionBy(partition).orderBy(*order)
-    return df.withColumn("_rank", F.dense_rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+def latest_ties(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+    """All rows tied for the first place of their key by ``order`` (greatest first, nulls last; a null key
+    is a key). The first place is an aggregate that combines map-side, joined back on key and place, so
+    the tied rows of a hot key are never one window group: AQE splits them as a skewed join side."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    places = [f"_o{i}" for i in range(len(order))]
+    marked = df.withColumns({**dict(zip(names, keys)), **dict(zip(places, order))})
+    best = marked.groupBy(*names).agg(F.max(F.struct(*places)).alias("_best")).select(
+        *[F.col(n).alias(f"_best{n}") for n in names], *[F.col(f"_best.{o}").alias(f"_best{o}") for o in places])
+    same = [F.col(n).eqNullSafe(F.col(f"_best{n}")) for n in names + places]
+    return marked.join(best, on=same, how="inner").select(*df.columns)
 
 
 def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -65,6 +72,20 @@ def union_branches(frames: Sequence[DataFrame], schema: T.StructType) -> DataFra
     return out
 
 
+def route_branches(df: DataFrame, route: Column, branches: dict[str, dict[str, Column]], schema: T.StructType) -> DataFrame:
+    """``union all`` of branches over one input, in one pass: each row takes the columns of the branch that
+    ``route`` names, typed nulls where the branch has none, and is dropped where it names no branch."""
+    routed = df.withColumn("_route", route).filter(F.col("_route").isin(*branches))
+    cols = []
+    for f in schema.fields:
+        out = F
+        for name, values in branches.items():
+            if f.name in values:
+                out = out.when(F.col("_route") == name, values[f.name].cast(f.dataType))
+        cols.append((F.lit(None).cast(f.dataType) if out is F else out).alias(f.name))
+    return routed.select(*cols)
+
+
 def group_sum_first(df: DataFrame, n: int, measures: dict[str, Column]) -> DataFrame:
     """``group by 1..n`` over the first ``n`` columns, with the given sums (partial + final aggregate)."""
     keys = df.columns[:n]

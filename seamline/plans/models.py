@@ -1,16 +1,14 @@
 """The customer models as DataFrame plans, on the test warehouse.
 
-Warehouse sources are mapped onto the test tables (SURVEY §7):
-
-* account          customer ⋈ nation ⋈ region; vertical = market segment, region = region name,
-                   platform by the parity of the key (two platforms)
-* subscription     orders; core software = status 'F' since 1997; end date = order date,
-                   start date = its month
-* classification   the latest order's priority per customer
-* id map           one row per nation from supplier (smallest/largest supplier key, name)
-* legacy groups    accounts without any core subscription, split by platform
-* revenue          lineitem ⋈ part ⋈ orders ⋈ customer ⋈ nation ⋈ region
-* API activity     events ⋈ pages (user_id = page_id), plus a small endpoint-category lookup
+* customer base    customer with its nation and region; channel by the parity of the key
+* nation desks     one row per nation: its smallest/largest supplier key, first supplier name and
+                   smallest supplier key with a positive balance
+* orders           "recent": status F since ``RECENT_SINCE``; one profile row per customer holds the
+                   date of the last recent order, the last order's priority and the last open order
+* buyers (Q1)      active customers of the main nations with every order tied for their last recent
+                   one, and dormant customers (no recent order) of each channel
+* revenue (Q2)     lineitem, part and orders of the trade segments' customers, by month
+* activity (Q3)    events with the page of their user (user_id = page_id), plus a small lookup
 
 ``AS_OF`` replaces ``current_date()`` so results are repeatable.
 """
@@ -19,7 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,13 +26,23 @@ from ..operators import relational as rel
 from ..sources.corpus import read_table
 
 # Model parameters.
-CORE_SINCE = "1997-01-01"
+RECENT_SINCE = "1997-01-01"
 REVENUE_SINCE = "1995-04-01"
 AS_OF = dt.date(2000, 6, 15)
-COUNTRIES = ("NATION_1", "NATION_3", "NATION_5", "NATION_8", "NATION_13")
-EXCLUDED_BUSINESSES = (-111, 0, 1, -99, -9999)
-# Endpoint categories of the API-activity lookup (path language -> category).
-ENDPOINT_CATEGORIES = (("fr", "French Pages"), ("de", "German Pages"), ("es", "Spanish Pages"))
+MAIN_NATIONS = ("NATION_1", "NATION_3", "NATION_5", "NATION_8", "NATION_13")
+TRADE_SEGMENTS = ("BUILDING", "MACHINERY", "AUTOMOBILE")
+LARGE_ORDER = 100000
+EXCLUDED_USERS = (-111, 0, 1, -99, -9999)
+# Path language -> category of a page.
+PAGE_LOOKUP = (("fr", "French Pages"), ("de", "German Pages"), ("es", "Spanish Pages"))
+# Rules over a page's url as (result, test, arguments); the first that holds decides.
+# "all"/"any": the url contains all/any; "lang": path language; "plain": path language of a url without https.
+GENERATION_RULES = (("v6", "all", ("https", "/en/")), ("v6", "any", ("blog.",)),
+                    ("v5", "any", (".html", "#top", "page=")), ("v5", "plain", ("fr", "de")))
+GENERATION_DEFAULT = "v6"
+CATEGORY_RULES = (("folder", "any", ("blog.",)), ("file", "any", (".html",)), ("section", "lang", ("en",)),
+                  ("lookup", "lang", ("fr", "de")))
+CATEGORY_DEFAULT = "others"
 
 col = F.col
 
@@ -46,373 +54,309 @@ def _ts(s: str):
 # ---------------------------------------------------------------- sources
 
 
-def account(spark: SparkSession, sf: str) -> DataFrame:
-    c = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = read_table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = read_table(spark, sf, "region").select("r_regionkey", "r_name")
-    a = c.join(n, col("c_nationkey") == col("n_nationkey")).join(r, col("n_regionkey") == col("r_regionkey"))
-    platform = F.when(col("c_custkey") % 2 == 0, F.lit("Studio")).otherwise(F.lit("Desk"))
-    return a.select(
-        col("c_custkey").alias("account_key"),
-        col("c_name").alias("account_name"),
-        col("c_nationkey").alias("nationkey"),
-        col("n_regionkey").alias("regionkey"),
-        col("c_mktsegment").alias("vertical"),
-        col("n_name").alias("country"),
-        col("r_name").alias("region"),
-        platform.alias("platform"),
-        F.when(platform == "Studio", col("c_custkey")).alias("legacy_studio_id"),
-        F.when(platform == "Desk", col("c_custkey")).alias("legacy_desk_id"),
-    )
-
-
-def subscription(spark: SparkSession, sf: str) -> DataFrame:
-    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    return o.select(
-        col("o_orderkey").alias("subscription_id"),
-        col("o_custkey").alias("account_key"),
-        F.when(col("o_custkey") % 2 == 0, col("o_custkey")).alias("legacy_studio_id"),
-        F.when(col("o_custkey") % 2 == 1, col("o_custkey")).alias("legacy_desk_id"),
-        col("o_orderkey").alias("product_instance_id"),
-        col("o_orderpriority").alias("product_name"),
-        col("o_orderstatus").alias("status"),
-        col("o_orderdate").cast("date").alias("effective_end_date"),
-        fm.month_start("o_orderdate").alias("effective_start_date"),
-        ((col("o_orderstatus") == "F") & (col("o_orderdate") >= _ts(CORE_SINCE))).alias("is_core_software"),
-    )
+def nations(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per nation of the code table, with its region."""
+    n = read_table(spark, sf, "nation").select(
+        col("n_nationkey").alias("nation_id"), col("n_name").alias("nation"), col("n_regionkey").alias("region_id"))
+    r = read_table(spark, sf, "region").select(col("r_regionkey").alias("region_id"), col("r_name").alias("region"))
+    return n.join(r, "region_id")
 
 
-def core_subscription(spark, sf) -> DataFrame:
-    """Core subscriptions, all rows tied for the latest per account."""
-    core = subscription(spark, sf).filter(col("is_core_software"))
-    key = F.coalesce(col("account_key"), col("legacy_studio_id"), col("legacy_desk_id"))
-    return rel.latest_ties(core, key, [col("effective_end_date").desc_nulls_last(),
-                                       col("effective_start_date").desc_nulls_last()])
+def nation_desks(spark: SparkSession, sf: str) -> DataFrame:
+    """The nations with their suppliers' summary; ``first_supplier`` is null where a nation has none."""
+    s = read_table(spark, sf, "supplier").groupBy(col("s_nationkey").alias("nation_id")).agg(
+        F.min("s_suppkey").alias("first_supplier"),
+        F.max("s_suppkey").alias("last_supplier"),
+        F.min("s_name").alias("supplier_ref"),
+        F.min(F.when(col("s_acctbal") > 0, col("s_suppkey"))).alias("solvent_supplier"))
+    return nations(spark, sf).join(s, "nation_id", "left")
 
 
-def classification(spark, sf) -> DataFrame:
-    """The latest order (by date, then key) per account."""
-    s = subscription(spark, sf).select("account_key", col("product_name").alias("account_classification"),
-                                       "effective_end_date", "subscription_id")
-    return rel.latest_row(s, ["account_key"], [col("effective_end_date"), col("subscription_id")])
+def customer_base(spark: SparkSession, sf: str, by_nation: DataFrame | None = None) -> DataFrame:
+    """Customers with the columns of their nation. The nation side is broadcast: the code table bounds it
+    to one row per nation, and a shuffle on so few keys would put a nation in one task."""
+    web = col("c_custkey") % 2 == 0
+    c = read_table(spark, sf, "customer").select(
+        col("c_custkey").alias("cust_id"), col("c_name").alias("cust_name"), col("c_mktsegment").alias("segment"),
+        col("c_nationkey").alias("nation_id"), customer_group().alias("customer_group"),
+        F.when(web, "Web").otherwise("Trade").alias("channel"),
+        F.when(web, col("c_custkey")).alias("web_number"), F.when(~web, col("c_custkey")).alias("trade_number"))
+    return c.join(F.broadcast(nations(spark, sf) if by_nation is None else by_nation), "nation_id")
 
 
-def id_map(spark, sf) -> DataFrame:
-    s = read_table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    return s.groupBy(col("s_nationkey").alias("nationkey")).agg(
-        F.min("s_suppkey").alias("studio_id"),
-        F.max("s_suppkey").alias("location_id"),
-        F.min("s_name").alias("billing_ref"),
-        F.min(F.when(col("s_acctbal") > 0, col("s_suppkey"))).alias("legacy_billing_ref"),
-    )
-
+def customer_group() -> Column:
+    """An outer case on the segment whose branches are cases of their own; no inner match gives null."""
+    owing, near = col("c_acctbal") < 0, col("c_nationkey") < 5
+    inner = F.when(owing, "building owing").when(near, "building near").otherwise("building")
+    large = F.when(col("c_acctbal") >= 5000, "industry large")
+    return (F.when(col("c_mktsegment") == "BUILDING", inner)
+            .when(col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"), large).otherwise("other"))
+
+
+def order_facts(spark: SparkSession, sf: str) -> DataFrame:
+    recent = (col("o_orderstatus") == "F") & (col("o_orderdate") >= _ts(RECENT_SINCE))
+    return read_table(spark, sf, "orders").select(
+        col("o_orderkey").alias("order_id"), col("o_custkey").alias("cust_id"), col("o_orderpriority").alias("priority"),
+        col("o_orderstatus").alias("status"), col("o_orderdate").cast("date").alias("order_date"),
+        fm.month_start("o_orderdate").alias("order_month"), (col("o_totalprice") >= LARGE_ORDER).alias("is_large"),
+        recent.alias("is_recent"))
+
+
+def recent_orders(spark, sf) -> DataFrame:
+    return order_facts(spark, sf).filter(col("is_recent"))
+
+
+def last_recent_orders(spark, sf) -> DataFrame:
+    """Recent orders, all rows tied for the latest per customer."""
+    return rel.latest_ties(recent_orders(spark, sf), [col("cust_id")], [col("order_date"), col("order_month")])
+
+
+def last_priority(spark, sf) -> DataFrame:
+    """The latest order (by date, then key) per customer."""
+    o = order_facts(spark, sf).select("cust_id", col("priority").alias("last_priority"), "order_date", "order_id")
+    return rel.latest_row(o, ["cust_id"], [col("order_date"), col("order_id")])
+
+
+def order_profile(spark, sf) -> DataFrame:
+    """One row per customer from one aggregate over orders (combined map-side, so a hot customer is small)."""
+    opened = F.when(col("status") == "O", F.struct("order_date", "order_id", "priority"))
+    return order_facts(spark, sf).groupBy("cust_id").agg(
+        F.max(F.when(col("is_recent"), col("order_date"))).alias("last_recent"),
+        F.max(F.struct("order_date", "order_id", "priority")).getField("priority").alias("last_priority"),
+        F.max(opened).alias("last_open"))
+
+
+def dormant(spark, sf) -> DataFrame:
+    """Customers without any recent order."""
+    # distinct keys: a customer with millions of recent orders is one row per map task before the shuffle
+    return rel.anti_join(customer_base(spark, sf), recent_orders(spark, sf).select("cust_id").distinct(), "cust_id")
+
+
+def web_history(spark, sf) -> DataFrame:
+    return read_table(spark, sf, "events").groupBy(col("user_id").alias("h_cust_id")).agg(
+        F.max(col("ts").cast("date")).alias("last_seen"))
+
+
+# ---------------------------------------------------------------- Q1 buyers
+
+_TYPES = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "date": T.DateType()}
+BUYER_COLUMNS = (
+    "buyer_key string, state string, cust_id bigint, cust_name string, channel string, customer_group string, "
+    "segment string, segment_label string, segment_group string, nation_id int, nation string, region string, "
+    "market string, market_group string, first_supplier bigint, last_supplier bigint, solvent_supplier bigint, "
+    "reference string, order_id bigint, order_priority string, order_month date, start_date date, "
+    "last_priority string, last_open_date date, last_open_priority string, last_seen date, web_number bigint, "
+    "trade_number bigint, dormant_market string")
+BUYER_SCHEMA = T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in map(str.split, BUYER_COLUMNS.split(", "))])
+
+
+def buyers(spark, sf) -> DataFrame:
+    """The customer star in one pass over customers and two over orders (profile, tied rows), with
+    ``state``: active rows, one per tied order, dormant rows, and null for the other customers."""
+    base = customer_base(spark, sf, nation_desks(spark, sf)).join(order_profile(spark, sf), "cust_id", "left")
+    main = col("nation").isin(*MAIN_NATIONS)
+    base = base.withColumn("state", F.when(col("last_recent").isNull(), "dormant").when(main, "active"))
+    tied = recent_orders(spark, sf).select(
+        col("cust_id").alias("o_cust_id"), col("order_date").alias("o_date"), "order_id",
+        col("priority").alias("order_priority"), "order_month", "is_large")
+    out = rel.conditional_left_join(base, tied, (col("cust_id") == col("o_cust_id")) & (col("last_recent") == col("o_date"))
+                                    & (col("state") == "active"))
+    return rel.conditional_left_join(out, web_history(spark, sf), (col("cust_id") == col("h_cust_id"))
+                                     & (col("channel") == "Web"))
+
+
+def buyer_branches() -> dict[str, dict[str, Column]]:
+    """The columns that each branch of the buyer table fills; typed nulls elsewhere (M3, M4)."""
+    shared = {x: col(x) for x in ("cust_id", "cust_name", "channel", "customer_group", "segment", "nation_id", "nation",
+                                  "region", "state")}
+    shared |= {"segment_label": fm.value_map("segment", fm.SEGMENT_LABEL),
+               "segment_group": fm.value_map("segment", fm.SEGMENT_GROUP),
+               "last_open_date": col("last_open.order_date"), "last_open_priority": col("last_open.priority")}
+    desk = {x: col(x) for x in ("first_supplier", "last_supplier")}
+    open_start = F.when((col("channel") == "Trade") & (col("last_open.priority") == col("order_priority")),
+                        col("last_open.order_date"))
+    start = F.coalesce(F.when(col("is_large"), col("order_month")), col("last_seen"), open_start)
+    active = {x: col(x) for x in ("solvent_supplier", "order_id", "order_priority", "order_month", "last_priority", "last_seen",
+                                  "web_number", "trade_number")}
+    active |= {"market": fm.value_map("region", fm.MARKET), "market_group": fm.value_map("region", fm.MARKET_GROUP),
+               "start_date": start,
+               "reference": fm.iff(col("channel") == "Web", F.coalesce(fm.to_varchar("solvent_supplier"), col("supplier_ref")),
+                                   F.lit(None)),
+               "buyer_key": fm.surrogate_key("channel", F.coalesce(fm.to_varchar("first_supplier"), fm.to_varchar("order_id")),
+                                             "cust_id", "order_id")}
+    gone = fm.value_map("region", fm.MARKET_GROUP)
+    web = {"dormant_market": gone, "web_number": col("web_number"), "last_seen": col("last_seen"), "reference": col("supplier_ref"),
+           "buyer_key": fm.surrogate_key("channel", "cust_id", "last_supplier")}
+    trade = {"dormant_market": gone, "trade_number": col("trade_number"), "buyer_key": fm.surrogate_key("channel", "cust_id")}
+    return {"active": shared | desk | active, "dormant web": shared | desk | web, "dormant trade": shared | trade}
+
+
+def buyer_route() -> Column:
+    """Dormant web customers need a supplier in their nation, dormant trade customers do not."""
+    return (F.when(col("state") == "active", "active")
+            .when((col("state") == "dormant") & (col("channel") == "Trade"), "dormant trade")
+            .when((col("state") == "dormant") & col("first_supplier").isNotNull(), "dormant web"))
 
-def legacy(spark, sf) -> DataFrame:
-    """Accounts without any core subscription."""
-    # distinct keys: a key with millions of core rows is one row per map task before the shuffle
-    core = subscription(spark, sf).filter(col("is_core_software")).select("account_key").distinct()
-    return rel.anti_join(account(spark, sf), core, "account_key")
-
-
-def customers(spark, sf) -> DataFrame:
-    """Account ⋈ latest core subscription ⟕ id map ⟕ classification, for the listed countries."""
-    a = account(spark, sf)
-    core = core_subscription(spark, sf).select(
-        "account_key", "subscription_id", "product_instance_id", "product_name", "effective_start_date")
-    m = id_map(spark, sf)
-    cl = classification(spark, sf).select("account_key", "account_classification")
-    return (a.filter(col("country").isin(*COUNTRIES))
-            .join(core, "account_key", "inner")
-            .join(m, "nationkey", "left")
-            .join(cl, "account_key", "left"))
-
-
-# ---------------------------------------------------------------- Q1 customer dimension
-
-DIM_SCHEMA = T.StructType([
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("account_key", T.LongType()),
-    T.StructField("product_instance_id", T.LongType()),
-    T.StructField("platform", T.StringType()),
-    T.StructField("is_migrated", T.BooleanType()),
-    T.StructField("studio_ref_id", T.StringType()),
-    T.StructField("legacy_billing_ref", T.LongType()),
-    T.StructField("studio_site_id", T.LongType()),
-    T.StructField("studio_location_id", T.LongType()),
-    T.StructField("desk_location_id", T.LongType()),
-    T.StructField("subscription_id", T.LongType()),
-    T.StructField("customer_name", T.StringType()),
-    T.StructField("customer_vertical", T.StringType()),
-    T.StructField("customer_vertical_rollup", T.StringType()),
-    T.StructField("customer_country", T.StringType()),
-    T.StructField("customer_region", T.StringType()),
-    T.StructField("customer_region_rollup", T.StringType()),
-    T.StructField("most_recent_account_classification", T.StringType()),
-    T.StructField("most_recent_core_product_name", T.StringType()),
-    T.StructField("most_recent_core_start_date", T.DateType()),
-    T.StructField("legacy_studio_account", T.LongType()),
-    T.StructField("legacy_desk_account", T.LongType()),
-])
-
-
-def migrated_branch(spark, sf) -> DataFrame:
-    c = customers(spark, sf)
-    on_studio = col("platform") == "Studio"
-    return c.select(
-        fm.surrogate_key("platform", F.coalesce(fm.to_varchar("studio_id"), fm.to_varchar("product_instance_id")),
-                         "location_id").alias("customer_id"),
-        "account_key", "product_instance_id", "platform",
-        F.lit(True).alias("is_migrated"),
-        fm.iff(on_studio, F.coalesce(fm.to_varchar("legacy_billing_ref"), col("billing_ref")), F.lit(None)).alias("studio_ref_id"),
-        "legacy_billing_ref",
-        col("studio_id").alias("studio_site_id"),
-        col("location_id").alias("studio_location_id"),
-        fm.iff(col("platform") == "Desk", col("product_instance_id"), F.lit(None)).alias("desk_location_id"),
-        "subscription_id",
-        col("account_name").alias("customer_name"),
-        fm.vertical("vertical").alias("customer_vertical"),
-        fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
-        col("country").alias("customer_country"),
-        fm.region("region").alias("customer_region"),
-        fm.region_rollup("region").alias("customer_region_rollup"),
-        col("account_classification").alias("most_recent_account_classification"),
-        col("product_name").alias("most_recent_core_product_name"),
-        col("effective_start_date").alias("most_recent_core_start_date"),
-        col("legacy_studio_id").alias("legacy_studio_account"),
-        col("legacy_desk_id").alias("legacy_desk_account"),
-    )
 
+def q1_customer_dim(spark, sf) -> DataFrame:
+    """Q1: active buyers and the dormant customers of both channels, one schema (typed nulls)."""
+    return rel.route_branches(buyers(spark, sf), buyer_route(), buyer_branches(), BUYER_SCHEMA)
 
-def legacy_branches(spark, sf) -> DataFrame:
-    """Both legacy branches from one anti join: the legacy accounts are computed once, looked up in
-    the id map once (left join with a match marker), and each row takes its platform's columns.
-    A Studio row needs a map match (the inner join of its branch); a Desk row does not."""
-    m = id_map(spark, sf).withColumn("_mapped", F.lit(True))
-    j = legacy(spark, sf).join(m, "nationkey", "left")
-    on_studio = col("platform") == "Studio"
-    j = j.filter(~on_studio | col("_mapped").isNotNull())
-    return j.select(
-        F.when(on_studio, fm.surrogate_key("platform", "studio_id", "location_id"))
-        .otherwise(fm.surrogate_key("platform", "legacy_desk_id")).alias("customer_id"),
-        "account_key",
-        F.when(on_studio, col("legacy_studio_id")).otherwise(col("legacy_desk_id")).alias("product_instance_id"),
-        F.when(on_studio, F.lit("Studio")).otherwise(F.lit("Desk")).alias("platform"),
-        F.lit(False).alias("is_migrated"),
-        F.when(on_studio, F.coalesce(fm.to_varchar("legacy_studio_id"), col("billing_ref"))).alias("studio_ref_id"),
-        F.when(on_studio, col("studio_id")).alias("studio_site_id"),
-        F.when(on_studio, col("location_id")).alias("studio_location_id"),
-        F.when(~on_studio, col("legacy_desk_id")).alias("desk_location_id"),
-        col("account_name").alias("customer_name"),
-        fm.vertical("vertical").alias("customer_vertical"),
-        fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
-        col("country").alias("customer_country"),
-        fm.legacy_region("region").alias("customer_region"),
-        fm.legacy_region_rollup("region").alias("customer_region_rollup"),
-        F.when(on_studio, col("legacy_studio_id")).alias("legacy_studio_account"),
-        F.when(~on_studio, col("legacy_desk_id")).alias("legacy_desk_account"),
-    )
 
+# ---------------------------------------------------------------- Q2 monthly revenue
 
-def q1_customer_dim(spark, sf) -> DataFrame:
-    """Q1: migrated customers ∪ legacy customers of both platforms, one schema (typed nulls)."""
-    return rel.union_branches([migrated_branch(spark, sf), legacy_branches(spark, sf)], DIM_SCHEMA)
 
+def billed_orders(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
+    """Orders of the reported months; the range is stated on the raw date, so parquet can skip row groups."""
+    end = as_of.replace(day=1).isoformat()
+    return (read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+            .filter((col("o_orderdate") >= _ts(REVENUE_SINCE)) & (col("o_orderdate") < _ts(end)))
+            .select(col("o_orderkey").alias("order_id"), col("o_custkey").alias("cust_id"),
+                    fm.month_start("o_orderdate").alias("month")))
 
-# ---------------------------------------------------------------- Q2 monthly recurring revenue
 
-
-def subscriptions_monthly(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
-    """Revenue lines that pass the model's filters, one row per line item.
+def billed_lines(spark, sf, orders: DataFrame) -> DataFrame:
+    """The line items of ``orders`` that pass the model's filters.
 
     Money stays in decimals end to end (price and discount are exact at two places), so sums do
     not depend on the order of addition.
     """
-    li = read_table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
-    p = read_table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    # the month range restated on the raw order date (same rows) so parquet can skip row groups
-    end = dt.datetime.combine(as_of.replace(day=1), dt.time())
-    o = (read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-         .filter((col("o_orderdate") >= _ts(REVENUE_SINCE)) & (col("o_orderdate") < _ts(end.date().isoformat()))))
-    month = fm.month_start("o_orderdate")
-    category = (F.when(col("p_type").isin("ECONOMY", "STANDARD"), F.lit("Core Software"))
-                .when(col("p_type") == "PROMO", F.lit("Add-On")).otherwise(col("p_type")))
-    group = F.when(col("p_size") > 25, F.lit("Marketing Suite")).otherwise(F.lit("Other"))
-    amount = col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - col("l_discount").cast("decimal(4,2)"))
-    lines = (li.join(p, col("l_partkey") == col("p_partkey"))
-             .join(o, col("l_orderkey") == col("o_orderkey"))
-             .select("l_orderkey", "l_linenumber", col("o_custkey").alias("account_key"),
-                     month.alias("accounting_month"), amount.alias("monthly_recurring_bookings_usd"),
-                     group.alias("product_group"), category.alias("product_category"),
-                     (col("l_linestatus") == "O").alias("is_active_subscriber"),
-                     (col("l_returnflag") == "R").alias("is_active_add_on_subscriber"),
-                     F.split_part(col("p_brand"), F.lit("#"), F.lit(2)).alias("core_product_instance_id")))
-    return lines.filter(
-        (col("is_active_subscriber") | col("is_active_add_on_subscriber"))
-        & (col("accounting_month") >= F.lit(REVENUE_SINCE).cast("date"))
-        & (col("accounting_month") < F.trunc(F.lit(as_of), "MM"))
-        & fm.is_numeric("core_product_instance_id")
-        & ((col("product_category") == "Core Software")
-           | ((col("product_category") == "Add-On") & (col("product_group") == "Marketing Suite")))
-    )
-
-
-def desk_accounts(spark, sf) -> DataFrame:
-    c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = read_table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = read_table(spark, sf, "region").select("r_regionkey", "r_name")
-    platform = F.when(col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"), F.lit("Desk")).otherwise("Studio")
-    return (c.filter(platform == "Desk")
-            .join(n, col("c_nationkey") == col("n_nationkey")).join(r, col("n_regionkey") == col("r_regionkey"))
-            .select(col("c_custkey").alias("account_key"), col("n_name").alias("top_hierarchy_account_name"),
-                    col("n_nationkey").alias("top_hierarchy_account_id"), col("r_name").alias("top_hierarchy_type")))
+    li = read_table(spark, sf, "lineitem").filter((col("l_linestatus") == "O") | (col("l_returnflag") == "R")).select(
+        col("l_orderkey").alias("order_id"), col("l_linenumber").alias("line_no"), "l_partkey",
+        (col("l_extendedprice").cast("decimal(18,2)") * (F.lit(1) - col("l_discount").cast("decimal(4,2)"))).alias("amount"))
+    base = col("p_type").isin("ECONOMY", "STANDARD")
+    extra = (col("p_type") == "PROMO") & (col("p_size") > 25)
+    brand_no = F.split_part(col("p_brand"), F.lit("#"), F.lit(2))
+    parts = read_table(spark, sf, "part").filter((base | extra) & fm.is_numeric(brand_no)).select("p_partkey")
+    return li.join(parts, col("l_partkey") == col("p_partkey")).join(orders, "order_id").drop("l_partkey", "p_partkey")
 
 
-def desk_rev_consolidated(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
-    """Sum by the first five columns. The lines are summed per (account, month) first, so the
-    join to the account hierarchy sees one row per account and month instead of one per line."""
-    lines = subscriptions_monthly(spark, sf, as_of)
-    per_month = lines.groupBy("account_key", "accounting_month").agg(
-        F.sum("monthly_recurring_bookings_usd").alias("amount"))
-    j = per_month.join(desk_accounts(spark, sf), "account_key")
-    shaped = j.select("account_key", "accounting_month", "top_hierarchy_account_name",
-                      "top_hierarchy_account_id", "top_hierarchy_type", "amount")
-    return rel.group_sum_first(shaped, 5, {"desk_mrr": col("amount")})
+def trade_revenue(spark, sf, as_of: dt.date = AS_OF) -> DataFrame:
+    """Revenue by the first five columns. Orders are reduced to the trade segments' customers before
+    the line items are joined; the nation's columns join one row per customer and month."""
+    buyer = read_table(spark, sf, "customer").filter(col("c_mktsegment").isin(*TRADE_SEGMENTS)).select(
+        col("c_custkey").alias("cust_id"), col("c_nationkey").alias("nation_id"))
+    lines = billed_lines(spark, sf, billed_orders(spark, sf, as_of).join(buyer, "cust_id"))
+    per_month = lines.groupBy("cust_id", "month", "nation_id").agg(F.sum("amount").alias("amount"))
+    shaped = per_month.join(F.broadcast(nations(spark, sf)), "nation_id").select(
+        "cust_id", "month", "nation", "nation_id", "region", "amount")
+    return rel.group_sum_first(shaped, 5, {"revenue": col("amount")})
 
 
 def q2_monthly_revenue(spark, sf) -> DataFrame:
-    """Q2: monthly recurring revenue per account and month, since REVENUE_SINCE (M20 filter)."""
-    return desk_rev_consolidated(spark, sf).filter(col("accounting_month") >= F.lit(REVENUE_SINCE).cast("date"))
+    """Q2: monthly revenue per trade customer and month, where it is positive (M20: filter after aggregation)."""
+    return trade_revenue(spark, sf).filter(col("revenue") > 0)
 
 
-# ---------------------------------------------------------------- Q3 API activity
+# ---------------------------------------------------------------- Q3 activity
 
 
-def endpoint_mapping(spark) -> DataFrame:
-    return spark.createDataFrame(list(ENDPOINT_CATEGORIES), "endpoint string, category string")
+def _holds(test: str, arguments: tuple) -> Column:
+    url, lang = col("url"), F.split_part(col("url"), F.lit("/"), F.lit(4))
+    found = [url.contains(a) for a in arguments]
+    if test in ("all", "any"):
+        out = found[0]
+        for f in found[1:]:
+            out = out & f if test == "all" else out | f
+        return out
+    spoken = lang.isin(*arguments)
+    return spoken if test == "lang" else spoken & ~url.contains("https")
 
 
-def activity_summary(spark, sf) -> DataFrame:
-    e = read_table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
-    p = read_table(spark, sf, "pages").select("page_id", "url")
-    api = e.join(p, col("user_id") == col("page_id"), "left")
-    url = col("url")
-    lang = F.split_part(url, F.lit("/"), F.lit(4))
-    ver = (F.when(lang == "en", F.lit("6")).when(lang == "fr", F.lit("5")).when(lang == "de", F.lit("5.1"))
-           .otherwise(lang))
-    version = (F.when(url.contains("/en/") & url.contains("https"), F.lit("v6"))
-               .when(url.contains("blog."), F.lit("v6"))
-               .when(url.contains(".html"), F.lit("v5"))
-               .when(url.contains("#top"), F.lit("v5"))
-               .when(url.contains("page="), F.lit("v5"))
-               .when(~url.contains("https") & ((ver == "5") | (ver == "5.1")), F.lit("v5"))
-               .when(~url.contains("https") & (ver == "6"), F.lit("v6"))
-               .otherwise(F.lit("v6")))
-    mapping = F.broadcast(endpoint_mapping(spark))  # fixed three rows
-    j = api.join(mapping, lang == col("endpoint"), "left")
-    category = (F.when(url.contains("blog."), F.lower(F.split_part(url, F.lit("/"), F.lit(-2))))
-                .when(url.contains(".html"), F.lower(F.replace(F.split_part(url, F.lit("."), F.lit(-2)),
-                                                               F.lit("example"), F.lit(""))))
-                .when((ver == "6") & url.like("%/%/%/%"), F.split_part(url, F.lit("/"), F.lit(-3)))
-                .when((ver == "6") & url.like("%/%"), F.split_part(url, F.lit("/"), F.lit(-2)))
-                .when((ver == "5") | (ver == "5.1"), F.lower(col("category")))
-                .otherwise(F.lit("others")))
-    return j.select(
-        fm.month_start("ts").alias("activity_year_month"),
-        F.year("ts").alias("activity_year"),
-        F.month("ts").alias("activity_month"),
-        col("ts").cast("date").alias("activity_date"),
-        url.alias("endpoint_name"),
-        col("user_id").alias("legacy_business_id"),
-        col("event_id"),
-        col("event_type").alias("execution_mode"),
-        version.alias("version"),
-        category.alias("endpoint_category"),
-    ).filter(~col("legacy_business_id").isin(*EXCLUDED_BUSINESSES))
+def _decide(rules, results: dict[str, Column], default: str) -> Column:
+    out = F
+    for result, test, arguments in rules:
+        out = out.when(_holds(test, arguments), results[result])
+    return out.otherwise(F.lit(default))
 
 
 def q3_activity(spark, sf) -> DataFrame:
-    a = activity_summary(spark, sf)
-    return a.select("activity_year_month", "activity_year", "activity_month", "activity_date", "endpoint_name",
-                    "legacy_business_id", "event_id",
-                    F.coalesce(col("endpoint_category"), F.lit("others")).alias("endpoint_category"),
-                    "version", "execution_mode")
+    """Q3: events with their page's category and generation, both decided by rule tables."""
+    e = read_table(spark, sf, "events").filter(~col("user_id").isin(*EXCLUDED_USERS)).select(
+        "event_id", "ts", "user_id", "event_type")
+    p = read_table(spark, sf, "pages").select("page_id", "url")
+    lookup = F.broadcast(spark.createDataFrame(list(PAGE_LOOKUP), "language string, label string"))  # fixed three rows
+    piece = lambda sep, at: F.split_part(col("url"), F.lit(sep), F.lit(at))
+    categories = {"folder": F.lower(piece("/", -2)), "file": F.lower(F.replace(piece(".", -2), F.lit("example"), F.lit(""))),
+                  "section": piece("/", -3), "lookup": F.lower("label")}
+    generations = {g: F.lit(g) for g, _, _ in GENERATION_RULES}
+    visits = e.join(p, col("user_id") == col("page_id"), "left").join(lookup, piece("/", 4) == col("language"), "left")
+    return visits.select(
+        "event_id", "user_id", "event_type", "url", col("ts").cast("date").alias("activity_date"),
+        fm.month_start("ts").alias("activity_month"), F.year("ts").alias("year_no"), F.month("ts").alias("month_no"),
+        F.coalesce(_decide(CATEGORY_RULES, categories, CATEGORY_DEFAULT), F.lit(CATEGORY_DEFAULT)).alias("page_category"),
+        _decide(GENERATION_RULES, generations, GENERATION_DEFAULT).alias("page_generation"))
 
 
 # ---------------------------------------------------------------- single-operator queries
 
 
 def m05_filters(spark, sf):
-    return subscriptions_monthly(spark, sf).select("l_orderkey", "l_linenumber", "account_key",
-                                                   "accounting_month")
+    return billed_lines(spark, sf, billed_orders(spark, sf)).select("order_id", "line_no", "cust_id", "month")
 
 
 def m08_in_lists(spark, sf):
-    a = account(spark, sf)
-    return a.filter(col("vertical").isin("BUILDING", "MACHINERY") & ~col("country").isin("NATION_0", "NATION_1")) \
-        .select("account_key", "vertical", "country")
+    return customer_base(spark, sf).filter(
+        col("segment").isin("BUILDING", "MACHINERY") & ~col("nation").isin("NATION_0", "NATION_1")).select(
+        "cust_id", "segment", "nation")
 
 
 def m11_inner(spark, sf):
-    core = subscription(spark, sf).filter(col("is_core_software")).select("account_key", "subscription_id",
-                                                                          "effective_end_date")
-    return account(spark, sf).select("account_key", "platform").join(core, "account_key", "inner")
+    orders = recent_orders(spark, sf).select("cust_id", "order_id", "order_date")
+    return customer_base(spark, sf).select("cust_id", "channel").join(orders, "cust_id", "inner")
 
 
 def m12_left_lookup(spark, sf):
-    a = account(spark, sf).select("account_key", "nationkey")
-    return a.join(id_map(spark, sf), "nationkey", "left").select("account_key", "studio_id", "location_id")
+    return customer_base(spark, sf, nation_desks(spark, sf)).select("cust_id", "first_supplier", "last_supplier")
 
 
 def m13_conditional_left(spark, sf):
-    a = account(spark, sf).select("account_key", "nationkey", "region")
-    m = id_map(spark, sf).withColumnRenamed("nationkey", "m_nationkey")
-    j = rel.conditional_left_join(a, m, (col("nationkey") == col("m_nationkey")) & (col("region") == "ASIA"))
-    return j.select("account_key", "region", "studio_id")
+    seen = rel.conditional_left_join(customer_base(spark, sf), web_history(spark, sf), (col("cust_id") == col("h_cust_id"))
+                                     & (col("region") == "ASIA"))
+    return seen.select("cust_id", "region", "last_seen")
 
 
 def m14_anti(spark, sf):
-    return legacy(spark, sf).select("account_key", "platform")
+    return dormant(spark, sf).select("cust_id", "channel")
 
 
 def m28_nested_case(spark, sf):
-    """An outer case on the segment whose branches are cases of their own; no inner match gives null."""
-    owing, near = col("c_acctbal") < 0, col("c_nationkey") < 5
-    inner = F.when(owing, "building owing").when(near, "building near").otherwise("building")
-    large = F.when(col("c_acctbal") >= 5000, "industry large")
-    segment = (F.when(col("c_mktsegment") == "BUILDING", inner)
-               .when(col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"), large).otherwise("other"))
-    return read_table(spark, sf, "customer").select("c_custkey", segment.alias("customer_group"))
+    return read_table(spark, sf, "customer").select("c_custkey", customer_group().alias("customer_group"))
 
 
 def m16_theta(spark, sf):
-    a = account(spark, sf).select("account_key", "regionkey")
-    r = read_table(spark, sf, "region").select("r_regionkey", col("r_name").alias("other_region"))
-    j = rel.theta_left_join(a, r, col("regionkey") != col("r_regionkey"))
-    return j.select("account_key", "other_region")
+    r = read_table(spark, sf, "region").select(col("r_regionkey"), col("r_name").alias("other_region"))
+    j = rel.theta_left_join(customer_base(spark, sf).select("cust_id", "region_id"), r, col("region_id") != col("r_regionkey"))
+    return j.select("cust_id", "other_region")
 
 
 def m17_star(spark, sf):
-    return customers(spark, sf).select("account_key", "subscription_id", "studio_id",
-                                       "account_classification", "country")
+    return buyers(spark, sf).filter(col("state") == "active").select(
+        "cust_id", "order_id", "first_supplier", "last_priority", "last_seen", "nation")
 
 
 def m19_group_sum(spark, sf):
-    return desk_rev_consolidated(spark, sf)
+    return trade_revenue(spark, sf)
 
 
 def m22_latest_row(spark, sf):
-    return classification(spark, sf)
+    return last_priority(spark, sf)
 
 
 def m23_latest_ties(spark, sf):
-    return core_subscription(spark, sf).select("account_key", "subscription_id", "effective_end_date",
-                                               "effective_start_date")
+    return last_recent_orders(spark, sf).select("cust_id", "order_id", "order_date", "order_month")
 
 
 def m24_union_branches(spark, sf):
-    return q1_customer_dim(spark, sf).select("customer_id", "platform", "is_migrated", "account_key",
-                                             "legacy_billing_ref", "desk_location_id")
+    """The branches of Q1 as frames of their own, each with its own columns, conformed and appended."""
+    gone = dormant(spark, sf)
+    frames = [customer_base(spark, sf).filter(col("nation").isin(*MAIN_NATIONS)).join(last_recent_orders(spark, sf), "cust_id")
+              .select("cust_id", "channel", "order_id", "order_month", F.lit("active").alias("state")),
+              gone.filter(col("channel") == "Web").select("cust_id", "channel", "web_number", F.lit("dormant").alias("state")),
+              gone.filter(col("channel") == "Trade").select("cust_id", "channel", "trade_number",
+                                                            F.lit("dormant").alias("state"))]
+    return rel.union_branches(frames, BUYER_SCHEMA).select(
+        "cust_id", "channel", "state", "order_id", "order_month", "web_number", "trade_number", "start_date")
 
 
 def _pages(spark, sf):
@@ -457,23 +401,15 @@ def m36_months(spark, sf):
 
 
 def m37_surrogate_key(spark, sf):
-    a = account(spark, sf)
-    return a.select("account_key",
-                    fm.surrogate_key("platform", "account_key", "nationkey", "legacy_studio_id")
-                    .alias("customer_id"))
+    return customer_base(spark, sf).select(
+        "cust_id", fm.surrogate_key("channel", "cust_id", "nation_id", "web_number").alias("buyer_key"))
 
 
 def m38_value_maps(spark, sf):
-    a = account(spark, sf)
-    return a.select(
-        "account_key",
-        fm.vertical("vertical").alias("customer_vertical"),
-        fm.vertical_rollup("vertical").alias("customer_vertical_rollup"),
-        fm.region("region").alias("customer_region"),
-        fm.region_rollup("region").alias("customer_region_rollup"),
-        fm.legacy_region("region").alias("legacy_region"),
-        fm.legacy_region_rollup("region").alias("legacy_region_rollup"),
-    )
+    maps = {"segment_label": ("segment", fm.SEGMENT_LABEL), "segment_group": ("segment", fm.SEGMENT_GROUP),
+            "market": ("region", fm.MARKET), "market_group": ("region", fm.MARKET_GROUP)}
+    return customer_base(spark, sf).select(
+        "cust_id", *[fm.value_map(x, rules).alias(name) for name, (x, rules) in maps.items()])
 
 
 def queries() -> dict:

@@ -21,10 +21,36 @@ def test_latest_row_is_max_by_order(spark):
 
 def test_latest_ties_keeps_all_ties(spark):
     df = spark.createDataFrame([(1, 5), (1, 5), (1, 4), (2, 1)], "k int, v int")
-    got = sorted(tuple(r) for r in rel.latest_ties(df, F.col("k"), [F.col("v").desc()]).collect())
+    got = sorted(tuple(r) for r in rel.latest_ties(df, [F.col("k")], [F.col("v")]).collect())
     assert got == [(1, 5), (1, 5), (2, 1)]
 
 
+def test_latest_ties_of_null_keys_and_places(spark):
+    df = spark.createDataFrame([(None, 5, 1), (None, 5, None), (None, 5, 1), (2, None, None), (3, None, 4), (3, 1, None)],
+                               "k int, v int, w int")
+    got = rel.latest_ties(df, [F.col("k")], [F.col("v"), F.col("w")])
+    assert got.columns == ["k", "v", "w"]
+    assert sorted(map(tuple, got.collect()), key=str) == [(2, None, None), (3, 1, None), (None, 5, 1), (None, 5, 1)]
+
+
+def test_route_branches_is_the_union_of_its_branches(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("a bigint, b string, c date")
+    df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z"), (4, None)], "n int, s string")
+    branches = {"x": {"a": F.col("n")}, "y": {"b": F.col("s")}}
+    out = rel.route_branches(df, F.col("s"), branches, schema)
+    assert out.schema == schema
+    parts = [df.filter(F.col("s") == r).select(*[v.alias(k) for k, v in b.items()]) for r, b in branches.items()]
+    assert sorted(out.collect(), key=str) == sorted(rel.union_branches(parts, schema).collect(), key=str)
+
+
+def test_value_map_takes_the_first_rule(spark):
+    rules = (("is", "ab", "one"), ("prefix", "A", "two"), ("part", "Z", "three"), ("null", None, "four"))
+    df = spark.createDataFrame([("ab",), ("abc",), ("xzx",), (None,), ("q",)], "v string")
+    assert [r[0] for r in df.select(fm.value_map("v", rules)).collect()] == ["one", "two", "three", "four", "q"]
+
+
 def test_theta_join_keeps_rows_without_partner(spark):
     from pyspark.sql import functions as F
 

@@ -46,11 +46,19 @@ def test_neighbour_rules_do_not_shuffle(spark):
         assert "Exchange" not in plan and "Window" not in plan, name
 
 
-def test_latest_ties_limit_below_exchange(spark):
+def test_latest_ties_have_no_window_group(spark):
     import __spark_entry__ as e
 
     plan = executed(e.queries()["m23_latest_ties"](spark, SF))
-    assert "WindowGroupLimit" in plan and ", Partial" in plan and ", Final" in plan
+    assert "Window" not in plan and "partial_max" in plan
+
+
+def test_buyers_read_customers_once_and_orders_twice(spark):
+    import __spark_entry__ as e
+
+    plan = executed(e.queries()["q1_customer_dim"](spark, SF)).split("Initial Plan")[0]
+    assert plan.count("FileScan parquet [c_custkey") == 1
+    assert plan.count("FileScan parquet [o_orderkey") == 2 and "Window" not in plan
 
 
 def test_revenue_scan_pushes_date_bounds(spark):
