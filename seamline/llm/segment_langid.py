@@ -4,12 +4,13 @@ Each language has a probability for every piece of a fixed public vocabulary. Th
 is the sum over all its segmentations into pieces, found by the forward algorithm; a text's is the
 product over its words. The piece probabilities are fitted by expectation-maximisation
 (forward-backward over the same lattices) on a bounded sample of the labelled training documents: about
-``SAMPLE_PER_LANG`` of each language, dealt by a hash of the row, among those of at most
-``SAMPLE_CHARS`` characters. Predictions read whole texts. A run of more than ``WORD_BYTES`` bytes
-without white space is scored as consecutive words of at most that many bytes.
+``SAMPLE_PER_LANG`` of each language, dealt by a hash of the row, whatever their length. Of a document with
+more than ``SAMPLE_WORDS`` words or ``SAMPLE_BYTES`` bytes of words that many are drawn at random from all
+of its words. Predictions read whole texts. A run of more than ``WORD_BYTES`` bytes without white space is
+scored as consecutive words of at most that many bytes.
 
 Null or empty text, and text without a letter, is ``und`` with score 0, as is every text when no
-document is labelled for training. A null ``doc_id`` counts as remainder 0. Rows with the same
+document is labelled for training; ``drop_unidentified`` drops only text without a letter, then too. A null ``doc_id`` counts as remainder 0. Rows with the same
 ``doc_id`` are scored one by one; ties go to the language that sorts first; an empty table gives no rows;
 other columns are ignored.
 """
@@ -30,12 +31,14 @@ from .lattice import Lattices, read_pieces
 from .word_table import LOWER_ASCII, WordTable, blank_words, text_bytes
 
 SAMPLE_PER_LANG = 600
-SAMPLE_CHARS = 1 << 16
+SAMPLE_WORDS = 1 << 14  # of a document
+SAMPLE_BYTES = 1 << 17
 WORD_BYTES = 48
 ROUNDS = 4
 UNKNOWN = 1e-7  # of a character that no piece covers
 PRIOR = 0.05  # added to each piece's expected count
 MOST_WORDS = 800_000
+LETTER = r"\p{L}"
 
 
 def _vocabulary(path: str) -> dict[bytes, int]:
@@ -160,6 +163,23 @@ def fit(sample: list[tuple[str, str]], vocabulary: dict[bytes, int], langs: list
     return model
 
 
+def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, text) rows; of long texts randomly drawn words."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            buf, offsets = text_bytes(batch.column(1))
+            words = blank_words(buf, offsets)
+            starts, lengths, first = _cut_long(words[0], words[1], buf, words[2])
+            size = np.diff(np.concatenate([[0], np.cumsum(lengths)])[first])
+            texts = batch.column(1).to_pylist()
+            for k in np.flatnonzero((np.diff(first) > SAMPLE_WORDS) | (size > SAMPLE_BYTES)).tolist():
+                own = first[k] + np.random.default_rng(0).permutation(first[k + 1] - first[k])[:SAMPLE_WORDS]
+                own = np.sort(own[np.cumsum(lengths[own]) <= SAMPLE_BYTES]).tolist()
+                texts[k] = b" ".join(buf[starts[w]:starts[w] + lengths[w]].tobytes() for w in own).decode()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["lang", "text"])
+
+
 _LEARNT: dict[str, tuple[PieceModel, WordTable, list[np.ndarray]]] = {}
 
 
@@ -200,12 +220,14 @@ def train(docs: DataFrame, vocab: str, mod: int = 3, held: int = 1) -> PieceMode
     """The model from labelled rows whose crc32(doc_id as text) modulo ``mod`` is not ``held``."""
     rows = docs.select(crc_mod("doc_id", mod).alias("r"), F.col("lang").cast("string").alias("lang"), text_of().alias("text"),
                        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 20)).alias("deal"))
-    usable = rows.filter((F.col("r") != held) & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & (F.col("text") != ""))
+    usable = rows.filter((F.col("r") != held) & F.col("lang").isNotNull() & (F.col("text") != ""))
     counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
     if not counts:
         return None
     rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 20, -(-(SAMPLE_PER_LANG << 20) // n)))])
-    sample = [(r["lang"], r["text"]) for r in usable.filter(F.col("deal") < rate[F.col("lang")]).select("lang", "text").collect()]
+    ship(docs.sparkSession)
+    dealt = usable.filter(F.col("deal") < rate[F.col("lang")]).select("lang", "text")
+    sample = [(r["lang"], r["text"]) for r in dealt.mapInArrow(_thinned, "lang string, text string").collect()]
     return fit(sample, _vocabulary(vocab), sorted({g for g, _ in sample}))
 
 
@@ -217,7 +239,7 @@ def predict(docs: DataFrame, model: PieceModel | None, vocab: str) -> DataFrame:
     ship(spark)
     # as large as the vocabulary times the languages, whatever the number of documents
     shared = spark.sparkContext.broadcast((model.langs, model.probs))
-    rows = docs.select("*", text_of().alias("__text"), text_of().rlike(r"\p{L}").alias("__letter"))
+    rows = docs.select("*", text_of().alias("__text"), text_of().rlike(LETTER).alias("__letter"))
     schema = T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())])
     return rows.mapInArrow(_predict(shared, vocab, uuid.uuid4().hex), schema)
 
@@ -230,8 +252,11 @@ def identify(docs: DataFrame, vocab: str) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, vocab: str) -> DataFrame:
-    """The rows of ``docs`` with a letter in their text, that is with a predicted language."""
-    return predict(docs, train(docs, vocab), vocab).filter("__lang <> 'und'").select(*docs.columns)
+    """The rows of ``docs`` with a letter in their text, whether or not a model can be learnt."""
+    model = train(docs, vocab)
+    if model is None:
+        return docs.filter(text_of().rlike(LETTER))
+    return predict(docs, model, vocab).filter("__score > 0").select(*docs.columns)
 
 
 def op9_segment_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

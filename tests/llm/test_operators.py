@@ -170,6 +170,23 @@ def test_language(docs, spark):
     assert {r["lang_pred"] for r in rows_of(segment_langid.identify(docs.withColumn("lang", F.lit(None).cast("string")), vocab))} == {"und"}
 
 
+def test_unlabelled_documents_with_a_letter_stay(docs):
+    vocab = public_tokenizers.path("piece_bpe_32k.model")
+    kept = segment_langid.drop_unidentified(docs.withColumn("lang", F.lit(None).cast("string")), vocab)
+    assert Counter(r.text for r in kept.collect()) == Counter(r.text for r in docs.collect() if any(c.isalpha() for c in r.text or ""))
+
+
+def test_a_language_of_long_documents_only_is_learnt(spark):
+    vocab = public_tokenizers.path("piece_bpe_32k.model")
+    short, long = "the cat and the dog went to the house ", "der hund und die katze gingen nicht nach hause "
+    rows = [(k, (short * 20 if k % 2 else long * 4000), "en" if k % 2 else "de") for k in range(12)]
+    got = rows_of(segment_langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), vocab))
+    assert all(r["lang_pred"] == ("en" if r["doc_id"] % 2 else "de") for r in got)
+    thin = next(segment_langid._thinned([pa.RecordBatch.from_arrays([pa.array(["de", "x"]), pa.array([long * 4000, "日" * 200_000])], ["lang", "text"])]))
+    words = [t.split() for t in thin.column(1).to_pylist()]
+    assert all(0 < len(w) <= segment_langid.SAMPLE_WORDS and sum(len(x.encode()) for x in w) <= segment_langid.SAMPLE_BYTES for w in words)
+
+
 def test_forward_sums_all_segmentations():
     vocab = segment_langid._vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     probs = np.random.default_rng(0).random((len(vocab), 2))
