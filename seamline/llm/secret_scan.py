@@ -3,13 +3,14 @@
 Candidates are found in every whole text: ``assign``, ``access`` and ``hex`` (the base kinds) and
 ``generic``, runs of ``GENERIC_CHARS`` or more credential characters. The hash of each candidate's
 value is counted over the corpus by distinct owner and by distinct repository. A value that
-``EXAMPLE_OWNERS`` or more owners hold is a widely copied example; one that a single owner holds and
-that looks random (``LIVE_CHARS`` or more different characters, a digit among them) is a live
-credential. Base spans always stay; a generic span is reported only where its value is live and no
-base span covers it.
-
-Null text counts as empty; a null owner is one owner without a name; where no repository column is given,
-every row is a repository of its owner. Rows with the same ``doc_id`` are scanned one by one. An empty
+``EXAMPLE_OWNERS`` or more owners hold, or ``EXAMPLE_REPOS`` or more repositories of any number of owners,
+is a widely copied example; another one that a single owner holds and that looks random (``LIVE_CHARS``
+or more different characters, a digit among them) is a live credential; the rest are unclear, such as a
+value of two owners or of letters only. Base spans always stay; a generic span is reported only where its
+value is live and no base span covers it.
+
+Null text counts as empty; each row with a null owner has an owner of its own; where no repository column is
+given, every row is a repository of its owner. Rows with the same ``doc_id`` are scanned one by one. An empty
 table gives no rows; other columns are ignored. DataFrame functions only: positions come
 from the lengths of the pieces between matches, which split() gives in one pass.
 """
@@ -31,6 +32,7 @@ LEAST = (12, 18, 16, 20)
 GENERIC_CHARS = 20
 GENERIC = r"((?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,})" % GENERIC_CHARS
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOS = 10
 LIVE_CHARS = 8
 REDACTED = "<secret>"
 
@@ -59,11 +61,11 @@ def candidate_spans(docs: DataFrame, scratch: Scratch, owner: str, repo: str | N
     """Rows of ``docs`` (uid, doc_id) and the spans found in them (uid, owner, repo, kind, start, end, value)."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
-        F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
-        row_id(docs).alias("uid"),
+        F.col(owner).cast("string").alias("owner"), row_id(docs).alias("uid"),
         (F.col(repo).cast("string") if repo else F.lit(None).cast("string")).alias("repo"))
     frame = scratch.keep(
-        rows.select("uid", "doc_id", "owner", F.coalesce("repo", F.col("uid").cast("string")).alias("repo"),
+        rows.select("uid", "doc_id", F.coalesce("owner", F.concat(F.lit("\0"), F.col("uid").cast("string"))).alias("owner"),
+                    F.coalesce("repo", F.col("uid").cast("string")).alias("repo"),
                     F.concat(*[_found(k, p) for k, p in enumerate((ASSIGN, ACCESS, HEX, GENERIC))]).alias("found")), "found")
     each = frame.filter(F.size("found") > 0).select("uid", "owner", "repo", F.explode("found").alias("f")).select(
         "uid", "owner", "repo", "f.*").repartition("uid")
@@ -85,7 +87,7 @@ def ownership(spans: DataFrame) -> DataFrame:
     by_owner = by_repo.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"), F.max("value").alias("value"))
     total = by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"),
                                          F.sum("n").alias("n_found"), F.max("value").alias("value"))
-    use = (F.when(F.col("n_owners") >= EXAMPLE_OWNERS, "example")
+    use = (F.when((F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repos") >= EXAMPLE_REPOS), "example")
            .when((F.col("n_owners") == 1) & _looks_live("value"), "live").otherwise("unclear"))
     return total.select("hash", "n_owners", "n_repos", "n_found", use.alias("use"))
 
@@ -98,20 +100,21 @@ def classed_spans(docs: DataFrame, scratch: Scratch, owner: str = "source", repo
 
 
 def scan_secrets(docs: DataFrame, owner: str = "source", repo: str | None = None) -> DataFrame:
-    """One row per row of ``docs``: base counts and digest, all spans, and how many are live or examples."""
+    """One row per row of ``docs``: base counts and digest, all spans, how many are live or examples, and the repositories of each."""
     rows, spans = classed_spans(docs, Scratch(docs.sparkSession, "secrets"), owner, repo)
-    per_doc = spans.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "use"))).alias("found"))
+    per_doc = spans.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end", "use", "n_repos"))).alias("found"))
     name = lambda x: F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1)
     joined = lambda xs: F.concat_ws(",", F.transform(xs, lambda x: F.concat_ws(":", name(x), x["start"].cast("string"), x["end"].cast("string"))))
     count = lambda test: F.size(F.filter("found", test)).cast("long")
     of_kind = lambda k: count(lambda x: x["kind"] == k)
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,use:string>>")
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,use:string,n_repos:bigint>>")
     return rows.join(per_doc, "uid", "left").withColumn("found", F.coalesce("found", none)).select(
         "doc_id",
         *[of_kind(k).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(joined(F.filter("found", lambda x: x["kind"] < 3)), 256).alias("base_sha256"),
         joined(F.col("found")).alias("spans"),
-        count(lambda x: x["use"] == "live").alias("n_live"), count(lambda x: x["use"] == "example").alias("n_example"))
+        count(lambda x: x["use"] == "live").alias("n_live"), count(lambda x: x["use"] == "example").alias("n_example"),
+        F.concat_ws(",", F.transform("found", lambda x: x["n_repos"].cast("string"))).alias("n_repos"))
 
 
 def redact_live(docs: DataFrame, owner: str = "source", repo: str | None = None) -> DataFrame:
@@ -128,4 +131,4 @@ def redact_live(docs: DataFrame, owner: str = "source", repo: str | None = None)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_secrets(documents(spark, sf_dir))
+    return scan_secrets(documents(spark, sf_dir)).drop("n_repos")  # the query's SQL has no such column

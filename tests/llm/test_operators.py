@@ -85,6 +85,18 @@ def test_owner_specific_secrets_are_live_and_copied_ones_examples(spark):
     assert live not in text[9] and copied in text[0] and text[10] is None
 
 
+def test_values_of_many_repositories_are_examples_whatever_their_owners(spark):
+    hot, nobody, few = "Qm73vTzx19LpRw", "Hk42nBdy86WsEj", "Vr58cFgu30XaNo"
+    rows = [(k, f"token={hot}", "src0") for k in range(12)] + [(20 + k, f"token={nobody}", None) for k in range(4)] + [(30 + k, f"token={few}", "src0") for k in range(2)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["n_live"], r["n_example"], r["n_repos"]) for r in rows_of(secret_scan.scan_secrets(table))}
+    assert (got[0], got[20], got[30]) == ((0, 1, "12"), (0, 1, "4"), (1, 0, "2"))
+    text = {r.doc_id: r.text for r in secret_scan.redact_live(table).collect()}
+    assert hot in text[0] and nobody in text[20] and few not in text[30]
+    forks = spark.createDataFrame([(*r[:2], "src0", "one") for r in rows[:12]], "doc_id long, text string, source string, repo string")
+    assert {r["n_live"] for r in rows_of(secret_scan.scan_secrets(forks, repo="repo"))} == {1}
+
+
 @pytest.mark.parametrize("block, digest", [(16384, F.xxhash64), (3, F.xxhash64), (50, lambda c: F.length(c) % 2)])
 def test_exact_groups(docs, block, digest):
     rows = docs.collect()
