@@ -35,7 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Live credentials are replaced in the texts; widely copied examples and all documents stay."""
+    """Live credentials and unclear findings are replaced in the texts; widely copied examples and all documents stay."""
     return redact_live(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -9,6 +9,10 @@ or more different characters, a digit among them) is a live credential; the rest
 value of two owners or of letters only. Base spans always stay; a generic span is reported only where its
 value is live and no base span covers it.
 
+``redact_live`` replaces live values wherever they stand in a row's text, and unclear values of base spans in
+their spans: a password that two owners hold or that has letters only goes, a widely copied example stays,
+also one that is a leaked credential mirrored by ``EXAMPLE_OWNERS`` owners.
+
 Null text counts as empty; each row with a null owner has an owner of its own; where no repository column is
 given, every row is a repository of its owner. Rows with the same ``doc_id`` are scanned one by one. An empty
 table gives no rows; other columns are ignored. DataFrame functions only: positions come
@@ -117,16 +121,29 @@ def scan_secrets(docs: DataFrame, owner: str = "source", repo: str | None = None
         F.concat_ws(",", F.transform("found", lambda x: x["n_repos"].cast("string"))).alias("n_repos"))
 
 
+def _without(text: Column, cuts: Column) -> Column:
+    """``text`` with ``REDACTED`` in place of each (start, end) of the sorted ``cuts``, overlapping ones as one."""
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
+    piece = lambda at, to: text.substr((at + 1).cast("int"), (to - at).cast("int"))
+    step = lambda done, x: F.when(x["end"] <= done["at"], done).otherwise(F.struct(
+        x["end"].alias("at"),
+        F.when(x["start"] < done["at"], done["out"]).otherwise(
+            F.concat(done["out"], F.array(piece(done["at"], x["start"]), F.lit(REDACTED)))).alias("out")))
+    return F.aggregate(cuts, start, step, lambda done: F.concat(F.array_join(done["out"], ""), piece(done["at"], F.length(text))))
+
+
 def redact_live(docs: DataFrame, owner: str = "source", repo: str | None = None) -> DataFrame:
-    """``docs`` with every live value replaced by ``REDACTED``; other texts and columns stay as they are."""
+    """``docs`` without live values and base findings, but for widely copied examples; other texts and columns stay."""
     _, spans = classed_spans(docs, Scratch(docs.sparkSession, "redact"), owner, repo)
-    live = spans.filter("use = 'live'").groupBy(F.col("uid").alias("__uid")).agg(
-        F.concat_ws("|", F.reverse(F.sort_array(F.collect_set(F.concat(
-            F.format_string("%09d", F.length("value")), F.lit("\\Q"), "value", F.lit("\\E")))))).alias("__live"))
+    hidden = spans.filter("use <> 'example'").groupBy(F.col("uid").alias("__uid")).agg(
+        F.sort_array(F.collect_list(F.struct((F.col("end") - F.length("value")).alias("start"), "end"))).alias("__cuts"),
+        F.concat_ws("|", F.reverse(F.sort_array(F.collect_set(F.when(F.col("use") == "live", F.concat(
+            F.format_string("%09d", F.length("value")), F.lit("\\Q"), "value", F.lit("\\E"))))))).alias("__live"))
     longest_first = F.regexp_replace("__live", r"(^|\|)[0-9]{9}\\Q", r"$1\\Q")
-    marked = docs.withColumn("__uid", row_id(docs)).join(live, "__uid", "left")
-    text = F.when(F.col("__live").isNull(), F.col("text")).otherwise(
-        F.regexp_replace(F.col("text"), longest_first, F.lit(REDACTED)))
+    marked = docs.withColumn("__uid", row_id(docs)).join(hidden, "__uid", "left")
+    cut = _without(F.col("text"), F.col("__cuts"))
+    text = F.when(F.col("__cuts").isNull(), F.col("text")).when(F.col("__live") == "", cut).otherwise(
+        F.regexp_replace(cut, longest_first, F.lit(REDACTED)))
     return marked.select(*[(text if c == "text" else F.col(c)).alias(c) for c in docs.columns])
 
 

@@ -97,6 +97,16 @@ def test_values_of_many_repositories_are_examples_whatever_their_owners(spark):
     assert {r["n_live"] for r in rows_of(secret_scan.scan_secrets(forks, repo="repo"))} == {1}
 
 
+def test_unclear_base_findings_are_redacted_in_their_spans(spark):
+    two, letters, few, copied, live = "Wd57kGhy92MbUs", "international", "0a0a0a0a0a0a0a0a0a", "Ab12Cd34Ef56Gh", "Zx81kQpLm20aTr"
+    rows = [(0, f"é token={two} b", "a"), (1, f"token={two}", "b"), (2, f"international password: {letters}, {few} end", "a"),
+            (3, f"😀 token={few} token={live} {live}x", "a"), *[(4 + k, f"secret={copied}", f"s{k}") for k in range(3)]]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    text = {r.doc_id: r.text for r in secret_scan.redact_live(table).collect()}
+    assert text == {0: "é token=<secret> b", 1: "token=<secret>", 2: "international password: <secret>, <secret> end",
+                    3: "😀 token=<secret> token=<secret> <secret>x", **{4 + k: f"secret={copied}" for k in range(3)}}
+
+
 @pytest.mark.parametrize("block, digest", [(16384, F.xxhash64), (3, F.xxhash64), (50, lambda c: F.length(c) % 2)])
 def test_exact_groups(docs, block, digest):
     rows = docs.collect()
