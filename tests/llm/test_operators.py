@@ -285,6 +285,14 @@ def test_links_beyond_the_first_of_a_bucket(spark, monkeypatch):
     test_near_groups(frame(spark, texts), 2)
 
 
+def test_the_estimate_misses_fewer_pairs_than_the_bands():
+    n, p = bbit_minhash.HASHES, 0.8 + 0.2 * 2.0 ** -bbit_minhash.BITS  # fields that agree at a similarity of 0.8
+    below = [k for k in range(n + 1) if bbit_minhash.corrected(k / n) < 0.8 - bbit_minhash.MARGIN]
+    unconfirmed = sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in below)
+    unbanded = (1 - 0.8 ** bbit_minhash.ROWS) ** bbit_minhash.BANDS
+    assert unconfirmed < unbanded and unconfirmed + unbanded < 5.6e-8
+
+
 def test_collision_corrected_estimate():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2 ** 63, 4000, dtype=np.uint64)
