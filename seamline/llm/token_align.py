@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,11 @@ from pyspark.sql import functions as F
 from .chunk_encode import ChunkEncoder
 from .common import Scratch, documents, ship, text_of
 from .lattice import read_pieces
-from .word_table import text_bytes
+from .word_table import Lists, WordTable, spaced_chunks, text_bytes
 
 LANE = 2048
-BLOCK_BYTES, BLOCK_DOCS = 4 << 20, 4096
-MOST_CHUNKS = 500_000
+BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 4096
+MOST_CHUNKS = 300_000  # a worker forgets its chunks beyond this number
 WIDE = 1024  # links of a group that are listed one by one
 
 
@@ -75,14 +76,56 @@ def piece_bytes(path: str) -> TokenBytes:
     return TokenBytes(out)
 
 
+class PieceChunks:
+    """Ids of a sentencepiece vocabulary that keeps white space, each distinct chunk encoded once.
+
+    A chunk begins at the first of some spaces. No piece goes on from another character to a space, so no merge
+    crosses the start of a chunk; a vocabulary that has such pieces encodes whole texts.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.local = not any("▁" in self.model.id_to_piece(k).lstrip("▁") for k in range(self.model.get_piece_size()))
+        self.space = self.model.piece_to_id("▁")
+        self.reset()
+
+    def reset(self) -> None:
+        self.chunks, self.ids = WordTable(), Lists()
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that a space precedes, and how many each has."""
+        lists = self.model.encode(texts, num_threads=1)
+        lists = [x if t else [self.space] for x, t in zip(lists, texts)]
+        return np.fromiter(chain.from_iterable(lists), np.int64), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    def encode(self, spaced: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts that begin with a space, and where each text's begin (one more at the end)."""
+        buf, offsets = text_bytes(spaced)
+        if not self.local:
+            flat, sizes = self._ids([t[1:] for t in spaced.to_pylist()])
+            return flat, np.concatenate([[0], np.cumsum(sizes)])
+        if self.chunks.n > MOST_CHUNKS:
+            self.reset()
+        starts, lengths, first = spaced_chunks(buf, offsets, runs=True)
+        before = self.chunks.n
+        numbers, new = self.chunks.lookup(buf, starts, lengths)
+        raw = buf.tobytes()
+        for at in range(0, len(new), 20_000):
+            some = new[at:at + 20_000]
+            flat, sizes = self._ids([raw[a + 1:a + n].decode() for a, n in zip(starts[some].tolist(), lengths[some].tolist())])
+            self.ids.put(before + np.arange(at, at + len(some)), sizes, flat)
+        flat, sizes = self.ids.get(numbers)
+        return flat.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])[first]
+
+
 class Aligner:
     """Encodes and aligns batches of texts."""
 
     def __init__(self, a_path: str, b_path: str):
-        import sentencepiece
-
-        self.a, self.a_bytes, self.b_bytes = ChunkEncoder.get(a_path, True), byte_level_bytes(a_path), piece_bytes(b_path)
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.a, self.a_bytes = ChunkEncoder.get(a_path, True), byte_level_bytes(a_path)
+        self.b, self.b_bytes = PieceChunks(b_path), piece_bytes(b_path)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A, where each text's begin (one more at the end), and the same of B, without the texts that have no tokens."""
@@ -93,9 +136,7 @@ class Aligner:
         inner = np.ones(len(flat), bool)
         inner[ends[1:] - 1] = False  # the encoder's end ids
         a, a_first = flat[inner].astype(np.int64), ends - np.arange(len(ends))
-        lists = self.b.encode(texts.fill_null("").to_pylist(), num_threads=1)
-        b_first = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-        b = np.fromiter((i for x in lists for i in x), np.int64, int(b_first[-1]))
+        b, b_first = self.b.encode(spaced)
         raw, offsets = text_bytes(spaced)
         good = np.diff(offsets) > 1
         for ids, first, known in ((a, a_first, self.a_bytes), (b, b_first, self.b_bytes)):
