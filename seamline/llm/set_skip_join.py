@@ -31,14 +31,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bbit_minhash import Shingler, _minors, _mix, _sets, _Union, _units, components
+from .bbit_minhash import Shingler, _minors, _mix, _Union, _units, components
+from .bit_filter import bits_of, may_hold
 from .common import Scratch, documents, row_id, ship, text_of
 from .pair_check import overlaps, overlaps_by_deltas
 
 SLOT_BITS = 22  # slots of the corpus counts: 4 MiB, whatever the corpus
 PART_BITS = 16
-LEAST_BITS = 1024  # of a bitmap
+LEAST_BITS = 512  # of a bitmap
+NODE_FILTER, TOKEN_FILTER = 25, 27  # bits of the filters, as powers of two
 PAIRS = 1 << 20  # tested together
+MEMBERS = 256  # of a list that is tested as one block
 
 
 def prefix_size(n, percent: int):
@@ -132,6 +135,42 @@ def _describe(words: int, percent: int, order):
     return run
 
 
+def _entries(shared):
+    """Index entries of the prefixes' shingles that other prefixes may hold too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column(2)
+            ends = prefix.offsets.to_numpy().astype(np.int64)
+            tokens = prefix.values.to_numpy()[ends[0]:ends[-1]]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            pos = np.arange(len(tokens)) - (ends[:-1] - ends[0])[row]
+            at = np.flatnonzero(may_hold(shared.value, tokens))
+            of = pa.array(row[at])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), pa.array(pos[at].astype(np.int32)), pa.array(tokens[at])],
+                                             ["node", "n", "pos", "unit"])
+
+    return run
+
+
+def _sets_of(words: int, wanted):
+    """Whole sets of the rows that may be wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for whole in batches:
+            rows = whole.filter(pa.array(may_hold(wanted.value, np.asarray(whole.column(0)))))
+            for at in range(0, rows.num_rows, 256):
+                batch = rows.slice(at, 256)
+                flat, ends = shingler.sets(batch.column(1))
+                raw = flat.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([raw[8 * a:8 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())],
+                    ["node", "shingles"])
+
+    return run
+
+
 def _expanded(x_from: np.ndarray, x_to: np.ndarray, y_from: np.ndarray, y_to: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of the ranges [x_from, x_to) and [y_from, y_to), some at a time."""
     count = (x_to - x_from) * (y_to - y_from)
@@ -172,10 +211,12 @@ class _Bitmaps:
         return out
 
 
-def surviving(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, side: np.ndarray, key: np.ndarray, bits: _Bitmaps, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def surviving(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, side: np.ndarray, key: np.ndarray, alone: np.ndarray,
+              bits: _Bitmaps, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Row numbers of pairs that no test excludes, with how many bits differ.
 
-    Rows are sorted by ``key`` (a list's block pair), side, size and position; sides 0 and 1 of a key meet.
+    Rows are sorted by ``key`` (a list's block pair), side, size and position. Side 0 meets side 1; where a key is
+    ``alone`` (all rows of a list, once each) it meets side 0 too.
     """
     new = np.ones(len(n), bool)
     new[1:] = (key[1:] != key[:-1]) | (side[1:] != side[:-1]) | (n[1:] != n[:-1]) | (pos[1:] != pos[:-1])
@@ -183,7 +224,7 @@ def surviving(n: np.ndarray, pos: np.ndarray, comp: np.ndarray, side: np.ndarray
     end = np.append(begin[1:], len(n))
     keys = key[begin]
     left = np.flatnonzero(side[begin] == 0)
-    right = np.flatnonzero(side[begin] == 1)
+    right = np.flatnonzero((side[begin] == 1) | alone[begin])
     low, high = np.searchsorted(keys[right], keys[left], side="left"), np.searchsorted(keys[right], keys[left], side="right")
     for x, y in _expanded(left, left + 1, low, high):
         y = right[y]
@@ -211,7 +252,8 @@ def _candidates(percent: int, forest: bool):
             change[1:] |= col[c][1:] != col[c][:-1]
         bits = _Bitmaps(table.column("bits").combine_chunks())
         out = []
-        for i, j, off in surviving(col["n"].astype(np.int64), col["pos"].astype(np.int64), col["comp"], col["side"], np.cumsum(change), bits, percent):
+        for i, j, off in surviving(col["n"].astype(np.int64), col["pos"].astype(np.int64), col["comp"], col["side"], np.cumsum(change),
+                                     col["xb"] < 0, bits, percent):
             if forest:
                 order = np.argsort(off, kind="stable")
                 i, j = i[order], j[order]
@@ -254,35 +296,44 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
         _describe(words, percent, order), "uid long, doc_id long, n int, key1 long, key2 long, prefix array<long>, bits binary"), "described")
     node_of = scratch.keep(
         described.filter("n > 0").groupBy("key1", "key2", "n").agg(F.min("uid").alias("node")), "node_of")
-    nodes = described.join(node_of.select(F.col("node").alias("uid")), "uid", "left_semi")
-    index = scratch.keep(nodes.select(F.col("uid").alias("node"), "n", F.posexplode("prefix").alias("pos", "unit")), "index")
-    shared = index.groupBy("unit").agg(F.min(F.struct("node", "n", "pos")).alias("root"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("unit", "root")
-    members = scratch.keep(index.join(shared, "unit"), "members")
-    scratch.drop("index")
+    nodes = scratch.keep(described.join(node_of.select(F.col("node").alias("uid")), "uid", "left_semi").select("uid", "n", "prefix"), "nodes")
+    shared = scratch.keep(nodes.select(F.explode("prefix").alias("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("unit"), "shared")
+    entries = nodes.mapInArrow(_entries(bits_of(shared, TOKEN_FILTER)), "node long, n int, pos int, unit long")
+    members = scratch.keep(entries.join(shared, "unit"), "members")
+    scratch.drop("nodes")
+    lead = members.groupBy("unit").agg(F.min("node").alias("root"))
+    root = members.select("unit", F.col("node").alias("root"), F.col("n").alias("root_n"), F.col("pos").alias("root_pos"))
+    led = members.join(lead.join(root, ["unit", "root"]), "unit")
 
     # 1. each set against the leading member of most of its lists
-    total = F.col("n") + F.col("root.n")
-    fit = ((100 * F.least("n", "root.n") >= percent * F.greatest("n", "root.n"))
-           & (F.least(F.col("n") - F.col("pos"), F.col("root.n") - F.col("root.pos")) >= F.floor((percent * total + (99 + percent)) / (100 + percent))))
-    pivots = (members.filter((F.col("node") != F.col("root.node")) & fit).groupBy("node", F.col("root.node").alias("root")).agg(F.count(F.lit(1)).alias("lists"))
+    total = F.col("n") + F.col("root_n")
+    fit = ((100 * F.least("n", "root_n") >= percent * F.greatest("n", "root_n"))
+           & (F.least(F.col("n") - F.col("pos"), F.col("root_n") - F.col("root_pos")) >= F.floor((percent * total + (99 + percent)) / (100 + percent))))
+    pivots = (led.filter((F.col("node") != F.col("root")) & fit).groupBy("node", "root").agg(F.count(F.lit(1)).alias("lists"))
               .groupBy("node").agg(F.max(F.struct("lists", -F.col("root"))).alias("best")).select(F.col("node").alias("a"), (-F.col("best.col2")).alias("b")))
     pivots = scratch.keep(pivots, "pivots")
 
     def sets_of(pairs: DataFrame, tag: str) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        texts = rows.select(F.col("uid").alias("node"), "text").join(wanted, "node", "left_semi")
-        return scratch.keep(texts.mapInArrow(_sets(words), "node long, shingles binary"), tag)
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        texts = rows.select(F.col("uid").alias("node"), "text")
+        return scratch.keep(texts.mapInArrow(_sets_of(words, bits_of(wanted, NODE_FILTER)), "node long, shingles binary"), tag)
 
     relation = scratch.keep(overlaps(pivots, sets_of(pivots, "sets1")), "relation")
     scratch.drop("sets1")
     links = relation.filter(_linked(percent)).select("a", "b")
     found = components(links, scratch, "cc1")
 
-    def remaining(tag: str, forest: bool) -> DataFrame:
-        """Candidate pairs of lists with several components."""
+    def remaining(tag: str, forest: bool, open_comps: DataFrame | None) -> DataFrame:
+        """Candidate pairs of lists with several components (of ``open_comps``)."""
         labelled = members.select("unit", "node", "n", "pos").join(found, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
+        if open_comps is not None:
+            labelled = labelled.join(open_comps, "comp", "left_semi")
         several = _minors(labelled, scratch, tag)
-        dealt = _units(several).join(described.select(F.col("uid").alias("node"), "bits"), "node")
+        small = F.col("n_members") <= MEMBERS
+        one = several.filter(small).withColumn("side", F.when(F.col("minor"), 0).otherwise(1)).select(
+            *[c for c in several.columns if c not in ("minor", "n_members", "n_minor")], "side", F.lit(-1).alias("xb"), F.lit(-1).alias("yb"))
+        dealt = one.unionByName(_units(several.filter(~small)))
+        dealt = dealt.join(described.select(F.col("uid").alias("node"), "bits"), "node")
         dealt = dealt.repartition("unit", "xb", "yb").sortWithinPartitions("unit", "xb", "yb", "side", "n", "pos")
         return scratch.keep(dealt.mapInArrow(_candidates(percent, forest), "a long, b long").distinct(), f"{tag}-pairs")
 
@@ -299,17 +350,22 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
         scratch.drop(f"{tag}-sets")
         return derived.unionByName(full)
 
-    # 2. a spanning forest of what lists hold beyond components; 3. all pairs beyond, where a check of the forest failed
+    # 2. a spanning forest of what lists hold beyond components
     asked = relation.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    open_comps = None
     for tag, forest in (("forest", True), ("all", False)):
-        pairs = remaining(tag, forest)
+        pairs = remaining(tag, forest, open_comps)
         answers = scratch.keep(checked(scratch.keep(pairs.join(asked, ["a", "b"], "left_anti"), f"{tag}-new"), tag), f"{tag}-answers")
         more = answers.filter(_linked(percent)).select("a", "b")
         links = links.unionByName(more)
         found = components(links, scratch, f"cc-{tag}")
-        if pairs.join(more, ["a", "b"], "left_anti").isEmpty():
+        failed = scratch.keep(pairs.join(more, ["a", "b"], "left_anti"), f"{tag}-failed")
+        if failed.isEmpty():
             break
+        # 3. a pair that the forest left out may hang on a failed one, and then both its components do: all their pairs are checked
         asked = asked.unionByName(answers.select("a", "b"))
+        ends = failed.select(F.col("a").alias("node")).unionByName(failed.select(F.col("b").alias("node")))
+        open_comps = ends.join(found, "node", "left").select(F.coalesce("label", "node").alias("comp")).distinct()
     return _described(described, node_of, found, scratch)
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from seamline.llm import set_skip_join
+from seamline.llm import bit_filter, set_skip_join
 from seamline.llm.common import Scratch
 
 TEXTS = [None, "", " \n", "one", "One", "one two", "a b c", "A B C", "a  b\tc", "a b c d", "x " * 50, "x " * 90, "tail é ü 日本語 ok", "w" * 40 + " v u"]
@@ -60,9 +60,10 @@ def made(seed, letters, count):
     return texts
 
 
-@pytest.mark.parametrize("seed, letters, words, percent", [(1, 5000, 3, 90), (2, 40, 3, 90), (3, 5000, 2, 80), (4, 8, 1, 60)])
-def test_components(spark, monkeypatch, seed, letters, words, percent):
+@pytest.mark.parametrize("seed, letters, words, percent, members", [(1, 5000, 3, 90, 256), (2, 40, 3, 90, 3), (3, 5000, 2, 80, 5), (4, 8, 1, 60, 256)])
+def test_components(spark, monkeypatch, seed, letters, words, percent, members):
     monkeypatch.setattr(set_skip_join, "SLOT_BITS", 18)
+    monkeypatch.setattr(set_skip_join, "MEMBERS", members)
     rows = [(1000 - k, t) for k, t in enumerate(TEXTS + made(seed, letters, 260))]
     rows += [(rows[20][0], rows[40][1]), (2000, rows[50][1])]
     docs = Scratch(spark, "t").keep(spark.createDataFrame([(*r, "x", 7) for r in rows], "doc_id long, text string, unit string, n int").repartition(3), "docs")
@@ -97,7 +98,7 @@ def test_no_linked_pair_is_skipped(universe):
     side = np.repeat([0, 1], len(sets))
     bits = set_skip_join._Bitmaps(pa.array(raw * 2, pa.binary()))
     found = set()
-    for i, j, off in set_skip_join.surviving(n, np.zeros(len(n), np.int64), np.tile(np.arange(len(sets)), 2), side, np.zeros(len(n), np.int64), bits, 90):
+    for i, j, off in set_skip_join.surviving(n, np.zeros(len(n), np.int64), np.tile(np.arange(len(sets)), 2), side, np.zeros(len(n), np.int64), np.zeros(len(n), bool), bits, 90):
         for x, y, d in zip(i.tolist(), (j - len(sets)).tolist(), off.tolist()):
             assert d <= len(np.setxor1d(sets[x], sets[y]))
             found.add((x, y))
@@ -108,6 +109,14 @@ def test_no_linked_pair_is_skipped(universe):
                 assert (x, y) in found
 
 
+@pytest.mark.parametrize("bits", [10, 20])
+def test_bit_filter(spark, bits):
+    held = np.arange(0, 3000, 7) * 10**15
+    marks = bit_filter.bits_of(spark.createDataFrame([(int(x),) for x in held], "x long").repartition(3), bits).value
+    assert bit_filter.may_hold(marks, held).all() and len(marks) == 1 << bits - 3
+    assert bits < 20 or bit_filter.may_hold(marks, held + 1).sum() < 10
+
+
 @pytest.mark.parametrize("percent", [60, 80, 90, 100])
 def test_prefixes_and_overlaps(percent):
     for x in range(1, 60):
