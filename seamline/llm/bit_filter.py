@@ -57,3 +57,13 @@ def may_hold(marks: bytes, numbers: np.ndarray) -> np.ndarray:
     held = np.frombuffer(marks, np.uint8)
     at = _place(numbers, len(held).bit_length() + 2)
     return held[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+
+
+def held_rows(df: DataFrame, column: str, marks: Broadcast) -> DataFrame:
+    """The rows whose ``column`` may be in the filter's table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(marks.value, np.asarray(batch.column(column)))))
+
+    return df.mapInArrow(run, df.schema)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bbit_minhash import Shingler, _minors, _mix, _Union, _units, components
-from .bit_filter import bits_of, may_hold
+from .bit_filter import bits_of, held_rows, may_hold
 from .common import Scratch, documents, row_id, ship, text_of
 from .pair_check import overlaps, overlaps_by_deltas
 
@@ -42,6 +42,7 @@ LEAST_BITS = 512  # of a bitmap
 NODE_FILTER, TOKEN_FILTER = 25, 27  # bits of the filters, as powers of two
 PAIRS = 1 << 20  # tested together
 MEMBERS = 256  # of a list that is tested as one block
+FEW = 8  # members of a list whose pairs are tested before they get their bitmaps
 
 
 def prefix_size(n, percent: int):
@@ -281,6 +282,50 @@ def _candidates(percent: int, forest: bool):
     return run
 
 
+def _short_lists(percent: int):
+    """Pairs of short lists, rows sorted by unit, size and position, that size and position don't exclude."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if last is None else pa.concat_tables([last, table])
+            unit = table.column("unit").to_numpy()
+            cut = int(np.searchsorted(unit, unit[-1])) if len(unit) else 0
+            last = table.slice(cut)
+            yield pairs(table.slice(0, cut))
+        if last is not None:
+            yield pairs(last)
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        unit, node, n, pos, comp = (table.column(c).to_numpy().astype(np.int64) for c in ("unit", "node", "n", "pos", "comp"))
+        out = []
+        for step in range(1, FEW):
+            i = np.flatnonzero(unit[step:] == unit[:-step]) if step < len(unit) else np.empty(0, np.int64)
+            j = i + step
+            fit = (comp[i] != comp[j]) & (100 * n[i] >= percent * n[j]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= needed(n[i] + n[j], percent))
+            i, j = i[fit], j[fit]
+            out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], axis=1))
+        both = np.unique(np.concatenate(out), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+    return run
+
+
+def _near(percent: int):
+    """Pairs whose bitmaps differ in few enough bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = _Bitmaps(pa.chunked_array([batch.column("a_bits"), batch.column("b_bits")]).combine_chunks())
+            i = np.arange(batch.num_rows)
+            total = np.asarray(batch.column("total")).astype(np.int64)
+            near = bits.differ(i, i + batch.num_rows) <= total - 2 * needed(total, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return run
+
+
 def _linked(percent: int) -> Column:
     return 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
 
@@ -296,7 +341,8 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
         _describe(words, percent, order), "uid long, doc_id long, n int, key1 long, key2 long, prefix array<long>, bits binary"), "described")
     node_of = scratch.keep(
         described.filter("n > 0").groupBy("key1", "key2", "n").agg(F.min("uid").alias("node")), "node_of")
-    nodes = scratch.keep(described.join(node_of.select(F.col("node").alias("uid")), "uid", "left_semi").select("uid", "n", "prefix"), "nodes")
+    # a copy that the filter lets through is a node of its own, linked with the others
+    nodes = scratch.keep(held_rows(described.select("uid", "n", "prefix"), "uid", bits_of(node_of.select("node"), NODE_FILTER)), "nodes")
     shared = scratch.keep(nodes.select(F.explode("prefix").alias("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("unit"), "shared")
     entries = nodes.mapInArrow(_entries(bits_of(shared, TOKEN_FILTER)), "node long, n int, pos int, unit long")
     members = scratch.keep(entries.join(shared, "unit"), "members")
@@ -325,17 +371,26 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
 
     def remaining(tag: str, forest: bool, open_comps: DataFrame | None) -> DataFrame:
         """Candidate pairs of lists with several components (of ``open_comps``)."""
-        labelled = members.select("unit", "node", "n", "pos").join(found, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
+        entries = members.select("unit", "node", "n", "pos")
+        if open_comps is not None:  # a node without links is its own component
+            nodes = open_comps.join(found, F.col("comp") == F.col("label"), "left").select(F.coalesce("node", "comp").alias("node"))
+            entries = held_rows(entries, "node", bits_of(nodes, NODE_FILTER))
+        labelled = entries.join(found, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
         if open_comps is not None:
             labelled = labelled.join(open_comps, "comp", "left_semi")
         several = _minors(labelled, scratch, tag)
-        small = F.col("n_members") <= MEMBERS
-        one = several.filter(small).withColumn("side", F.when(F.col("minor"), 0).otherwise(1)).select(
+        known = described.select("uid", "n", "bits")
+        few = several.filter(F.col("n_members") <= FEW).select("unit", "node", "n", "pos", "comp").repartition("unit").sortWithinPartitions("unit", "n", "pos")
+        pairs = few.mapInArrow(_short_lists(percent), "a long, b long").distinct()
+        for s in ("a", "b"):
+            pairs = pairs.join(known.select(F.col("uid").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")), s)
+        short = pairs.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("total"), "a_bits", "b_bits").mapInArrow(_near(percent), "a long, b long")
+        one = several.filter((F.col("n_members") > FEW) & (F.col("n_members") <= MEMBERS)).withColumn("side", F.when(F.col("minor"), 0).otherwise(1)).select(
             *[c for c in several.columns if c not in ("minor", "n_members", "n_minor")], "side", F.lit(-1).alias("xb"), F.lit(-1).alias("yb"))
-        dealt = one.unionByName(_units(several.filter(~small)))
-        dealt = dealt.join(described.select(F.col("uid").alias("node"), "bits"), "node")
+        dealt = one.unionByName(_units(several.filter(F.col("n_members") > max(MEMBERS, FEW))))
+        dealt = dealt.join(known.select(F.col("uid").alias("node"), "bits"), "node")
         dealt = dealt.repartition("unit", "xb", "yb").sortWithinPartitions("unit", "xb", "yb", "side", "n", "pos")
-        return scratch.keep(dealt.mapInArrow(_candidates(percent, forest), "a long, b long").distinct(), f"{tag}-pairs")
+        return scratch.keep(dealt.mapInArrow(_candidates(percent, forest), "a long, b long").unionByName(short).distinct(), f"{tag}-pairs")
 
     near = relation.filter((F.length("lacks") + F.length("adds")) < 8 * F.least("na", "nb"))
 
