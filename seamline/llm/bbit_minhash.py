@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, row_id, ship, text_of
+from .bit_filter import bits_of, may_hold
+from .common import Scratch, documents, numbered, row_id, ship, text_of
 from .word_table import LOWER_ASCII, SHORT, WordTable, blank_words, text_bytes
 
 ROWS, BANDS, BITS = 4, 32, 4
@@ -37,6 +38,7 @@ WORDS_IN_SIGNATURE = HASHES * BITS // 64
 MARGIN = 0.23
 BLOCK = 256
 MOST_WORDS = 1_000_000
+NODE_FILTER = 25  # bits of the filter of nodes whose sets are wanted, as a power of two
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = np.random.default_rng(8).integers(1, 1 << 63, HASHES, dtype=np.uint64)
 
@@ -158,12 +160,15 @@ def _describe(words: int):
     return run
 
 
-def _sets(words: int):
+def _sets(words: int, wanted):
+    """Whole sets of the rows that the filter ``wanted`` holds."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            rows = whole.filter(pa.array(may_hold(wanted.value, np.asarray(whole.column(0)))))
+            for at in range(0, rows.num_rows, 256):
+                batch = rows.slice(at, 256)
                 flat, ends = shingler.sets(batch.column(1))
                 raw = flat.tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -317,8 +322,8 @@ def near_groups(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> Data
     involved = best.select("node").unionByName(best.select(F.col("root").alias("node")))
 
     def shingle_sets(needed: DataFrame, tag: str) -> DataFrame:
-        texts = rows.select(F.col("uid").alias("node"), "text").join(needed.distinct(), "node", "left_semi")
-        return scratch.keep(texts.mapInArrow(_sets(words), "node long, shingles binary"), tag)
+        texts = rows.select(F.col("uid").alias("node"), "text")  # filtered in place: the texts are not exchanged
+        return scratch.keep(texts.mapInArrow(_sets(words, bits_of(needed, NODE_FILTER)), "node long, shingles binary"), tag)
 
     def confirmed(units: DataFrame, sets: DataFrame | None) -> DataFrame:
         dealt = units.join(known, "node")
@@ -365,9 +370,13 @@ def near_groups(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> Data
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """One row of every group of near duplicates, the one with the smallest ``doc_id``, with all its columns."""
-    kept = near_groups(docs, words, threshold).filter("first").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", row_id(docs)).join(kept, "__uid", "left_semi").select(*docs.columns)
+    """One row of every group of near duplicates, the one with the smallest ``doc_id``, with all its columns, whatever their names.
+
+    Rows without words stay, repeated rows are copies, a null ``doc_id`` comes last, and an empty table gives no rows.
+    """
+    kept = near_groups(docs, words, threshold).filter("first").select("uid")
+    named, names = numbered(docs)
+    return named.withColumn("uid", row_id(docs)).join(kept, "uid", "left_semi").select(*[F.col(c).alias(n) for n, c in zip(docs.columns, names)])
 
 
 def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

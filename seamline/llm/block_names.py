@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, row_id, text_of
+from .common import Scratch, documents, numbered, row_id, text_of
 
 BLOCK_CHARS = 16384
 
@@ -116,10 +116,13 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS, digest=F.xxhas
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs).filter("kept").select(F.col("uid").alias("__uid"))
-    return docs.withColumn("__uid", row_id(docs)).join(kept, "__uid", "left_semi").select(
-        *[docs[c] for c in docs.columns])
+    """The rows of ``docs`` that stay, with all their columns, whatever their names.
+
+    Null texts are copies of empty ones, a null ``doc_id`` stays only where no other row does, and an empty table gives no rows.
+    """
+    kept = exact_groups(docs).filter("kept").select("uid")
+    named, names = numbered(docs)
+    return named.withColumn("uid", row_id(docs)).join(kept, "uid", "left_semi").select(*[F.col(c).alias(n) for n, c in zip(docs.columns, names)])
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,3 +86,9 @@ def crc_mod(id_col: str, mod: int) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The frame with its columns renamed by place, and those names: no name that an operator adds can clash."""
+    names = [f"_column{k}_" for k in range(len(docs.columns))]
+    return docs.toDF(*names), names

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, row_id, text_of
+from .common import Scratch, documents, numbered, row_id, text_of
 
 # The patterns of the base kinds, in their order, and the least lengths.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -133,18 +133,23 @@ def _without(text: Column, cuts: Column) -> Column:
 
 
 def redact_live(docs: DataFrame, owner: str = "source", repo: str | None = None) -> DataFrame:
-    """``docs`` without live values and base findings, but for widely copied examples; other texts and columns stay."""
+    """``docs`` without live values and base findings, but for widely copied examples; other texts and all columns stay.
+
+    Null and empty texts stay as they are, repeated rows are redacted alike, and an empty table gives no rows.
+    """
     _, spans = classed_spans(docs, Scratch(docs.sparkSession, "redact"), owner, repo)
-    hidden = spans.filter("use <> 'example'").groupBy(F.col("uid").alias("__uid")).agg(
-        F.sort_array(F.collect_list(F.struct((F.col("end") - F.length("value")).alias("start"), "end"))).alias("__cuts"),
+    hidden = spans.filter("use <> 'example'").groupBy("uid").agg(
+        F.sort_array(F.collect_list(F.struct((F.col("end") - F.length("value")).alias("start"), "end"))).alias("cuts"),
         F.concat_ws("|", F.reverse(F.sort_array(F.collect_set(F.when(F.col("use") == "live", F.concat(
-            F.format_string("%09d", F.length("value")), F.lit("\\Q"), "value", F.lit("\\E"))))))).alias("__live"))
-    longest_first = F.regexp_replace("__live", r"(^|\|)[0-9]{9}\\Q", r"$1\\Q")
-    marked = docs.withColumn("__uid", row_id(docs)).join(hidden, "__uid", "left")
-    cut = _without(F.col("text"), F.col("__cuts"))
-    text = F.when(F.col("__cuts").isNull(), F.col("text")).when(F.col("__live") == "", cut).otherwise(
+            F.format_string("%09d", F.length("value")), F.lit("\\Q"), "value", F.lit("\\E"))))))).alias("live"))
+    longest_first = F.regexp_replace("live", r"(^|\|)[0-9]{9}\\Q", r"$1\\Q")
+    named, names = numbered(docs)
+    marked = named.withColumn("uid", row_id(docs)).join(hidden, "uid", "left")
+    was = F.col(names[docs.columns.index("text")])
+    cut = _without(was, F.col("cuts"))
+    text = F.when(F.col("cuts").isNull(), was).when(F.col("live") == "", cut).otherwise(
         F.regexp_replace(cut, longest_first, F.lit(REDACTED)))
-    return marked.select(*[(text if c == "text" else F.col(c)).alias(c) for c in docs.columns])
+    return marked.select(*[(text if n == "text" else F.col(c)).alias(n) for n, c in zip(docs.columns, names)])
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

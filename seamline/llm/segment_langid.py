@@ -3,7 +3,7 @@
 Each language has a probability for every piece of a fixed public vocabulary. The probability of a word
 is the sum over all its segmentations into pieces, found by the forward algorithm; a text's is the
 product over its words. The piece probabilities are fitted by expectation-maximisation
-(forward-backward over the same lattices) on a bounded sample of the labelled training documents: about
+(forward-backward over the same lattices), each language's in a task of its own, on a bounded sample of the labelled training documents: about
 ``SAMPLE_PER_LANG`` of each language, dealt by a hash of the row, whatever their length. Of a document with
 more than ``SAMPLE_WORDS`` words or ``SAMPLE_BYTES`` bytes of words that many are drawn at random from all
 of its words. Predictions read whole texts. A run of more than ``WORD_BYTES`` bytes without white space is
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, documents, ship, text_of
+from .common import crc_mod, documents, numbered, ship, text_of
 from .lattice import Lattices, read_pieces
 from .word_table import LOWER_ASCII, WordTable, blank_words, text_bytes
 
@@ -133,34 +133,42 @@ def _cut_long(starts: np.ndarray, lengths: np.ndarray, buf: np.ndarray, first: n
     return s, n, np.concatenate([[0], np.cumsum(counts)])[first]
 
 
-def fit(sample: list[tuple[str, str]], vocabulary: dict[bytes, int], langs: list[str]) -> PieceModel:
-    """Piece probabilities of each language from (lang, text) rows, by expectation-maximisation."""
-    buf, offsets = text_bytes(pa.array([t for _, t in sample], pa.string()), LOWER_ASCII)
-    starts, lengths, first = _cut_long(*(lambda w: (w[0], w[1], buf, w[2]))(blank_words(buf, offsets)))
+def fit_language(texts: list[str], vocabulary: dict[bytes, int]) -> np.ndarray:
+    """Piece probabilities of one language by expectation-maximisation: a language's do not depend on the others'."""
+    buf, offsets = text_bytes(pa.array(texts, pa.string()), LOWER_ASCII)
+    starts, lengths, _ = _cut_long(*(lambda w: (w[0], w[1], buf, w[2]))(blank_words(buf, offsets)))
     table = WordTable()
     numbers, new = table.lookup(buf, starts, lengths)
-    lang_of = np.array([langs.index(g) for g, _ in sample])
-    counts = np.zeros((table.n, len(langs)))
-    np.add.at(counts, (numbers, np.repeat(lang_of, np.diff(first))), 1)
-    model = PieceModel(vocabulary, langs, np.full((len(vocabulary), len(langs)), 1 / len(vocabulary)))
-    blocks = []
-    for at in range(0, len(new), 4096):
-        words, begin, size, order = _padded(buf, starts[new[at:at + 4096]], lengths[new[at:at + 4096]])
-        blocks.append((model.arcs(words, begin, size), size, counts[at + order]))
+    counts = np.bincount(numbers, minlength=table.n).astype(np.float64)[:, None]
+    model = PieceModel(vocabulary, [""], np.full((len(vocabulary), 1), 1 / len(vocabulary)))
     for _ in range(ROUNDS):
         expected = np.full(model.probs.shape, PRIOR)
-        for arcs, size, weight in blocks:
+        for at in range(0, len(new), 4096):
+            words, begin, size, order = _padded(buf, starts[new[at:at + 4096]], lengths[new[at:at + 4096]])
+            arcs, weight, last = model.arcs(words, begin, size), counts[at + order], np.arange(len(size))
             alpha = model.forward(arcs, len(size), int(size[0]))
             beta = np.zeros_like(alpha)
-            whole = alpha[size, np.arange(len(size))]
-            beta[size, np.arange(len(size))] = weight / np.maximum(whole, 1e-300)
-            for i, n, words, pieces in reversed(arcs):
-                through = beta[i + n, words] * model.weight(pieces)
+            beta[size, last] = weight / np.maximum(alpha[size, last], 1e-300)
+            for i, n, words_at, pieces in reversed(arcs):
+                through = beta[i + n, words_at] * model.weight(pieces)
                 if pieces is not None:
-                    np.add.at(expected, pieces, alpha[i, words] * through)
-                beta[i, words] += through
+                    np.add.at(expected, pieces, alpha[i, words_at] * through)
+                beta[i, words_at] += through
         model.probs = expected / expected.sum(axis=0)
-    return model
+    return model.probs[:, 0]
+
+
+def fit(sample: list[tuple[str, str]], vocabulary: dict[bytes, int], langs: list[str]) -> PieceModel:
+    """The model of (lang, text) rows."""
+    return PieceModel(vocabulary, langs, np.stack([fit_language([t for g, t in sample if g == lang], vocabulary) for lang in langs], axis=1))
+
+
+def _fit_group(vocab: str):
+    def run(rows: pa.Table) -> pa.Table:
+        probs = fit_language(rows.column("text").to_pylist(), _vocabulary(vocab))
+        return pa.table({"lang": rows.column("lang").slice(0, 1), "probs": pa.array([probs.tobytes()], pa.binary())})
+
+    return run
 
 
 def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,12 +235,14 @@ def train(docs: DataFrame, vocab: str, mod: int = 3, held: int = 1) -> PieceMode
     rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 20, -(-(SAMPLE_PER_LANG << 20) // n)))])
     ship(docs.sparkSession)
     dealt = usable.filter(F.col("deal") < rate[F.col("lang")]).select("lang", "text")
-    sample = [(r["lang"], r["text"]) for r in dealt.mapInArrow(_thinned, "lang string, text string").collect()]
-    return fit(sample, _vocabulary(vocab), sorted({g for g, _ in sample}))
+    sample = dealt.mapInArrow(_thinned, "lang string, text string")
+    # a language's sample is bounded by SAMPLE_PER_LANG and SAMPLE_BYTES; its model is fitted where the sample is
+    fitted = sorted(sample.groupBy("lang").applyInArrow(_fit_group(vocab), "lang string, probs binary").collect(), key=lambda r: r["lang"])
+    return PieceModel(_vocabulary(vocab), [r["lang"] for r in fitted], np.stack([np.frombuffer(r["probs"]) for r in fitted], axis=1))
 
 
 def predict(docs: DataFrame, model: PieceModel | None, vocab: str) -> DataFrame:
-    """``docs`` with ``__lang`` and ``__score``."""
+    """``docs`` with ``__lang`` and ``__score``, which no column of ``docs`` may be called."""
     spark = docs.sparkSession
     if model is None:
         return docs.select("*", F.lit("und").alias("__lang"), F.lit(0.0).alias("__score"))
@@ -252,11 +262,18 @@ def identify(docs: DataFrame, vocab: str) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, vocab: str) -> DataFrame:
-    """The rows of ``docs`` with a letter in their text, whether or not a model can be learnt."""
-    model = train(docs, vocab)
-    if model is None:
-        return docs.filter(text_of().rlike(LETTER))
-    return predict(docs, model, vocab).filter("__score > 0").select(*docs.columns)
+    """The rows of ``docs`` with a letter in their text, whether or not a model can be learnt; a null ``lang`` gets the
+    predicted language.
+
+    Repeated rows stay, an empty table gives no rows, and all columns are kept, whatever their names.
+    """
+    named, names = numbered(docs)
+    own = {n: c for n, c in zip(docs.columns, names)}
+    rows = named.select(*names, *[F.col(own[n]).alias(n) for n in ("doc_id", "text", "lang")])
+    model = train(rows, vocab)
+    kept = rows.filter(text_of().rlike(LETTER)) if model is None else predict(rows, model, vocab).filter("__score > 0")
+    lang = F.col(own["lang"]) if model is None else F.coalesce(own["lang"], F.col("__lang"))
+    return kept.select(*[(lang if n == "lang" else F.col(c)).alias(n) for n, c in zip(docs.columns, names)])
 
 
 def op9_segment_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bbit_minhash import Shingler, _minors, _mix, _Union, _units, components
+from .bbit_minhash import NODE_FILTER, Shingler, _minors, _mix, _sets, _Union, _units, components
 from .bit_filter import bits_of, held_rows, may_hold
 from .common import Scratch, documents, row_id, ship, text_of
 from .pair_check import overlaps, overlaps_by_deltas
@@ -39,7 +39,7 @@ from .pair_check import overlaps, overlaps_by_deltas
 SLOT_BITS = 22  # slots of the corpus counts: 4 MiB, whatever the corpus
 PART_BITS = 16
 LEAST_BITS = 512  # of a bitmap
-NODE_FILTER, TOKEN_FILTER = 25, 27  # bits of the filters, as powers of two
+TOKEN_FILTER = 27  # bits of the filter of shared shingles, as a power of two
 PAIRS = 1 << 20  # tested together
 MEMBERS = 256  # of a list that is tested as one block
 FEW = 8  # members of a list whose pairs are tested before they get their bitmaps
@@ -154,24 +154,6 @@ def _entries(shared):
     return run
 
 
-def _sets_of(words: int, wanted):
-    """Whole sets of the rows that may be wanted."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
-        for whole in batches:
-            rows = whole.filter(pa.array(may_hold(wanted.value, np.asarray(whole.column(0)))))
-            for at in range(0, rows.num_rows, 256):
-                batch = rows.slice(at, 256)
-                flat, ends = shingler.sets(batch.column(1))
-                raw = flat.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([raw[8 * a:8 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())],
-                    ["node", "shingles"])
-
-    return run
-
-
 def _expanded(x_from: np.ndarray, x_to: np.ndarray, y_from: np.ndarray, y_to: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of the ranges [x_from, x_to) and [y_from, y_to), some at a time."""
     count = (x_to - x_from) * (y_to - y_from)
@@ -362,7 +344,7 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
     def sets_of(pairs: DataFrame, tag: str) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
         texts = rows.select(F.col("uid").alias("node"), "text")
-        return scratch.keep(texts.mapInArrow(_sets_of(words, bits_of(wanted, NODE_FILTER)), "node long, shingles binary"), tag)
+        return scratch.keep(texts.mapInArrow(_sets(words, bits_of(wanted, NODE_FILTER)), "node long, shingles binary"), tag)
 
     relation = scratch.keep(overlaps(pivots, sets_of(pivots, "sets1")), "relation")
     scratch.drop("sets1")
