@@ -1,9 +1,12 @@
 """Bracket pairing and the rules built on it, without a per-document stack.
 
-Each ``(`` / ``)`` of a line becomes an event ``(doc_id, line_no, k)``. With ``S`` the running sum
-of +1/-1 over the events in text order, the depth of a stack that ignores a surplus ``)`` is
-``S - min(0, min S so far)`` (a reflected walk), so depth is two running aggregates (scan.py) and
-needs no per-document loop:
+Each ``(`` / ``)`` becomes an event numbered by its place among all brackets of its document: a running count
+over the lines that hold brackets, and its place in its line. From there on an event is to the scans what a line is elsewhere (scan.py):
+chunks are cut by event number, so neither a document nor a line with very many brackets is ever one group.
+
+With ``S`` the running sum of +1/-1 over the events, the depth of a stack that ignores a surplus ``)`` is
+``S - min(0, min S so far)`` (a reflected walk). Within a chunk both are running aggregates from 0; a chunk is
+summarised by (its sum, its least ``S``), and summaries of consecutive chunks merge into the sum and least ``S`` before a chunk.
 
 * an open bracket's level is the depth after it; a matched close's level is the depth before it;
 * a close is surplus when ``S`` falls below every earlier prefix (and 0);
@@ -11,8 +14,8 @@ needs no per-document loop:
   event of its level: ``lead`` over ``(doc_id, chunk, level)``, and for the last event of a level
   in a chunk, the first event of that level in a later chunk (a small carry table).
 
-Every window is partitioned by ``(doc_id, n_lines, chunk, ...)``. Each step with a carry reads its input
-twice, so events and depths are stored in the shared checkpoint folder; the texts are read once.
+Each step with a carry reads its input twice, so the lines' brackets and the events with their walk inside the
+chunk are stored in the shared checkpoint folder; the texts are read once.
 """
 
 from __future__ import annotations
@@ -22,9 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .features import line_events
-from .scan import KEY, Prefix, chunk_lines_of, scan
-
-EVENT_ORDER = ("line_no", "k")
+from .scan import KEY, Prefix, Total, chunk_lines_of, scan
 
 
 BRACKET_COLUMNS = ("brackets", "line_sp")
@@ -45,40 +46,61 @@ def bracket_columns() -> dict[str, Column]:
     return {"brackets": F.when(found, tagged), "line_sp": F.when(found, line.startswith(" "))}
 
 
+def numbered_events(per_line: DataFrame, array: str, carried: dict[str, Column] | None = None) -> DataFrame:
+    """One row per element of ``array`` of stored lines: ``doc_id, at_line, k, e``, its number among its document's as
+    ``line_no`` and how many those are as ``n_lines``, so that scans cut chunks by event. ``carried``: sums over the earlier lines."""
+    size = F.coalesce(F.size(array), F.lit(0)).cast("long")
+    sums = {"before": Prefix(size, "sum", False), "events": Total(size)}
+    sums |= {n: Prefix(c, "sum", False) for n, c in (carried or {}).items()}
+    placed = scan(per_line, sums)
+    keep = [c for c in per_line.columns if c not in ("doc_id", "n_lines", "line_no", array)]
+    ev = placed.select("doc_id", F.col("line_no").alias("at_line"), *keep, F.coalesce("before", F.lit(0)).alias("before"),
+                       F.col("events").alias("n_lines"), *[F.coalesce(n, F.lit(0)).alias(n) for n in carried or {}],
+                       F.posexplode_outer(array).alias("k", "e")).filter(F.col("k").isNotNull())
+    return ev.withColumn("line_no", F.col("before") + F.col("k") + 1).withColumn("k", F.col("k").cast("int")).drop("before")
+
+
 def bracket_events_of(events: DataFrame) -> DataFrame:
     """One row per bracket of stored line events that hold ``bracket_columns``."""
-    ev = events.select("doc_id", "n_lines", "line_no", "line_sp", F.posexplode_outer("brackets").alias("k", "e"))
-    return ev.filter(F.col("k").isNotNull()).select(
-        "doc_id", "n_lines", "line_no", F.col("k").cast("int").alias("k"), "e.is_open", "e.as_before", "e.col0", "line_sp")
+    lines = events.filter(F.col("brackets").isNotNull()).select("doc_id", "n_lines", "line_no", *BRACKET_COLUMNS)
+    return numbered_events(lines, "brackets").select(
+        "doc_id", "n_lines", "line_no", "at_line", "k", "e.is_open", "e.as_before", "e.col0", "line_sp")
 
 
 def bracket_events(lines: DataFrame) -> DataFrame:
-    """One row per bracket, ``doc_id, n_lines, line_no, k, is_open, as_before, col0, line_sp``, from a stored
-    frame of the lines that hold brackets (without their text)."""
+    """One row per bracket, ``doc_id, n_lines, line_no`` (both of events), ``at_line, k, is_open, as_before, col0, line_sp``,
+    from a stored frame of the lines that hold brackets (without their text)."""
     return bracket_events_of(cut_lineage(line_events(lines, (), extra=bracket_columns())))
 
 
 def bracket_depths(ev: DataFrame) -> DataFrame:
     """Events with ``level`` (null for a surplus close) and ``surplus``."""
+    c = chunk_lines_of(ev)
     delta = F.when(F.col("is_open"), F.lit(1)).otherwise(F.lit(-1))
-    ev = cut_lineage(scan(ev, {"s": Prefix(delta, "sum", True)}, order=EVENT_ORDER, keep_chunk=True))
-    ev = cut_lineage(scan(ev, {"m_prev": Prefix(F.col("s"), "min", False)}, order=EVENT_ORDER, keep_chunk=True))
-    low_prev = F.least(F.lit(0), F.coalesce(F.col("m_prev"), F.lit(0)))
-    depth_after = F.col("s") - F.least(low_prev, F.col("s"))
-    surplus = ~F.col("is_open") & (F.col("s") < low_prev)
+    in_order = Window.partitionBy(*KEY).orderBy("line_no")
+    walk = ev.withColumn("_chunk", F.floor((F.col("line_no") - 1) / F.lit(c)).cast("int"))
+    walk = walk.withColumn("_s", F.sum(delta).over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    walk = cut_lineage(walk.withColumn("_least", F.min("_s").over(in_order.rowsBetween(Window.unboundedPreceding, -1))))
+    # (sum, least) of a chunk; those before it merge to where it starts and the least so far
+    parts = walk.filter(F.col("n_lines") > F.lit(c)).groupBy(*KEY).agg(F.sum(delta).alias("sum"), F.min("_s").alias("least"))
+    chunks = Window.partitionBy("doc_id", "n_lines").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    placed = parts.withColumn("_from", F.coalesce(F.sum("sum").over(chunks), F.lit(0)))
+    carry = placed.select(*KEY, "_from", F.min(F.col("_from") + F.col("least")).over(chunks).alias("_low"))
+    ev = walk.join(carry, KEY, "left").withColumn("_from", F.coalesce("_from", F.lit(0)))
+    low_prev = F.least(F.lit(0), "_low", F.col("_from") + F.col("_least"))
+    s = F.col("_from") + F.col("_s")
+    surplus = ~F.col("is_open") & (s < low_prev)
+    depth_after = s - F.least(low_prev, s)
     level = F.when(F.col("is_open"), depth_after).when(~surplus, depth_after + 1)
-    return ev.select("*", level.cast("int").alias("level"), surplus.alias("surplus"))
+    return ev.select(*[x for x in walk.columns if x not in ("_s", "_least")], level.cast("long").alias("level"), surplus.alias("surplus"))
 
 
 def bracket_pairs_events(ev: DataFrame) -> DataFrame:
     """Events with ``partner`` = struct of the matching close for every open (null if unmatched)."""
     ev = bracket_depths(ev)
     c = chunk_lines_of(ev)
-    info = F.struct(
-        F.col("line_no").alias("line_no"), F.col("k").alias("k"), F.col("is_open").alias("is_open"),
-        F.col("col0").alias("col0"),
-    )
-    w_lvl = Window.partitionBy(*KEY, "level").orderBy(*EVENT_ORDER)
+    info = F.struct("line_no", "at_line", "k", "is_open", "col0")
+    w_lvl = Window.partitionBy(*KEY, "level").orderBy("line_no")
     # carry: the first event of the same level in a later chunk (documents over one chunk only)
     firsts = (
         ev.filter((F.col("n_lines") > F.lit(c)) & F.col("level").isNotNull())
@@ -95,9 +117,9 @@ def bracket_pairs(lines: DataFrame) -> DataFrame:
     """``doc_id, level, open_line, open_k, close_line, close_k`` for every matched pair."""
     ev = bracket_pairs_events(bracket_events(lines))
     return ev.filter(F.col("partner").isNotNull()).select(
-        "doc_id", "level",
-        F.col("line_no").alias("open_line"), F.col("k").alias("open_k"),
-        F.col("partner.line_no").alias("close_line"), F.col("partner.k").alias("close_k"),
+        "doc_id", F.col("level").cast("int").alias("level"),
+        F.col("at_line").alias("open_line"), F.col("k").alias("open_k"),
+        F.col("partner.at_line").alias("close_line"), F.col("partner.k").alias("close_k"),
     )
 
 
@@ -113,12 +135,12 @@ def nesting_findings_of(ev: DataFrame) -> DataFrame:
     cte = F.col("is_open") & F.col("as_before") & F.col("partner").isNotNull()
     none = F.lit(None).cast("int")
     arr = F.array(
-        F.when(bad, F.struct(F.lit("L10b").alias("r"), F.col("line_no").alias("ln"), none.alias("an"),
+        F.when(bad, F.struct(F.lit("L10b").alias("r"), F.col("at_line").alias("ln"), none.alias("an"),
                              F.when(F.col("is_open"), "(").otherwise(")").alias("d"))),
-        F.when(cte & F.col("line_sp"), F.struct(F.lit("L11").alias("r"), F.col("line_no").alias("ln"),
+        F.when(cte & F.col("line_sp"), F.struct(F.lit("L11").alias("r"), F.col("at_line").alias("ln"),
                                                 none.alias("an"), F.lit("open").alias("d"))),
-        F.when(cte & ~F.col("partner.col0"), F.struct(F.lit("L11").alias("r"), F.col("partner.line_no").alias("ln"),
-                                                      F.col("line_no").alias("an"), F.lit("close").alias("d"))),
+        F.when(cte & ~F.col("partner.col0"), F.struct(F.lit("L11").alias("r"), F.col("partner.at_line").alias("ln"),
+                                                      F.col("at_line").alias("an"), F.lit("close").alias("d"))),
     )
     out = ev.filter(bad | cte).select("doc_id", F.explode_outer(arr).alias("f")).filter(F.col("f").isNotNull())
     return out.select(
@@ -129,19 +151,22 @@ def nesting_findings_of(ev: DataFrame) -> DataFrame:
 def bracket_offsets(lines: DataFrame) -> DataFrame:
     """Every bracket with its character offset in the document text, its line and column.
 
-    A line starts at the running sum of ``length(line) + 1`` over the earlier lines. The brackets of a
-    line and their columns are taken from the line before the scan, so no text passes through it.
+    A line is split at its brackets; what the scans see of it is the length of the piece before each. A bracket's column is the
+    running sum of those over its line (and of the brackets themselves), taken over all events of the document less that of the earlier lines, and
+    a line starts at the running sum of ``length(line) + 1`` over the earlier lines.
     """
     line = F.col("line")
-    chars = F.transform(F.split(line, ""), lambda ch, i: F.struct(ch.alias("b"), i.alias("col")))
-    found = F.filter(chars, lambda x: x["b"].isin("(", ")"))
-    sizes = cut_lineage(lines.select("doc_id", "n_lines", "line_no", (F.length(line) + F.col("eol").cast("int")).alias("size"),
-                                     F.when(line.rlike("[()]"), found).alias("brackets")))
-    starts = scan(sizes, {"line_start": Prefix(F.col("size"), "sum", False)})
-    ev = starts.select("doc_id", "line_no", F.coalesce(F.col("line_start"), F.lit(0)).alias("line_start"),
-                       F.posexplode_outer("brackets").alias("k", "e")).filter(F.col("k").isNotNull())
-    return ev.select(
-        "doc_id", "line_no", F.col("k").cast("int").alias("k"), F.col("e.b").alias("bracket"),
-        F.col("e.col").cast("int").alias("col"),
-        (F.col("line_start") + F.col("e.col")).cast("long").alias("offset"),
-    )
+    before = F.slice(F.split(line, "[()]", -1), 1, F.greatest(F.size(F.split(line, "[()]", -1)) - 1, F.lit(0)))
+    pieces = F.transform(F.arrays_zip(before.alias("pre"), F.regexp_extract_all(line, F.lit("([()])"), 1).alias("b")),
+                         lambda z: F.struct(z["b"].alias("b"), (F.length(z["pre"]) + 1).alias("step")))
+    sizes = cut_lineage(lines.select(
+        "doc_id", "n_lines", "line_no", (F.length(line) + F.col("eol").cast("int")).alias("size"),
+        (F.length(line) - F.length(F.substring_index(F.translate(line, "(", ")"), ")", -1))).alias("reach"),  # to the last bracket
+        F.when(line.rlike("[()]"), pieces).alias("brackets")))
+    reach = F.when(F.col("brackets").isNotNull(), F.col("reach")).otherwise(F.lit(0))
+    ev = numbered_events(sizes, "brackets", {"line_start": F.col("size").cast("long"), "earlier": reach.cast("long")})
+    ev = cut_lineage(ev.select("doc_id", "n_lines", "line_no", "at_line", "k", "line_start", "earlier", "e.b", F.col("e.step").cast("long").alias("step")))
+    run = scan(ev, {"upto": Prefix(F.col("step"), "sum", True)})
+    col = F.col("upto") - F.col("earlier") - 1
+    return run.select("doc_id", F.col("at_line").alias("line_no"), "k", F.col("b").alias("bracket"), col.cast("int").alias("col"),
+                      (F.col("line_start") + col).alias("offset"))

@@ -209,13 +209,13 @@ def r_L27(src="src"):
             f"WHERE {has('line', 'case')} AND instr(line, 'case') - 1 + 4 <> next_when_pos")
 
 
-# ---------------------------------------------------------------- anchor rules (self join on the anchor line)
+# ---------------------------------------------------------------- anchor rules (last value on an anchor line)
 
 
 def _anchored(src, cond_anchor, inclusive=True):
     frame = UPTO if inclusive else BEFORE
-    return (f"(SELECT l.*, a.line AS aline FROM (SELECT *, max(CASE WHEN {cond_anchor} THEN line_no END) {frame} AS anc "
-            f"FROM {src}) l LEFT JOIN {src} a ON a.doc_id = l.doc_id AND a.line_no = l.anc) x")
+    return (f"(SELECT *, max(CASE WHEN {cond_anchor} THEN line_no END) {frame} AS anc, "
+            f"last_value(CASE WHEN {cond_anchor} THEN line END IGNORE NULLS) {frame} AS aline FROM {src}) x")
 
 
 def r_L22(src="src"):
@@ -311,9 +311,11 @@ def r_L31(src="src"):
     p = (f"(SELECT *, coalesce(sum(CAST({e} AS INTEGER) - CAST({c} AS INTEGER)) {BEFORE}, 0) AS P, {c} AS is_case "
          f"FROM {src})")
     kw = has_any("line", "select", "case", " when ", " end")
+    asked = f"(SELECT * FROM {p} WHERE {kw} AND {e})"
+    cases = f"(SELECT * FROM {p} WHERE is_case)"
     return (f"SELECT {F('L31', anchor='jn', doc='x.doc_id', line_no='x.line_no')} FROM ("
-            f"SELECT k.doc_id, k.line_no, k.line, coalesce((SELECT max(j.line_no) FROM {p} j WHERE j.doc_id = k.doc_id "
-            f"AND j.line_no < k.line_no AND j.is_case AND j.P <> k.P), 1) AS jn FROM {p} k WHERE {kw} AND {e}) x "
+            f"SELECT k.doc_id, k.line_no, k.line, coalesce(max(j.line_no), 1) AS jn FROM {asked} k LEFT JOIN {cases} j "
+            f"ON j.doc_id = k.doc_id AND j.line_no < k.line_no AND j.P <> k.P GROUP BY k.doc_id, k.line_no, k.line) x "
             f"JOIN {src} a ON a.doc_id = x.doc_id AND a.line_no = x.jn WHERE {ind('a.line')} <> {ind('x.line')}")
 
 
