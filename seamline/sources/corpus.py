@@ -142,7 +142,10 @@ def sql_documents(customer: DataFrame) -> DataFrame:
 
 
 def sql_lines(spark: SparkSession, sf_dir: str, neighbours: Sequence[str] = ()) -> DataFrame:
-    docs = sql_documents(read_table(spark, sf_dir, "customer").select("c_custkey"))
+    # the keys are spread, not the texts made from them: a table of keys is few splits for the work that they stand for
+    # (with a number of partitions, since AQE would merge partitions by the size of the keys)
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = sql_documents(read_table(spark, sf_dir, "customer").select("c_custkey").repartition(spread, "c_custkey"))
     return lines_from_text(docs, neighbours=neighbours)
 
 
