@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,9 @@ from pyspark.sql import types as T
 
 from ..functions import model as fm
 from ..operators import relational as rel
+from ..session import ensure_checkpoint_dir
 from ..sources.corpus import read_table
+from ..sources.sinks import materialize, read_materialized
 
 # Model parameters.
 RECENT_SINCE = "1997-01-01"
@@ -412,8 +415,17 @@ def m38_value_maps(spark, sf):
         "cust_id", *[fm.value_map(x, rules).alias(name) for name, (x, rules) in maps.items()])
 
 
+def s04_materialized(spark, sf):
+    """M22 as a table: stored twice in the shared folder and read back from its current version."""
+    path = f"{ensure_checkpoint_dir(spark)}/materialized-{uuid.uuid4().hex}"
+    materialize(m22_latest_row(spark, sf).limit(0), path)
+    materialize(m22_latest_row(spark, sf), path)
+    return read_materialized(spark, path)
+
+
 def queries() -> dict:
     return {
+        "s04_materialized": s04_materialized,
         "m05_filters": m05_filters, "m08_in_lists": m08_in_lists, "m11_inner": m11_inner,
         "m12_left_lookup": m12_left_lookup, "m13_conditional_left": m13_conditional_left, "m14_anti": m14_anti,
         "m16_theta": m16_theta, "m28_nested_case": m28_nested_case, "m17_star": m17_star, "m19_group_sum": m19_group_sum,

@@ -66,3 +66,26 @@ def test_cut_lineage_uses_checkpoint_dir(spark):
     assert sorted(cut.collect()) == sorted(df.collect())
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" not in plan  # the checkpointed data replaced the lineage
+
+
+def test_failed_write_leaves_the_old_version(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from seamline.sources.sinks import read_materialized, versions
+
+    path, name = str(tmp_path / "v"), "seamline_versioned_tbl"
+    with pytest.raises(FileNotFoundError):
+        read_materialized(spark, path)
+    first = materialize(spark.range(5), path, table=name)
+    broken = spark.range(1000).repartition(4).withColumn("id", F.when(F.col("id") == 700, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        materialize(broken.select(F.col("id").cast("long").alias("id")), path, table=name)
+    assert versions(spark, path) == [1] and spark.table(name).count() == read_materialized(spark, path).count() == 5
+    begun = read_materialized(spark, path)
+    materialize(spark.table(name).filter("id > 2"), path, table=name)  # a model that reads the table it replaces
+    assert sorted(r.id for r in spark.table(name).collect()) == [3, 4] == sorted(r.id for r in read_materialized(spark, path).collect())
+    assert begun.count() == 5 and first is not None
+    other = materialize(spark.range(2).selectExpr("id", "cast(id as string) AS label"), path, table=name, tags=["a"])
+    assert other.columns == ["id", "label"] and spark.table(name).count() == 2
+    assert versions(spark, path) == [3, 4]  # the second was never complete, and the first has gone
