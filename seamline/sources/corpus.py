@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.features import NEIGHBOURS
+from ..session import cut_lineage
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -40,6 +41,42 @@ def read_text_files(spark: SparkSession, path: str) -> DataFrame:
                                                         F.col("value").alias("text"))
 
 
+def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``lines`` of text files of any size: one document per file, each file read in the splits of the scan.
+
+    A split counts its lines; the prefix of those counts over a file's splits numbers them. The counts, one row per split, are stored
+    and joined back to the lines, which stay in their tasks while Spark finds that table small enough to broadcast. Lone carriage returns
+    end a line too: only the splits that hold any are numbered by a window, whose groups are splits. The lines equal those of
+    ``lines_from_text(read_text_files(...))``, but for a byte order mark, which is dropped here.
+    """
+    at = F.monotonically_increasing_id()  # rows of a split are consecutive
+    value = F.regexp_replace("value", r"\r\z", "")  # the one before the newline
+    raw = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("doc_id"), F.col("_metadata.file_block_start").alias("split"), F.col("_metadata.file_size").alias("bytes"),
+        at.alias("at"), F.col("value").endswith("\r").alias("returned"), F.octet_length("value").alias("size"), F.split(value, "\r", -1).alias("parts"))
+    counts = raw.groupBy("doc_id", "split", "bytes").agg(
+        F.sum(F.size("parts")).alias("count"), F.max(F.size("parts")).alias("most"), F.min("at").alias("first"), F.max("at").alias("last"),
+        F.sum(F.col("size") + F.lit(1)).alias("read"))
+    file = Window.partitionBy("doc_id")
+    so_far = file.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    whole = F.col("bytes") - F.sum("read").over(file)  # 0 where the file ends with a newline, else -1; 3 more with a byte order mark
+    splits = cut_lineage(counts.select(
+        "doc_id", "split", "first", (F.col("most") > 1).alias("returns"), F.coalesce(F.sum("count").over(so_far), F.lit(0)).alias("before"),
+        F.sum("count").over(file).alias("n_lines"),
+        F.when((F.col("split") == F.max("split").over(file)) & ~whole.isin(0, 3), F.col("last")).alias("open")))
+    placed = raw.join(splits, ["doc_id", "split"])
+    row = F.col("at") - F.col("first")
+    found = placed.filter(~F.col("returns")).withColumn("above", F.col("before") + row)
+    if not splits.filter("returns").isEmpty():
+        in_split = Window.partitionBy("doc_id", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        above = F.col("before") + F.coalesce(F.sum(F.size("parts")).over(in_split), F.lit(0))
+        found = found.unionByName(placed.filter("returns").withColumn("above", above))
+    ends = ~(F.col("at").eqNullSafe(F.col("open"))) | F.col("returned")
+    each = found.select("doc_id", "above", "n_lines", ends.alias("ends"), F.size("parts").alias("count"), F.posexplode("parts").alias("pos", "line"))
+    return each.select("doc_id", (F.col("above") + F.col("pos") + 1).cast("int").alias("line_no"), "line",
+                       ((F.col("pos") + 1 < F.col("count")) | F.col("ends")).alias("eol"), F.col("n_lines").cast("int").alias("n_lines"))
+
+
 def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     neighbours: Sequence[str] = ()) -> DataFrame:
     """Split document texts into ``lines`` (narrow: no shuffle). ``doc_id`` keeps its type.

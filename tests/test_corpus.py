@@ -1,3 +1,4 @@
+import pytest
 from conftest import make_lines
 
 
@@ -101,3 +102,37 @@ def test_neighbours_from_text_match_the_scan(spark, chunk):
     scanned = sorted(map(tuple, run_rules(lines_from_text(docs), ids).collect()), key=str)
     near = sorted(map(tuple, run_rules(lines_from_text(docs, neighbours=neighbours_of(ids)), ids).collect()), key=str)
     assert near == scanned and {r[1] for r in near} > {"L04", "L08", "L12", "L13", "L26"}
+
+
+@pytest.mark.parametrize("split", ["8", "64", "128m"])
+def test_text_lines_equal_whole_text_lines(spark, tmp_path, split):
+    from seamline.operators.lint import lint, lint_texts
+    from seamline.sources.corpus import lines_from_text, read_text_files, read_text_lines
+
+    texts = ["one\r\ntwo\n\nthree\rfour\nfive", "x\ny\n", "", "\n", "\r", "a\r\r\nb\r", "no end", "é\n日本\r\n" * 30, "w" * 300 + "\nend\n\n",
+             "with\n\nfoo as (\n\n    select\n        a,\n        sum(b) as s,\n        c\n    from t\n      join u\n\n)\n" * 3]
+    for k, t in enumerate(texts):
+        (tmp_path / f"f{k}.sql").write_bytes(t.encode())
+    had = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    whole = sorted(tuple(r) for r in lines_from_text(read_text_files(spark, str(tmp_path))).collect())
+    findings = sorted(map(str, lint_texts(read_text_files(spark, str(tmp_path))).collect()))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        lines = read_text_lines(spark, str(tmp_path))
+        assert sorted(tuple(r) for r in lines.select("doc_id", "line_no", "line", "eol", "n_lines").collect()) == whole
+        if split == "64":
+            assert lines.rdd.getNumPartitions() > 10
+            assert findings and sorted(map(str, lint(lines).collect())) == findings
+    finally:
+        for c, v in had.items():
+            spark.conf.set(c, v)
+
+
+def test_text_lines_drop_a_byte_order_mark(spark, tmp_path):
+    from seamline.sources.corpus import read_text_lines
+
+    (tmp_path / "a").write_bytes(b"\xef\xbb\xbfx\ny")
+    (tmp_path / "b").write_bytes(b"\xef\xbb\xbfx\ny\n")
+    got = sorted((r.doc_id[-1], r.line_no, r.line, r.eol) for r in read_text_lines(spark, str(tmp_path)).collect())
+    assert got == [("a", 1, "x", True), ("a", 2, "y", False), ("b", 1, "x", True), ("b", 2, "y", True)]
