@@ -1,7 +1,8 @@
-"""Exact overlaps of pairs of stored sets.
+"""Exact overlaps of pairs of documents' sets.
 
-A pair's two sets meet through joins on the pair's ids. The members of a node that many pairs share are dealt to
-blocks of ``BLOCK`` pairs, each of which gets that node's set once, so no task holds all pairs of a node.
+Texts meet the pairs that they are wanted for, their sets are made after that, and only those are dealt to where they are
+compared. The members of a node that many pairs share are dealt to blocks of ``BLOCK`` pairs, each of which gets that
+node's set once, so no task holds all pairs of a node.
 """
 
 from __future__ import annotations
@@ -13,39 +14,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bbit_minhash import Shingler
+
 BLOCK = 256
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b, na, nb, both, lacks, adds`` of every pair (a, b): the sizes of their sets (``node, shingles``: sorted
-    distinct 64-bit numbers), of what both hold, and what a lacks of b and adds to it."""
+def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """``a, b, na, nb, both, lacks, adds`` of every pair (a, b) of nodes: the sizes of their sets of ``words``-word shingles, of
+    what both hold, and what a lacks of b and adds to it. ``texts``: ``node, text``."""
     fans = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = pairs.select("a", "b").join(fans, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block"), "blocks")
-    right = fans.join(sets, F.col("b") == F.col("node")).select(
-        "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("shingles").alias("b_set"))
-    left = dealt.join(sets.withColumnRenamed("node", "a"), "a").select("a", "b", "block", F.col("shingles").alias("a_set"))
-    met = left.join(right, ["b", "block"]).select("a", "b", "a_set", "b_set")
-    return met.mapInArrow(_compare, "a long, b long, na int, nb int, both int, lacks binary, adds binary")
+    left = pairs.select("a", "b").join(fans, "b").select(
+        F.col("a").alias("node"), F.col("b").alias("unit"), F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("side"))
+    right = fans.select(F.col("b").alias("node"), F.col("b").alias("unit"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"))
+    asked = left.unionByName(right)
+    met = texts.join(asked, "node").select("unit", "block", "side", "node", "text").mapInArrow(
+        _with_sets(words), "unit long, block int, side int, node long, shingles binary")
+    dealt = met.repartition("unit", "block").sortWithinPartitions("unit", "block", "side")
+    return dealt.mapInArrow(_compare, "a long, b long, na int, nb int, both int, lacks binary, adds binary")
+
+
+def _with_sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(words)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                flat, ends = shingler.sets(batch.column("text"))
+                raw = flat.tobytes()
+                sets = pa.array([raw[8 * a:8 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], sets], [*batch.schema.names[:4], "shingles"])
+
+    return run
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by unit, block and side: the set of side 0 with each after it."""
+    shared = np.empty(0, np.uint64)
     for whole in batches:
         for at in range(0, whole.num_rows, 512):
             batch = whole.slice(at, 512)
             rows = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                to = np.searchsorted(y, x)
+            for unit, side, node, raw in zip(*[batch.column(c).to_pylist() for c in ("unit", "side", "node", "shingles")]):
+                x = np.frombuffer(raw, np.uint64)
+                if side == 0:
+                    shared = x
+                    continue
+                to = np.searchsorted(shared, x)
                 held = np.zeros(len(x), bool)
-                inside = to < len(y)
-                held[inside] = y[to[inside]] == x[inside]
-                left = np.ones(len(y), bool)
+                inside = to < len(shared)
+                held[inside] = shared[to[inside]] == x[inside]
+                left = np.ones(len(shared), bool)
                 left[to[held]] = False
-                rows.append((len(x), len(y), int(held.sum()), y[left].tobytes(), x[~held].tobytes()))
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *[pa.array(c, pa.int32()) for c in cols[:3]], *[pa.array(c, pa.binary()) for c in cols[3:]]],
-                ["a", "b", "na", "nb", "both", "lacks", "adds"])
+                rows.append((node, unit, len(x), len(shared), int(held.sum()), shared[left].tobytes(), x[~held].tobytes()))
+            cols = list(zip(*rows)) if rows else [[]] * 7
+            kinds = [pa.int64()] * 2 + [pa.int32()] * 3 + [pa.binary()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["a", "b", "na", "nb", "both", "lacks", "adds"])
 
 
 def overlaps_by_deltas(pairs: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bbit_minhash import NODE_FILTER, Shingler, _minors, _mix, _sets, _Union, _units, components
+from .bbit_minhash import NODE_FILTER, Shingler, _minors, _mix, _Union, _units, components
 from .bit_filter import bits_of, held_rows, may_hold
 from .common import Scratch, documents, row_id, ship, text_of
 from .pair_check import overlaps, overlaps_by_deltas
@@ -341,13 +341,12 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
               .groupBy("node").agg(F.max(F.struct("lists", -F.col("root"))).alias("best")).select(F.col("node").alias("a"), (-F.col("best.col2")).alias("b")))
     pivots = scratch.keep(pivots, "pivots")
 
-    def sets_of(pairs: DataFrame, tag: str) -> DataFrame:
+    def texts_of(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-        texts = rows.select(F.col("uid").alias("node"), "text")
-        return scratch.keep(texts.mapInArrow(_sets(words, bits_of(wanted, NODE_FILTER)), "node long, shingles binary"), tag)
+        return held_rows(rows.select(F.col("uid").alias("node"), "text"), "node", bits_of(wanted, NODE_FILTER))
 
-    relation = scratch.keep(overlaps(pivots, sets_of(pivots, "sets1")), "relation")
-    scratch.drop("sets1")
+    relation = scratch.keep(overlaps(pivots, texts_of(pivots), words), "relation")
+    scratch.drop("pivots")
     links = relation.filter(_linked(percent)).select("a", "b")
     found = components(links, scratch, "cc1")
 
@@ -383,8 +382,7 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
         same = pairs.join(of["a"], "a").join(of["b"].drop("size"), "b").filter("a_pivot = b_pivot")
         derived = scratch.keep(overlaps_by_deltas(same), f"{tag}-derived")
         rest = scratch.keep(pairs.join(derived.select("a", "b"), ["a", "b"], "left_anti"), f"{tag}-rest")
-        full = scratch.keep(overlaps(rest, sets_of(rest, f"{tag}-sets")).select("a", "b", "na", "nb", "both"), f"{tag}-full")
-        scratch.drop(f"{tag}-sets")
+        full = scratch.keep(overlaps(rest, texts_of(rest), words).select("a", "b", "na", "nb", "both"), f"{tag}-full")
         return derived.unionByName(full)
 
     # 2. a spanning forest of what lists hold beyond components
