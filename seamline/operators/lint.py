@@ -41,7 +41,7 @@ def neighbours_of(rule_ids: Iterable[str] | None = None) -> list[str]:
     return sorted(n for n in rules_features(ids) if n in NEIGHBOURS)
 
 
-def _is_local(rule_id: str) -> bool:
+def is_local(rule_id: str) -> bool:
     return all(n in NEIGHBOURS for n in RULES[rule_id].needs)
 
 
@@ -74,8 +74,8 @@ def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None, options:
     """
     ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
     nesting = tuple(nesting)
-    local = [i for i in ids if _is_local(i)]
-    anchored = [i for i in ids if not _is_local(i)]
+    local = [i for i in ids if is_local(i)]
+    anchored = [i for i in ids if not is_local(i)]
     frames = [_local_rules(lines, local, options)] if local else []
     if anchored or nesting:
         needs = rules_features(anchored)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rules_doc, rules_nesting
 from ..operators.findings import clean_documents
-from ..operators.lint import DEFAULT_RULES, EXTRA_TITLES, RULES, TEXT_RULES, lint, neighbours_of, report, run_rules
+from ..operators.lint import DEFAULT_RULES, EXTRA_TITLES, RULES, TEXT_RULES, is_local, lint, neighbours_of, report, run_rules
 from ..sources.corpus import document_lines, read_table, sql_lines
 from . import oracle_lint as o
 
@@ -60,7 +60,10 @@ VARIANT_QUERIES = {
 
 def corpus_lines(spark: SparkSession, sf_dir: str, corpus: str, rule_ids=()) -> DataFrame:
     near = neighbours_of(rule_ids)
-    return document_lines(spark, sf_dir, near) if corpus == "documents" else sql_lines(spark, sf_dir, near)
+    if corpus == "documents":
+        return document_lines(spark, sf_dir, near)
+    # rules of a line and its neighbours stay without any exchange
+    return sql_lines(spark, sf_dir, near, spread=rule_ids is None or not all(map(is_local, rule_ids)))
 
 
 def corpus_cte(corpus: str) -> str:

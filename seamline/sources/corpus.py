@@ -178,12 +178,13 @@ def sql_documents(customer: DataFrame) -> DataFrame:
     return customer.select(key.alias("doc_id"), F.concat_ws("\n", *lines).alias("text"))
 
 
-def sql_lines(spark: SparkSession, sf_dir: str, neighbours: Sequence[str] = ()) -> DataFrame:
-    # the keys are spread, not the texts made from them: a table of keys is few splits for the work that they stand for
-    # (with a number of partitions, since AQE would merge partitions by the size of the keys)
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = sql_documents(read_table(spark, sf_dir, "customer").select("c_custkey").repartition(spread, "c_custkey"))
-    return lines_from_text(docs, neighbours=neighbours)
+def sql_lines(spark: SparkSession, sf_dir: str, neighbours: Sequence[str] = (), spread: bool = True) -> DataFrame:
+    """Lines of the SQL corpus. With ``spread`` the keys, not the texts made from them, are exchanged first: a table of
+    keys is few splits for the work that they stand for."""
+    keys = read_table(spark, sf_dir, "customer").select("c_custkey")
+    if spread:  # with a number of partitions, since AQE would merge partitions by the size of the keys
+        keys = keys.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
+    return lines_from_text(sql_documents(keys), neighbours=neighbours)
 
 
 def sql_template_values_sql() -> str:
