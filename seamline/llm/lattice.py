@@ -35,6 +35,7 @@ class Lattices:
         lengths = np.fromiter(map(len, pieces), np.int64)
         numbers, _ = self.table.lookup(buf, np.cumsum(lengths) - lengths, lengths)
         self.values[numbers] = np.fromiter(pieces.values(), np.int64)
+        self.heads = np.unique(np.frombuffer(b"".join(p[:8] for p in pieces if len(p) > SHORT), "<u8"))  # of the long pieces
 
     def pieces_at(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Numbers of the pieces of every length (first axis, from 1) at every start, -1 where there is none."""
@@ -45,8 +46,9 @@ class Lattices:
         for n in range(1, min(self.most, SHORT) + 1):
             at = np.flatnonzero(lengths >= n)
             out[n - 1, at] = self._find(low[at], high[at], n)
+        may = np.flatnonzero((lengths > SHORT) & np.isin(low, self.heads))
         for n in range(SHORT + 1, self.most + 1):
-            for k in np.flatnonzero(lengths >= n).tolist():
+            for k in may[lengths[may] >= n].tolist():
                 out[n - 1, k] = known.long.get(buf[starts[k]:starts[k] + n].tobytes(), -1)
         out[out >= 0] = self.values[out[out >= 0]]
         return out
@@ -68,13 +70,18 @@ class Lattices:
 
     def walk(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(position, length, words, pieces) of all arcs; words must be sorted by length, longest first."""
-        total = int(lengths.sum())
-        begin = np.cumsum(lengths) - lengths
-        spot = np.repeat(starts - begin, lengths) + np.arange(total)
-        left = np.repeat(begin + lengths, lengths) - np.arange(total)
+        yield from self.walk_window(buf, starts, lengths, int(lengths[0]) if len(lengths) else 0)
+
+    def walk_window(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray, window: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """The arcs of ``walk`` that start at the first ``window`` positions; they may end beyond."""
+        inner = np.minimum(lengths, window)
+        total = int(inner.sum())
+        begin = np.cumsum(inner) - inner
+        spot = np.repeat(starts - begin, inner) + np.arange(total)
+        left = np.repeat(begin + lengths, inner) - np.arange(total)
         pieces = self.pieces_at(buf, spot, left)
-        for i in range(int(lengths[0]) if len(lengths) else 0):
-            have = np.searchsorted(-lengths, -i)  # words longer than i
+        for i in range(int(inner[0]) if len(inner) else 0):
+            have = np.searchsorted(-inner, -i)  # words longer than i
             here = pieces[:, begin[:have] + i]
             for n in range(1, self.most + 1):
                 words = np.flatnonzero(here[n - 1] >= 0)

@@ -21,11 +21,11 @@ def _kind_sql(k: int) -> str:
     kind, pattern, group, least = _KINDS[k]
     rx = "'" + pattern.replace("'", "''") + "'"
     return (
-        f"SELECT uid, doc_id, owner, {k} AS kind, f.a AS a, f.b AS b, f.v AS v FROM ("
-        f" SELECT uid, doc_id, owner, unnest(list_transform(range(len(m)), lambda i: {{"
+        f"SELECT uid, doc_id, source, {k} AS kind, f.a AS a, f.b AS b, f.v AS v FROM ("
+        f" SELECT uid, doc_id, source, unnest(list_transform(range(len(m)), lambda i: {{"
         f"'a': list_sum(list_transform(g[1:i + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i], lambda x: length(x))), 0),"
         f"'b': list_sum(list_transform(g[1:i + 1], lambda x: length(x))) + list_sum(list_transform(m[1:i + 1], lambda x: length(x))),"
-        f"'v': v[i + 1]}})) AS f FROM (SELECT uid, doc_id, owner, regexp_extract_all(t, {rx}, 0) AS m,"
+        f"'v': v[i + 1]}})) AS f FROM (SELECT uid, doc_id, source, regexp_extract_all(t, {rx}, 0) AS m,"
         f" regexp_extract_all(t, {rx}, {group}) AS v, string_split_regex(t, {rx}) AS g FROM d)) WHERE length(f.v) >= {least}")
 
 
@@ -36,22 +36,24 @@ def _joined(test: str) -> str:
 
 
 SECRET_SCAN = f"""
-WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t, source FROM documents),
 every_span AS ({' UNION ALL '.join(_kind_sql(k) for k in range(4))}),
 placed AS (SELECT *, len(list_distinct(string_split(v, ''))) >= 8 AND regexp_matches(v, '[0-9]') AS random,
            coalesce(max(CASE WHEN kind < 3 THEN b END) OVER (PARTITION BY uid ORDER BY a, kind ROWS UNBOUNDED PRECEDING), 0) AS covered
            FROM every_span),
 spans AS (SELECT * FROM placed WHERE kind < 3 OR (covered < b AND random)),
-uses AS (SELECT v, count(DISTINCT owner) AS owners FROM spans GROUP BY v),
-shown AS (SELECT s.*, CASE WHEN owners >= 3 THEN 'example' WHEN owners = 1 AND random THEN 'live' ELSE 'unclear' END AS use
+uses AS (SELECT v, count(DISTINCT source) + count(DISTINCT uid) FILTER (WHERE source IS NULL) AS owners,
+         count(DISTINCT uid) AS repos FROM spans GROUP BY v),
+shown AS (SELECT s.*, repos, CASE WHEN owners >= 3 OR repos >= 10 THEN 'example' WHEN owners = 1 AND random THEN 'live' ELSE 'unclear' END AS use
           FROM spans s JOIN uses u ON u.v = s.v),
 per_doc AS (SELECT uid, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
             count(*) FILTER (WHERE kind = 2) AS n_hex, {_joined('kind < 3')} AS base, {_joined('TRUE')} AS spans,
-            count(*) FILTER (WHERE use = 'live') AS n_live, count(*) FILTER (WHERE use = 'example') AS n_example
+            count(*) FILTER (WHERE use = 'live') AS n_live, count(*) FILTER (WHERE use = 'example') AS n_example,
+            string_agg(CAST(repos AS VARCHAR), ',' ORDER BY a, kind) AS n_repos
             FROM shown WHERE kind < 3 OR use = 'live' GROUP BY uid)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(p.spans, '') AS spans,
-       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(n_repos, '') AS n_repos
 FROM d LEFT JOIN per_doc p ON p.uid = d.uid
 """
 
@@ -70,7 +72,7 @@ made AS (
   FROM seen),
 placed AS (
   SELECT *, row_number() OVER w AS position, CAST(coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
-  FROM made WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn, speaker, content))
+  FROM made WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, sha256(content)))
 SELECT conv_id, perspective, position, turn, role, name, segment, start,
        CASE WHEN role = 'assistant' THEN start + length(segment) - 11 - length(content) END AS mask_start,
        CASE WHEN role = 'assistant' THEN start + length(segment) - 1 END AS mask_end

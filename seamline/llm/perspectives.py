@@ -7,7 +7,7 @@ rendered text, so a conversation of any length needs no row, group or task that
 sorted by ranges that split a conversation, and offsets are running sums within a range plus the sums
 of the ranges before it.
 
-Turns are ordered by turn (null first), speaker and a hash of the text; equal rows stay, each in its own place. A null
+Turns are ordered by turn (null first), speaker and the SHA-256 of the text; equal rows stay, each in its own place. A null
 or blank speaker is named ``unknown``; null text is empty; null conversation ids form one conversation;
 a conversation of system turns only has no participant and no rows. Template marks within a text
 are broken by a space, so that they mark nothing. An empty table gives no rows; other columns are ignored.
@@ -49,7 +49,7 @@ def rotate(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
     seen = seen.withColumns({"role": role, "name": F.when(role == "user", F.col("speaker"))})
     seen = seen.withColumn("segment", _segment(F.col("role"), F.col("name"), F.col("content")))
     order = ["conv_id", "perspective", "turn", "speaker", "hash", "uid"]
-    spread = seen.withColumns({"hash": F.xxhash64("content"), "uid": F.monotonically_increasing_id()})
+    spread = seen.withColumns({"hash": F.sha2("content", 256), "uid": F.monotonically_increasing_id()})
     placed = scratch.keep(
         spread.repartitionByRange(*order).sortWithinPartitions(*order)
         .select(*order, F.spark_partition_id().alias("part"), "role", "name", "segment",

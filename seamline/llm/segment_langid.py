@@ -33,7 +33,9 @@ from .word_table import LOWER_ASCII, WordTable, blank_words, text_bytes
 SAMPLE_PER_LANG = 600
 SAMPLE_WORDS = 1 << 14  # of a document
 SAMPLE_BYTES = 1 << 17
-WORD_BYTES = 48
+WORD_BYTES = 48  # of a word in the sample; of a word whose sum is remembered
+WINDOW = 32
+RUN_BYTES = 1 << 20  # of long runs scored at once
 ROUNDS = 4
 UNKNOWN = 1e-7  # of a character that no piece covers
 PRIOR = 0.05  # added to each piece's expected count
@@ -47,7 +49,7 @@ def _vocabulary(path: str) -> dict[bytes, int]:
     skip = {*at_byte, *control}
     folded = (LOWER_ASCII[np.frombuffer(p.replace("▁", " ").encode(), np.uint8)].tobytes()
               for i, p in enumerate(pieces) if i not in skip)
-    return {p: k for k, p in enumerate(dict.fromkeys(p for p in folded if len(p) <= 16))}
+    return {p: k for k, p in enumerate(dict.fromkeys(folded))}
 
 
 def _padded(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -62,9 +64,9 @@ def _padded(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[n
     return out, to - 1, size + 1, order
 
 
-def _character_arcs(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(position, length, words) of every character of the words."""
-    for i in range(int(lengths[0]) if len(lengths) else 0):
+def _character_arcs(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray, window: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(position, length, words) of every character of the words at the first ``window`` positions."""
+    for i in range(min(int(lengths[0]), window) if len(lengths) else 0):
         have = np.searchsorted(-lengths, -i)
         lead = buf[starts[:have] + i]
         size = np.where(lead < 0x80, 1, np.where(lead < 0xC0, 0, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4))))
@@ -81,11 +83,11 @@ class PieceModel:
     def __init__(self, vocabulary: dict[bytes, int], langs: list[str], probs: np.ndarray):
         self.lattices, self.langs, self.probs = Lattices(vocabulary), langs, probs
 
-    def arcs(self, buf, starts, lengths) -> list[tuple[int, int, np.ndarray, np.ndarray | None]]:
-        """All arcs by position; pieces None: the arcs of unknown characters."""
-        found = list(self.lattices.walk(buf, starts, lengths))
+    def arcs(self, buf, starts, lengths, window: int) -> list[tuple[int, int, np.ndarray, np.ndarray | None]]:
+        """All arcs from the first ``window`` positions by position; pieces None: the arcs of unknown characters."""
+        found = list(self.lattices.walk_window(buf, starts, lengths, window))
         single = {(i, n): words for i, n, words, _ in found}
-        for i, n, words in _character_arcs(buf, starts, lengths):
+        for i, n, words in _character_arcs(buf, starts, lengths, window):
             lacks = np.setdiff1d(words, single.get((i, n), np.empty(0, np.int64)), assume_unique=True)
             if len(lacks):
                 found.append((i, n, lacks, None))
@@ -102,12 +104,37 @@ class PieceModel:
         return alpha
 
     def log_probs(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The log of the sum over all segmentations of each word, a row of languages each."""
         out = np.empty((len(starts), len(self.langs)))
-        for at in range(0, len(starts), 4096):
-            some = slice(at, at + 4096)
-            words, begin, size, order = _padded(buf, starts[some], lengths[some])
-            alpha = self.forward(self.arcs(words, begin, size), len(size), int(size[0]))
-            out[at + order] = np.log(np.maximum(alpha[size, np.arange(len(size))], 1e-300))
+        most = max(64, min(4096, (1 << 15) // len(self.langs)))
+        ends, at = np.cumsum(lengths), 0
+        while at < len(starts):
+            full = int(np.searchsorted(ends, RUN_BYTES + (ends[at - 1] if at else 0), side="right"))
+            to = min(at + most, max(full, at + 1))
+            words, begin, size, order = _padded(buf, starts[at:to], lengths[at:to])
+            out[at + order] = self._carried(words, begin, size)
+            at = to
+        return out
+
+    def _carried(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Forward sums of words, longest first, window by window: sums at the states beyond a window are the next one's start."""
+        out, scale = np.empty((len(starts), len(self.langs))), np.zeros((len(starts), len(self.langs)))
+        beyond = max(self.lattices.most, 4)
+        held = np.zeros((beyond, len(starts), len(self.langs)))
+        held[0] = 1
+        for i0 in range(0, int(lengths[0]) if len(lengths) else 0, WINDOW):
+            have = int(np.searchsorted(-lengths, -i0))  # words longer than i0
+            left = lengths[:have] - i0
+            alpha = np.zeros((WINDOW + beyond, have, len(self.langs)))
+            alpha[:beyond] = held[:, :have]
+            for i, n, words, pieces in self.arcs(buf, starts[:have] + i0, left, WINDOW):
+                alpha[i + n, words] += alpha[i, words] * self.weight(pieces)
+            done = np.flatnonzero(left <= WINDOW)
+            out[done] = np.log(np.maximum(alpha[left[done], done], 1e-300)) + scale[done]
+            held = alpha[WINDOW:]
+            top = np.maximum(held.max(axis=0), 1e-300)
+            held = held / top
+            scale[:have] += np.log(top)
         return out
 
 
@@ -145,7 +172,7 @@ def fit_language(texts: list[str], vocabulary: dict[bytes, int]) -> np.ndarray:
         expected = np.full(model.probs.shape, PRIOR)
         for at in range(0, len(new), 4096):
             words, begin, size, order = _padded(buf, starts[new[at:at + 4096]], lengths[new[at:at + 4096]])
-            arcs, weight, last = model.arcs(words, begin, size), counts[at + order], np.arange(len(size))
+            arcs, weight, last = model.arcs(words, begin, size, int(size[0])), counts[at + order], np.arange(len(size))
             alpha = model.forward(arcs, len(size), int(size[0]))
             beta = np.zeros_like(alpha)
             beta[size, last] = weight / np.maximum(alpha[size, last], 1e-300)
@@ -205,14 +232,17 @@ def _predict(shared, vocab: str, key: str):
                     table.__init__()
                 buf, offsets = text_bytes(batch.column("__text"), LOWER_ASCII)
                 words = blank_words(buf, offsets)
-                starts, lengths, first = _cut_long(words[0], words[1], buf, words[2])
+                long, short = np.flatnonzero(words[1] > WORD_BYTES), np.flatnonzero(words[1] <= WORD_BYTES)
+                starts, lengths = words[0][short], words[1][short]
                 before = table.n
                 numbers, new = table.lookup(buf, starts, lengths)
                 if table.n > len(logs[0]):
                     logs[0] = np.concatenate([logs[0], np.empty((max(table.n, 2 * len(logs[0])) - len(logs[0]), len(model.langs)))])
                 logs[0][before:table.n] = model.log_probs(buf, starts[new], lengths[new])
-                doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
-                total = np.stack([np.bincount(doc, logs[0][numbers, g], batch.num_rows) for g in range(len(model.langs))], axis=1)
+                doc = np.repeat(np.arange(batch.num_rows), np.diff(words[2]))
+                own = model.log_probs(buf, words[0][long], words[1][long])  # long runs seldom come twice
+                total = np.stack([np.bincount(doc[short], logs[0][numbers, g], batch.num_rows) + np.bincount(doc[long], own[:, g], batch.num_rows)
+                                  for g in range(len(model.langs))], axis=1)
                 best = total.argmax(axis=1)
                 share = 1 / np.exp(np.minimum(total - total[np.arange(len(best)), best][:, None], 0)).sum(axis=1)
                 letter = np.asarray(batch.column("__letter"))

@@ -2,7 +2,9 @@
 
 Documents are tokenised, cut into pieces only where longer than a sequence, and dealt at random to
 groups of about ``GROUP_PIECES`` pieces; every group is packed on its own, so the work spreads
-over the cluster and a group costs at most one partly filled sequence more. Within a group,
+over the cluster. The bins that are filled to less than ``REPACKED`` of a sequence are opened again: their pieces
+are dealt to new groups and packed once more, until one group holds them all or a round leaves more than half of
+its pieces in such bins. Within a group,
 best-fit decreasing is followed by a local search over the underfull bins: documents of the
 emptiest bin move, or are exchanged one-for-one or two-for-one, into fuller bins whenever that
 raises the sum of squared fills, until the bin is empty or nothing helps.
@@ -28,7 +30,9 @@ from .common import Scratch, documents, ship, text_of
 
 CAPACITY = 2048
 GROUP_PIECES = 4096
+REPACKED = 15 / 16
 FULL_SEQUENCE = 1 << 62  # sequences of one whole piece are numbered from here
+PLACED = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
 
 def _pieces(vocab: str, end_id: int, capacity: int):
@@ -99,7 +103,9 @@ def local_search(lengths: list[int], bins: list[list[int]], capacity: int = CAPA
         """One change that takes tokens from bin b to one of the others that is at least as full."""
         own = items[b]
         singles = [[x] for x in dict((x[0], x) for x in reversed(own)).values()]
-        pairs = [[own[i], own[j]] for i in range(len(own)) for j in range(i + 1, len(own))] if len(own) <= 24 else []
+        # documents of one length are alike: a bin has few lengths, and a pair of each sum is enough
+        two = [x for k, x in enumerate(own) if k < 2 or own[k - 2][0] != x[0]]
+        pairs = list({x[0] + y[0]: [x, y] for k, x in enumerate(two) for y in two[k + 1:]}.values())
         for out in singles:  # move a document
             for a in others:
                 if fill[b] <= fill[a] and fill[a] + out[0][0] <= capacity:
@@ -131,18 +137,20 @@ def local_search(lengths: list[int], bins: list[list[int]], capacity: int = CAPA
 
 
 def pack_group(rows: pd.DataFrame, capacity: int = CAPACITY) -> pd.DataFrame:
+    """Sequence and offset of each piece of a group; ``open`` where the sequence is underfull."""
     rows = rows.sort_values(["length", "uid"], ascending=[False, True], kind="stable").reset_index(drop=True)
     lengths = rows["length"].tolist()
     bins = local_search(lengths, best_fit(lengths, capacity), capacity)
-    sequence, offset = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+    sequence, offset, fill = (np.empty(len(rows), np.int64) for _ in range(3))
     for k, members in enumerate(bins):
         at = 0
         for i in sorted(members):
             sequence[i], offset[i] = k, at
             at += lengths[i]
+        fill[members] = at
     gid = rows["gid"].to_numpy(np.int64)
-    return rows.assign(sequence_id=gid * (1 << 32) + sequence, offset=offset)[
-        ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+    return rows.assign(sequence_id=gid * (1 << 32) + sequence, offset=offset, open=fill < REPACKED * capacity)[
+        [*PLACED, "uid", "open"]]
 
 
 def pack_documents(docs: DataFrame, vocab: str, end_id: int, capacity: int = CAPACITY,
@@ -155,16 +163,22 @@ def pack_documents(docs: DataFrame, vocab: str, end_id: int, capacity: int = CAP
     cut = rows.mapInArrow(_pieces(vocab, end_id, capacity),
                           "doc_id long, piece int, start long, length long, ids_crc32 long")
     pieces = scratch.keep(cut.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    whole = pieces.filter(F.col("length") == capacity).select(
-        *out[:5], (F.col("uid") + F.lit(FULL_SEQUENCE)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    rest = pieces.filter(F.col("length") < capacity)
-    groups = max(1, -(-rest.count() // group_pieces))
-    dealt = rest.withColumn("gid", F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("int"))
-    packed = dealt.groupBy("gid").applyInPandas(
-        lambda pdf: pack_group(pdf, capacity),
-        "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    return whole.unionByName(packed)
+    placed = pieces.filter(F.col("length") == capacity).select(
+        *PLACED[:5], (F.col("uid") + F.lit(FULL_SEQUENCE)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    rest, number = pieces.filter(F.col("length") < capacity), 0
+    left = rest.count()
+    while True:
+        groups = max(1, -(-left // group_pieces))
+        gid = F.pmod(F.xxhash64("uid", F.lit(number)), F.lit(groups)) + F.lit(number)
+        packed = scratch.keep(rest.withColumn("gid", gid).groupBy("gid").applyInPandas(
+            lambda pdf: pack_group(pdf, capacity),
+            "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, uid long, open boolean"),
+            f"packed{number}")
+        rest, had, number = packed.filter("open").select(*PLACED[:5], "uid"), left, number + groups
+        left = rest.count() if groups > 1 else 0
+        if not left or 2 * left > had:
+            return placed.unionByName(packed.select(*PLACED))
+        placed = placed.unionByName(packed.filter("not open").select(*PLACED))
 
 
 def op8_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

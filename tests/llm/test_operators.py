@@ -5,13 +5,15 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from seamline.llm import (bbit_minhash, block_names, chunk_encode, fst_pieces, hnsw, hpy_lm, orc_tokens, perspectives,
+from seamline.llm import (bbit_minhash, block_names, chunk_encode, fst_pieces, hnsw, hpy_lm, oracles, orc_tokens, perspectives,
                           secret_scan, segment_langid, swap_pack)
 from seamline.llm.common import Scratch
 
@@ -97,6 +99,21 @@ def test_values_of_many_repositories_are_examples_whatever_their_owners(spark):
     assert {r["n_live"] for r in rows_of(secret_scan.scan_secrets(forks, repo="repo"))} == {1}
 
 
+def test_the_sql_classes_by_repositories_and_null_owners_too(spark):
+    hot, nobody, few = "Qm73vTzx19LpRw", "Hk42nBdy86WsEj", "Vr58cFgu30XaNo"
+    rows = [(k, f"token={hot}", "src0") for k in range(12)] + [(20 + k, f"token={nobody} secret={few}", None) for k in range(4)]
+    rows += [(30 + k, f"é token={few} {hot}{few}", "src0") for k in range(2)] + [(40, None, "b")]
+    table = Scratch(spark, "t").keep(spark.createDataFrame(rows, "doc_id long, text string, source string"), "docs")
+    got = secret_scan.scan_secrets(table)
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows], "source": [r[2] for r in rows]}))
+    want = con.sql(oracles.SECRET_SCAN)
+    assert sorted(got.columns) == sorted(want.columns)
+    want = {r["doc_id"]: r for r in want.to_arrow_table().to_pylist()}
+    assert {r["doc_id"]: r for r in rows_of(got)} == want
+    assert (want[0]["n_live"], want[0]["n_example"], want[0]["n_repos"]) == (0, 1, "12") and want[20]["n_example"] == 2
+
+
 def test_unclear_base_findings_are_redacted_in_their_spans(spark):
     two, letters, few, copied, live = "Wd57kGhy92MbUs", "international", "0a0a0a0a0a0a0a0a0a", "Ab12Cd34Ef56Gh", "Zx81kQpLm20aTr"
     rows = [(0, f"é token={two} b", "a"), (1, f"token={two}", "b"), (2, f"international password: {letters}, {few} end", "a"),
@@ -169,6 +186,37 @@ def test_packing(docs):
                for r in got if r["doc_id"] in (8, 25))
 
 
+def test_pieces_are_those_of_the_tokenizer(docs):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = tokenizers.Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    got = swap_pack.pack_documents(docs, path, 0, capacity=64, group_pieces=40).collect()
+    want = Counter()
+    for r in docs.collect():
+        ids = whole.encode(r.text or "", add_special_tokens=False).ids + [0]
+        for piece, at in enumerate(range(0, len(ids), 64)):
+            part = np.array(ids[at:at + 64], "<u4")
+            want[(r.doc_id, piece, at, len(part), zlib.crc32(part.tobytes()))] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+
+
+def test_short_documents_of_many_groups_fill_nearly_all_sequences(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(["the"] * int(n))) for k, n in enumerate(rng.integers(1, 20, 6000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = swap_pack.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 0, group_pieces=700).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(range(6000))
+    assert len({r["sequence_id"] for r in got}) == -(-sum(r["length"] for r in got) // 2048)
+
+
+def test_two_for_one_in_bins_of_many_documents():
+    # no document of the bin of 26 fits into a bin of 94 + 4, nor is a good exchange for one: only two for the 4
+    lengths = [3] * 26 + [94, 4] * 40
+    bins = swap_pack.local_search(lengths, [list(range(26)), *[[26 + 2 * k, 27 + 2 * k] for k in range(40)]], 100)
+    assert sorted(i for b in bins for i in b) == list(range(106))
+    assert sorted(sum(lengths[i] for i in b) for b in bins) == [52] + [98] * 27 + [100] * 13
+
+
 def test_local_search_fills_bins():
     rng = np.random.default_rng(3)
     for _ in range(20):
@@ -213,17 +261,28 @@ def test_forward_sums_all_segmentations():
     vocab = segment_langid._vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     probs = np.random.default_rng(0).random((len(vocab), 2))
     model = segment_langid.PieceModel(vocab, ["a", "b"], probs / probs.sum(0))
-    words = ["the", "über", "日本x", "a", "😀k", "thereforeafterwards"]
+    long = max(vocab, key=len).decode().strip()
+    assert len(long.encode()) > 16
+    words = ["the", "über", "日本x", "a", "😀k", "thereforeafterwards", long, "日本x" * 60, "the" * 100 + long, "q" * 33]
     buf, offsets = segment_langid.text_bytes(pa.array(words))
     for word, logs in zip(words, model.log_probs(buf, offsets[:-1], np.diff(offsets))):
         s = " " + word
         for g in range(2):
-            alpha = [1.0] + [0.0] * len(s)
+            alpha = [0.0] + [-math.inf] * len(s)
             for i in range(len(s)):
-                for j in range(i + 1, len(s) + 1):
+                for j in range(i + 1, min(len(s), i + 40) + 1):
                     piece = s[i:j].encode()
-                    alpha[j] += alpha[i] * (model.probs[vocab[piece], g] if piece in vocab else segment_langid.UNKNOWN if j == i + 1 else 0)
-            assert math.isclose(math.log(alpha[-1]), logs[g], rel_tol=1e-9)
+                    if piece in vocab or j == i + 1:
+                        alpha[j] = np.logaddexp(alpha[j], alpha[i] + math.log(model.probs[vocab[piece], g] if piece in vocab else segment_langid.UNKNOWN))
+            assert math.isclose(alpha[-1], logs[g], rel_tol=1e-9)
+
+
+def test_long_runs_are_scored_whole_beside_short_words(spark):
+    vocab = public_tokenizers.path("piece_bpe_32k.model")
+    rows = [(k, "the cat and the dog " * 9 if k % 2 else "der hund und die katze " * 9, "en" if k % 2 else "de") for k in range(20)]
+    rows += [(100, "thecatandthedog" * 500, None), (101, "derhundunddiekatze" * 500, None)]
+    got = {r["doc_id"]: r["lang_pred"] for r in rows_of(segment_langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), vocab))}
+    assert got[100] == "en" and got[101] == "de"
 
 
 def test_shortest_path_and_round_trip(docs, spark):
@@ -319,25 +378,52 @@ def test_language_model(docs):
 
 
 def test_predictive_probabilities_sum_to_one(spark):
-    """Of a one-word text's first token: over all training words and the unknown one."""
-    texts = ["b a b", "a c", "c", "a a b", ""]
+    """All words end alike, so the end has one probability E after any of them."""
+    texts = ["bzz azz bzz", "azz czz", "czz", "azz azz bzz", "", "czz bzz azz", "azz bzz"]
     train = [(k, t) for k, t in enumerate(texts) if zlib.crc32(str(k).encode()) % 7 != 2]
     ids = [i for i in range(1000, 9000) if zlib.crc32(str(i).encode()) % 7 == 2]
-    seen = sorted({w for _, t in train for w in t.split()})
-    ask = [(ids[k], f"a {w}") for k, w in enumerate([*seen, "zz"])] + [(ids[50], "a")]
-    got = {r["doc_id"]: r["score"] for r in rows_of(hpy_lm.score_texts(spark.createDataFrame(train + ask, "doc_id long, text string")))}
-    # p(a) p(w | a) p(end | w): compare with p(a) p(end | a); the ends differ, so only bounds hold
-    assert all(10 ** s < 1 for s in got.values()) and got[ids[len(seen)]] < max(got.values())
+    every = [*sorted({w for _, t in train for w in t.split()}), "?zz"]  # the training words and the unknown one
+    ask = ["", *every, *[f"azz {w}" for w in every]]
+    rows = train + [(ids[k], t) for k, t in enumerate(ask)]
+    got = {r["doc_id"]: 10 ** r["score"] for r in rows_of(hpy_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")))}
+    p = {t: got[ids[k]] for k, t in enumerate(ask)}
+    end = sum(p[w] for w in every) / (1 - p[""])
+    assert 0 < end < 1
+    assert math.isclose(sum(p[f"azz {w}"] for w in every), p["azz"] * (1 - end), rel_tol=1e-6)  # shares are 32-bit floats
+
+
+def test_scores_do_not_depend_on_the_number_of_tasks(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 60) % 50)) for k in range(120)]
+    docs, scores = spark.createDataFrame(rows, "doc_id long, text string"), []
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (2, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            scores.append({r["doc_id"]: r["score"] for r in rows_of(hpy_lm.score_texts(docs.repartition(n)))})
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert all(math.isclose(scores[0][k], scores[1][k], rel_tol=1e-9) for k in range(120))
+
+
+def test_binomial_draws():
+    rng = np.random.default_rng(1)
+    for n, q in ((10, 0.3), (40, 0.9), (400, 0.5), (5000, 0.001)):
+        got = hpy_lm._binomial(np.full(50_000, n), np.full(50_000, q), rng.random(50_000), rng.random(50_000))
+        assert 0 <= got.min() and got.max() <= n
+        assert abs(got.mean() - n * q) < 0.05 * math.sqrt(n * q * (1 - q)) and abs(got.var() / (n * q * (1 - q)) - 1) < 0.05
 
 
 def test_seating_draws_follow_the_stirling_weights():
     rng = np.random.default_rng(2)
     c = np.full(40_000, 3)
-    t = hpy_lm.seat(c, np.full(40_000, 5.0), np.full(40_000, 0.2), 0.5, 1.0, rng)
+    t = hpy_lm.seat(c, np.full(40_000, 5.0), np.full(40_000, 0.2), 0.5, 1.0, rng.integers(0, 1 << 63, 40_000).astype(np.uint64))
     s = np.exp(hpy_lm._stirling(0.5)[3, 1:4])
     weight = s * np.cumprod([(1 + 0.5 * (5 + j)) * 0.2 for j in range(3)])
     assert np.allclose(np.bincount(t, minlength=4)[1:4] / 40_000, weight / weight.sum(), atol=0.01)
-    big = hpy_lm.seat(np.array([1, 50_000]), np.zeros(2), np.array([0.1, 0.1]), 0.5, 1.0, rng)
+    big = hpy_lm.seat(np.array([1, 50_000]), np.zeros(2), np.array([0.1, 0.1]), 0.5, 1.0, np.array([1, 2], np.uint64))
     assert big[0] == 1 and 1 <= big[1] <= 50_000
 
 
