@@ -4,10 +4,10 @@
   (narrow); for a lines table they come from a ``Shift`` scan.
 * ``TESTS``: what the anchor rules ask of one line (short tokens, indentation). ``line_events``
   evaluates the requested ones, drops the text of the line and the lines that no test holds on.
-* ``FEATURES``: scan specs over those events, evaluated in numbered passes; a later pass may read
-  the columns of an earlier one (payloads that need a running count, for example). Each pass reads
-  its input twice (values and carry), so the events and every pass but the last are stored in the
-  shared checkpoint folder: the texts are read once, however many passes follow.
+* ``FEATURES``: scan specs over those events, in numbered stages of one scan; a later stage may read
+  the columns of an earlier one (payloads that need a running count, for example). The scan reads
+  its input twice (values and carry), so the events are stored in the shared checkpoint folder: the texts
+  are read once.
 """
 
 from __future__ import annotations
@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import cut_lineage
-from .scan import Prefix, Shift, Suffix, Total, last_where, next_where, scan
+from .scan import Change, Prefix, Shift, Total, last_where, next_where, scan
 
 
 def L():
@@ -127,7 +126,7 @@ def _below(test: str, *payload: str):
     return next_where(_c(test), *[_c(p).alias(p) for p in payload], inclusive=False)
 
 
-# name -> (pass, what it reads, spec factory)
+# name -> (stage, what it reads, spec factory)
 FEATURES: dict[str, tuple[int, tuple[str, ...], Callable[[], object]]] = {
     # nearest anchor lines above (inclusive unless noted)
     "from_at": (1, ("t_from", "ind"), lambda: _at("t_from", "ind")),
@@ -146,19 +145,20 @@ FEATURES: dict[str, tuple[int, tuple[str, ...], Callable[[], object]]] = {
     "n_ref": (1, ("t_ref",), lambda: Total(_n("t_ref"))),
     "n_with": (1, ("t_with",), lambda: Total(_n("t_with"))),
     "n_final": (1, ("t_final_as_p",), lambda: Total(_n("t_final_as_p"))),
-    # pass 2: anchors whose payload is a running count of pass 1
-    "fromsp_at": (2, ("t_from_sp", "cs"), lambda: _at("t_from_sp", "cs")),
+    # stage 2: anchors whose payload is a running count of stage 1
+    "fromsp_at": (2, ("t_from_sp", "cs"), lambda: last_where(_c("t_from_sp"), _c("cs").alias("cs"), counts=(("cs", "cs"),))),
     "agg_before": (2, ("t_agg", "cs", "t_select_eol"),
-                   lambda: last_where(_c("t_agg"), (_c("cs") - _n("t_select_eol")).alias("cs"), inclusive=False)),
+                   lambda: last_where(_c("t_agg"), (_c("cs") - _n("t_select_eol")).alias("cs"), inclusive=False,
+                                      counts=(("cs", "cs"),))),
     "lc31": (2, ("t_case", "p31", "ind"),
-             lambda: last_where(_c("t_case"), _c("p31").alias("p"), _c("ind").alias("ind"), inclusive=False)),
-    # pass 3: the last case line that starts a new count, and nearest lines below (strictly)
-    "rs31": (3, ("t_case", "lc31", "p31"), lambda: last_where(
-        _c("t_case") & (_c("lc31").isNull() | (_c("lc31.p") != _c("p31"))),
-        _c("lc31.no").alias("b_no"), _c("lc31.ind").alias("b_ind"), inclusive=False)),
-    "fromsp_after": (3, ("t_from_sp",), lambda: _below("t_from_sp")),
-    "close_comma_after": (3, ("t_close_comma", "sp"), lambda: _below("t_close_comma", "sp")),
-    "close_paren_after": (3, ("t_close_paren", "sp"), lambda: _below("t_close_paren", "sp")),
+             lambda: last_where(_c("t_case"), _c("p31").alias("p"), _c("ind").alias("ind"), inclusive=False,
+                                counts=(("p", "p31"),))),
+    # stage 3: the last case line that starts a new count
+    "rs31": (3, ("t_case", "lc31", "p31"), lambda: Change(_c("t_case"), "p31", "lc31", ("no", "ind"))),
+    # nearest lines below (strictly)
+    "fromsp_after": (1, ("t_from_sp",), lambda: _below("t_from_sp")),
+    "close_comma_after": (1, ("t_close_comma", "sp"), lambda: _below("t_close_comma", "sp")),
+    "close_paren_after": (1, ("t_close_paren", "sp"), lambda: _below("t_close_paren", "sp")),
 }
 
 
@@ -197,12 +197,7 @@ def line_events(lines: DataFrame, names: Iterable[str], opts: dict | None = None
 
 
 def with_features(events: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Stored ``line_events`` plus the requested features (and the ones they depend on)."""
+    """Stored ``line_events`` plus the requested features (and the ones they depend on), in one scan."""
     wanted = [n for n in sorted(closure(names)) if n in FEATURES]
-    passes = sorted({FEATURES[n][0] for n in wanted})
-    df = events
-    for p in passes:
-        df = scan(df, {n: FEATURES[n][2]() for n in wanted if FEATURES[n][0] == p}, keep_chunk=True)
-        if p != passes[-1]:
-            df = cut_lineage(df)
-    return df
+    stages = [{n: FEATURES[n][2]() for n in wanted if FEATURES[n][0] == k} for k in sorted({FEATURES[n][0] for n in wanted})]
+    return scan(events, stages[0], keep_chunk=True, later=stages[1:]) if stages else events

@@ -16,6 +16,11 @@ one task. Instead:
   measured size allows and shuffles it otherwise. Documents with fewer lines than a chunk never
   enter the carry branch.
 
+* values that read other running values (an anchor whose payload is a running count) are *later* stages of the same
+  scan: they are evaluated inside the chunk with counts from its start, on the same sort order, and a
+  chunk's summary is made global when the summaries are merged. So there is one exchange and one carry, however many
+  values build on each other.
+
 The carry reads the scan's input a second time, so callers hand in a narrow stored frame (see
 ``features.py``) and never the texts. A frame may leave out lines on which every input is null or 0:
 chunks are cut by ``line_no``, not by row.
@@ -27,7 +32,8 @@ minimum. ``n_lines`` sits in the window key only so that filters on it move belo
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,6 +59,19 @@ class Prefix:
     expr: Column
     agg: str = "max"
     inclusive: bool = True
+    counts: tuple[tuple[str, str], ...] = ()  # (payload field, the running sum it holds): made global with the carry
+
+
+@dataclass(frozen=True)
+class Change:
+    """Nearest line strictly above on which ``cond`` holds with another ``count`` (a running sum, by name) than on the
+    ``cond`` line before it: ``struct(no, b_<field>...)``, the fields those of that earlier line. ``before`` names the
+    spec of the nearest ``cond`` line strictly above, whose field ``p`` is the count there."""
+
+    cond: Column
+    count: str
+    before: str
+    fields: tuple[str, ...] = ("no",)
 
 
 @dataclass(frozen=True)
@@ -76,9 +95,9 @@ def anchor(cond: Column, *payload: Column) -> Column:
     return F.when(cond, F.struct(F.col("line_no").alias("no"), *payload))
 
 
-def last_where(cond: Column, *payload: Column, inclusive: bool = True) -> Prefix:
+def last_where(cond: Column, *payload: Column, inclusive: bool = True, counts: tuple = ()) -> Prefix:
     """Nearest line at or above (or strictly above) where ``cond`` holds, as a struct."""
-    return Prefix(anchor(cond, *payload), "max", inclusive)
+    return Prefix(anchor(cond, *payload), "max", inclusive, counts)
 
 
 def next_where(cond: Column, *payload: Column, inclusive: bool = True) -> Suffix:
@@ -102,49 +121,64 @@ def _combine(agg: str, a: Column, b: Column) -> Column:
     return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
 
 
-@dataclass
-class _Plan:
-    shifts: dict = field(default_factory=dict)
-    prefixes: dict = field(default_factory=dict)
-    suffixes: dict = field(default_factory=dict)
-    totals: dict = field(default_factory=dict)
+def _moved(value: Column, spec: Prefix, by) -> Column:
+    """An anchor with its counts moved by where the chunk starts."""
+    for name, count in spec.counts:
+        value = value.withField(name, value[name] + F.coalesce(by(count), F.lit(0)))
+    return value
+
+
+def _started(before: Column, no: Column, spec: Change) -> Column:
+    return F.struct(no.alias("no"), *[before[f].alias(f"b_{f}") for f in spec.fields])
+
+
+def _input(name: str, spec) -> Column:
+    if isinstance(spec, Change):
+        before = F.col(spec.before)
+        return F.when(spec.cond & (before["p"] != F.col(spec.count)), _started(before, F.col("line_no"), spec))
+    return spec.expr
+
+
+def _of(specs: dict, kind) -> dict:
+    return {n: s for n, s in specs.items() if isinstance(s, kind)}
 
 
 def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: tuple[str, ...] = ("line_no",),
-         keep_chunk: bool = False) -> DataFrame:
-    """Add one column per entry of ``specs`` (name -> Shift/Prefix/Suffix/Total) to ``lines``.
+         keep_chunk: bool = False, later: Sequence[dict] = ()) -> DataFrame:
+    """Add one column per entry of ``specs`` (name -> Shift/Prefix/Suffix/Total/Change) to ``lines``.
 
     ``order`` may add columns after ``line_no`` for frames with several rows per line (bracket
     events); chunks are always cut by ``line_no``, and ``Shift`` then counts rows, so it is only
     offered on one-row-per-line frames. ``keep_chunk`` keeps the ``_chunk`` column so that a later
     window partitioned by ``(doc_id, n_lines, _chunk, ...)`` reuses this partitioning.
+
+    ``later``: further stages of specs, whose inputs may read the columns of the stages before. A running sum
+    counts from the start of the chunk there, so it may enter as a payload named in ``counts``, or in a ``Change``,
+    and nowhere else.
     """
     if not specs:
         return lines
     c = chunk_lines or chunk_lines_of(lines)
-    plan = _Plan()
-    for name, spec in specs.items():
-        if isinstance(spec, Shift):
-            plan.shifts[name] = spec
-        elif isinstance(spec, Prefix):
-            plan.prefixes[name] = spec
-        elif isinstance(spec, Suffix):
-            plan.suffixes[name] = spec
-        elif isinstance(spec, Total):
-            plan.totals[name] = spec
-        else:
+    stages = [specs, *later]
+    every = {n: s for stage in stages for n, s in stage.items()}
+    for name, spec in every.items():
+        if not isinstance(spec, (Shift, Prefix, Suffix, Total, Change)):
             raise TypeError(f"unknown scan spec for {name}: {spec!r}")
+    shifts = _of(every, Shift)
+    if shifts and tuple(order) != ("line_no",):
+        raise ValueError("Shift needs one row per line")
+    if shifts and later:
+        raise ValueError("Shift and later stages need scans of their own")
 
     out_cols = list(lines.columns)
     chunk = F.floor((F.col("line_no") - 1) / F.lit(c)).cast("int")
-    inputs = [spec.expr.alias(f"_in_{n}")
-              for n, spec in {**plan.shifts, **plan.prefixes, **plan.suffixes, **plan.totals}.items()]
     # an existing _chunk column (from an earlier pass) is reused, so the partitioning carries over
-    base = lines.select("*", *([] if "_chunk" in out_cols else [chunk.alias("_chunk")]), *inputs)
+    base = lines.select("*", *([] if "_chunk" in out_cols else [chunk.alias("_chunk")]),
+                        *[_input(n, s).alias(f"_in_{n}") for n, s in specs.items()])
 
-    df = base
-    if plan.shifts:
-        h = max(abs(s.offset) for s in plan.shifts.values())
+    df, core = base, None
+    if shifts:
+        h = max(abs(s.offset) for s in shifts.values())
         pos = (F.col("line_no") - 1) % F.lit(c)
         copies = F.array(
             F.lit(0),
@@ -157,93 +191,85 @@ def scan(lines: DataFrame, specs: dict, chunk_lines: int | None = None, order: t
             .withColumn("_chunk", F.col("_chunk") + F.col("_copy"))
         )
         core = F.col("_copy") == 0
-    else:
-        core = None
 
-    if plan.shifts and tuple(order) != ("line_no",):
-        raise ValueError("Shift needs one row per line")
-    w = Window.partitionBy(*KEY).orderBy(*order)
-    window_cols = []
-    for n, s in plan.shifts.items():
-        x = F.col(f"_in_{n}")
-        fn = F.lag if s.offset < 0 else F.lead
-        window_cols.append(fn(x, abs(s.offset)).over(w).alias(n))
-    for n, s in plan.prefixes.items():
+    def own(n: str, agg: str) -> Column:
         x = F.col(f"_in_{n}")
-        if s.agg == "sum" and core is not None:
-            x = F.when(core, x)
-        frame = w.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
-        window_cols.append(_AGG[s.agg](x).over(frame).alias(n))
-    # a whole-chunk sum is one aggregate per group, in the same window as the prefixes
-    for n in plan.totals:
-        x = F.col(f"_in_{n}")
-        if core is not None:
-            x = F.when(core, x)
-        window_cols.append(F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(n))
+        return F.when(core, x) if core is not None and agg == "sum" else x
+
+    def running(n: str, agg: str, inclusive: bool, window) -> Column:
+        value = _AGG[agg](own(n, agg)).over(window.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+        return F.coalesce(value, F.lit(0)) if agg == "sum" else value
+
+    w = Window.partitionBy(*KEY).orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for k, stage in enumerate(stages):
+        if k:
+            df = df.select("*", *[_input(n, s).alias(f"_in_{n}") for n, s in stage.items()])
+        columns = [(F.lag if s.offset < 0 else F.lead)(F.col(f"_in_{n}"), abs(s.offset)).over(w).alias(n)
+                   for n, s in _of(stage, Shift).items()]
+        columns += [running(n, s.agg, s.inclusive, w).alias(n) for n, s in _of(stage, Prefix).items()]
+        columns += [running(n, "max", False, w).alias(n) for n in _of(stage, Change)]
+        # a whole-chunk sum is one aggregate per group, in the same window as the prefixes
+        columns += [F.sum(own(n, "sum")).over(whole).alias(n) for n in _of(stage, Total)]
+        df = df.select("*", *columns)
+    local = df
     # A frame "current row to unbounded following" is re-aggregated for every row (quadratic in
     # the chunk); the same values come from a running frame over the reversed order.
     w_rev = Window.partitionBy(*KEY).orderBy(*[F.col(o).desc() for o in order])
-    for n, s in plan.suffixes.items():
-        x = F.col(f"_in_{n}")
-        if s.agg == "sum" and core is not None:
-            x = F.when(core, x)
-        frame = w_rev.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
-        window_cols.append(_AGG[s.agg](x).over(frame).alias(n))
-
-    df = df.select("*", *window_cols)
+    df = df.select("*", *[running(n, s.agg, s.inclusive, w_rev).alias(n) for n, s in _of(every, Suffix).items()])
     if core is not None:
         df = df.filter(core)
+    if len(every) > len(shifts):
+        df = _apply_carry(df, local if later else base, stages, c)
 
-    running = {**plan.prefixes, **plan.suffixes, **plan.totals}
-    if running:
-        df = _apply_carry(df, base, plan, c)
-
-    result_cols = [n for n in specs]
     if keep_chunk and "_chunk" not in out_cols:
         out_cols = out_cols + ["_chunk"]
-    finals = []
-    for n, spec in specs.items():
-        if isinstance(spec, Total):
-            finals.append(F.coalesce(F.col(n), F.lit(0)).alias(n))
-        else:
-            finals.append(F.col(n))
-    keep = [F.col(x) for x in out_cols if x not in result_cols]
-    return df.select(*keep, *finals)
-
-
-def _apply_carry(df: DataFrame, base: DataFrame, plan: _Plan, c: int) -> DataFrame:
-    """Combine chunk-local running values with the values of the earlier/later chunks."""
-    multi = base.filter(F.col("n_lines") > F.lit(c))
-    summary_aggs = []
-    for n, s in plan.prefixes.items():
-        summary_aggs.append(_AGG[s.agg](F.col(f"_in_{n}")).alias(f"_s_{n}"))
-    for n, s in plan.suffixes.items():
-        summary_aggs.append(_AGG[s.agg](F.col(f"_in_{n}")).alias(f"_s_{n}"))
-    for n in plan.totals:
-        summary_aggs.append(F.sum(F.col(f"_in_{n}")).alias(f"_s_{n}"))
-    summary = multi.groupBy(*KEY).agg(*summary_aggs)
-
-    wd = Window.partitionBy("doc_id", "n_lines").orderBy("_chunk")
-    wd_rev = Window.partitionBy("doc_id", "n_lines").orderBy(F.col("_chunk").desc())
-    carry_cols = []
-    for n, s in plan.prefixes.items():
-        carry_cols.append(_AGG[s.agg](F.col(f"_s_{n}")).over(wd.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_c_{n}"))
-    for n, s in plan.suffixes.items():
-        carry_cols.append(_AGG[s.agg](F.col(f"_s_{n}")).over(wd_rev.rowsBetween(Window.unboundedPreceding, -1))
-                          .alias(f"_c_{n}"))
-    wd_all = Window.partitionBy("doc_id", "n_lines")
-    for n in plan.totals:
-        other = F.sum(F.col(f"_s_{n}")).over(wd_all) - F.coalesce(F.col(f"_s_{n}"), F.lit(0))
-        carry_cols.append(other.alias(f"_c_{n}"))
-    carry = summary.select(*KEY, *carry_cols)
+    finals = [F.coalesce(F.col(n), F.lit(0)).alias(n) if isinstance(s, Total) else F.col(n) for n, s in every.items()]
+    return df.select(*[F.col(x) for x in out_cols if x not in every], *finals)
+
+
+def _apply_carry(df: DataFrame, seen: DataFrame, stages: Sequence[dict], c: int) -> DataFrame:
+    """Combine chunk-local values with those of the earlier/later chunks. ``seen`` holds the inputs of all specs."""
+    every = {n: s for stage in stages for n, s in stage.items() if not isinstance(s, Shift)}
+    changes = _of(every, Change)
+    agg_of = {n: "sum" if isinstance(s, Total) else getattr(s, "agg", "max") for n, s in every.items()}
+    aggs = [_AGG[a](F.col(f"_in_{n}")).alias(f"_s_{n}") for n, a in agg_of.items()]
+    aggs += [F.min(F.when(s.cond, F.struct(F.col("line_no").alias("no"), F.col(s.count).alias("p")))).alias(f"_f_{n}")
+             for n, s in changes.items()]
+    carry = seen.filter(F.col("n_lines") > F.lit(c)).groupBy(*KEY).agg(*aggs)
+
+    wd = Window.partitionBy("doc_id", "n_lines").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    wd_rev = Window.partitionBy("doc_id", "n_lines").orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    wd_all = Window.partitionBy("doc_id", "n_lines").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    def start(count: str) -> Column:
+        return F.col(f"_c_{count}")
+
+    for stage in stages:  # a later stage reads the carry of the stages before
+        whole = [_moved(F.col(f"_s_{n}"), s, start).alias(f"_g_{n}") for n, s in _of(stage, Prefix).items()]
+        for n, s in _of(stage, Change).items():
+            before, first = F.col(f"_c_{s.before}"), F.col(f"_f_{n}")
+            differs = before["p"] != first["p"] + F.coalesce(start(s.count), F.lit(0))
+            whole.append(F.when(differs, _started(before, first["no"], s)).alias(f"_b_{n}"))
+        carry = carry.select("*", *whole)
+        found = [_AGG[s.agg](F.col(f"_g_{n}")).over(wd).alias(f"_c_{n}") for n, s in _of(stage, Prefix).items()]
+        found += [F.max(F.coalesce(f"_s_{n}", f"_b_{n}")).over(wd).alias(f"_c_{n}") for n in _of(stage, Change)]
+        found += [_AGG[s.agg](F.col(f"_s_{n}")).over(wd_rev).alias(f"_c_{n}") for n, s in _of(stage, Suffix).items()]
+        found += [(F.sum(F.col(f"_s_{n}")).over(wd_all) - F.coalesce(F.col(f"_s_{n}"), F.lit(0))).alias(f"_c_{n}")
+                  for n in _of(stage, Total)]
+        carry = carry.select("*", *found)
+    carry = carry.select(*KEY, *[f"_c_{n}" for n in every], *[f"_b_{n}" for n in changes])
 
     joined = df.join(carry, on=KEY, how="left")
     combined = []
-    for n, s in {**plan.prefixes, **plan.suffixes}.items():
-        combined.append(_combine(s.agg, F.col(n), F.col(f"_c_{n}")).alias(n))
-    for n in plan.totals:
-        combined.append(_combine("sum", F.col(n), F.col(f"_c_{n}")).alias(n))
-    names = list(plan.prefixes) + list(plan.suffixes) + list(plan.totals)
-    drop = set(names) | {f"_c_{n}" for n in names}
-    keep = [F.col(x) for x in joined.columns if x not in drop]
-    return joined.select(*keep, *combined)
+    for n, s in every.items():
+        here, there = F.col(n), F.col(f"_c_{n}")
+        if isinstance(s, Change):
+            at_start = F.col(f"_b_{n}")
+            here = F.coalesce(here, F.when(at_start["no"] < F.col("line_no"), at_start), there)
+        elif isinstance(s, Prefix) and s.counts:
+            here = F.coalesce(_moved(here, s, start), there)
+        else:
+            here = _combine(agg_of[n], here, there)
+        combined.append(here.alias(n))
+    return joined.select(*[F.col(x) for x in df.columns if x not in every], *combined)
