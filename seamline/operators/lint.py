@@ -15,6 +15,7 @@ from ..session import cut_lineage
 from ..sources.corpus import lines_from_text
 from .features import NEIGHBOURS, line_events, with_features, with_neighbours
 from .findings import Rule, concat_hits, explode_findings, findings_array, union_findings
+from .literals import code_lines, code_text
 from .rules_doc import DOC_RULES
 from .rules_line import LINE_RULES
 from .rules_nesting import BRACKET_COLUMNS, bracket_columns, bracket_events_of, nesting_findings_of
@@ -70,8 +71,11 @@ def run_rules(lines: DataFrame, rule_ids: Iterable[str] | None = None, options:
 
     ``options``: ``agg_tokens`` (L16, default sum(/min(/max(), ``join_rewrite`` (L05, default
     'inner join'), ``with_match`` (L08: "line" = the stripped line is ``with``, the default;
-    "contains" = the line contains ``with``).
+    "contains" = the line contains ``with``), ``ignore_quoted`` (all rules: literals and comments are blanked
+    first, see ``literals.py``; default false).
     """
+    if (options or {}).get("ignore_quoted"):
+        lines = code_lines(lines)
     ids = list(rule_ids) if rule_ids is not None else list(DEFAULT_RULES)
     nesting = tuple(nesting)
     local = [i for i in ids if is_local(i)]
@@ -100,7 +104,11 @@ def lint(lines: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Itera
 
 def lint_texts(docs: DataFrame, rule_ids: Iterable[str] | None = None, nesting: Iterable[str] = ("L10b", "L11"),
                documents: bool = True, options: dict | None = None) -> DataFrame:
-    """``lint`` over ``(doc_id, text)``; neighbour rules read the split text and need no shuffle."""
+    """``lint`` over ``(doc_id, text)``; neighbour rules read the split text and need no shuffle, and with
+    ``ignore_quoted`` the texts are blanked before the split."""
+    if (options or {}).get("ignore_quoted"):
+        docs = docs.withColumn("text", code_text(F.col("text")))
+        options = {**options, "ignore_quoted": False}
     return lint(lines_from_text(docs, neighbours=neighbours_of(rule_ids)), rule_ids, nesting, documents, options)
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..operators import rules_doc, rules_nesting
 from ..operators.findings import clean_documents
-from ..operators.lint import DEFAULT_RULES, EXTRA_TITLES, RULES, TEXT_RULES, is_local, lint, neighbours_of, report, run_rules
-from ..sources.corpus import document_lines, read_table, sql_lines
+from ..operators.lint import DEFAULT_RULES, EXTRA_TITLES, RULES, TEXT_RULES, is_local, lint, lint_texts, neighbours_of, report, run_rules
+from ..sources.corpus import (document_lines, given_texts, lines_from_text, quoted_documents, quoted_models_sql, read_documents,
+                              read_table, sql_lines)
 from . import oracle_lint as o
 
 # query name -> (rule id, corpus)
@@ -148,6 +149,20 @@ def l32_doc_flags(spark, sf_dir):
     return docs.join(found, "doc_id", "left").select("doc_id", n.alias("n_findings"), (n > 0).alias("has_error"))
 
 
+def _quoted(rule_id: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lines = lines_from_text(quoted_documents(read_documents(spark, sf_dir)))
+        return run_rules(lines, [rule_id], {"ignore_quoted": True})
+
+    run.__name__ = f"quoted_{rule_id}"
+    return run
+
+
+def l32_given_texts(spark, sf_dir):
+    """All default rules, bracket and document rules over every text of the warehouse: the findings themselves."""
+    return lint_texts(given_texts(spark, sf_dir))
+
+
 def s05_report(spark, sf_dir):
     """The findings of the text rules over ``documents`` with their messages."""
     return report(text_findings(spark, sf_dir))
@@ -157,6 +172,9 @@ def queries() -> dict:
     out = {name: _rule_query(rid, corpus) for name, (rid, corpus) in RULE_QUERIES.items()}
     out.update({name: _rule_query(rid, "sql", opts) for name, (rid, opts) in VARIANT_QUERIES.items()})
     out.update({
+        "l03_quoted": _quoted("L03"),
+        "l04_quoted": _quoted("L04"),
+        "l32_given_texts": l32_given_texts,
         "l32_doc_flags": l32_doc_flags,
         "s05_report": s05_report,
         "l10_bracket_pairs": l10_bracket_pairs,
@@ -196,6 +214,16 @@ def oracle_sql() -> dict:
         f"{sql}, {o.bracket_text_ctes()}, {o.btk_cte()}",
         "SELECT doc_id, line_no, k, ch AS bracket, col, CAST(pos AS BIGINT) AS \"offset\" FROM btk")
 
+    code = f"models AS ({quoted_models_sql()}), {o.code_cte('models', 'code')}, {o.doc_lines_cte(table='code')}"
+    out["l03_quoted"] = _with(code, o.r_L03())
+    out["l04_quoted"] = _with(code, o.r_L04())
+    given = (f"models AS ({quoted_models_sql()}), given AS (SELECT 'documents/' || doc_id AS doc_id, text FROM documents "
+             f"UNION ALL SELECT 'models/' || doc_id, text FROM models "
+             f"UNION ALL SELECT 'conversations/' || conv_id || '/' || turn, text FROM conversations "
+             f"UNION ALL SELECT 'pages/' || page_id, html FROM pages), {o.doc_lines_cte(table='given')}")
+    gctes, gall = o.all_findings_sql(given, DEFAULT_RULES)
+    out["l32_given_texts"] = f"WITH RECURSIVE {gctes}, allf AS ({gall}) SELECT * FROM allf"
+
     ctes, allf = o.all_findings_sql(sql, DEFAULT_RULES)
     out["l32_findings_summary"] = (f"WITH RECURSIVE {ctes}, allf AS ({allf}) SELECT rule_id, count(*) AS n_findings, "
                                    f"count(DISTINCT doc_id) AS n_docs FROM allf GROUP BY rule_id")

@@ -85,6 +85,14 @@ def doc_lines_cte(name: str = "src", table: str = "documents", id_col: str = "do
     )
 
 
+def code_cte(table: str, name: str) -> str:
+    """``table`` with the literals and comments of whole texts blanked."""
+    pieces = q(r"'[^']*'?|--[^\n]*|-|[^'-]+")
+    hidden = r"CASE WHEN starts_with(x, '''') OR starts_with(x, '--') THEN regexp_replace(x, '[^\n]', ' ', 'g') ELSE x END"
+    return (f"{name} AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, {pieces}), "
+            f"lambda x: {hidden}), '') AS text FROM {table})")
+
+
 # ---------------------------------------------------------------- per-line rules
 
 
@@ -361,8 +369,7 @@ def bracket_text_ctes(src="src") -> str:
     return (
         f"txt AS (SELECT doc_id, string_agg(line, {nl} ORDER BY line_no) || "
         f"CASE WHEN bool_or(eol AND line_no = n_lines) THEN {nl} ELSE '' END AS t FROM {src} GROUP BY doc_id), "
-        f"chars AS (SELECT doc_id, t, CAST(r.pos AS BIGINT) AS pos, substr(t, CAST(r.pos + 1 AS INTEGER), 1) AS ch "
-        f"FROM txt, unnest(range(length(t))) AS r(pos)), "
+        f"chars AS (SELECT doc_id, t, CAST(r.i - 1 AS BIGINT) AS pos, r.ch FROM txt, unnest(string_split(t, '')) WITH ORDINALITY AS r(ch, i)), "
         f"bt AS (SELECT doc_id, pos, ch, "
         f"1 + length(substr(t, 1, CAST(pos AS INTEGER))) - length(replace(substr(t, 1, CAST(pos AS INTEGER)), {nl}, '')) AS line_no, "
         f"length(regexp_extract(substr(t, 1, CAST(pos AS INTEGER)), '[^\\n]*$')) AS col, "

@@ -178,6 +178,49 @@ def sql_documents(customer: DataFrame) -> DataFrame:
     return customer.select(key.alias("doc_id"), F.concat_ws("\n", *lines).alias("text"))
 
 
+# A model around the text of a document, which stands in it as a literal. Rows as in SQL_TEMPLATE.
+QUOTED_HEAD = [
+    (1, "with", 1, -1, ""),
+    (2, "", 1, -1, ""),
+    (3, "notes as (", 1, -1, ""),
+    (4, "    select", 1, -1, ""),
+    (5, "        account_id, -- the customer's join", 4, 1, "        account_id,"),
+    (6, "        'a join of", 1, -1, ""),
+]
+QUOTED_TAIL = [
+    (1, "        join using (' as note,", 1, -1, ""),
+    (2, "        'it''s a join' as kind -- 'join", 3, 1, "        'join' as kind"),
+    (3, "    from accounts", 1, -1, ""),
+    (4, "    join payments", 3, 0, "    left join payments -- join"),
+    (5, "        using (id)", 5, 2, "        on accounts.id = payments.id"),
+    (6, "    where kind = 'join'", 5, 1, "    where kind = 'a join"),
+    (7, ")", 1, -1, ""),
+    (8, "", 1, -1, ""),
+    (9, "select * from notes join 'inner' using (id)", 2, 1, "select * from notes -- join"),
+]
+
+
+def quoted_documents(documents: DataFrame) -> DataFrame:
+    """One model per document, ``(doc_id, text)``: the whole text (null: empty) inside a literal of many lines (narrow)."""
+    key = F.col("doc_id")
+    head, tail = ([_template_line(key, base, k, r, var) for (_, base, k, r, var) in rows] for rows in (QUOTED_HEAD, QUOTED_TAIL))
+    return documents.select(key, F.concat_ws("\n", *head, F.coalesce("text", F.lit("")), *tail).alias("text"))
+
+
+def given_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts of the warehouse as ``(doc_id, text)``: documents, turns of conversations, pages, and the models around
+    the documents. ``doc_id`` names the table and the row."""
+
+    def named(df: DataFrame, table: str, text: str, *ids: str) -> DataFrame:
+        return df.select(F.concat_ws("/", F.lit(table), *ids).alias("doc_id"), F.col(text).alias("text"))
+
+    docs = read_documents(spark, sf_dir)
+    return (named(docs, "documents", "text", "doc_id")
+            .unionByName(named(quoted_documents(docs), "models", "text", "doc_id"))
+            .unionByName(named(read_table(spark, sf_dir, "conversations"), "conversations", "text", "conv_id", "turn"))
+            .unionByName(named(read_table(spark, sf_dir, "pages"), "pages", "html", "page_id")))
+
+
 def sql_lines(spark: SparkSession, sf_dir: str, neighbours: Sequence[str] = (), spread: bool = True) -> DataFrame:
     """Lines of the SQL corpus. With ``spread`` the keys, not the texts made from them, are exchanged first: a table of
     keys is few splits for the work that they stand for."""
@@ -195,3 +238,17 @@ def sql_template_values_sql() -> str:
 
     rows = ", ".join(f"({n}, {q(b)}, {k}, {r}, {q(v)})" for (n, b, k, r, v) in SQL_TEMPLATE)
     return f"(VALUES {rows}) AS tpl(line_no, base, k, r, variant)"
+
+
+def quoted_models_sql() -> str:
+    """``quoted_documents`` as a SQL select (for oracle queries)."""
+
+    def q(s: str) -> str:
+        return "'" + s.replace("'", "''") + "'"
+
+    def line(row) -> str:
+        _, base, k, r, variant = row
+        return q(base) if r < 0 else f"CASE WHEN doc_id % {k} = {r} THEN {q(variant)} ELSE {q(base)} END"
+
+    parts = [line(row) for row in QUOTED_HEAD] + ["coalesce(text, '')"] + [line(row) for row in QUOTED_TAIL]
+    return f"SELECT doc_id, concat_ws(chr(10), {', '.join(parts)}) AS text FROM documents"
