@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import rules_doc, rules_nesting
 from ..operators.findings import clean_documents
 from ..operators.lint import DEFAULT_RULES, EXTRA_TITLES, RULES, TEXT_RULES, is_local, lint, lint_texts, neighbours_of, report, run_rules
-from ..sources.corpus import (document_lines, given_texts, lines_from_text, quoted_documents, quoted_models_sql, read_documents,
+from ..sources.corpus import (document_lines, given_texts, lines_from_text, long_text_lines, quoted_documents, quoted_models_sql, read_documents,
                               read_table, sql_lines)
 from . import oracle_lint as o
 
@@ -149,6 +149,11 @@ def l32_doc_flags(spark, sf_dir):
     return docs.join(found, "doc_id", "left").select("doc_id", n.alias("n_findings"), (n > 0).alias("has_error"))
 
 
+def s02_long_lines(spark, sf_dir):
+    """The lines of all documents, their texts cut into pieces of 4 KiB."""
+    return long_text_lines(read_documents(spark, sf_dir), piece_bytes=4096)
+
+
 def _quoted(rule_id: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = lines_from_text(quoted_documents(read_documents(spark, sf_dir)))
@@ -172,6 +177,7 @@ def queries() -> dict:
     out = {name: _rule_query(rid, corpus) for name, (rid, corpus) in RULE_QUERIES.items()}
     out.update({name: _rule_query(rid, "sql", opts) for name, (rid, opts) in VARIANT_QUERIES.items()})
     out.update({
+        "s02_long_lines": s02_long_lines,
         "l03_quoted": _quoted("L03"),
         "l04_quoted": _quoted("L04"),
         "l32_given_texts": l32_given_texts,
@@ -215,6 +221,7 @@ def oracle_sql() -> dict:
         "SELECT doc_id, line_no, k, ch AS bracket, col, CAST(pos AS BIGINT) AS \"offset\" FROM btk")
 
     code = f"models AS ({quoted_models_sql()}), {o.code_cte('models', 'code')}, {o.doc_lines_cte(table='code')}"
+    out["s02_long_lines"] = _with(o.doc_lines_cte(), "SELECT doc_id, line_no, line, eol, n_lines FROM src")
     out["l03_quoted"] = _with(code, o.r_L03())
     out["l04_quoted"] = _with(code, o.r_L04())
     given = (f"models AS ({quoted_models_sql()}), given AS (SELECT 'documents/' || doc_id AS doc_id, text FROM documents "

@@ -117,6 +117,47 @@ def lines_from_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def long_text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", piece_bytes: int = 1 << 20) -> DataFrame:
+    """``lines`` of texts of any length, each cut into pieces of ``piece_bytes`` that are split in tasks of their own.
+
+    No row holds more than a piece, or a line. Pieces are byte ranges, read as one character a byte (so a cut character is whole
+    again when its line is put together); ``\\r\\n`` across a cut is one newline. A piece owns the newlines in it: their prefix
+    over the pieces of a text, one row a piece, numbers the lines. Only the first and last parts of the pieces meet other
+    parts, by line. The lines equal those of ``lines_from_text``; ``doc_id`` has to name one text and must not be null.
+    """
+    raw = docs.select(F.col(id_col).alias("doc_id"), F.encode(F.col(text_col), "UTF-8").alias("bytes"))
+    count = F.ceil(F.octet_length("bytes") / F.lit(piece_bytes)).cast("int")
+    cuts = raw.filter(count > 0).select("doc_id", "bytes", F.explode(F.sequence(F.lit(0), count - 1)).alias("piece"))
+    start = F.col("piece") * F.lit(piece_bytes) + 1
+    cuts = cuts.select("doc_id", "piece", F.substring("bytes", start, F.lit(piece_bytes)).alias("bytes"),
+                       (F.substring("bytes", F.greatest(start - 1, F.lit(1)), F.lit(1)) == F.lit(b"\r")).alias("_returned"))
+    # a long text is many tasks from here on; with a number of partitions, which AQE does not merge
+    cuts = cuts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "piece")
+    body = F.decode("bytes", "ISO-8859-1")
+    body = F.when((F.col("piece") > 0) & F.col("_returned"), F.regexp_replace(body, r"\A\n", "")).otherwise(body)
+    parts = cuts.select("doc_id", "piece", F.split(F.regexp_replace(body, "\r\n?", "\n"), "\n", -1).alias("parts"))
+
+    text = Window.partitionBy("doc_id").orderBy("piece")
+    newlines, whole = F.size("parts") - 1, text.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counts = parts.select("doc_id", "piece", newlines.cast("long").alias("newlines"), (F.element_at("parts", -1) == "").alias("ended"))
+    # the last piece may hold nothing but the second half of a newline
+    blank = F.max(F.when((F.col("newlines") > 0) | ~F.col("ended"), F.struct("piece", "ended"))).over(whole)
+    placed = cut_lineage(counts.select(
+        "doc_id", "piece", F.coalesce(F.sum("newlines").over(text.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("above"),
+        F.sum("newlines").over(whole).alias("newlines"), blank["ended"].alias("ended")))
+    n_lines = F.col("newlines") + F.when(F.col("ended"), 0).otherwise(1)
+    each = parts.join(placed, ["doc_id", "piece"]).select(
+        "doc_id", "piece", "above", "newlines", n_lines.alias("n_lines"), F.size("parts").alias("size"), F.posexplode_outer("parts").alias("pos", "part"))
+    each = each.withColumn("line_no", F.col("above") + F.col("pos") + 1).filter(F.col("line_no") <= F.col("n_lines"))
+    inner = (F.col("pos") > 0) & (F.col("pos") + 1 < F.col("size"))
+    edges = each.filter(~inner).groupBy("doc_id", "n_lines", "newlines", "line_no").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("piece", "pos", "part"))), lambda p: p["part"]), "").alias("part"))
+    columns = ["doc_id", "line_no", "part", "newlines", "n_lines"]
+    return each.filter(inner).select(*columns).unionByName(edges.select(*columns)).select(
+        "doc_id", F.col("line_no").cast("int").alias("line_no"), F.decode(F.encode("part", "ISO-8859-1"), "UTF-8").alias("line"),
+        (F.col("line_no") <= F.col("newlines")).alias("eol"), F.col("n_lines").cast("int").alias("n_lines"))
+
+
 def document_lines(spark: SparkSession, sf_dir: str, neighbours: Sequence[str] = ()) -> DataFrame:
     """Lines of ``documents``."""
     return lines_from_text(read_documents(spark, sf_dir), neighbours=neighbours)

@@ -136,3 +136,29 @@ def test_text_lines_drop_a_byte_order_mark(spark, tmp_path):
     (tmp_path / "b").write_bytes(b"\xef\xbb\xbfx\ny\n")
     got = sorted((r.doc_id[-1], r.line_no, r.line, r.eol) for r in read_text_lines(spark, str(tmp_path)).collect())
     assert got == [("a", 1, "x", True), ("a", 2, "y", False), ("b", 1, "x", True), ("b", 2, "y", True)]
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1000])
+def test_long_texts_in_pieces_match_the_whole_text_way(spark, piece):
+    import random
+
+    from seamline.sources.corpus import lines_from_text, long_text_lines
+
+    rnd = random.Random(piece)
+    parts = ["a", "bc", "é", "😀", " ", "\n", "\n", "\r", "\r\n", "\u2028", "'"]
+    texts = {i: "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for i in range(150)}
+    texts |= {900: "", 901: None, 902: "\r\n", 903: "\n", 904: "x\r\n", 905: "x\r\n\r\n", 906: "y" * 50}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = lambda df: sorted(map(tuple, df.select("doc_id", "line_no", "line", "eol", "n_lines").collect()))
+    assert rows(long_text_lines(docs, piece_bytes=piece)) == rows(lines_from_text(docs))
+
+
+def test_pieces_of_one_long_text_lie_in_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from seamline.sources.corpus import long_text_lines
+
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words of a line\n"), 200_000).alias("text"))
+    lines = long_text_lines(docs, piece_bytes=1 << 14)
+    inner = lines.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in inner) == 200_000 and len(inner) > 2
