@@ -55,7 +55,7 @@ class Shingler:
     def __init__(self, words: int):
         self.words, self.table, self.hashes = words, WordTable(), np.empty(1 << 16, np.uint64)
 
-    def _word_hashes(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def word_hashes(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         if self.table.n > MOST_WORDS:
             self.table = WordTable()
         before = self.table.n
@@ -73,7 +73,7 @@ class Shingler:
         """Sorted distinct shingle hashes of all texts, and where each text's begin (one more at the end)."""
         buf, offsets = text_bytes(texts, LOWER_ASCII)
         starts, lengths, first = blank_words(buf, offsets)
-        word = self._word_hashes(buf, starts, lengths)
+        word = self.word_hashes(buf, starts, lengths)
         n, count = self.words, np.diff(first)
         shingle = np.zeros(len(word), np.uint64)
         for k in range(n):  # a shingle begins at every word; those that leave their text go

@@ -1,9 +1,9 @@
 r"""Hierarchical Pitman-Yor language model over the words of a corpus.
 
-Restaurants form a tree: a context is the ending of the word before (its last two bytes, or the text's
-start), its parent is the last byte of that ending, the next parent is the restaurant without context,
-and the base is uniform over the words seen in training and one unknown word. A dish is a word. A
-customer of a restaurant is a token seen in its context, or a table of a child restaurant.
+Restaurants form a tree: a context is the whole word before (or the text's start), its parent is the restaurant without
+context, and the base is uniform over the words seen in training and one unknown word. A dish is a word. A
+customer of a restaurant is a token seen in its context, or a table of a child restaurant. With ``ending`` contexts are
+only so many last bytes of the word before: a smaller model, whose contexts stop growing with the corpus.
 
 The seating is sampled by Gibbs: all customers of one dish in one restaurant are taken out and seated again
 given everything else. Predictions depend on a seating only through its number of tables t, whose
@@ -13,12 +13,16 @@ probability of the dish; up to ``EXACT`` customers it is drawn from exactly that
 beyond are seated in blocks of a sixteenth of those present, the number of new tables of a block
 being binomial (by the normal law where more than ``BY_NORMAL`` are expected). The random numbers of a dish are a hash of its word,
 context and sweep, so scores do not depend on the number of tasks. Within a sweep every dish uses the other dishes' tables as they were before it, so dishes
-are independent rows and no restaurant has to sit in one task. The first sweep is dropped; the
-predictive probabilities of the ``KEPT`` ones after it are averaged.
+are independent rows and no restaurant has to sit in one task. The first sweep is dropped; tables and customers are averaged over
+the ``KEPT`` ones after it, and the predictive probabilities are those of these averages.
 
-The number of contexts is bounded by 2**16, however large the corpus; only their totals reach the driver.
-Words are counted and scored over all documents by joins on the word; the training words of all blocks
-and the words to be scored are spread by word, and large partitions are split by Spark.
+Words are 64-bit hashes, taken to differ. Pairs of a context and a dish are rows, counted in blocks of texts first; those with
+one customer have one table and only enter sums. The totals of restaurants and dishes are tables too, joined to the pairs
+in every sweep, so nothing that grows with the corpus reaches the driver or one task: it gets the sums of the restaurant without context.
+
+A text's score is the sum over its tokens of log p(word) + log q(context), q the share that a restaurant leaves to its parent, and
+of a gain for each token whose pair was seen in training. So words, contexts and pairs are looked up alike: a word or a context is a
+pair without the other one.
 
 Null text counts as empty: its one token is the end. Rows with the same ``doc_id`` are scored one by one;
 a null ``doc_id`` counts as remainder 0. With no training document every word is unknown. An empty table
@@ -27,68 +31,74 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bbit_minhash import Shingler, _mix
 from .common import Scratch, crc_mod, documents, ship, text_of
-from .word_table import LOWER_ASCII, WordTable, blank_words, text_bytes
+from .word_table import LOWER_ASCII, blank_words, text_bytes
 
-DISCOUNT = (0.6, 0.75, 0.85)  # without context, last byte, ending
-STRENGTH = (1.0, 1.0, 1.0)
+DISCOUNT = (0.6, 0.85)  # without context, in a context
+STRENGTH = (1.0, 1.0)
 EXACT = 64
 KEPT = 2
 BY_NORMAL = 24
-END = b"\n"  # no word holds a line feed
-BLOCK_TOKENS = 3_000_000
+END, START = np.uint64(1), np.uint64(0)  # the word that ends a text and the context that starts one
+NONE = -1  # in place of a word or a context: the pair without it
+BLOCK_TOKENS = 1_500_000
 FLUSH_USES = 1_500_000
 BLOCK_DOCS = 30_000
-ENTRY = np.dtype([("ctx", "<u2"), ("c", "<i4"), ("t", "<i4")])
-USE = np.dtype([("ctx", "<u2"), ("doc", "<u2")])
 PART = np.dtype([("doc", "<u2"), ("known", "<u4"), ("score", "<f8"), ("base", "<f8")])
-SHARE2 = np.dtype([("ctx", "<u2"), ("own", "<f4")])
-SHARE1 = np.dtype([("ctx", "u1"), ("p", "<f8", (KEPT,))])
 
 
 class _Block:
-    """Tokens of some texts with the ending of the word before each."""
+    """Tokens of some texts: word, context and document of each."""
 
-    def __init__(self):
-        self.table, self.words, self.parts, self.docs, self.tokens = WordTable(), [], [], 0, 0
+    def __init__(self, words: Shingler, ending: int | None):
+        self.words, self.ending, self.parts, self.docs, self.tokens = words, ending, [], 0, 0
 
-    def add(self, texts: pa.Array) -> np.ndarray:
-        """Adds texts; returns the number of tokens of each."""
+    def add(self, texts: pa.Array) -> None:
         buf, offsets = text_bytes(texts, LOWER_ASCII)
         starts, lengths, first = blank_words(buf, offsets)
-        numbers, new = self.table.lookup(buf, starts, lengths)
-        raw = buf.tobytes()
-        self.words += [raw[a:b] for a, b in zip(starts[new].tolist(), (starts[new] + lengths[new]).tolist())]
-        ends = starts + lengths
-        ending = buf[ends - 1].astype(np.uint16) | (np.where(lengths > 1, buf[np.maximum(ends - 2, 0)], 0).astype(np.uint16) << np.uint16(8))
-        count = np.diff(first)
-        numbers = np.insert(numbers, first[1:], -1)  # the end of each text
-        at = first + np.arange(len(first))
-        context = np.zeros(len(numbers), np.uint16)
-        inner = np.ones(len(numbers), bool)
-        inner[at[:-1]] = False  # a text's first token
-        context[inner] = ending
-        doc = np.repeat(np.arange(len(texts)), count + 1)
-        self.parts.append((numbers, context, (doc + self.docs).astype(np.uint16)))
+        word = self.words.word_hashes(buf, starts, lengths)
+        context = np.zeros(len(word) + len(texts), np.uint64)
+        inner = np.ones(len(context), bool)
+        inner[(first + np.arange(len(first)))[:-1]] = False  # a text's first token
+        context[inner] = word if self.ending is None else self._endings(buf, starts, lengths)
+        doc = np.repeat(np.arange(len(texts)), np.diff(first) + 1)
+        self.parts.append((np.insert(word, first[1:], END), context, (doc + self.docs).astype(np.uint16)))
         self.docs += len(texts)
-        self.tokens += len(numbers)
-        return count + 1
+        self.tokens += len(context)
+
+    def _endings(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(starts), np.uint64)
+        for k in range(1, self.ending + 1):
+            out = out * np.uint64(257) + np.where(lengths >= k, buf[np.maximum(starts + lengths - k, 0)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+        return out
+
+    def sorted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words, contexts and documents of the tokens, sorted by word, context and document."""
+        word, context, doc = (np.concatenate(c) for c in zip(*self.parts))
+        order = np.lexsort((context, word))
+        return word[order], context[order], doc[order]
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys start."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    return np.flatnonzero(new)
 
-    def sorted(self) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Words and, sorted by word (number), context and document: numbers, contexts, documents."""
-        numbers, context, doc = (np.concatenate(c) for c in zip(*self.parts))
-        numbers = np.where(numbers < 0, len(self.words), numbers)
-        order = np.argsort((numbers.astype(np.uint64) << np.uint64(32)) | (context.astype(np.uint64) << np.uint64(16)) | doc, kind="stable")
-        return [*self.words, END], numbers[order], context[order], doc[order]
+
+def _long(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
 
 
 def _blobs(items: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -97,106 +107,50 @@ def _blobs(items: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(spans.astype(np.int32)), pa.py_buffer(items.tobytes())])
 
 
-def _records(column: pa.Array, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
-    """All records of a binary column, and the row of each."""
-    column = column.fill_null(b"")
-    spans = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
-    data = column.buffers()[2]
-    items = np.frombuffer(data, np.uint8)[spans[0]:spans[-1]].view(dtype) if data is not None and spans[-1] > spans[0] else np.empty(0, dtype)
-    return items, np.repeat(np.arange(len(column)), np.diff(spans) // dtype.itemsize)
-
-
-def _merge(row: np.ndarray, items: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of each row summed by context, and where each row's end."""
-    key = row.astype(np.int64) << 16 | items["ctx"]
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-    out = np.zeros(len(first), ENTRY)
-    out["ctx"], out["t"] = items["ctx"][order][first], 1
-    if len(first):
-        out["c"] = np.add.reduceat(items["c"][order], first)
-    return out, np.searchsorted(key[first] >> 16, np.arange(rows), side="right")
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, entries) of training texts, each block's words once."""
-
-    def flush(block: _Block) -> Iterator[pa.RecordBatch]:
-        if block.tokens:
-            words, numbers, context, _ = block.sorted()
-            items = np.zeros(len(numbers), ENTRY)
-            items["ctx"], items["c"] = context, 1
-            merged, ends = _merge(numbers, items, len(words))
-            yield from _sliced([pa.array(words, pa.binary()), _blobs(merged, ends)], ["word", "entries"])
-
-    block = _Block()
-    for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            block.add(whole.column(0).slice(at, 256))
-            if block.tokens > BLOCK_TOKENS or block.docs + 256 > BLOCK_DOCS:
-                yield from flush(block)
-                block = _Block()
-    yield from flush(block)
-
-
 def _sliced(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
     batch = pa.RecordBatch.from_arrays(columns, names)
     for at in range(0, batch.num_rows, 20_000):
         yield batch.slice(at, 20_000)
 
 
-def _state(words: pa.Array, entries: np.ndarray, ends: np.ndarray, one: np.ndarray, one_ends: np.ndarray, t0: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([words, _blobs(entries, ends), _blobs(one, one_ends), pa.array(t0.astype(np.int64))],
-                                      ["word", "two", "one", "t0"])
+def _blocks(batches: Iterator[pa.RecordBatch], ending: int | None) -> Iterator[tuple[int, _Block]]:
+    words = Shingler(1)
+    number, block = TaskContext.get().partitionId() << 32, _Block(words, ending)
+    for whole in batches:
+        column = whole.column(whole.num_columns - 1)
+        for at in range(0, whole.num_rows, 256):
+            block.add(column.slice(at, 256))
+            if block.tokens > BLOCK_TOKENS or block.docs + 256 > BLOCK_DOCS:
+                yield number, block
+                number, block = number + 1, _Block(words, ending)
+    if block.docs:
+        yield number, block
 
 
-def _parents(two: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of the parents: a customer for each table of their children."""
-    items = np.zeros(len(two), ENTRY)
-    items["ctx"], items["c"] = two["ctx"] & 255, two["t"]
-    return _merge(row, items, rows)
+def _count(ending: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(w, x, c) of training texts, each block's pairs once."""
+        for _, block in _blocks(batches, ending):
+            word, context, _ = block.sorted()
+            at = _starts(word, context)
+            yield from _sliced([_long(word[at]), _long(context[at]), pa.array(np.diff(at, append=len(word)))], ["w", "x", "c"])
 
+    return run
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by word, each word's entries merged; at first every dish has one table."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        words = held.column(0).combine_chunks()
-        if not len(words) or words[0].equals(words[-1]) and held.num_rows < 100_000:
-            continue
-        *done, held = _merged_words(held)  # the last word may go on in the next batch
-        yield from done
-    if held is not None and held.num_rows:
-        *done, last = _merged_words(held)
-        yield from done
-        for row in last.to_batches():
-            yield from _first_state(row.column(0), row.column(1))
-
-
-def _merged_words(table: pa.Table) -> list:
-    """States of all words but the last, and the last one's merged entries as a table."""
-    words = table.column(0).combine_chunks()
-    plain = words.to_pylist()
-    change = np.flatnonzero([a != b for a, b in zip(plain, plain[1:])]) + 1
-    of = np.zeros(len(plain), np.int64)
-    of[change] = 1
-    of = np.cumsum(of)
-    items, row = _records(table.column(1).combine_chunks(), ENTRY)
-    merged, ends = _merge(of[row], items, int(of[-1]) + 1)
-    names = words.take(pa.array(np.concatenate([[0], change])))
-    blobs = _blobs(merged, ends)
-    last = len(names) - 1
-    out = list(_first_state(names.slice(0, last), blobs.slice(0, last))) if last else []
-    return [*out, pa.table({"word": names.slice(last), "entries": blobs.slice(last)})]
-
-
-def _first_state(words: pa.Array, blobs: pa.Array) -> Iterator[pa.RecordBatch]:
-    two, row = _records(blobs, ENTRY)
-    one, one_ends = _parents(two, row, len(words))
-    yield _state(words, two, np.searchsorted(row, np.arange(len(words)), side="right"), one, one_ends, np.ones(len(words)))
+
+def _uses(ending: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(w, x, block, docs): where each word, context and pair of a block of texts occurs."""
+        for number, block in _blocks(batches, ending):
+            word, context, doc = block.sorted()
+            order = np.argsort(context, kind="stable")
+            for keys, docs, w, x in (((word, context), doc, True, True), ((word,), doc, True, False), ((context[order],), doc[order], False, True)):
+                at = _starts(*keys)
+                none = pa.array(np.full(len(at), NONE, np.int64))
+                yield from _sliced([_long(keys[0][at]) if w else none, _long(keys[-1][at]) if x else none, pa.array(np.full(len(at), number, np.int64)),
+                                    _blobs(docs, np.append(at[1:], len(docs)))], ["w", "x", "block", "docs"])
+
+    return run
 
 
 def _stirling(d: float) -> np.ndarray:
@@ -268,127 +222,6 @@ def seat(c: np.ndarray, others: np.ndarray, p: np.ndarray, d: float, theta: floa
     return t
 
 
-class Totals:
-    """Customers and tables of all restaurants: at most 2**16 + 2**8 + 1 of them."""
-
-    def __init__(self, state: DataFrame):
-        self.c = [np.zeros(1), np.zeros(256), np.zeros(1 << 16)]
-        self.t = [np.zeros(1), np.zeros(256), np.zeros(1 << 16)]
-        sums = state.mapInArrow(_sum_tables, "level int, ctx int, c long, t long").groupBy("level", "ctx").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
-        for r in sums.collect():
-            self.c[r["level"]][r["ctx"]], self.t[r["level"]][r["ctx"]] = r["c"], r["t"]
-        self.n_types = state.count()
-
-    def predictive(self, level: int, ctx, c, t, parent):
-        d, theta = DISCOUNT[level], STRENGTH[level]
-        own = np.maximum(c - d * t, 0)
-        return (own + (theta + d * self.t[level][ctx]) * parent) / (theta + self.c[level][ctx])
-
-
-def _sum_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sizes = (1, 256, 1 << 16)
-    c, t = [np.zeros(n, np.int64) for n in sizes], [np.zeros(n, np.int64) for n in sizes]
-    for batch in batches:
-        for level, name in ((2, "two"), (1, "one")):
-            items, _ = _records(batch.column(name), ENTRY)
-            np.add.at(c[level], items["ctx"], items["c"])
-            np.add.at(t[level], items["ctx"], items["t"])
-            if level == 1:
-                c[0] += int(items["t"].sum())
-        t[0] += int(np.asarray(batch.column("t0")).sum())
-    level, ctx = np.concatenate([np.full(n, k) for k, n in enumerate(sizes)]), np.concatenate([np.arange(n) for n in sizes])
-    c, t = np.concatenate(c), np.concatenate(t)
-    have = c > 0
-    yield pa.RecordBatch.from_arrays([pa.array(level[have].astype(np.int32)), pa.array(ctx[have].astype(np.int32)), pa.array(c[have]), pa.array(t[have])],
-                                     ["level", "ctx", "c", "t"])
-
-
-def _probabilities(totals: Totals, two, row2, one, row1, t0, rows: int):
-    """Predictive probabilities without context and, for each entry of ``one``, in its restaurant."""
-    c0 = np.bincount(row1, one["t"], rows)
-    base = 1.0 / (totals.n_types + 1)
-    p0 = totals.predictive(0, 0, c0, t0, base)
-    return c0, p0, totals.predictive(1, one["ctx"], one["c"], one["t"], p0[row1])
-
-
-def _sweep(totals: Totals, number: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.num_rows
-            (two, row2), (one, row1) = _records(batch.column("two"), ENTRY), _records(batch.column("one"), ENTRY)
-            t0 = np.asarray(batch.column("t0"))
-            own = np.fromiter((zlib.crc32(w) | zlib.adler32(w) << 32 for w in batch.column("word").to_pylist()), np.uint64, rows)
-            seed = lambda row, ctx, level: own[row] * np.uint64(0xC2B2AE3D27D4EB4F) ^ (
-                (np.asarray(ctx, np.uint64) << np.uint64(8) | np.uint64(number << 2 | level)) * np.uint64(0xD6E8FEB86659FD93))
-            _, p0, p1 = _probabilities(totals, two, row2, one, row1, t0, rows)
-            two = two.copy()
-            key1 = row1.astype(np.int64) << 8 | one["ctx"]
-            parent = np.searchsorted(key1, row2.astype(np.int64) << 8 | (two["ctx"] & 255))
-            two["t"] = seat(two["c"], totals.t[2][two["ctx"]] - two["t"], p1[parent], DISCOUNT[2], STRENGTH[2], seed(row2, two["ctx"], 2))
-            had = one["t"]
-            one, ends1 = _parents(two, row2, rows)
-            one["t"] = seat(one["c"], np.maximum(totals.t[1][one["ctx"]] - had, 0), p0[row1], DISCOUNT[1], STRENGTH[1], seed(row1, one["ctx"], 1))
-            c0 = np.bincount(row1, one["t"], rows).astype(np.int64)
-            base = np.full(rows, 1.0 / (totals.n_types + 1))
-            new0 = seat(c0, np.maximum(totals.t[0][0] - t0, 0), base, DISCOUNT[0], STRENGTH[0], seed(np.arange(rows), np.zeros(rows), 0))
-            yield _state(batch.column("word"), two, np.searchsorted(row2, np.arange(rows), side="right"), one, ends1, new0)
-
-    return run
-
-
-def _model(totals: list[Totals]):
-    """Per word: training count, own shares by ending (averaged), probabilities by last byte and without context."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, own, p0s, p1s = batch.num_rows, 0.0, [], []
-            for k, total in enumerate(totals):
-                (two, row2), (one, row1) = _records(batch.column(f"two{k}"), ENTRY), _records(batch.column(f"one{k}"), ENTRY)
-                _, p0, p1 = _probabilities(total, two, row2, one, row1, np.asarray(batch.column(f"t0{k}")), rows)
-                own = own + np.maximum(two["c"] - DISCOUNT[2] * two["t"], 0) / (STRENGTH[2] + total.c[2][two["ctx"]]) / len(totals)
-                p0s.append(p0)
-                p1s.append(p1)
-            shares, firsts = np.zeros(len(two), SHARE2), np.zeros(len(one), SHARE1)
-            shares["ctx"], shares["own"] = two["ctx"], own
-            firsts["ctx"], firsts["p"] = one["ctx"], np.stack(p1s, axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(np.bincount(row2, two["c"], rows).astype(np.int64)),
-                 _blobs(shares, np.searchsorted(row2, np.arange(rows), side="right")),
-                 _blobs(firsts, np.searchsorted(row1, np.arange(rows), side="right")),
-                 _blobs(np.stack(p0s, axis=1).reshape(-1), (np.arange(rows) + 1) * len(totals))],
-                ["word", "c", "shares", "firsts", "p0"])
-
-    return run
-
-
-def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, block, uses): where each word of a block of texts occurs."""
-
-    def flush(block: _Block, number: int) -> Iterator[pa.RecordBatch]:
-        if block.tokens:
-            words, numbers, context, doc = block.sorted()
-            items = np.zeros(len(numbers), USE)
-            items["ctx"], items["doc"] = context, doc
-            yield from _sliced([pa.array(words, pa.binary()), pa.array(np.full(len(words), number, np.int64)),
-                                _blobs(items, np.searchsorted(numbers, np.arange(len(words)), side="right"))], ["word", "block", "uses"])
-
-    for number, block in _blocks(batches):
-        yield from flush(block, number)
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Block]]:
-    number, block = TaskContext.get().partitionId() << 32, _Block()
-    for whole in batches:
-        column = whole.column(2)
-        for at in range(0, whole.num_rows, 256):
-            block.add(column.slice(at, 256))
-            if block.tokens > BLOCK_TOKENS or block.docs + 256 > BLOCK_DOCS:
-                yield number, block
-                number, block = number + 1, _Block()
-    if block.docs:
-        yield number, block
-
-
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, held_out, block, doc, n_tokens) of the same blocks as ``_uses`` makes."""
     number, docs, tokens = TaskContext.get().partitionId() << 32, 0, 0
@@ -428,11 +261,28 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _score(totals: list[Totals], n_tokens: int, n_types: int):
-    d2, d1 = DISCOUNT[2], DISCOUNT[1]
-    down2 = np.stack([(STRENGTH[2] + d2 * t.t[2]) / (STRENGTH[2] + t.c[2]) for t in totals], axis=1)
-    down1 = np.stack([(STRENGTH[1] + d1 * t.t[1]) / (STRENGTH[1] + t.c[1]) for t in totals], axis=1)
-    unseen = np.array([t.predictive(0, 0, 0.0, 0.0, 1.0 / (t.n_types + 1)) for t in totals])
+def _seated(level: int, sweep: int):
+    """Rows (w, x, c, others, p, ...) with their new number of tables."""
+    step = np.uint64((sweep << 2 | level) * 0x9E3779B97F4A7C15 % (1 << 64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, x, c, others, p = (np.asarray(batch.column(n)) for n in ("w", "x", "c", "others", "p"))
+            seed = _mix(w.view(np.uint64) ^ _mix(x.view(np.uint64) + step))
+            t = seat(c, np.maximum(others, 0).astype(np.float64), p, DISCOUNT[level], STRENGTH[level], seed)
+            yield pa.RecordBatch.from_arrays([batch.column("w"), batch.column("x"), batch.column("c"), batch.column("kept"), pa.array(t.astype(np.int64))],
+                                             ["w", "x", "c", "kept", "t"])
+
+    return run
+
+
+def _probability(c: Column, t: Column, all_c: float, all_t: float, n_types: int) -> Column:
+    """Of a word without context, of whose ``c`` customers ``t`` sit down first."""
+    return (c - DISCOUNT[0] * t + (STRENGTH[0] + DISCOUNT[0] * all_t) / (n_types + 1)) / (STRENGTH[0] + all_c)
+
+
+def _score(unseen: float, n_tokens: int, n_types: int):
+    """Sums by block and document of joined (w, x, block, docs, n, value)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -442,81 +292,103 @@ def _score(totals: list[Totals], n_tokens: int, n_types: int):
             block, doc, score, base, known = (np.concatenate(c) for c in zip(*held))
             order = np.lexsort((doc, block))
             block, doc = block[order], doc[order]
-            first = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (doc[1:] != doc[:-1])]))
+            first = _starts(block, doc)
             items = np.zeros(len(first), PART)
             items["doc"] = doc[first]
             for name, values in (("score", score), ("base", base), ("known", known)):
                 items[name] = np.add.reduceat(values[order], first, dtype=items.dtype[name])
-            change = np.flatnonzero(np.diff(block[first])) + 1
-            return pa.RecordBatch.from_arrays(
-                [pa.array(block[first][np.concatenate([[0], change])]), _blobs(items, np.concatenate([change, [len(items)]]))], ["block", "parts"])
+            change = _starts(block[first])
+            return pa.RecordBatch.from_arrays([pa.array(block[first][change]), _blobs(items, np.append(change[1:], len(items)))], ["block", "parts"])
 
         for batch in batches:
-            uses, row = _records(batch.column("uses"), USE)
-            if not len(uses):
-                continue
-            count = np.asarray(batch.column("c").fill_null(0))
-            p0, _ = _records(batch.column("p0"), np.dtype("<f8"))
-            rows0 = np.tile(unseen, (batch.num_rows, 1))
-            rows0[count > 0] = p0.reshape(-1, len(totals))
-            ctx, last = uses["ctx"].astype(np.int64), (uses["ctx"] & 255).astype(np.int64)
-            p1 = rows0[row] * down1[last]
-            firsts, of = _records(batch.column("firsts"), SHARE1)
-            if len(firsts):
-                key = of.astype(np.int64) << 8 | firsts["ctx"]
-                at = np.minimum(np.searchsorted(key, row.astype(np.int64) << 8 | last), len(key) - 1)
-                hit = key[at] == (row.astype(np.int64) << 8 | last)
-                p1[hit] = firsts["p"][at[hit]]
-            p2 = (p1 * down2[ctx]).mean(axis=1)
-            shares, of = _records(batch.column("shares"), SHARE2)
-            if len(shares):
-                key = of.astype(np.int64) << 16 | shares["ctx"]
-                at = np.minimum(np.searchsorted(key, row.astype(np.int64) << 16 | ctx), len(key) - 1)
-                hit = key[at] == (row.astype(np.int64) << 16 | ctx)
-                p2[hit] += shares["own"][at[hit]]
-            c = count[row]
-            held.append((np.asarray(batch.column("block"))[row], uses["doc"], np.log10(p2),
-                         np.log10((c + 1) / (n_tokens + n_types + 1)), c > 0))
-            size += len(uses)
+            docs = batch.column("docs")
+            spans = np.frombuffer(docs.buffers()[1], np.int32)[docs.offset:docs.offset + len(docs) + 1].astype(np.int64)
+            doc = np.frombuffer(docs.buffers()[2], np.uint8)[spans[0]:spans[-1]].view(np.uint16)
+            row = np.repeat(np.arange(len(docs)), np.diff(spans) // 2)
+            word = np.asarray(batch.column("x")) == NONE
+            n = np.asarray(batch.column("n").fill_null(0))
+            value = np.asarray(batch.column("value").fill_null(np.nan))
+            value = np.where(np.isnan(value), np.where(word, unseen, 0.0), value)
+            base = np.where(word, np.log10((n + 1) / (n_tokens + n_types + 1)), 0.0)
+            held.append((np.asarray(batch.column("block"))[row], doc, value[row], base[row], (word & (n > 0))[row]))
+            size += len(doc)
             if size > FLUSH_USES:
                 yield flush()
                 held.clear()
                 size = 0
-        if held:
+        if size:
             yield flush()
 
     return run
 
 
-def score_texts(docs: DataFrame, mod: int = 7, held: int = 2) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``."""
+def score_texts(docs: DataFrame, mod: int = 7, held: int = 2, ending: int | None = 2) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row of ``docs``.
+
+    ``ending``: contexts are that many last bytes of the word before; None: the whole word.
+    """
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "hpylm")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod("doc_id", mod) == held).alias("held_out"), text_of().alias("text"))
-    blob = "two binary, one binary, t0 long"
-    counted = rows.filter("not held_out").select("text").mapInArrow(_count, "word binary, entries binary")
-    placed = counted.repartition("word").sortWithinPartitions("word")
-    state = scratch.keep(placed.mapInArrow(_gather, f"word binary, {blob}"), "state0")
-    totals = [Totals(state)]
-    kept: list[DataFrame] = []
+    counted = rows.filter("not held_out").select("text").mapInArrow(_count(ending), "w long, x long, c long")
+    counts = scratch.keep(counted.groupBy("w", "x").agg(F.sum("c").alias("c")), "counts")
+    sums = [F.sum("c").alias("n"), F.count_if(F.col("c") == 1).alias("single"), F.count(F.lit(1)).alias("pairs")]
+    words = scratch.keep(counts.groupBy("w").agg(*sums), "words")
+    contexts = scratch.keep(counts.groupBy("x").agg(*sums), "contexts")
+    total = words.agg(F.count(F.lit(1)).alias("types"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs")).first()
+    n_types, n_tokens = int(total["types"]), int(total["tokens"])
+
+    # pairs with several customers, one table each at first; dishes of the restaurant without context likewise
+    pairs = counts.filter("c > 1").select("w", "x", "c", F.lit(0).cast("long").alias("kept"), F.lit(1).cast("long").alias("t"))
+    dishes = words.select("w", F.lit(NONE).cast("long").alias("x"), F.col("pairs").alias("c"), F.lit(0).cast("long").alias("kept"),
+                          F.lit(1).cast("long").alias("t"), F.lit(0).cast("long").alias("kept_c"))
+    all_c, all_t, mean_c, mean_t = int(total["pairs"]), n_types, 0.0, 0.0
+
+    def tables(of: DataFrame, key: str, column: str) -> DataFrame:
+        return of.groupBy(key).agg(F.sum(column).alias("sat"))
+
     for k in range(1, KEPT + 2):
-        state = scratch.keep(state.mapInArrow(_sweep(totals[-1], k), f"word binary, {blob}"), f"state{k}")
-        if k < 3:  # the state before any kept one
-            scratch.drop(f"state{k - 1}")
-        totals.append(Totals(state))
+        parent = dishes.select("w", _probability(F.col("c"), F.col("t"), all_c, all_t, n_types).alias("p"))
+        full = contexts.filter("single < pairs").join(tables(pairs, "x", "t"), "x").select("x", (F.col("single") + F.col("sat")).alias("all"))
+        given = pairs.join(parent, "w").join(full, "x").select("w", "x", "c", "kept", (F.col("all") - F.col("t")).alias("others"), "p")
+        pairs = scratch.keep(given.mapInArrow(_seated(1, k), "w long, x long, c long, kept long, t long")
+                             .withColumn("kept", F.col("kept") + (F.col("t") if k > 1 else F.lit(0))), f"pairs{k}")
+        now = words.select("w", "single").join(tables(pairs, "w", "t"), "w", "left").select("w", (F.col("single") + F.coalesce("sat", F.lit(0))).alias("c"))
+        given = dishes.drop("c").join(now, "w").select(
+            "w", "x", "c", "kept", (F.lit(all_t) - F.col("t")).alias("others"), F.lit(1.0 / (n_types + 1)).alias("p"))
+        sat = given.mapInArrow(_seated(0, k), "w long, x long, c long, kept long, t long")
+        before = dishes.select("w", "kept_c")
+        dishes = scratch.keep(sat.join(before, "w").select(
+            "w", "x", "c", (F.col("kept") + (F.col("t") if k > 1 else F.lit(0))).alias("kept"), "t",
+            (F.col("kept_c") + (F.col("c") if k > 1 else F.lit(0))).alias("kept_c")), f"dishes{k}")
+        if k > 1:
+            scratch.drop(f"pairs{k - 1}")
+            scratch.drop(f"dishes{k - 1}")
+        seen = dishes.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
+        all_c, all_t = int(seen["c"]), int(seen["t"])
         if k > 1:
-            kept.append(state.select("word", *[F.col(c).alias(f"{c}{len(kept)}") for c in ("two", "one", "t0")]))
-    samples = totals[-KEPT:]
-    both = kept[0]
-    for more in kept[1:]:
-        both = both.join(more, "word")
-    model = scratch.keep(both.mapInArrow(_model(samples), "word binary, c long, shares binary, firsts binary, p0 binary"), "model")
-    seen = model.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_tokens, n_types = int(seen["n"] or 0), int(seen["v"])
-    uses = rows.mapInArrow(_uses, "word binary, block long, uses binary")
-    parts = uses.join(model, "word", "left").mapInArrow(
-        _score(samples, n_tokens, n_types), "block long, parts binary")
+            mean_c, mean_t = mean_c + all_c / KEPT, mean_t + all_t / KEPT
+
+    # the model: log10 p of words, log10 q of contexts, gains of pairs
+    mean = lambda c: F.col(c) / F.lit(float(KEPT))
+    p = dishes.join(words.select("w", "n"), "w").select("w", "n", _probability(mean("kept_c"), mean("kept"), mean_c, mean_t, n_types).alias("p"))
+    sat = contexts.join(tables(pairs, "x", "kept"), "x", "left")
+    strength = F.lit(STRENGTH[1]) + F.col("n")
+    q = sat.select("x", strength.alias("strength"), (
+        (STRENGTH[1] + DISCOUNT[1] * (F.col("single") + F.coalesce("sat", F.lit(0)) / F.lit(float(KEPT)))) / strength).alias("q"))
+    seated = counts.filter("c = 1").select("w", "x", "c", F.lit(1.0).alias("t")).unionByName(pairs.select("w", "x", "c", mean("kept").alias("t")))
+    own = (F.col("c") - DISCOUNT[1] * F.col("t")) / F.col("strength")
+    gains = seated.join(q, "x").select("w", "x", (own / F.col("q")).alias("own")).join(p.select("w", "p"), "w")
+    none, unknown = F.lit(NONE).cast("long"), F.lit(None).cast("long")
+    model = (gains.select("w", "x", unknown.alias("n"), F.log10(1 + F.col("own") / F.col("p")).alias("value"))
+             .unionByName(p.select("w", none.alias("x"), "n", F.log10("p").alias("value")))
+             .unionByName(q.select(none.alias("w"), "x", unknown.alias("n"), F.log10("q").alias("value"))))
+    unseen = float(np.log10((STRENGTH[0] + DISCOUNT[0] * mean_t) / (n_types + 1) / (STRENGTH[0] + mean_c)))
+    uses = rows.mapInArrow(_uses(ending), "w long, x long, block long, docs binary")
+    # a pair or a context not seen in training adds nothing
+    parts = uses.join(model, ["w", "x"], "left").filter(F.col("value").isNotNull() | (F.col("x") == NONE)).select("x", "block", "docs", "n", "value").mapInArrow(
+        _score(unseen, n_tokens, n_types), "block long, parts binary")
     sums = parts.repartition("block").sortWithinPartitions("block").mapInArrow(
         _add_up, "block long, doc int, score double, base_score double, n_known long")
     numbered = rows.mapInArrow(_numbered, "doc_id long, held_out boolean, block long, doc int, n_tokens long")
@@ -525,4 +397,4 @@ def score_texts(docs: DataFrame, mod: int = 7, held: int = 2) -> DataFrame:
 
 
 def op2_hpy_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_texts(documents(spark, sf_dir))
+    return score_texts(documents(spark, sf_dir), ending=None)

@@ -392,6 +392,33 @@ def test_predictive_probabilities_sum_to_one(spark):
     assert math.isclose(sum(p[f"azz {w}"] for w in every), p["azz"] * (1 - end), rel_tol=1e-6)  # shares are 32-bit floats
 
 
+def asked(spark, train, ask, **options):
+    """Probabilities of held-out texts after training on others."""
+    crc = lambda i: zlib.crc32(str(i).encode()) % 7
+    free = [i for i in range(60_000) if crc(i) != 2]
+    ids = [i for i in range(60_000) if crc(i) == 2]
+    rows = [*zip(free, train), *zip(ids, ask)]
+    got = {r["doc_id"]: 10 ** r["score"] for r in rows_of(hpy_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), **options))}
+    return {t: got[i] for i, t in zip(ids, ask)}
+
+
+def test_contexts_are_whole_words(spark):
+    """Words with the same ending are followed by different words."""
+    p = asked(spark, ["red fox", "bed cat"] * 10, ["red fox", "red cat", "bed fox", "bed cat"], ending=None)
+    assert min(p["red fox"], p["bed cat"]) > 5 * max(p["red cat"], p["bed fox"])
+
+
+def test_probabilities_of_every_whole_word_context_sum_to_one(spark):
+    train = ["bzz azz bzz", "azz czz", "czz", "azz azz bzz", "", "czz bzz azz", "azz bzz"] * 3
+    every = ["azz", "bzz", "czz", "?zz"]
+    p = asked(spark, train, ["", *every, *[f"{a} {b}" for a in every for b in every]], ending=None)
+    # a text's probability is first(a) * next(a, b) * end(b); r = 1 / end solves sum_b next(a, b) + end(a) = 1
+    one, two = np.array([p[a] for a in every]), np.array([[p[f"{a} {b}"] for b in every] for a in every])
+    r = np.linalg.solve(np.diag(one) - two, one)
+    assert (r > 1).all()
+    assert math.isclose((one * r).sum() + p[""], 1, rel_tol=1e-9)
+
+
 def test_scores_do_not_depend_on_the_number_of_tasks(spark):
     rng = np.random.default_rng(5)
     rows = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 60) % 50)) for k in range(120)]
