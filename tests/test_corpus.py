@@ -162,3 +162,27 @@ def test_pieces_of_one_long_text_lie_in_many_tasks(spark):
     lines = long_text_lines(docs, piece_bytes=1 << 14)
     inner = lines.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert sum(r["count"] for r in inner) == 200_000 and len(inner) > 2
+
+
+def test_many_texts_are_made_in_many_tasks_also_for_neighbour_rules(spark, monkeypatch):
+    import __spark_entry__ as e
+    from seamline.sources import corpus
+
+    want = sorted(e.queries()["l08_with_contains"](spark, "/root/testdata/sf0.001").collect())
+    monkeypatch.setattr(corpus, "MOST_KEYS", 100)
+    found = e.queries()["l08_with_contains"](spark, "/root/testdata/sf0.001")
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(found.collect()) == want
+
+
+def test_lines_share_the_values_of_their_neighbours(spark):
+    from seamline.operators.features import NEIGHBOURS, with_neighbours
+    from seamline.sources.corpus import lines_from_text
+
+    texts = ["", "\n", "a\n \x1c\n\nselect\n when\n", "select", "\u2003\njoin\nunion\r\n as (\rx when", "  x", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = sorted(NEIGHBOURS)
+    near = lines_from_text(docs, neighbours=names)
+    assert near._jdf.queryExecution().optimizedPlan().toString().count("trim") == 1  # one test of each line for four values
+    columns = ["doc_id", "line_no", *names]
+    assert sorted(map(str, near.select(columns).collect())) == sorted(map(str, with_neighbours(lines_from_text(docs), names).select(columns).collect()))
