@@ -14,42 +14,37 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
+from .common import held_by_worker
 from .word_table import Lists, WordTable, spaced_chunks, text_bytes
 
-MOST_CHUNKS = 1_500_000  # a worker forgets its chunks beyond this number
+MOST_CHUNKS = 1_000_000  # a worker forgets its chunks beyond this number
 LATIN = "ɐ"  # letters below this one have the same class and lower case in every Unicode version
 LETTER = np.zeros(256, bool)  # bytes that end an ASCII letter
 LETTER[65:91] = LETTER[97:123] = True
 PLAIN = np.zeros(256, bool)  # bytes of ASCII characters that are not white space
 PLAIN[33:127] = True
 
-_ENCODERS: dict[tuple[str, bool], "ChunkEncoder"] = {}
-
 
 class ChunkEncoder:
     """Encodes batches of texts; ``keep_space``: the vocabulary keeps white space (byte-level)."""
 
     def __init__(self, path: str, keep_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        # for words of letters only: the same model without the pattern that would find them whole
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        # for words of letters only: the same model in memory, without the pattern that would find them whole
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        if not keep_space:
-            self.plain.normalizer = normalizers.Sequence([])
+        if keep_space and self.tokenizer.normalizer is not None:
+            self.plain.normalizer = self.tokenizer.normalizer
         self.keep_space = keep_space
         self.reset()
 
     @classmethod
     def get(cls, path: str, keep_space: bool) -> "ChunkEncoder":
-        key = (path, keep_space)
-        if key not in _ENCODERS:
-            _ENCODERS[key] = cls(path, keep_space)
-        return _ENCODERS[key]
+        return held_by_worker((cls, path, keep_space), lambda: cls(path, keep_space))
 
     def reset(self) -> None:
         self.words, self.ids, self.unsafe = WordTable(), Lists(), set()
@@ -82,9 +77,9 @@ class ChunkEncoder:
                 body = todo[k][1:] if todo[k][0] == " " else todo[k]
                 if not body or body[0].isspace() or body[-1].isspace():
                     self.unsafe.add(int(numbers[k]))
-        for at in range(0, len(todo), 20_000):
-            ids = self._encode(todo[at:at + 20_000])
-            self.ids.put(numbers[at:at + 20_000], np.fromiter(map(len, ids), np.int64, len(ids)),
+        for at in range(0, len(todo), 2_000):
+            ids = self._encode(todo[at:at + 2_000])
+            self.ids.put(numbers[at:at + 2_000], np.fromiter(map(len, ids), np.int64, len(ids)),
                          np.fromiter(chain.from_iterable(ids), np.int32))
         if stop.any():
             flat, sizes = self.ids.get(bodies)

@@ -26,14 +26,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, ship, text_of
+from .common import documents, held_by_worker, ship, text_of
 from .lattice import Lattices, read_pieces
 from .word_table import Lists, WordTable, spaced_chunks, text_bytes
 
 MARK = "▁"
 BLOCK_BYTES = 64
 MOST_RUNS = 500_000
-_MADE: dict[str, "PieceTransducer"] = {}
 
 
 class PieceTransducer:
@@ -51,9 +50,7 @@ class PieceTransducer:
 
     @classmethod
     def get(cls, path: str) -> "PieceTransducer":
-        if path not in _MADE:
-            _MADE[path] = cls(path)
-        return _MADE[path]
+        return held_by_worker((cls, path), lambda: cls(path))
 
     def reset(self) -> None:
         self.runs, self.ids = WordTable(), Lists()

@@ -17,7 +17,6 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,7 @@ RUN_BYTES = 1 << 20  # of long runs scored at once
 ROUNDS = 4
 UNKNOWN = 1e-7  # of a character that no piece covers
 PRIOR = 0.05  # added to each piece's expected count
-MOST_WORDS = 800_000
+MOST_WORDS = 500_000  # a worker forgets its words beyond this number
 LETTER = r"\p{L}"
 
 
@@ -215,22 +214,18 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["lang", "text"])
 
 
-_LEARNT: dict[str, tuple[PieceModel, WordTable, list[np.ndarray]]] = {}
+def _predict(shared, vocab: str, width: int, text: int):
+    """The first ``width`` columns with the language of column ``text`` and its score; the last column tells whether it has a letter."""
 
-
-def _predict(shared, vocab: str, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _LEARNT:
-            _LEARNT.clear()
-            langs, probs = shared.value
-            _LEARNT[key] = (PieceModel(_vocabulary(vocab), langs, probs), WordTable(), [np.empty((1 << 16, len(langs)))])
-        model, table, logs = _LEARNT[key]
+        langs, probs = shared.value
+        model, table, logs = PieceModel(_vocabulary(vocab), langs, probs), WordTable(), [np.empty((1 << 16, len(langs)))]
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 if table.n > MOST_WORDS:
                     table.__init__()
-                buf, offsets = text_bytes(batch.column("__text"), LOWER_ASCII)
+                buf, offsets = text_bytes(batch.column(text), LOWER_ASCII)
                 words = blank_words(buf, offsets)
                 long, short = np.flatnonzero(words[1] > WORD_BYTES), np.flatnonzero(words[1] <= WORD_BYTES)
                 starts, lengths = words[0][short], words[1][short]
@@ -245,11 +240,11 @@ def _predict(shared, vocab: str, key: str):
                                   for g in range(len(model.langs))], axis=1)
                 best = total.argmax(axis=1)
                 share = 1 / np.exp(np.minimum(total - total[np.arange(len(best)), best][:, None], 0)).sum(axis=1)
-                letter = np.asarray(batch.column("__letter"))
+                letter = np.asarray(batch.column(batch.num_columns - 1))
                 names = [model.langs[b] if ok else "und" for b, ok in zip(best.tolist(), letter.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-2], pa.array(names), pa.array(np.where(letter, share, 0.0))],
-                    [*batch.schema.names[:-2], "__lang", "__score"])
+                    [*batch.columns[:width], pa.array(names), pa.array(np.where(letter, share, 0.0))],
+                    [*batch.schema.names[:width], "__lang", "__score"])
 
     return run
 
@@ -271,17 +266,21 @@ def train(docs: DataFrame, vocab: str, mod: int = 3, held: int = 1) -> PieceMode
     return PieceModel(_vocabulary(vocab), [r["lang"] for r in fitted], np.stack([np.frombuffer(r["probs"]) for r in fitted], axis=1))
 
 
-def predict(docs: DataFrame, model: PieceModel | None, vocab: str) -> DataFrame:
-    """``docs`` with ``__lang`` and ``__score``, which no column of ``docs`` may be called."""
+def predict(docs: DataFrame, model: PieceModel | None, vocab: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``__lang`` and ``__score`` of its column ``text``; none of its columns may begin with ``__``."""
     spark = docs.sparkSession
     if model is None:
         return docs.select("*", F.lit("und").alias("__lang"), F.lit(0.0).alias("__score"))
     ship(spark)
     # as large as the vocabulary times the languages, whatever the number of documents
     shared = spark.sparkContext.broadcast((model.langs, model.probs))
-    rows = docs.select("*", text_of().alias("__text"), text_of().rlike(LETTER).alias("__letter"))
+    # each text is sent once, unless it has to be cast
+    place, cast = docs.columns.index(text), []
+    if not isinstance(docs.schema[place].dataType, T.StringType):
+        place, cast = len(docs.columns), [text_of(text).alias("__text")]
+    rows = docs.select("*", *cast, text_of(text).rlike(LETTER).alias("__letter"))
     schema = T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())])
-    return rows.mapInArrow(_predict(shared, vocab, uuid.uuid4().hex), schema)
+    return rows.mapInArrow(_predict(shared, vocab, len(docs.columns), place), schema)
 
 
 def identify(docs: DataFrame, vocab: str) -> DataFrame:
@@ -301,7 +300,7 @@ def drop_unidentified(docs: DataFrame, vocab: str) -> DataFrame:
     own = {n: c for n, c in zip(docs.columns, names)}
     rows = named.select(*names, *[F.col(own[n]).alias(n) for n in ("doc_id", "text", "lang")])
     model = train(rows, vocab)
-    kept = rows.filter(text_of().rlike(LETTER)) if model is None else predict(rows, model, vocab).filter("__score > 0")
+    kept = rows.filter(text_of().rlike(LETTER)) if model is None else predict(named, model, vocab, own["text"]).filter("__score > 0")
     lang = F.col(own["lang"]) if model is None else F.coalesce(own["lang"], F.col("__lang"))
     return kept.select(*[(lang if n == "lang" else F.col(c)).alias(n) for n, c in zip(docs.columns, names)])
 

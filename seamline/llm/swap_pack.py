@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunk_encode import ChunkEncoder
-from .common import Scratch, documents, ship, text_of
+from .common import Scratch, arrow_rows, documents, ship, text_of
 
 CAPACITY = 2048
 GROUP_PIECES = 4096
+BATCH_DOCS = 1024  # texts passed to a Python worker at once
 REPACKED = 15 / 16
 FULL_SEQUENCE = 1 << 62  # sequences of one whole piece are numbered from here
 PLACED = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
@@ -162,7 +163,8 @@ def pack_documents(docs: DataFrame, vocab: str, end_id: int, capacity: int = CAP
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     cut = rows.mapInArrow(_pieces(vocab, end_id, capacity),
                           "doc_id long, piece int, start long, length long, ids_crc32 long")
-    pieces = scratch.keep(cut.withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    with arrow_rows(spark, BATCH_DOCS):
+        pieces = scratch.keep(cut.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     placed = pieces.filter(F.col("length") == capacity).select(
         *PLACED[:5], (F.col("uid") + F.lit(FULL_SEQUENCE)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest, number = pieces.filter(F.col("length") < capacity), 0
