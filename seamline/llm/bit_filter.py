@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from .common import releasing
+
 PART = 1 << 16  # bytes
 
 
@@ -47,7 +49,7 @@ def bits_of(numbers: DataFrame, bits: int) -> Broadcast:
     schema = "part int, marks binary"
     out = np.zeros(1 << bits - 3, np.uint8)
     parts = out.reshape(-1, min(PART, len(out)))
-    for row in numbers.mapInArrow(mark, schema).repartition("part").mapInArrow(together, schema).collect():  # a row per part of the filter
+    for row in numbers.mapInArrow(releasing(mark), schema).repartition("part").mapInArrow(releasing(together), schema).collect():  # a row per part of the filter
         parts[row["part"]] = np.frombuffer(zlib.decompress(row["marks"]), np.uint8)
     return numbers.sparkSession.sparkContext.broadcast(out.tobytes())
 
@@ -66,4 +68,4 @@ def held_rows(df: DataFrame, column: str, marks: Broadcast) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(may_hold(marks.value, np.asarray(batch.column(column)))))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(releasing(run), df.schema)

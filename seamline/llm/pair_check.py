@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bbit_minhash import Shingler
+from .common import releasing
 
 BLOCK = 256
 
@@ -28,9 +29,9 @@ def overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     right = fans.select(F.col("b").alias("node"), F.col("b").alias("unit"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"))
     asked = left.unionByName(right)
     met = texts.join(asked, "node").select("unit", "block", "side", "node", "text").mapInArrow(
-        _with_sets(words), "unit long, block int, side int, node long, shingles binary")
+        releasing(_with_sets(words)), "unit long, block int, side int, node long, shingles binary")
     dealt = met.repartition("unit", "block").sortWithinPartitions("unit", "block", "side")
-    return dealt.mapInArrow(_compare, "a long, b long, na int, nb int, both int, lacks binary, adds binary")
+    return dealt.mapInArrow(releasing(_compare), "a long, b long, na int, nb int, both int, lacks binary, adds binary")
 
 
 def _with_sets(words: int):
@@ -77,7 +78,7 @@ def overlaps_by_deltas(pairs: DataFrame) -> DataFrame:
     Rows ``a, b, size, a_lacks, a_adds, b_lacks, b_adds``: what the two share is the third set without what either
     lacks, and what both add to it.
     """
-    return pairs.mapInArrow(_derive, "a long, b long, na int, nb int, both int")
+    return pairs.mapInArrow(releasing(_derive), "a long, b long, na int, nb int, both int")
 
 
 def _derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

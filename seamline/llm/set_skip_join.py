@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .bbit_minhash import NODE_FILTER, Shingler, _minors, _mix, _Union, _units, components
 from .bit_filter import bits_of, held_rows, may_hold
-from .common import Scratch, documents, row_id, ship, text_of
+from .common import Scratch, arrow_rows, documents, releasing, row_id, ship, text_of
 from .pair_check import overlaps, overlaps_by_deltas
 
 SLOT_BITS = 22  # slots of the corpus counts: 4 MiB, whatever the corpus
@@ -43,6 +43,7 @@ TOKEN_FILTER = 27  # bits of the filter of shared shingles, as a power of two
 PAIRS = 1 << 20  # tested together
 MEMBERS = 256  # of a list that is tested as one block
 FEW = 8  # members of a list whose pairs are tested before they get their bitmaps
+BATCH_ROWS = 1024  # texts, sets or bitmaps that go to Python together
 
 
 def prefix_size(n, percent: int):
@@ -56,17 +57,11 @@ def needed(total, percent: int):
 
 def _count_slots(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts, held, size = Shingler(words), np.zeros(1 << SLOT_BITS, np.int64), [], 0
+        shingler, counts = Shingler(words), np.zeros(1 << SLOT_BITS, np.int64)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 flat, _ = shingler.sets(whole.slice(at, 256).column(0))
-                held.append((flat >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-                size += len(flat)
-                if size > 1 << SLOT_BITS:
-                    counts += np.bincount(np.concatenate(held), minlength=1 << SLOT_BITS)
-                    held, size = [], 0
-        if held:
-            counts += np.bincount(np.concatenate(held), minlength=1 << SLOT_BITS)
+                np.add.at(counts, (flat >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)  # in place: no second table of all slots
         parts = counts.reshape(-1, 1 << PART_BITS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], ["part", "counts"])
@@ -87,8 +82,8 @@ def _sum_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def corpus_order(texts: DataFrame, words: int) -> np.ndarray:
     """For each slot of shingle hashes, about how often its shingles occur in all documents (``1 << SLOT_BITS`` bytes)."""
-    parts = texts.mapInArrow(_count_slots(words), "part int, counts binary")
-    summed = parts.repartition("part").mapInArrow(_sum_slots, "part int, counts binary")
+    parts = texts.mapInArrow(releasing(_count_slots(words)), "part int, counts binary")
+    summed = parts.repartition("part").mapInArrow(releasing(_sum_slots), "part int, counts binary")
     out = np.zeros((1 << (SLOT_BITS - PART_BITS), 1 << PART_BITS), np.uint8)
     for r in summed.collect():  # as many rows as parts
         out[r["part"]] = np.frombuffer(r["counts"], np.uint8)
@@ -316,17 +311,23 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
     """``doc_id, n_shingles, component_id`` of every row: links are pairs with a Jaccard similarity of ``percent`` or more."""
     spark = docs.sparkSession
     ship(spark)
+    with arrow_rows(spark, BATCH_ROWS):  # all jobs with Python in them end here, none is left to the returned frame
+        return _groups(docs, words, percent)
+
+
+def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    spark = docs.sparkSession
     scratch = Scratch(spark, "skip")
     rows = docs.select(row_id(docs).alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     order = spark.sparkContext.broadcast(corpus_order(rows.select("text"), words).tobytes())
     described = scratch.keep(rows.mapInArrow(
-        _describe(words, percent, order), "uid long, doc_id long, n int, key1 long, key2 long, prefix array<long>, bits binary"), "described")
+        releasing(_describe(words, percent, order)), "uid long, doc_id long, n int, key1 long, key2 long, prefix array<long>, bits binary"), "described")
     node_of = scratch.keep(
         described.filter("n > 0").groupBy("key1", "key2", "n").agg(F.min("uid").alias("node")), "node_of")
     # a copy that the filter lets through is a node of its own, linked with the others
     nodes = scratch.keep(held_rows(described.select("uid", "n", "prefix"), "uid", bits_of(node_of.select("node"), NODE_FILTER)), "nodes")
     shared = scratch.keep(nodes.select(F.explode("prefix").alias("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("unit"), "shared")
-    entries = nodes.mapInArrow(_entries(bits_of(shared, TOKEN_FILTER)), "node long, n int, pos int, unit long")
+    entries = nodes.mapInArrow(releasing(_entries(bits_of(shared, TOKEN_FILTER))), "node long, n int, pos int, unit long")
     members = scratch.keep(entries.join(shared, "unit"), "members")
     scratch.drop("nodes")
     lead = members.groupBy("unit").agg(F.min("node").alias("root"))
@@ -362,16 +363,16 @@ def similar_groups(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFr
         several = _minors(labelled, scratch, tag)
         known = described.select("uid", "n", "bits")
         few = several.filter(F.col("n_members") <= FEW).select("unit", "node", "n", "pos", "comp").repartition("unit").sortWithinPartitions("unit", "n", "pos")
-        pairs = few.mapInArrow(_short_lists(percent), "a long, b long").distinct()
+        pairs = few.mapInArrow(releasing(_short_lists(percent)), "a long, b long").distinct()
         for s in ("a", "b"):
             pairs = pairs.join(known.select(F.col("uid").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits")), s)
-        short = pairs.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("total"), "a_bits", "b_bits").mapInArrow(_near(percent), "a long, b long")
+        short = pairs.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("total"), "a_bits", "b_bits").mapInArrow(releasing(_near(percent)), "a long, b long")
         one = several.filter((F.col("n_members") > FEW) & (F.col("n_members") <= MEMBERS)).withColumn("side", F.when(F.col("minor"), 0).otherwise(1)).select(
             *[c for c in several.columns if c not in ("minor", "n_members", "n_minor")], "side", F.lit(-1).alias("xb"), F.lit(-1).alias("yb"))
         dealt = one.unionByName(_units(several.filter(F.col("n_members") > max(MEMBERS, FEW))))
         dealt = dealt.join(known.select(F.col("uid").alias("node"), "bits"), "node")
         dealt = dealt.repartition("unit", "xb", "yb").sortWithinPartitions("unit", "xb", "yb", "side", "n", "pos")
-        return scratch.keep(dealt.mapInArrow(_candidates(percent, forest), "a long, b long").unionByName(short).distinct(), f"{tag}-pairs")
+        return scratch.keep(dealt.mapInArrow(releasing(_candidates(percent, forest)), "a long, b long").unionByName(short).distinct(), f"{tag}-pairs")
 
     near = relation.filter((F.length("lacks") + F.length("adds")) < 8 * F.least("na", "nb"))
 
