@@ -1,7 +1,10 @@
 """Each operator against a plain version, on texts with nulls, ties, repeated rows and odd white space."""
 import hashlib
 import math
+import os
 import re
+import time
+import urllib.parse
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from seamline.llm import (bbit_minhash, block_names, chunk_encode, fst_pieces, hnsw, hpy_lm, oracles, orc_tokens, perspectives,
                           secret_scan, segment_langid, swap_pack)
-from seamline.llm.common import Scratch
+from seamline.llm.common import Scratch, shared_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, name string, score double, uid string, block int"
 BASE = " ".join(f"word{k} and" for k in range(60))
@@ -435,6 +438,49 @@ def test_scores_do_not_depend_on_the_number_of_tasks(spark):
     assert all(math.isclose(scores[0][k], scores[1][k], rel_tol=1e-9) for k in range(120))
 
 
+def zipf_texts(n, length, words=30_000):
+    rng = np.random.default_rng(6)
+    return [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.2, length) % words)) for k in range(n)]
+
+
+def test_scores_do_not_depend_on_blocks_and_buckets(spark, monkeypatch):
+    docs = spark.createDataFrame([*zipf_texts(90, 40, 60), (None, None), (None, "w1 w2"), (3, "w1 w2")], "doc_id long, text string").repartition(3)
+    for ending in (None, 2):
+        scores = []
+        for block, bucket in ((1_500_000, 1_500_000), (300, 400)):
+            monkeypatch.setattr(hpy_lm, "BLOCK_TOKENS", block)
+            monkeypatch.setattr(hpy_lm, "BUCKET_TOKENS", bucket)
+            got = rows_of(hpy_lm.score_texts(docs, ending=ending))
+            scores.append(sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 8), round(r["score"], 8)) for r in got))
+        assert scores[0] == scores[1] and len(scores[0]) == 93
+
+
+def test_language_model_writes_little(spark):
+    """What is shuffled and stored stays within a few times the texts."""
+    texts = zipf_texts(800, 500)
+    docs = Scratch(spark, "t").keep(spark.createDataFrame(texts, "doc_id long, text string").repartition(2), "docs")
+    folder = urllib.parse.urlparse(shared_dir(spark)).path
+
+    def used():
+        shuffled = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return (sum(shuffled.apply(k).length() for k in range(shuffled.size()))
+                + sum(os.path.getsize(os.path.join(at, f)) for at, _, names in os.walk(folder) for f in names))
+
+    spark._jvm.System.gc()
+    time.sleep(2)
+    before = used()
+    assert hpy_lm.score_texts(docs, ending=None).count() == 800
+    assert used() - before < 4 * sum(len(t) for _, t in texts)
+
+
+def test_packed_arrays():
+    rng = np.random.default_rng(3)
+    arrays = [np.sort(rng.integers(0, 1 << 64, 1000, dtype=np.uint64)), np.empty(0, np.uint32), rng.integers(-5, 5, 7), np.ones(3, np.uint8)]
+    got = hpy_lm._unpack(hpy_lm._pack(*arrays))
+    assert len(got) == 4 and all(a.dtype == b.dtype and (a == b).all() for a, b in zip(arrays, got))
+    assert (np.cumsum(hpy_lm._steps(arrays[0]), dtype=np.uint64) == arrays[0]).all() and len(hpy_lm._steps(arrays[1])) == 0
+
+
 def test_binomial_draws():
     rng = np.random.default_rng(1)
     for n, q in ((10, 0.3), (40, 0.9), (400, 0.5), (5000, 0.001)):
